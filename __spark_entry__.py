@@ -298,7 +298,7 @@ plain_stations AS (
   SELECT {_STATION_ID} AS id,
          CAST((c_custkey * 37 % 161) / 4.0 - 20 AS DOUBLE) AS latitude,
          CAST((c_custkey * 53 % 81) / 4.0 - 10 AS DOUBLE) AS longitude,
-         printf('%6.1f', floor(c_acctbal)) AS elevation,
+         printf('%6.1f', floor(c_acctbal / 10)) AS elevation,
          '  ' AS state, rpad(c_name, 30, ' ') AS stn_name, 'GSN' AS gsn, 'HCN' AS hcn_crn,
          '00000' AS wmo_id, 'N' || chr(65 + c_nationkey) AS country_cd
   FROM customer

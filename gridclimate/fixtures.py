@@ -37,7 +37,7 @@ def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _station_id(F.col("c_nationkey"), c),
         F.printf(F.lit("%8.4f"), (c * 37 % 161) / 4 - 20),
         F.printf(F.lit("%9.4f"), (c * 53 % 81) / 4 - 10),
-        F.printf(F.lit("%6.1f"), F.floor("c_acctbal").cast("double")),
+        F.printf(F.lit("%6.1f"), F.floor(F.col("c_acctbal") / 10).cast("double")),
         F.lit("  "),
         F.rpad("c_name", 30, " "),
         F.lit("GSN"),

@@ -1,0 +1,182 @@
+import math
+import random
+import re
+
+import pytest
+from samples import dicts, header, lines, observation, observations, record
+
+import gridclimate as gc
+
+
+def parsed(spark, *values, compat=False):
+    return dicts(gc.parse_observations(lines(spark, *values), compat=compat))
+
+
+def kept(spark, *values, **options):
+    return len(parsed(spark, *values, **options)) == len(values)
+
+
+def test_a_record(spark):
+    assert parsed(spark, record()) == [
+        {
+            "key": "1950:5:AA000000001",
+            "station_code": "AA000000001",
+            "year": 1950,
+            "month": 5,
+            "season": "SPRING",
+            "precipitation": 1.5,
+            "avg_temp": 2.5,
+        }
+    ]
+
+
+def test_headers_are_dropped(spark):
+    assert parsed(spark, header(), header("archive\0bytes\0")) == []
+    assert gc.drop_header_lines(lines(spark, header(), header("a\0"), record())).count() == 1
+
+
+def test_title_inside_a_record_matters_only_with_compat(spark):
+    line = record(name="PALMER STATION")
+    assert kept(spark, line)
+    assert not kept(spark, line, compat=True)
+
+
+@pytest.mark.parametrize("fields, expected", [(107, False), (108, True), (150, True)])
+def test_number_of_fields(spark, fields, expected):
+    assert kept(spark, record(fields=fields)) is expected
+
+
+def test_blank_fields_at_the_end_do_not_count(spark):
+    # a line cut after a separator ends in blank fields
+    long_enough = record(fields=112, last="x")
+    cut = record(fields=107, last="2.5") [:-1] + '","' * 5
+    assert kept(spark, long_enough)
+    assert not kept(spark, cut)
+
+
+@pytest.mark.parametrize(
+    "date, expected",
+    [
+        ("1950-05", True),
+        ("1950-05-", True),
+        ("1950-05--", True),
+        ("1950-", False),
+        ("1950", False),
+        ("1950-01-15", False),
+        ("", False),
+        ("--", False),
+    ],
+)
+def test_dates(spark, date, expected):
+    assert kept(spark, record(date=date)) is expected
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["", " 1.5", "1.5 ", "1e3", ".5", "5.", "1.5\u2028", "1.5\u0085", "1.5\n", "-", "NaN", "1,5"],
+)
+def test_rejected_temperatures(spark, text):
+    assert not kept(spark, record(temperature=text))
+
+
+@pytest.mark.parametrize("text, value", [("+3", 3.0), ("-0.5", -0.5), ("007", 7.0), ("12.25", 12.25)])
+def test_accepted_temperatures(spark, text, value):
+    assert parsed(spark, record(temperature=text))[0]["avg_temp"] == value
+
+
+def test_blank_precipitation_is_nan(spark):
+    assert math.isnan(parsed(spark, record(precipitation=""))[0]["precipitation"])
+
+
+@pytest.mark.parametrize("bad", [{"precipitation": "abc"}, {"date": "1950-x"}, {"date": "-05"}])
+def test_bad_values_of_a_usable_record_fail_the_job(spark, bad):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        parsed(spark, record(**bad))
+
+
+@pytest.mark.parametrize("bad", [{"precipitation": "abc"}, {"date": "1950-x"}])
+def test_bad_values_of_an_unusable_record_do_no_harm(spark, bad):
+    rows = gc.parse_observations(lines(spark, record(temperature="", **bad)))
+    assert rows.where("year > 0 AND precipitation >= 0").count() == 0
+
+
+def test_seasons(spark):
+    rows = parsed(spark, *[record(date=f"1950-{m:02d}") for m in range(0, 14)])
+    assert {r["month"]: r["season"] for r in rows} == {
+        0: "", 1: "WINTER", 2: "WINTER", 3: "SPRING", 4: "SPRING", 5: "SPRING", 6: "SUMMER",
+        7: "SUMMER", 8: "SUMMER", 9: "FALL", 10: "FALL", 11: "FALL", 12: "WINTER", 13: "",
+    }
+
+
+def _split(text, separator):
+    """Pieces of a text without the blank ones at the end."""
+    pieces = text.split(separator)
+    if len(pieces) > 1:
+        while pieces and pieces[-1] == "":
+            pieces.pop()
+    return pieces
+
+
+def _model(line):
+    """A record line in plain Python, or None."""
+    if line.split('","')[0].endswith('"STATION'):
+        return None
+    fields = _split(line, '","')
+    if len(fields) < 108:
+        return None
+    date = _split(fields[1], "-")
+    if len(date) != 2 or not re.fullmatch(r"[-+]?[0-9]+(\.[0-9]+)?", fields[106]):
+        return None
+    return fields[0].replace('"', ""), int(date[0]), int(date[1]), float(fields[106])
+
+
+def test_many_odd_lines_against_plain_python(spark):
+    rng = random.Random(7)
+    odd = ["", '"', ",", '",', ',"', '","', "1.5", "-2", "x", " 3", '",",', '"STATION']
+    values = []
+    for _ in range(1500):
+        fields = [rng.choice(odd) for _ in range(rng.randint(104, 114))]
+        fields[0] = rng.choice(["AA1", 'A"A2', "STATION"])
+        fields[1] = rng.choice(["1950-05", "1951-12-", "1950", "1-2-3"])
+        for position in range(2, min(107, len(fields))):
+            if rng.random() < 0.98:
+                fields[position] = rng.choice(["", "1.5"])
+        fields[102] = ""
+        if len(fields) > 106:
+            fields[106] = rng.choice(["1.5", "-7", "", "x"])
+        end = rng.choice(['"', "", '","', '","","'])
+        values.append('"' + '","'.join(fields) + end)
+    # odd fields may move a text into the field of the precipitation, where it fails the job
+    values = [v for v in values if len(_split(v, '","')) < 103 or _split(v, '","')[102] in ("", "1.5")]
+    expected = sorted(m for m in map(_model, values) if m)
+    got = gc.parse_observations(lines(spark, *values)).collect()
+    assert sorted((r.station_code, r.year, r.month, r.avg_temp) for r in got) == expected
+    assert 100 < len(expected) < len(values)
+
+
+def test_one_row_per_key(spark):
+    nan = float("nan")
+    rows = observations(
+        spark,
+        observation("A", 1950, 1, 1.0, precipitation=9.0),
+        observation("A", 1950, 1, 2.0, precipitation=1.0),
+        observation("A", 1950, 1, 2.0, precipitation=3.0),
+        observation("B", 1950, 1, 5.0, precipitation=nan),
+        observation("B", 1950, 1, 5.0, precipitation=7.0),
+        observation("C", 1950, 1, -1.0),
+    )
+    best = {r["key"]: (r["avg_temp"], r["precipitation"]) for r in dicts(gc.latest_per_key(rows))}
+    assert best["1950:1:A"] == (2.0, 3.0)
+    assert best["1950:1:B"][0] == 5.0 and math.isnan(best["1950:1:B"][1])
+    assert best["1950:1:C"] == (-1.0, 0.0)
+    assert gc.latest_per_key(rows).columns == rows.columns
+
+
+def test_observations_by_season(spark):
+    rows = observations(
+        spark, observation("A", 1950, 1, 1.0), observation("B", 1950, 2, 1.0),
+        observation("A", 1950, 3, 1.0, "SPRING"),
+    )
+    assert sorted(gc.observations_by_season(rows).collect()) == [
+        (1950, "SPRING", 1), (1950, "WINTER", 2),
+    ]
