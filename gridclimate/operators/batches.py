@@ -99,27 +99,23 @@ def _block_sums(cells: DataFrame, extent: Column) -> DataFrame:
     dimension only and merges them again before the shuffle. The grid bounds the result: about
     twice its cells and years in each dimension, whatever the number of observations.
     """
-    positions = {
-        name: (F.col(name) - F.col(f"extent.{name}_min")).cast("long") for name in DIMENSIONS
-    }
-    sums = (
-        cells.groupBy(*DIMENSIONS)
-        .agg(
-            F.sum("avg_temp").alias("temp_sum"),
-            F.count("avg_temp").alias("temps"),
-            F.count(F.lit(1)).alias("entries"),
-        )
-        .withColumn("extent", extent)
-        .withColumns(positions)
-        .drop("extent")
+    sums = cells.withColumn("extent", extent).select(
+        *[
+            (F.col(name) - F.col(f"extent.{name}_min")).cast("long").alias(name)
+            for name in DIMENSIONS
+        ],
+        F.col("avg_temp").alias("temp_sum"),
+        F.col("avg_temp").isNotNull().cast("long").alias("temps"),
+        F.lit(1).cast("long").alias("entries"),
     )
     for name in DIMENSIONS:
-        span = extent[f"{name}_max"] - extent[f"{name}_min"]
+        span = (extent[f"{name}_max"] - extent[f"{name}_min"]).cast("long")
+        blocks = {d: F.col(d) for d in DIMENSIONS}
+        blocks[name] = block_holding(F.col(name), F.col("level"))
         sums = (
-            sums.withColumn("level", F.explode(all_levels()))
-            .where(F.col("level") <= top_level(span.cast("long")))
-            .withColumn(name, block_holding(F.col(name), F.col("level")))
-            .groupBy(*DIMENSIONS)
+            sums.select("*", F.explode(all_levels()).alias("level"))
+            .where(F.col("level") <= top_level(span))
+            .groupBy(*[block.alias(d) for d, block in blocks.items()])
             .agg(*_totals())
         )
     return sums
@@ -147,15 +143,18 @@ def area_average_batch(summary: DataFrame, boxes: DataFrame) -> DataFrame:
     ends = {}
     for name, (low, high) in BOUNDS.items():
         ends |= _first_and_last(name, low, high)
-    asked = checked.withColumn("extent", extent).withColumns(ends).drop("extent")
+    asked = checked.withColumn("extent", extent).select(
+        *checked.columns, *[place.alias(name) for name, place in ends.items()]
+    )
 
-    pieces = asked.where(F.col("error").isNull()).select(*ends).distinct()
-    covers = {
-        name: blocks_covering(F.col(f"{name}_first"), F.col(f"{name}_last")) for name in BOUNDS
-    }
-    pieces = pieces.withColumns(covers)
+    areas = asked.where(F.col("error").isNull()).select(*ends).distinct()
+    covers = [
+        blocks_covering(F.col(f"{name}_first"), F.col(f"{name}_last")).alias(name)
+        for name in BOUNDS
+    ]
+    pieces = areas.select("*", *covers)
     for name in BOUNDS:
-        # not the plain explode: Spark would work out every cover once more to skip empty ones
+        # not the plain explode: Spark would work out the covers once more to skip empty ones
         pieces = pieces.withColumn(name, F.explode_outer(name))
     sums = _block_sums(cells, extent)
     totals = pieces.join(sums, list(DIMENSIONS)).groupBy(*ends).agg(*_totals())
