@@ -48,6 +48,12 @@ def is_number(text: Column) -> Column:
     return text.rlike(NUMBER)
 
 
+def number_of(text: Column, type_name: str) -> Column:
+    """Text as a number; text that is none fails the job, whatever the session's ANSI mode."""
+    message = F.concat(F.lit(f"not of type {type_name}: "), text)
+    return F.coalesce(text.try_cast(type_name), F.raise_error(message).cast(type_name))
+
+
 def season_of(month: Column) -> Column:
     """Season of a month; blank for months outside 1 to 12. December stays in its own year."""
     season = F.lit("")

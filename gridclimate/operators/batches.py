@@ -16,18 +16,21 @@ BOUNDS = {
 DIMENSIONS = tuple(BOUNDS)
 
 
-def coordinate_summary_batch(summary: DataFrame, points: DataFrame) -> DataFrame:
+CELL = ["cell_latitude", "cell_longitude"]
+
+
+def coordinate_summary_batch(
+    summary: DataFrame, points: DataFrame, requests_per_task: int = 100_000
+) -> DataFrame:
     """The seasons of the cell of every requested coordinate.
 
-    ``points`` has the columns ``request_id``, ``latitude`` and ``longitude``. A request without
-    data keeps one row with NULLs. Each cell has only one row per year and season on the summary
-    side, so where a coordinate is asked for very often, Spark may split its requests.
+    ``points`` has the columns ``request_id``, which should tell requests apart, ``latitude`` and
+    ``longitude``. A request without data keeps one row with NULLs.
+
+    A cell that is asked for more than ``requests_per_task`` times is dealt out: its requests go
+    to as many parts as needed, and its few summary rows to every part. Requests are counted
+    with sums merged before the shuffle, and cells nobody asks for drop out on the way.
     """
-    cells = summary.select(
-        F.col("latitude").alias("cell_latitude"),
-        F.col("longitude").alias("cell_longitude"),
-        *[name for name in summary.columns if name not in ("latitude", "longitude")],
-    )
     asked = points.select(
         "request_id",
         "latitude",
@@ -35,9 +38,22 @@ def coordinate_summary_batch(summary: DataFrame, points: DataFrame) -> DataFrame
         cell_of(F.col("latitude")).alias("cell_latitude"),
         cell_of(F.col("longitude")).alias("cell_longitude"),
     )
-    return asked.join(cells, ["cell_latitude", "cell_longitude"], "left").drop(
-        "cell_latitude", "cell_longitude"
+    parts = F.ceil(F.count(F.lit(1)) / requests_per_task).cast("int")
+    counted = asked.groupBy(*CELL).agg(parts.alias("parts"))
+
+    own_part = F.pmod(F.xxhash64("request_id"), F.col("parts")).cast("int")
+    nowhere = F.col("cell_latitude").isNull() | F.col("cell_longitude").isNull()
+    dealt_out = asked.join(counted.where(F.col("parts") > 1), CELL, "left").select(
+        *asked.columns,
+        F.when(nowhere, F.hash("request_id")).otherwise(F.coalesce(own_part, F.lit(0))).alias("part"),
+    )
+    cells = (
+        summary.withColumnsRenamed({"latitude": "cell_latitude", "longitude": "cell_longitude"})
+        .join(counted, CELL)
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .drop("parts")
     )
+    return dealt_out.join(cells, [*CELL, "part"], "left").drop(*CELL, "part")
 
 
 def _checked(boxes: DataFrame) -> DataFrame:

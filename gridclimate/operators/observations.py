@@ -12,6 +12,7 @@ from ..functions.text import (
     date_parts,
     has_enough_fields,
     is_number,
+    number_of,
     observation_key,
     record_fields,
     season_of,
@@ -48,13 +49,13 @@ def parse_observations(lines: DataFrame, compat: bool = False) -> DataFrame:
     date = date_parts(field(DATE_FIELD))
     temperature, precipitation = field(AVG_TEMP_FIELD), field(PRECIPITATION_FIELD)
     usable = has_enough_fields(F.col("fields")) & (F.size(date) == 2) & is_number(temperature)
-    # The casts raise on bad text, so they carry the condition with them wherever they go.
+    # Bad text raises, so each number carries the condition with it wherever it is worked out.
     typed = records.where(usable).select(
         F.replace(field(STATION_FIELD), F.lit('"'), F.lit("")).alias("station_code"),
-        F.when(usable, F.get(date, F.lit(0)).cast("int")).alias("year"),
-        F.when(usable, F.get(date, F.lit(1)).cast("int")).alias("month"),
+        F.when(usable, number_of(F.get(date, F.lit(0)), "int")).alias("year"),
+        F.when(usable, number_of(F.get(date, F.lit(1)), "int")).alias("month"),
         F.when(usable & (precipitation == ""), F.lit(float("nan")))
-        .when(usable, precipitation.cast("double"))
+        .when(usable, number_of(precipitation, "double"))
         .alias("precipitation"),
         F.when(usable, temperature.cast("double")).alias("avg_temp"),
     )

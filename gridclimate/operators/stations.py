@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import number_of
 from ..schemas import STATION
 
 # First and end position of each station column, counted from 0, end left out.
@@ -42,8 +43,8 @@ def parse_stations(lines: DataFrame) -> DataFrame:
     """Station rows without the country name. Text columns keep their blanks."""
     return _sliced(lines, STATION_RANGES, "station").select(
         "id",
-        F.col("latitude").cast("double").alias("latitude"),
-        F.col("longitude").cast("double").alias("longitude"),
+        number_of(F.col("latitude"), "double").alias("latitude"),
+        number_of(F.col("longitude"), "double").alias("longitude"),
         *[name for name in list(STATION_RANGES) if name not in ("id", "latitude", "longitude")],
     )
 

@@ -117,14 +117,16 @@ def test_areas_on_an_empty_summary(spark):
     assert (row["average_temp"], row["n_entries"], row["error"]) == (None, 0, None)
 
 
-def test_coordinates_equal_single_requests(spark):
+@pytest.mark.parametrize("requests_per_task", [100_000, 3])
+def test_coordinates_equal_single_requests(spark, requests_per_task):
     rng = random.Random(2)
     grid = summary(spark, *some_grid(rng)).cache()
     asked = [(i, rng.uniform(-13, 13), rng.uniform(-31, 31)) for i in range(20)]
-    asked += [(20 + i, 3.0, 3.0) for i in range(10)] + [(30, 88.0, 0.0)]
+    asked += [(20 + i, 3.0, 3.0) for i in range(10)] + [(30, 88.0, 0.0), (31, 3.0, None)]
     points = spark.createDataFrame(asked, "request_id INT, latitude DOUBLE, longitude DOUBLE")
-    batch = gc.coordinate_summary_batch(grid, points).collect()
-    for i, lat, lon in asked:
+    batch = gc.coordinate_summary_batch(grid, points, requests_per_task).collect()
+    assert sum(r.request_id == 31 and r.key is None for r in batch) == 1
+    for i, lat, lon in asked[:-1]:
         mine = sorted(r.key for r in batch if r.request_id == i and r.key)
         assert mine == sorted(r.key for r in gc.coordinate_summary(grid, lat, lon).collect())
         assert any(r.request_id == i for r in batch)

@@ -88,10 +88,15 @@ def test_blank_precipitation_is_nan(spark):
     assert math.isnan(parsed(spark, record(precipitation=""))[0]["precipitation"])
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
 @pytest.mark.parametrize("bad", [{"precipitation": "abc"}, {"date": "1950-x"}, {"date": "-05"}])
-def test_bad_values_of_a_usable_record_fail_the_job(spark, bad):
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        parsed(spark, record(**bad))
+def test_bad_values_of_a_usable_record_fail_the_job(spark, bad, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="not of type"):
+            parsed(spark, record(**bad))
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 @pytest.mark.parametrize("bad", [{"precipitation": "abc"}, {"date": "1950-x"}])

@@ -4,6 +4,8 @@ import re
 
 import __spark_entry__ as entry
 import pytest
+import samples
+from pyspark.sql import functions as F
 
 import gridclimate as gc
 
@@ -78,6 +80,33 @@ def test_batches_have_equi_joins_only(spark, sf_dir, name, threshold):
     assert "HashJoin" in text or "SortMergeJoin" in text
 
 
+@pytest.mark.parametrize("hot", ["88.0D", "CAST(NULL AS DOUBLE)"])
+def test_hot_requests_are_dealt_out(spark, hot):
+    """A third of all requests ask for one coordinate, or for none."""
+    points = spark.range(60_000).selectExpr(
+        "id AS request_id",
+        f"IF(id % 3 = 0, {hot}, CAST(id % 170 - 85 AS DOUBLE)) AS latitude",
+        "IF(id % 3 = 0, 3.0D, CAST(id % 350 - 175 AS DOUBLE)) AS longitude",
+    )
+    grid = samples.summary(spark, *[(88.0, 3.0, 1900 + i, "FALL", 1.0, 1) for i in range(3)])
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = gc.coordinate_summary_batch(grid, points, requests_per_task=200)
+        sizes = [r[0] for r in rows.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(sizes) == (100_000 if hot == "88.0D" else 60_000)
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
+
+
 def test_no_python_in_any_plan(spark, sf_dir):
     for name, query in entry.queries().items():
         text = plan(query(spark, sf_dir))
