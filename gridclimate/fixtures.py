@@ -60,7 +60,8 @@ def observation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = _station_id(F.col("c_nationkey"), F.col("o_custkey"))
     unknown = F.concat(F.lit("ZZ"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
     station = F.when(_pending("2-HIGH"), unknown).otherwise(known)
-    month = F.printf(F.lit("%d-%02d"), F.year(date) - 97, F.month(date))
+    year = (F.year(date) - 97).cast("string")
+    month = F.concat_ws("-", year, F.lpad(F.month(date).cast("string"), 2, "0"))
     temperature = (
         F.when(_pending("5-LOW"), "")
         .when(_pending("4-NOT SPECIFIED"), " 1.5")
@@ -89,7 +90,9 @@ def observation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _line(fields: Column) -> Column:
-    return F.concat(F.lit('"'), F.array_join(fields, SEPARATOR), F.lit('"')).alias("value")
+    line = F.concat(F.lit('"'), F.array_join(fields, SEPARATOR), F.lit('"'))
+    # filters are not pushed below explode, so each line is made once, as if read from a file
+    return F.explode(F.array(line)).alias("value")
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
