@@ -164,10 +164,7 @@ def area_average_batch(summary: DataFrame, boxes: DataFrame) -> DataFrame:
     )
 
     areas = asked.where(F.col("error").isNull()).select(*ends).distinct()
-    covers = [
-        blocks_covering(F.col(f"{name}_first"), F.col(f"{name}_last")).alias(name)
-        for name in BOUNDS
-    ]
+    covers = [blocks_covering(f"{name}_first", f"{name}_last").alias(name) for name in BOUNDS]
     pieces = areas.select("*", *covers)
     for name in BOUNDS:
         # not the plain explode: Spark would work out the covers once more to skip empty ones
