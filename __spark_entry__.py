@@ -22,6 +22,7 @@ from gridclimate.schemas import ENTRY, OBSERVATION, STATION, SUMMARY  # noqa: E4
 
 POINT = (3.3, -2.6)
 AREA = (10, 5, -5, -1, 1904, 1901)
+SHIFT = 0.0000003
 
 # --- inputs -------------------------------------------------------------------------------------
 
@@ -155,8 +156,12 @@ def area_entries(spark, sf_dir):
 
 
 def _rounded(rows: DataFrame) -> DataFrame:
-    """Means of means depend on the order of summing in their last digits."""
-    return rows.withColumn("average_temp", F.round("average_temp", 9))
+    """Means of means depend on the order of summing in their last digits.
+
+    Many are halves, quarters and so on, which lie on the edge of rounding; the shift moves the
+    edge to where they do not lie.
+    """
+    return rows.withColumn("average_temp", F.round(F.col("average_temp") + SHIFT, 6))
 
 
 def area_average(spark, sf_dir):
@@ -346,7 +351,7 @@ _STATION_COLUMNS = """id, latitude, longitude, elevation, state, stn_name, gsn,
 _SUMMARY_COLUMNS = "key, latitude, longitude, year, season, avg_temp, data_points, stations"
 _HERE = "latitude = 3.0 AND longitude = -3.0"
 _INSIDE = "latitude BETWEEN -5 AND 10 AND longitude BETWEEN -1 AND 5 AND year BETWEEN 1901 AND 1904"
-_MEAN = "round(avg(avg_temp), 9) AS average_temp, count(*) AS n_entries"
+_ROUNDED_MEAN = f"round(avg(s.avg_temp) + {SHIFT:.7f}, 6)"
 _AREA_COLUMNS = """CAST(-5.0 AS DOUBLE) AS latitude1, CAST(-1.0 AS DOUBLE) AS longitude1,
   CAST(10.0 AS DOUBLE) AS latitude2, CAST(5.0 AS DOUBLE) AS longitude2,
   1901 AS year_from, 1904 AS year_to"""
@@ -519,20 +524,21 @@ SELECT CAST(3.3 AS DOUBLE) AS latitude, CAST(-2.6 AS DOUBLE) AS longitude,
 FROM summary WHERE {_HERE}""",
         "area_entries": f"{summary} WHERE {_INSIDE}",
         "area_average": (
-            f"WITH {_SUMMARY} SELECT {_AREA_COLUMNS}, {_MEAN} FROM summary WHERE {_INSIDE}"
+            f"WITH {_SUMMARY} SELECT {_AREA_COLUMNS}, {_ROUNDED_MEAN} AS average_temp, "
+            f"count(*) AS n_entries FROM summary s WHERE {_INSIDE}"
         ),
         "area_average_compat": f"""
 WITH {_SUMMARY}
-SELECT {_AREA_COLUMNS}, coalesce(round(avg(s.avg_temp), 9), 0.0) AS average_temp,
+SELECT {_AREA_COLUMNS}, coalesce({_ROUNDED_MEAN}, 0.0) AS average_temp,
        count(*) AS n_entries
 FROM summary_text t JOIN summary s USING (key)
 WHERE t.latitude BETWEEN '-5.0' AND '10.0' AND t.longitude BETWEEN '-1.0' AND '5.0'
   AND t.year BETWEEN '1901' AND '1904'""",
         "area_document": f"""
 WITH {_SUMMARY}
-SELECT 0 AS part, '' AS key, round(avg(avg_temp), 9) AS average_temp, NULL AS year,
+SELECT 0 AS part, '' AS key, {_ROUNDED_MEAN} AS average_temp, NULL AS year,
        NULL AS season, NULL AS avg_temp, NULL AS data_points, NULL AS stations
-FROM summary WHERE {_INSIDE}
+FROM summary s WHERE {_INSIDE}
 UNION ALL
 SELECT 1, key, NULL, t.year, t.season, t.avg_temp, t.data_points, t.stations
 FROM summary_text t JOIN (SELECT key FROM summary WHERE {_INSIDE}) USING (key)""",
@@ -545,7 +551,7 @@ FROM points p LEFT JOIN summary s
         "area_average_batch": f"""
 WITH {_SUMMARY}, {_BOXES}
 SELECT b.request_id, b.latitude1, b.longitude1, b.latitude2, b.longitude2, b.year_from,
-       b.year_to, round(avg(s.avg_temp), 9) AS average_temp, count(s.key) AS n_entries, b.error
+       b.year_to, {_ROUNDED_MEAN} AS average_temp, count(s.key) AS n_entries, b.error
 FROM boxes b LEFT JOIN summary s
   ON NOT b.error AND s.latitude BETWEEN b.latitude1 AND b.latitude2
  AND s.longitude BETWEEN b.longitude1 AND b.longitude2
