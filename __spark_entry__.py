@@ -20,6 +20,13 @@ import gridclimate as gc  # noqa: E402
 from gridclimate import fixtures  # noqa: E402
 from gridclimate.schemas import ENTRY, OBSERVATION, STATION, SUMMARY  # noqa: E402
 
+try:
+    from gridclimate.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as error:  # the folder may be left out, the libraries it needs not
+    if not str(error.name).startswith("gridclimate.llm"):
+        raise
+    llm = None
+
 POINT = (3.3, -2.6)
 AREA = (10, 5, -5, -1, 1904, 1901)
 SHIFT = 0.0000003
@@ -481,7 +488,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         summary_csv_round_trip,
         summary_json,
     ]
-    return {query.__name__: query for query in registered}
+    return {query.__name__: query for query in registered} | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
@@ -576,7 +583,7 @@ FROM summary WHERE {_HERE} GROUP BY year""",
             f"WITH {_SUMMARY} SELECT CAST(json_object({document}) AS VARCHAR) AS json "
             "FROM summary_text"
         ),
-    }
+    } | (llm.oracle_sql() if llm else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
