@@ -1,16 +1,42 @@
 """The registered queries of this folder, with the SQL that DuckDB can run for them."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .content_sort import content_groups
 from .golden_mix import mix
+from .piece_encoding import encode_pieces
+from .shipping import send_package
+from .token_files import read_token_files, write_token_files
+from ..sinks.scratch import shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    send_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_piece_encoding(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select(
+        "row.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op4_token_files(spark, sf_dir):
+    folder = f"{shared_folder(spark)}/tokens"
+    docs = table(spark, sf_dir, "documents")
+    write_token_files(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return read_token_files(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op5_golden_mix(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))[1].drop("source")
 
@@ -38,7 +64,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM p
 def queries():
     return {
         q.__name__: q
-        for q in (op5_golden_mix, op8_content_sort)
+        for q in (op2_piece_encoding, op4_token_files, op5_golden_mix, op8_content_sort)
     }
 
 
