@@ -12,6 +12,7 @@ worker remembers a bounded number of encoded words.
 """
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -65,14 +66,16 @@ class PieceModel:
             for p, k in zip(self.pieces, self.kinds)
         ]
         self.by_word = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
-        self.known_characters = set("".join(self.ids))
+        self.whole_alphabet = all(c in self.ids for c in set("".join(self.ids)))
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
         self.extra: dict[str, int] = {}  # characters without a piece of their own get ids above
         self.compatible: dict[int, bool] = {}
+        # Words of late, and those before them: a word in use survives when the older go.
         self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """Merge the characters of a short text: best score first, then leftmost."""
@@ -110,13 +113,14 @@ class PieceModel:
 
     def backtrack(self, text: str) -> list[int]:
         """The ids of a text whose blanks are marks; no prefix is added."""
-        n, lengths, fits = len(text), self.lengths, self.fits
+        n, lengths, fits, compatible = len(text), self.lengths, self.fits, self.compatible
         starts: list[list[int]] = [[] for _ in range(n)]
         for end, piece in self.automaton.iter(text):
             starts[end - lengths[piece] + 1].append(piece)  # the longest comes last
-        for k in range(n):
-            if not starts[k] or lengths[starts[k][0]] > 1:
-                starts[k].insert(0, self.single(text[k]))
+        if not self.whole_alphabet or not all(starts):
+            for k in range(n):
+                if not starts[k] or lengths[starts[k][0]] > 1:
+                    starts[k].insert(0, self.single(text[k]))
         failed = bytearray(n + 1)
         chosen: list[tuple[int, int]] = []  # place in starts, and piece
         at, last, k = 0, -1, len(starts[0]) - 1
@@ -125,8 +129,10 @@ class PieceModel:
             while k >= 0:
                 piece = choice[k]
                 end = at + lengths[piece]
-                if not failed[end] and fits(last, piece):
-                    break
+                if not failed[end]:
+                    fit = compatible.get((last << 32) + piece)
+                    if fit or fit is None and fits(last, piece):
+                        break
                 k -= 1
             if k >= 0:
                 chosen.append((k, piece))
@@ -153,22 +159,25 @@ class PieceModel:
         return found
 
     def remembered(self, word: str) -> bytes:
+        ids = self.older_words.get(word)
+        if ids is None:
+            ids = array("i", self.backtrack(word)).tobytes()
         if len(self.words) >= REMEMBERED:
-            self.words.clear()
-        ids = self.words[word] = np.array(self.backtrack(word), dtype="<i4").tobytes()
+            self.older_words, self.words = self.words, {}
+        self.words[word] = ids
         return ids
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text, with the end id behind them."""
-        end = self.end_id.to_bytes(4, "little")
+        end = array("i", [self.end_id]).tobytes()
         if not text:
-            return np.frombuffer(end, dtype="<i4")
+            return np.frombuffer(end, dtype="i4")
         text = MARK + text.replace(" ", MARK)
         words = WORDS.findall(text) if self.by_word else [text]
         known, slow = self.words.get, self.remembered
         found = [known(w) or slow(w) for w in words]
         found.append(end)
-        return np.frombuffer(b"".join(found), dtype="<i4")
+        return np.frombuffer(b"".join(found), dtype="i4")
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: without the mark that encoding puts in front, bytes as characters."""

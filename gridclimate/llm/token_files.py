@@ -52,7 +52,9 @@ class ByteTokens:
         most = max(self.tokenizer.get_vocab_size() - 1, end_id)
         self.dtype = np.dtype("<u2" if most < 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
+        # Chunks of late, and those before them: a chunk in use survives when the older go.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -67,9 +69,13 @@ class ByteTokens:
         missing = list({c for c in chunks if c not in known})
         if missing:
             if len(known) + len(missing) > REMEMBERED:
-                known.clear()
+                self.older, self.known = known, {}
+                known = self.known
                 missing = list(set(chunks))
-            known.update(zip(missing, self.ids(missing)))
+            older = self.older
+            new = [c for c in missing if c not in older]
+            known.update((c, older[c]) for c in missing if c in older)
+            known.update(zip(new, self.ids(new)))
         return b"".join([known[c] for c in chunks]) + self.end
 
 
