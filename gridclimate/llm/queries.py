@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from .content_sort import content_groups
 from .golden_mix import mix
+from .labelled import id_remainder
+from .neighbour_quality import fit_quality, score_quality
 from .piece_encoding import encode_pieces
 from .shipping import send_package
 from .token_files import read_token_files, write_token_files
@@ -17,6 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def training_labels(spark, sf_dir, column, held_out):
+    rows = table(spark, sf_dir, "labels").where(~held_out)
+    return rows.select(F.col("doc_id").alias("label_id"), F.col(column).alias("label"))
+
+
+def op1_neighbour_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder("doc_id", 5) == 0
+    model = fit_quality(docs, training_labels(spark, sf_dir, "quality", held_out))
+    scored = score_quality(docs, model).select("row.doc_id", "score", "predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op2_piece_encoding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -64,7 +79,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM p
 def queries():
     return {
         q.__name__: q
-        for q in (op2_piece_encoding, op4_token_files, op5_golden_mix, op8_content_sort)
+        for q in (op1_neighbour_quality, op2_piece_encoding, op4_token_files, op5_golden_mix, op8_content_sort)
     }
 
 
