@@ -10,6 +10,7 @@ from .labelled import id_remainder
 from .neighbour_quality import fit_quality, score_quality
 from .piece_encoding import encode_pieces
 from .shipping import send_package
+from .sentence_toxicity import fit_toxicity, score_toxicity
 from .token_files import read_token_files, write_token_files
 from ..sinks.scratch import shared_folder
 
@@ -43,6 +44,17 @@ def op2_piece_encoding(spark, sf_dir):
     )
 
 
+def op3_sentence_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder("doc_id", 4) == 2
+    model = fit_toxicity(docs, training_labels(spark, sf_dir, "toxic", held_out))
+    scored = score_toxicity(docs, model).select("row.doc_id", "score", "predicted", "sentences")
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted",
+        F.size("sentences").alias("n_sentences"),
+    )
+
+
 def op4_token_files(spark, sf_dir):
     folder = f"{shared_folder(spark)}/tokens"
     docs = table(spark, sf_dir, "documents")
@@ -79,7 +91,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM p
 def queries():
     return {
         q.__name__: q
-        for q in (op1_neighbour_quality, op2_piece_encoding, op4_token_files, op5_golden_mix, op8_content_sort)
+        for q in (op1_neighbour_quality, op2_piece_encoding, op3_sentence_toxicity, op4_token_files, op5_golden_mix, op8_content_sort)
     }
 
 
