@@ -15,7 +15,9 @@ local or mounted one the ids are memory-mapped.
 """
 
 import json
+import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +31,15 @@ from tokenizers import Tokenizer
 REMEMBERED = 400_000
 # White space as the pre-tokenizer's pattern takes it.
 WHITE = "\t-\r \x85\xa0  -     　"
-# A word with the blank before it, a run of white space without its last character before a word,
-# and that last character: no token of the vocabulary's pattern reaches over these ends.
-CHUNKS = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+SIGNS = r"!-&(-/:-@\[-`{-~"  # of ASCII, without the apostrophe
+# Pieces whose ends no token of the vocabulary's pattern reaches over: letters before a sign or
+# white space; signs before a letter or white space; else all up to white space, each with the
+# blank before it; a run of white space without its last character; and that last character.
+CHUNKS = re.compile(
+    f" ?[{LETTERS}]++(?![^{WHITE}{SIGNS}])| ?[{SIGNS}]++(?![^{WHITE}{LETTERS}])"
+    f"| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]"
+)
 
 
 class ByteTokens:
@@ -50,7 +58,7 @@ class ByteTokens:
         )
         self.added = [t["content"] for t in described["added_tokens"]]
         most = max(self.tokenizer.get_vocab_size() - 1, end_id)
-        self.dtype = np.dtype("<u2" if most < 1 << 16 else "<u4")
+        self.dtype = np.dtype("u2" if most < 1 << 16 else "u4")
         self.end = np.array([end_id], self.dtype).tobytes()
         # Chunks of late, and those before them: a chunk in use survives when the older go.
         self.known: dict[str, bytes] = {}
@@ -58,31 +66,33 @@ class ByteTokens:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
+        return [array(self.dtype.char, x.ids).tobytes() for x in found]
 
     def encode(self, text: str) -> bytes:
         """Ids of the whole text and the end id, as bytes of the file format."""
         if not self.by_chunk or any(t in text for t in self.added):
             return self.ids([text])[0] + self.end
         chunks = CHUNKS.findall(text)
-        known = self.known
-        missing = list({c for c in chunks if c not in known})
+        missing = set(chunks).difference(self.known)
         if missing:
-            if len(known) + len(missing) > REMEMBERED:
-                self.older, self.known = known, {}
-                known = self.known
-                missing = list(set(chunks))
-            older = self.older
-            new = [c for c in missing if c not in older]
-            known.update((c, older[c]) for c in missing if c in older)
-            known.update(zip(new, self.ids(new)))
-        return b"".join([known[c] for c in chunks]) + self.end
+            self.learn(missing, chunks)
+        return b"".join(map(self.known.__getitem__, chunks)) + self.end
+
+    def learn(self, missing: set[str], chunks: list[str]) -> None:
+        if len(self.known) + len(missing) > REMEMBERED:
+            self.older, self.known = self.known, {}
+            missing = set(chunks)
+        new = [c for c in missing if c not in self.older]
+        self.known.update((c, self.older[c]) for c in missing if c in self.older)
+        self.known.update(zip(new, self.ids(new)))
 
 
 _tokenizers: dict[tuple[str, int], ByteTokens] = {}
 
 
 def byte_tokens(path: str, end_id: int) -> ByteTokens:
+    # Spark runs as many workers as there are cores; threads of their own would compete.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if (path, end_id) not in _tokenizers:
         _tokenizers[path, end_id] = ByteTokens(path, end_id)
     return _tokenizers[path, end_id]
