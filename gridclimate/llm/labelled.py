@@ -2,11 +2,12 @@
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLED = "label int, features array<long>"
+SAMPLED = "label int, features binary"
 
 
 def id_remainder(id: str, parts: int) -> Column:
@@ -21,7 +22,7 @@ def sample_features(
     most: int,
     text: str = "text",
     id: str = "doc_id",
-) -> list:
+) -> list[tuple[int, np.ndarray]]:
     """Label and features of at most ``most`` labelled documents, collected.
 
     ``labels`` has ``label_id`` and ``label`` (0 or 1); rows with a NULL are left out. The sample
@@ -40,11 +41,13 @@ def sample_features(
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [features(t or "") for t in batch.column(1).to_pylist()]
+            made = [np.array(features(t or ""), "<i8") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(made, pa.list_(pa.int64()))], ["label", "features"]
+                [batch.column(0), pa.array([m.tobytes() for m in made], pa.binary())],
+                ["label", "features"],
             )
 
     rows = texts.select(F.col("label").cast("int"), "text").mapInArrow(make, SAMPLED).collect()
     # An order that doesn't depend on how the rows were dealt out.
-    return sorted(rows, key=lambda r: (r.label, len(r.features), r.features[:64], hash(tuple(r.features))))
+    rows = sorted((row.label, bytes(row.features)) for row in rows)
+    return [(label, np.frombuffer(packed, "<i8")) for label, packed in rows]

@@ -137,7 +137,7 @@ def fit_quality(
     is one half; with fewer examples than dimensions there are fewer dimensions.
     """
     rows = sample_features(docs, labels, terms_of, examples, text, id)
-    found = [np.array(r.features, np.int64).reshape(-1, 2) for r in rows]
+    found = [features.reshape(-1, 2) for _, features in rows]
     values, seen = np.unique(np.concatenate([f[:, 0] for f in found] or [[]]), return_counts=True)
     most = np.lexsort((values, -seen))[:terms]
     keep = np.sort(most)
@@ -148,7 +148,7 @@ def fit_quality(
         np.log((1 + len(rows)) / (1 + seen)) + 1,
         np.zeros((len(known), 0)),
         np.zeros((0, 0)),
-        np.array([r.label for r in rows], float),
+        np.array([label for label, _ in rows], float),
         neighbours,
     )
     table = np.zeros((len(rows), len(known)), np.float32)

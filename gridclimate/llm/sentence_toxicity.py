@@ -94,7 +94,7 @@ def fit_toxicity(
     labels: DataFrame,
     text: str = "text",
     id: str = "doc_id",
-    examples: int = 5000,
+    examples: int = 4000,
     terms: int = 60_000,
     least_documents: int = 4,
     penalty: float = 0.0004,
@@ -107,8 +107,8 @@ def fit_toxicity(
     none the weights stay 0 and the bias alone meets the labels' mean.
     """
     rows = sample_features(docs, labels, training_features, examples, text, id)
-    rows = [r for r in rows if r.features]
-    found = [np.array(r.features, np.int64) for r in rows]
+    rows = [(label, features) for label, features in rows if len(features)]
+    found = [features for _, features in rows]
     mask = (1 << TERM_BITS) - 1
     values, seen = np.unique(
         np.concatenate([np.unique(f & mask) for f in found] or [np.zeros(0, np.int64)]),
@@ -117,21 +117,28 @@ def fit_toxicity(
     values, seen = values[seen >= least_documents], seen[seen >= least_documents]
     known = np.sort(values[np.lexsort((values, -seen))[:terms]])
 
-    labelled = np.array([r.label for r in rows], float)
-    sentence, document, base = [], [], 0
+    labelled = np.array([label for label, _ in rows], float)
+    place, sentence, document, base = [], [], [], 0
     for k, f in enumerate(found):
+        at = np.searchsorted(known, f & mask)
+        here = at < len(known)
+        here[here] = known[at[here]] == (f & mask)[here]
         number = f >> TERM_BITS
-        sentence.append(number + base)
+        place.append(at[here])
+        sentence.append(number[here] + base)
         document.append(np.full(number[-1] + 1, k))
         base += int(number[-1]) + 1
-    sentence = np.concatenate(sentence or [np.zeros(0, np.int64)])
-    document = np.concatenate(document or [np.zeros(0, np.int64)])
-    flat = np.concatenate([f & mask for f in found] or [np.zeros(0, np.int64)])
-    place = np.searchsorted(known, flat)
-    here = (place < len(known)) & (known[np.minimum(place, len(known) - 1)] == flat) if len(
-        known
-    ) else np.zeros(len(flat), bool)
-    return maximise(known, place[here], sentence[here], document, labelled, penalty, steps)
+    del found
+    none = [np.zeros(0, np.int64)]
+    return maximise(
+        known,
+        np.concatenate(place or none),
+        np.concatenate(sentence or none),
+        np.concatenate(document or none),
+        labelled,
+        penalty,
+        steps,
+    )
 
 
 def maximise(known, place, sentence, document, labelled, penalty, steps) -> ToxicityModel:
