@@ -8,6 +8,7 @@ from .content_sort import content_groups
 from .golden_mix import mix
 from .labelled import id_remainder
 from .neighbour_quality import fit_quality, score_quality
+from .parity_join import near_duplicates
 from .piece_encoding import encode_pieces
 from .shipping import send_package
 from .sentence_toxicity import fit_toxicity, score_toxicity
@@ -68,6 +69,11 @@ def op5_golden_mix(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))[1].drop("source")
 
 
+def op7_parity_join(spark, sf_dir):
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op8_content_sort(spark, sf_dir):
     groups = content_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return groups.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -91,7 +97,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM p
 def queries():
     return {
         q.__name__: q
-        for q in (op1_neighbour_quality, op2_piece_encoding, op3_sentence_toxicity, op4_token_files, op5_golden_mix, op8_content_sort)
+        for q in (op1_neighbour_quality, op2_piece_encoding, op3_sentence_toxicity, op4_token_files, op5_golden_mix, op7_parity_join, op8_content_sort)
     }
 
 
