@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .content_sort import content_groups
+from .cover_tree import near_vectors
 from .golden_mix import mix
 from .labelled import id_remainder
 from .neighbour_quality import fit_quality, score_quality
@@ -79,6 +80,11 @@ def op8_content_sort(spark, sf_dir):
     return groups.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_cover_tree(spark, sf_dir):
+    found = near_vectors(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 OP8_SQL = r"""
 WITH texts AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -94,12 +100,30 @@ placed AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM placed"""
 
 
+OP9_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+),
+reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM vectors
+  UNION
+  SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a)
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)"""
+
+
 def queries():
     return {
         q.__name__: q
-        for q in (op1_neighbour_quality, op2_piece_encoding, op3_sentence_toxicity, op4_token_files, op5_golden_mix, op7_parity_join, op8_content_sort)
+        for q in (op1_neighbour_quality, op2_piece_encoding, op3_sentence_toxicity, op4_token_files, op5_golden_mix, op7_parity_join, op8_content_sort, op9_cover_tree)
     }
 
 
 def oracle_sql():
-    return {"op8_content_sort": OP8_SQL}
+    return {"op8_content_sort": OP8_SQL, "op9_cover_tree": OP9_SQL}
