@@ -27,24 +27,12 @@ from pyspark.sql import functions as F
 from .components import components
 from .stored import stored
 
-REMEMBERED = 400_000
-HOT = 256  # rows of one key in a batch from which they are paired before the shuffle
+SLICE = 1000  # sets whose words are made at a time
+HOT = 64  # rows of one key in a slice from which they are paired before the shuffle
 FEW = 32  # sets sharing a word up to which they are paired by their identifiers alone
 TILE = 1024
 BLOOM_BITS = 1 << 24
-
-_words: list[dict[bytes, int]] = [{}, {}]
-
-
-def _hash_word(word: bytes) -> int:
-    value = _words[1].get(word)
-    if value is None:
-        value = xxhash.xxh3_64_intdigest(word)
-    if len(_words[0]) >= REMEMBERED:
-        _words[1], _words[0] = _words[0], {}
-    _words[0][word] = value
-    return value
-
+BLOOM_SHIFTS = (0, 20, 40)
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """The finishing steps of a 64-bit hash."""
@@ -62,15 +50,13 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     words = (text or "").encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    known = _words[0].get
-    hashes = np.array(
-        [h if (h := known(w)) is not None else _hash_word(w) for w in words], np.uint64
-    )
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     width = min(width, len(words))
     found = np.full(len(words) - width + 1, width, np.uint64)
     for k in range(width):
-        found = mixed(found * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + len(found)])
-    return np.unique(found)
+        found = found * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + len(found)]
+    found = np.sort(mixed(found))
+    return found[np.concatenate([[True], found[1:] != found[:-1]])]
 
 
 def set_id(found: np.ndarray) -> int:
@@ -167,38 +153,43 @@ def _bucket_batch(keys, nodes, firsts, groups) -> pa.RecordBatch:
     )
 
 
+def slice_words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    seen, keys, nodes, groups = set(), [], [], []
+    for node, band, *sketches in zip(*(c.to_pylist() for c in batch.columns)):
+        if node in seen:
+            continue
+        seen.add(node)
+        for group, sketch in zip((band - 1, band), sketches):
+            if sketch:
+                words = np.frombuffer(sketch, "<u8").astype(np.uint64)
+                place = np.arange(len(words), dtype=np.uint64) * np.uint64(1024)
+                keys.append(mixed(words ^ mixed(place + np.uint64(group + 1))))
+                nodes.append(np.full(len(words), node, np.int64))
+                groups.append(np.full(len(words), group, np.int32))
+    if not keys:
+        return
+    keys = np.concatenate(keys).view(np.int64)
+    nodes, groups = np.concatenate(nodes), np.concatenate(groups)
+    order = np.lexsort((nodes, keys))
+    keys, nodes, groups = keys[order], nodes[order], groups[order]
+    begins, lengths = _runs(keys)
+    hot = np.repeat(lengths >= HOT, lengths)
+    hot[begins] = False
+    firsts = np.repeat(nodes[begins], lengths)
+    yield _bucket_batch(keys, nodes, pa.array(firsts, pa.int64(), mask=~hot), groups)
+
+
 def sketch_words(sets: DataFrame) -> DataFrame:
     """A row for each word of each sketch: ``key`` (hash of group, place and word) and node.
 
-    Rows that share a key within a batch are paired with their first one at once (``first``) if
+    Rows that share a key within a slice are paired with their first one at once (``first``) if
     they are many, so a very frequent key sends few rows on for pairing.
     """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen, keys, nodes, groups = set(), [], [], []
-            for node, band, *sketches in zip(*(c.to_pylist() for c in batch.columns)):
-                if node in seen:
-                    continue
-                seen.add(node)
-                for group, sketch in zip((band - 1, band), sketches):
-                    if sketch:
-                        words = np.frombuffer(sketch, "<u8").astype(np.uint64)
-                        place = np.arange(len(words), dtype=np.uint64) * np.uint64(1024)
-                        keys.append(mixed(words ^ mixed(place + np.uint64(group + 1))))
-                        nodes.append(np.full(len(words), node, np.int64))
-                        groups.append(np.full(len(words), group, np.int32))
-            if not keys:
-                continue
-            keys = np.concatenate(keys).view(np.int64)
-            nodes, groups = np.concatenate(nodes), np.concatenate(groups)
-            order = np.lexsort((nodes, keys))
-            keys, nodes, groups = keys[order], nodes[order], groups[order]
-            begins, lengths = _runs(keys)
-            hot = np.repeat(lengths >= HOT, lengths)
-            hot[begins] = False
-            firsts = np.repeat(nodes[begins], lengths)
-            yield _bucket_batch(keys, nodes, pa.array(firsts, pa.int64(), mask=~hot), groups)
+            for start in range(0, batch.num_rows, SLICE):
+                yield from slice_words(batch.slice(start, SLICE))
 
     rows = sets.where("node IS NOT NULL").select("node", "band", "lower", "upper")
     return rows.mapInArrow(make, BUCKETS)
@@ -299,11 +290,10 @@ def similar(docs: DataFrame, pairs: DataFrame, bands: Bands, width: int, text: s
     size, merged by Spark, says which. It lets more pass when there are very many.
     """
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    bit = F.explode(
-        F.array(*[F.pmod(F.xxhash64(F.lit(k), "node"), F.lit(BLOOM_BITS)) for k in range(3)])
-    ).alias("bit")
+    # A node is a hash already; the filter takes three parts of it.
+    bits = [F.shiftright("node", k).bitwiseAND(BLOOM_BITS - 1) for k in BLOOM_SHIFTS]
     filled = (
-        nodes.select(bit)
+        nodes.select(F.explode(F.array(*bits)).alias("bit"))
         .groupBy(F.shiftright("bit", 5).alias("place"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 AS int))")).alias("bits"))
         .toArrow()
@@ -312,41 +302,28 @@ def similar(docs: DataFrame, pairs: DataFrame, bands: Bands, width: int, text: s
     bloom[filled.column("place").to_numpy()] = filled.column("bits").to_numpy()
     shared = docs.sparkSession.sparkContext.broadcast(bloom)
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = {}
-            for document in batch.column(0).to_pylist():
-                found = shingles(document, width)
-                if len(found):
-                    sets.setdefault(set_id(found), found)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(sets.keys(), pa.int64()),
-                    pa.array([s.view(np.int64) for s in sets.values()], pa.list_(pa.int64())),
-                ],
-                ["node", "members"],
-            )
+    def wanted(node: int) -> bool:
+        parts = ((node >> k) & (BLOOM_BITS - 1) for k in BLOOM_SHIFTS)
+        return all(int(shared.value[p >> 5]) >> (p & 31) & 1 for p in parts)
 
-    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Spark's hash of the node is asked for its bits in the filter."""
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            here = np.ones(batch.num_rows, bool)
-            for column in batch.columns[2:]:
-                bit = column.to_numpy()
-                here &= (shared.value[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
-            yield batch.select(["node", "members"]).filter(pa.array(here))
-
-    made = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(
-        make, "node long, members array<long>"
-    )
-    bits = [
-        F.pmod(F.xxhash64(F.lit(k), "node"), F.lit(BLOOM_BITS)).alias(f"bit{k}") for k in range(3)
-    ]
-    sets = (
-        made.select("node", "members", *bits)
-        .mapInArrow(maybe, "node long, members array<long>")
-        .dropDuplicates(["node"])
-    )
+            for start in range(0, batch.num_rows, SLICE):
+                sets = {}
+                for document in batch.column(0).slice(start, SLICE).to_pylist():
+                    found = shingles(document, width)
+                    if len(found) and wanted(node := set_id(found)):
+                        sets[node] = found.view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(sets.keys(), pa.int64()),
+                        pa.array(sets.values(), pa.list_(pa.int64())),
+                    ],
+                    ["node", "members"],
+                )
+
+    texts = docs.select(F.col(f"`{text}`").alias("text"))
+    sets = texts.mapInArrow(make, "node long, members array<long>").dropDuplicates(["node"])
     joined = (
         pairs.select("a", "b")
         .join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
