@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .class_model import fit_class_model, score_texts
 from .content_sort import content_groups
 from .cover_tree import near_vectors
 from .golden_mix import mix
@@ -70,6 +71,14 @@ def op5_golden_mix(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))[1].drop("source")
 
 
+def op6_class_model(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(id_remainder("doc_id", 5) == 1, F.lit(False))
+    model, counts = fit_class_model(docs.where(~held_out))
+    keep = {"doc_id": F.col("doc_id"), "held_out": held_out}
+    return score_texts(docs, model, counts, keep=keep)
+
+
 def op7_parity_join(spark, sf_dir):
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
@@ -121,7 +130,7 @@ LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_i
 def queries():
     return {
         q.__name__: q
-        for q in (op1_neighbour_quality, op2_piece_encoding, op3_sentence_toxicity, op4_token_files, op5_golden_mix, op7_parity_join, op8_content_sort, op9_cover_tree)
+        for q in (op1_neighbour_quality, op2_piece_encoding, op3_sentence_toxicity, op4_token_files, op5_golden_mix, op6_class_model, op7_parity_join, op8_content_sort, op9_cover_tree)
     }
 
 
