@@ -119,26 +119,47 @@ class Traversal:
         self.edges: list[np.ndarray] = []
         weight = lambda b: np.concatenate([[0], np.cumsum(b.copies)])
         self.weight_x, self.weight_y = weight(x), weight(y)
-        todo = [(np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        # In single precision first: most pairs of single vectors are far from the bound.
+        self.short_x = x.points.astype(np.float32)
+        self.short_y = self.short_x if x is y else y.points.astype(np.float32)
+        root = np.zeros(1, np.int64)
+        todo = [(root, root, np.ones((1, 1), bool))]
         while todo:
             todo.extend(self.compare(*todo.pop()))
 
-    def compare(self, a: np.ndarray, b: np.ndarray):
-        """Decide all pairs of the nodes ``a`` and ``b``; returns those to open."""
+    def compare(self, a: np.ndarray, b: np.ndarray, wanted: np.ndarray):
+        """Decide the wanted pairs of the nodes ``a`` and ``b``; returns those of the next level."""
         s, t = self.x.tree, self.y.tree
-        cosines = self.x.points[s.point[a]] @ self.y.points[t.point[b]].T
-        apart = np.sqrt(np.maximum(0.0, 2 - 2 * cosines))
-        reach = s.radius[a][:, None] + t.radius[b][None, :]
         one_a, one_b = s.end[a] - s.begin[a] == 1, t.end[b] - t.begin[b] == 1
-        single = one_a[:, None] & one_b[None, :]
-        linked = single & (cosines >= self.cosine)
-        p, q = np.nonzero(linked)
-        if len(p):
-            i, j = s.begin[a[p]], t.begin[b[q]]
-            np.add.at(self.links_x, i, self.y.copies[j])
-            np.add.at(self.links_y, j, self.x.copies[i])
-            self.edges.append(np.stack([self.x.nodes[i], self.y.nodes[j]], 1))
-        whole = ~single & (apart + reach <= self.bound - SLACK)
+        self.leaves(a[one_a], b[one_b], wanted[one_a][:, one_b])
+        for p, q in ((~one_a, ~one_b), (~one_a, one_b), (one_a, ~one_b)):
+            if p.any() and q.any():
+                below = self.inner(a[p], b[q], wanted[p][:, q])
+                if below:
+                    yield below
+
+    def leaves(self, a: np.ndarray, b: np.ndarray, wanted: np.ndarray) -> None:
+        """Pairs of single vectors, by their cosine in double precision."""
+        if not wanted.any():
+            return
+        i, j = self.x.tree.begin[a], self.y.tree.begin[b]
+        near = self.short_x[i] @ self.short_y[j].T >= self.cosine - 1e-4
+        p, q = np.nonzero(near & wanted)
+        for some in np.array_split(np.arange(len(p)), max(1, len(p) >> 16)):
+            u, v = i[p[some]], j[q[some]]
+            linked = np.einsum("ij,ij->i", self.x.points[u], self.y.points[v]) >= self.cosine
+            u, v = u[linked], v[linked]
+            np.add.at(self.links_x, u, self.y.copies[v])
+            np.add.at(self.links_y, v, self.x.copies[u])
+            if len(u):
+                self.edges.append(spanning(np.stack([self.x.nodes[u], self.y.nodes[v]], 1)))
+
+    def inner(self, a: np.ndarray, b: np.ndarray, wanted: np.ndarray):
+        """Pairs with a node of several vectors: dropped, taken as a whole, or opened."""
+        s, t = self.x.tree, self.y.tree
+        apart = distances(self.x.points[s.point[a]], self.y.points[t.point[b]])
+        reach = s.radius[a][:, None] + t.radius[b][None, :]
+        whole = wanted & (apart + reach <= self.bound - SLACK)
         for p, q in zip(*np.nonzero(whole)):
             i, j = slice(s.begin[a[p]], s.end[a[p]]), slice(t.begin[b[q]], t.end[b[q]])
             self.links_x[i] += self.weight_y[j.stop] - self.weight_y[j.start]
@@ -146,20 +167,22 @@ class Traversal:
             for ends, other in ((self.x.nodes[i], self.y.nodes[j.start]),
                                 (self.y.nodes[j], self.x.nodes[i.start])):
                 self.edges.append(np.stack([ends, np.full(len(ends), other)], 1))
-        open_pairs = ~single & ~whole & (apart - reach <= self.bound + SLACK)
-        for p in np.flatnonzero(open_pairs.any(1)):
-            below = self.opened(s, a[p])
-            some = b[open_pairs[p]]
-            for q in some[t.first_child[some] < t.last_child[some]]:
-                yield below, self.opened(t, q)
-            single_q = some[t.first_child[some] == t.last_child[some]]
-            if len(single_q):
-                yield below, single_q
+        opened = wanted & ~whole & (apart - reach <= self.bound + SLACK)
+        rows, columns = np.flatnonzero(opened.any(1)), np.flatnonzero(opened.any(0))
+        if not len(rows):
+            return None
+        below_a, of_a = self.children(s, a[rows])
+        below_b, of_b = self.children(t, b[columns])
+        return below_a, below_b, opened[rows[of_a]][:, columns[of_b]]
 
     @staticmethod
-    def opened(tree: Tree, node: int) -> np.ndarray:
-        first, last = tree.first_child[node], tree.last_child[node]
-        return np.arange(first, last) if first < last else np.array([node])
+    def children(tree: Tree, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nodes on the next level, and the place of the parent of each."""
+        first, last = tree.first_child[nodes], tree.last_child[nodes]
+        size = np.maximum(last - first, 1)
+        of = np.repeat(np.arange(len(nodes)), size)
+        within = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+        return np.where(last > first, first, nodes)[of] + within, of
 
 
 def spanning(edges: np.ndarray) -> np.ndarray:
