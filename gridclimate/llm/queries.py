@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .class_model import fit_class_model, score_texts
 from .content_sort import content_groups
 from .cover_tree import near_vectors
+from .crf_pii import KINDS, find_personal_data
 from .golden_mix import mix
 from .labelled import id_remainder
 from .neighbour_quality import fit_quality, score_quality
@@ -94,6 +95,20 @@ def op9_cover_tree(spark, sf_dir):
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op10_crf_pii(spark, sf_dir):
+    found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
+    joined = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.begin, s.end)), ","
+    )
+    return found.select(
+        "row.doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(joined("base"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
+
+
 OP8_SQL = r"""
 WITH texts AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -130,7 +145,7 @@ LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_i
 def queries():
     return {
         q.__name__: q
-        for q in (op1_neighbour_quality, op2_piece_encoding, op3_sentence_toxicity, op4_token_files, op5_golden_mix, op6_class_model, op7_parity_join, op8_content_sort, op9_cover_tree)
+        for q in (op1_neighbour_quality, op2_piece_encoding, op3_sentence_toxicity, op4_token_files, op5_golden_mix, op6_class_model, op7_parity_join, op8_content_sort, op9_cover_tree, op10_crf_pii)
     }
 
 
