@@ -21,9 +21,10 @@ from gridclimate import fixtures  # noqa: E402
 from gridclimate.schemas import ENTRY, OBSERVATION, STATION, SUMMARY  # noqa: E402
 
 try:
+    import corpus_pipeline  # noqa: E402
     from gridclimate.llm import queries as llm  # noqa: E402
-except ModuleNotFoundError as error:  # the folder may be left out, the libraries it needs not
-    if not str(error.name).startswith("gridclimate.llm"):
+except ModuleNotFoundError as error:  # these may be left out, the libraries they need not
+    if not f"{error.name}.".startswith(("corpus_pipeline.", "gridclimate.llm.")):
         raise
     llm = None
 
@@ -452,8 +453,8 @@ boxes AS (
 )"""
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """Every registered query by name; each takes the session and the folder of the tables."""
+def climate_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries of the climate operators by name."""
     registered = [
         parse_observations,
         parse_observations_compat,
@@ -488,11 +489,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         summary_csv_round_trip,
         summary_json,
     ]
-    return {query.__name__: query for query in registered} | (llm.queries() if llm else {})
+    return {query.__name__: query for query in registered}
 
 
-def oracle_sql() -> dict[str, str]:
-    """The same results in SQL, one for each of ``queries()``."""
+def climate_sql() -> dict[str, str]:
+    """The same results in SQL, one for each of ``climate_queries()``."""
     observations = f"WITH {_OBSERVATIONS} SELECT {_OBSERVATION_COLUMNS} FROM observations"
     stations = f"WITH {_STATIONS} SELECT {_STATION_COLUMNS} FROM stations"
     summary = f"WITH {_SUMMARY} SELECT {_SUMMARY_COLUMNS} FROM summary"
@@ -583,7 +584,22 @@ FROM summary WHERE {_HERE} GROUP BY year""",
             f"WITH {_SUMMARY} SELECT CAST(json_object({document}) AS VARCHAR) AS json "
             "FROM summary_text"
         ),
-    } | (llm.oracle_sql() if llm else {})
+    }
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every registered query by name; each takes the session and the folder of the tables."""
+    if llm is None:
+        return climate_queries()
+    return climate_queries() | llm.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def oracle_sql() -> dict[str, str]:
+    """The same results in SQL, as far as SQL can express them."""
+    if llm is None:
+        return climate_sql()
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return climate_sql() | llm.oracle_sql() | pipeline
 
 
 def entry(spark: SparkSession) -> DataFrame:
