@@ -3,14 +3,15 @@
 Every n-gram of a document's set flips one bit of a sketch, so two sketches differ in at most as
 many bits as the sets differ in members. Sets of ``a`` and ``b`` members whose Jaccard similarity
 is at least ``p / q`` differ in at most ``(a + b) * (q - p) / (q + p)``. Sizes fall into bands so
-narrow that similar sets lie in the same or in neighbouring bands; for each two neighbouring bands
-there is a sketch with one 64-bit word more than that bound, so similar sets agree in at least one
-word (pigeonhole), which an equi-join finds. The Hamming distance of the sketches then discards
-most of the others, and the sets themselves decide.
+narrow that similar sets lie in the same or in neighbouring bands; each two neighbouring bands
+have sketches with more parts than half that bound, so similar sets have a part in which they
+differ in one member at most (pigeonhole). A part has three 64-bit words, of which that member can
+change but one: an equi-join on each two words of each part finds all similar sets. The Hamming
+distance of the sketches then discards most of the others, and the sets themselves decide.
 
-Equal sets are one node throughout. A word shared by many sets does not give all pairs: its first
+Equal sets are one node throughout. A key shared by many sets does not give all pairs: its first
 set is paired with each other one. Once the links of these have been merged, only sets of
-different components that share a word are still open. Few of them are paired directly; of many,
+different components that share a key are still open. Few of them are paired directly; of many,
 blocks of sketches are compared inside tasks and only pairs within the bound leave a task.
 
 Sets and n-grams are known by hashes of 64 bits.
@@ -27,9 +28,11 @@ from pyspark.sql import functions as F
 from .components import components
 from .stored import stored
 
+WORDS = 3  # of 64 bits in each part of a sketch
+TWO = ((0, 1), (0, 2), (1, 2))
 SLICE = 1000  # sets whose words are made at a time
 HOT = 64  # rows of one key in a slice from which they are paired before the shuffle
-FEW = 32  # sets sharing a word up to which they are paired by their identifiers alone
+FEW = 32  # sets sharing a key up to which they are paired by their identifiers alone
 TILE = 1024
 BLOOM_BITS = 1 << 24
 BLOOM_SHIFTS = (0, 20, 40)
@@ -81,21 +84,19 @@ class Bands:
         """How many members similar sets of so many members together differ in at most."""
         return sizes * (self.q - self.p) // (self.q + self.p)
 
-    def words(self, group: int) -> int:
-        """Words of the sketch for the bands ``group`` and ``group + 1``; 0 if none can be similar."""
+    def parts(self, group: int) -> int:
+        """Parts of the sketch for the bands ``group`` and ``group + 1``; 0 if none can be similar."""
         if group < 0:
             return 0
         most = self.apart(2 * (self.edges[group + 2] - 1))
-        return most + 1 if most else 0
+        return most // 2 + 1 if most else 0
 
     def sketch(self, found: np.ndarray, group: int) -> bytes:
-        words = self.words(group)
-        if not words:
+        bits = 64 * WORDS * self.parts(group)
+        if not bits:
             return b""
-        bits = np.bincount(
-            (found % np.uint64(64 * words)).astype(np.int64), minlength=64 * words
-        ) & 1
-        return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+        odd = np.bincount((found % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+        return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
 SETS = "node long, size long, band int, lower binary, upper binary"
@@ -161,11 +162,13 @@ def slice_words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         seen.add(node)
         for group, sketch in zip((band - 1, band), sketches):
             if sketch:
-                words = np.frombuffer(sketch, "<u8").astype(np.uint64)
-                place = np.arange(len(words), dtype=np.uint64) * np.uint64(1024)
-                keys.append(mixed(words ^ mixed(place + np.uint64(group + 1))))
-                nodes.append(np.full(len(words), node, np.int64))
-                groups.append(np.full(len(words), group, np.int32))
+                words = np.frombuffer(sketch, "<u8").astype(np.uint64).reshape(-1, WORDS)
+                place = mixed(np.arange(len(words), dtype=np.uint64) * np.uint64(1024)
+                              + np.uint64(group + 1))
+                for k, (i, j) in enumerate(TWO, 1):
+                    keys.append(mixed(mixed(words[:, i] ^ place) + words[:, j] * np.uint64(2 * k + 1)))
+                nodes.append(np.full(len(TWO) * len(words), node, np.int64))
+                groups.append(np.full(len(TWO) * len(words), group, np.int32))
     if not keys:
         return
     keys = np.concatenate(keys).view(np.int64)
@@ -180,7 +183,7 @@ def slice_words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def sketch_words(sets: DataFrame) -> DataFrame:
-    """A row for each word of each sketch: ``key`` (hash of group, place and word) and node.
+    """A row for each two words of each part: ``key`` (hash of group, place and words) and node.
 
     Rows that share a key within a slice are paired with their first one at once (``first``) if
     they are many, so a very frequent key sends few rows on for pairing.
@@ -230,27 +233,60 @@ def shared_words(words: DataFrame) -> DataFrame:
     return in_order.mapInArrow(make, BUCKETS)
 
 
-def sketches_by_group(sets: DataFrame) -> DataFrame:
-    """One row per node and group: ``node``, ``group``, ``size``, ``sketch``."""
-    both = F.explode(
+class NodeFilter:
+    """Says which nodes may be among some, by a bit table of fixed size that Spark has merged.
+
+    It never leaves a node out, and lets more others pass when there are very many. A node is a
+    hash already; three parts of it are the places of its bits.
+    """
+
+    def __init__(self, nodes: DataFrame):
+        bits = [F.shiftright("node", k).bitwiseAND(BLOOM_BITS - 1) for k in BLOOM_SHIFTS]
+        filled = (
+            nodes.select(F.explode(F.array(*bits)).alias("bit"))
+            .groupBy(F.shiftright("bit", 5).alias("place"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 AS int))")).alias("bits"))
+            .toArrow()
+        )
+        table = np.zeros(BLOOM_BITS // 32, np.uint32)
+        table[filled.column("place").to_numpy()] = filled.column("bits").to_numpy()
+        self.table = nodes.sparkSession.sparkContext.broadcast(table)
+
+    def passes(self, nodes: np.ndarray) -> np.ndarray:
+        table, here = self.table.value, np.ones(len(nodes), bool)
+        for k in BLOOM_SHIFTS:
+            bit = (nodes >> k) & (BLOOM_BITS - 1)
+            here &= (table[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
+        return here
+
+
+def sketches_of(wanted: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node``, ``group``, ``size``, ``sketch`` of the nodes and groups in ``wanted``, once each."""
+    both = ["node", "group"]
+    wanted = wanted.select(*both).distinct()
+    maybe = NodeFilter(wanted)
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(maybe.passes(batch.column(0).to_numpy())))
+
+    columns = sets.where("node IS NOT NULL").select("node", "size", "band", "lower", "upper")
+    each = F.explode(
         F.array(
             F.struct((F.col("band") - 1).alias("group"), F.col("lower").alias("sketch")),
             F.struct(F.col("band").alias("group"), F.col("upper").alias("sketch")),
         )
     ).alias("g")
-    rows = sets.where("node IS NOT NULL").select("node", "size", both)
-    return rows.select("node", "size", "g.group", "g.sketch").where("octet_length(sketch) > 0")
-
-
-def sketches_of(wanted: DataFrame, sketches: DataFrame) -> DataFrame:
-    """The sketches of the nodes and groups in ``wanted``, once each."""
-    both = ["node", "group"]
-    return sketches.join(wanted.select(*both).distinct(), both).dropDuplicates(both)
+    rows = columns.mapInArrow(some, columns.schema).select("node", "size", each)
+    return (
+        rows.select("node", "g.group", "size", "g.sketch")
+        .join(wanted, both).dropDuplicates(both)
+    )
 
 
-def within_bound(pairs: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
+def within_bound(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
     """The pairs ``a``, ``b`` of a ``group`` whose sketches are as near as similar sets' are."""
-    needed = sketches_of(pairs.select(F.explode(F.array("a", "b")).alias("node"), "group"), sketches)
+    needed = sketches_of(pairs.select(F.explode(F.array("a", "b")).alias("node"), "group"), sets)
     of = lambda n: needed.select(
         F.col("node").alias(n), "group", F.col("size").alias(f"size_{n}"),
         F.col("sketch").alias(f"sketch_{n}"),
@@ -286,34 +322,22 @@ def within_bound(pairs: DataFrame, sketches: DataFrame, bands: Bands) -> DataFra
 def similar(docs: DataFrame, pairs: DataFrame, bands: Bands, width: int, text: str) -> DataFrame:
     """Of the pairs ``a``, ``b`` of sets those that are similar, found on the sets themselves.
 
-    The sets are made anew from the texts, only for nodes that may be in a pair: a filter of fixed
-    size, merged by Spark, says which. It lets more pass when there are very many.
+    The sets are made anew from the texts; only those that may be in a pair leave their task.
     """
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    # A node is a hash already; the filter takes three parts of it.
-    bits = [F.shiftright("node", k).bitwiseAND(BLOOM_BITS - 1) for k in BLOOM_SHIFTS]
-    filled = (
-        nodes.select(F.explode(F.array(*bits)).alias("bit"))
-        .groupBy(F.shiftright("bit", 5).alias("place"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 AS int))")).alias("bits"))
-        .toArrow()
-    )
-    bloom = np.zeros(BLOOM_BITS // 32, np.uint32)
-    bloom[filled.column("place").to_numpy()] = filled.column("bits").to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(bloom)
-
-    def wanted(node: int) -> bool:
-        parts = ((node >> k) & (BLOOM_BITS - 1) for k in BLOOM_SHIFTS)
-        return all(int(shared.value[p >> 5]) >> (p & 31) & 1 for p in parts)
+    maybe = NodeFilter(nodes)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
-                sets = {}
-                for document in batch.column(0).slice(start, SLICE).to_pylist():
-                    found = shingles(document, width)
-                    if len(found) and wanted(node := set_id(found)):
-                        sets[node] = found.view(np.int64)
+                made = [
+                    shingles(document, width)
+                    for document in batch.column(0).slice(start, SLICE).to_pylist()
+                ]
+                made = [found for found in made if len(found)]
+                nodes = np.array([set_id(found) for found in made], np.int64)
+                here = np.flatnonzero(maybe.passes(nodes))
+                sets = {int(nodes[k]): made[k].view(np.int64) for k in here}
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(sets.keys(), pa.int64()),
@@ -341,7 +365,7 @@ def close_in_blocks(members: DataFrame, bands: Bands) -> DataFrame:
 
     ``members`` has ``key``, ``node``, ``root``, ``size``, ``sketch`` and the key's ``count``. Each
     key's sets are cut into tiles; two tiles are compared in one task. A pair is put out for the
-    first word only that its sketches share.
+    first key only that its sketches share.
     """
     tiles = F.ceil(F.col("count") / TILE).cast("int")
     own = F.pmod(F.xxhash64("node"), tiles).cast("int")
@@ -357,11 +381,17 @@ def close_in_blocks(members: DataFrame, bands: Bands) -> DataFrame:
 
         i, j = key[1], key[2]
         words = np.stack([np.frombuffer(s, "<u8") for s in rows["sketch"]])
+
+        def alike(some, one):
+            """Which keys are equal: two words of a part."""
+            same = (words[some] == words[one]).reshape(len(some), -1, WORDS)
+            return np.stack([same[..., i] & same[..., j] for i, j in TWO], 2).reshape(len(some), -1)
+
         node, root, size = (rows[c].to_numpy() for c in ("node", "root", "size"))
         own = rows["own"].to_numpy()
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        # The word of this key is the one that all rows have alike, and the first such.
-        shared = int(np.flatnonzero((words == words[0]).all(0))[0])
+        # This key is one that all rows have alike; the first such.
+        shared = int(alike(np.arange(len(words)), 0).all(0).argmax())
         out = []
         for x in left:
             y = right[(root[right] != root[x]) & ((node[right] > node[x]) if i == j else True)]
@@ -370,7 +400,7 @@ def close_in_blocks(members: DataFrame, bands: Bands) -> DataFrame:
             distance = np.bitwise_count(words[y] ^ words[x]).sum(1)
             most = (size[y] + size[x]) * (bands.q - bands.p) // (bands.q + bands.p)
             y = y[(distance <= most) & (np.abs(size[y] - size[x]) <= most)]
-            y = y[(words[y] == words[x]).argmax(1) == shared] if len(y) else y
+            y = y[alike(y, x).argmax(1) == shared] if len(y) else y
             out.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], 1))
         pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -391,7 +421,7 @@ def near_duplicates(
     others; ``node`` is alike for equal sets. Documents without words (NULL, empty, blank) have no
     n-grams, no node and their own identifier. A NULL identifier is never the smallest, unless
     there is no other. Repeated rows have equal sets. No link is lost: similarity is decided on the
-    sets (by 64-bit hashes), candidates come from all words of all sketches. Other columns are not
+    sets (by 64-bit hashes), candidates come from all keys of all sketches. Other columns are not
     read.
     """
     bands = Bands(*similarity)
@@ -412,12 +442,11 @@ def near_duplicates(
 def similar_components(docs, sets, bands: Bands, width: int, text: str) -> DataFrame:
     """``node`` and ``root`` of all nodes with a link."""
     buckets = stored(shared_words(sketch_words(sets)), "buckets")
-    sketches = sketches_by_group(sets)
     ordered = [F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")]
     stars = stored(
         buckets.groupBy(*ordered).agg(F.max("group").alias("group")), "stars"
     )
-    close = stored(within_bound(stars, sketches, bands), "close")
+    close = stored(within_bound(stars, sets, bands), "close")
     # First the nearest partner of each node only: most links merge components already merged.
     ends = close.select("a", "b", "distance", F.explode(F.array("a", "b")).alias("node"))
     nearest = ends.groupBy("node").agg(F.min(F.struct("distance", "a", "b")).alias("best"))
@@ -456,10 +485,10 @@ def similar_components(docs, sets, bands: Bands, width: int, text: str) -> DataF
         .join(stars, ["a", "b"], "left_anti")
     )
     many = still_open.where(F.col("count") > FEW)
-    many = many.join(sketches_of(many, sketches), ["node", "group"])
+    many = many.join(sketches_of(many, sets), ["node", "group"])
     later = stored(
         rest.select("a", "b")
-        .unionByName(within_bound(stored(direct, "direct"), sketches, bands).select("a", "b"))
+        .unionByName(within_bound(stored(direct, "direct"), sets, bands).select("a", "b"))
         .unionByName(close_in_blocks(many, bands).join(stars.select("a", "b"), ["a", "b"], "left_anti"))
         .distinct(),
         "later",
