@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .arrow import slices
 from .stored import stored
 
-SLICE = 1000  # documents whose tokens are held at a time
 LONGEST = 64  # bytes of a word in the table of frequent words
 
 
@@ -32,12 +32,6 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, batch.num_rows, SLICE):
-            yield batch.slice(start, SLICE)
-
-
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word`` (bytes) and ``count`` over the only column, a text."""
 
@@ -139,7 +133,6 @@ def exchange(bigrams: np.ndarray, n_classes: int, sweeps: int = 8) -> np.ndarray
     classes = np.arange(words) % n_classes
     member = np.eye(n_classes)[classes] if words else np.zeros((0, n_classes))
     between = member.T @ bigrams @ member
-    counts_out, counts_in = bigrams.sum(1), bigrams.sum(0)
     for _ in range(sweeps):
         moved = 0
         for w in range(words):
@@ -150,15 +143,16 @@ def exchange(bigrams: np.ndarray, n_classes: int, sweeps: int = 8) -> np.ndarray
             between[own] -= after
             between[:, own] -= before
             between[own, own] -= again
-            out, into = between.sum(1), between.sum(0)
+            # Totals with the word's neighbours, who keep their classes wherever it goes.
+            out, into = between.sum(1) + before, between.sum(0) + after
             row = xlogx(between + after[None, :]) - xlogx(between)
             column = xlogx(between + before[:, None]) - xlogx(between)
             corner = np.diag(between)
             gain = row.sum(1) - np.diag(row) + column.sum(0) - np.diag(column)
-            gain += xlogx(corner + np.diag(after[None, :].repeat(n_classes, 0)) + before + again)
+            gain += xlogx(corner + after + before + again)
             gain -= xlogx(corner)
-            gain -= xlogx(out + counts_out[w]) - xlogx(out)
-            gain -= xlogx(into + counts_in[w]) - xlogx(into)
+            gain -= xlogx(out + after.sum() + again) - xlogx(out)
+            gain -= xlogx(into + before.sum() + again) - xlogx(into)
             best = int(gain.argmax())
             if gain[best] <= gain[own] + 1e-9:
                 best = own
@@ -203,7 +197,7 @@ def fit_class_model(
 ) -> tuple[ClassModel, DataFrame]:
     """The model of all texts, and the counts of all words (``word``, ``count``).
 
-    The ``listed`` most frequent words of at most 64 bytes are broadcast, 19 MB at most; the
+    The most frequent words of at most 64 bytes, up to ``listed``, are broadcast, 19 MB at most; the
     ``classed`` first of them take part in clustering, the ``core`` first one by one. NULL texts
     count as empty. Without texts every word is unknown and the model is the base.
     """
@@ -214,12 +208,7 @@ def fit_class_model(
     ends = texts.count()
     n, distinct = (totals[0] or 0) + ends, totals[1] + (ends > 0)
 
-    top = (
-        counts.where(F.octet_length("word") <= LONGEST)
-        .orderBy(F.desc("count"), "word").limit(listed).toArrow()
-    )
-    words = top.column("word").to_pylist()
-    seen = top.column("count").to_numpy().astype(np.int64)
+    words, seen = most_frequent(counts, listed)
     core, classed = min(core, len(words)), min(classed, len(words))
 
     def core_pairs(reader: Reader, documents: list) -> np.ndarray:
@@ -263,6 +252,29 @@ def fit_class_model(
     return model, counts
 
 
+def most_frequent(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray]:
+    """The most frequent words, ``most`` or somewhat fewer, and their counts, in order.
+
+    A count has to be above a level, which comes from how many words there are per sixteenth of a
+    doubling; so no task ranks the words, and only those asked for are collected.
+    """
+    short = counts.where(F.octet_length("word") <= LONGEST)
+    level = F.floor(F.log2("count") * 16).cast("int")
+    steps = short.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
+    lowest, total = None, 0
+    for step in steps:
+        total += step["count"]
+        if total > most:
+            break
+        lowest = step["level"]
+    top = short.where(level >= lowest if lowest is not None else F.lit(False)).toArrow()
+    rows = sorted(
+        zip(top.column("count").to_pylist(), top.column("word").to_pylist()),
+        key=lambda r: (-r[0], r[1]),
+    )
+    return [word for _, word in rows], np.array([count for count, _ in rows], np.int64)
+
+
 def move_all(texts: DataFrame, frequent: Frequent, pairs: np.ndarray, classed: int) -> Frequent:
     """Each of the ``classed`` words to the class that its neighbours in all texts speak for."""
     n_classes, size = frequent.n_classes, frequent.n_classes + 2
@@ -312,14 +324,16 @@ SCORED = (
 def score_texts(
     docs: DataFrame, model: ClassModel, counts: DataFrame, text: str = "text", keep: dict[str, Column] | None = None
 ) -> DataFrame:
-    """One row per row of ``docs``: the columns of ``keep`` (all unless given), ``n_tokens``, ``n_known``,
+    """One row per row of ``docs``: the columns of ``keep`` (unless given the struct ``row`` of all
+    columns), ``n_tokens``, ``n_known``,
     ``train_tokens``, ``base_score``, ``score`` and ``perplexity``.
 
     Scores are logarithms to base 10 of a text's probability. NULL texts count as empty: one
     token, the end. Words that aren't listed are joined with their counts; none of them can be
     frequent but those of over 64 bytes.
     """
-    keep = keep or {c: F.col(f"`{c}`") for c in docs.columns}
+    if keep is None:
+        keep = {"row": F.struct(*[F.col(f"`{c}`") for c in docs.columns])}
     names = list(keep)
     rows = docs.select(
         F.col(f"`{text}`").alias("text"), F.struct(*[c.alias(k) for k, c in keep.items()]).alias("keep")
