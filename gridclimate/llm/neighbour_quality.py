@@ -18,9 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrow import row_of, slices
 from .labelled import sample_features
 
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 WORD, SHAPE, FORM = 0, 1, 2
 EDGES = re.compile(r"^\W+|\W+$")
 
@@ -101,7 +102,7 @@ def units(vectors: np.ndarray) -> np.ndarray:
 
 
 def vote(vectors, voters, labels, neighbours: int, without_self: bool = False) -> np.ndarray:
-    """Share of label 1 among the nearest voters, each weighted by its squared cosine.
+    """Share of label 1 among the nearest voters, weighted by the 8th power of the cosine.
 
     Of voters at the same distance from the last place, any may vote. Without a similar voter the
     score is the mean of all labels.
@@ -116,7 +117,7 @@ def vote(vectors, voters, labels, neighbours: int, without_self: bool = False) -
             cosines[np.arange(len(block)), np.arange(place, place + len(block))] = -1
         k = min(neighbours, len(labels))
         nearest = np.argpartition(cosines, len(labels) - k, axis=1)[:, -k:]
-        weights = np.maximum(np.take_along_axis(cosines, nearest, 1), 0).astype(float) ** 2 + 1e-9
+        weights = np.maximum(np.take_along_axis(cosines, nearest, 1), 0).astype(float) ** 8 + 1e-9
         scores.extend((weights * labels[nearest]).sum(1) / weights.sum(1))
     return np.clip(np.array(scores), 0.0, 1.0)
 
@@ -209,23 +210,27 @@ class Scorer:
 
 
 def score_quality(
-    docs: DataFrame, model: QualityModel, text: str = "text", threshold: float = 0.3
+    docs: DataFrame,
+    model: QualityModel,
+    text: str = "text",
+    threshold: float = 0.3,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Every row of ``docs`` as the struct ``row``, with ``score`` and ``predicted`` (0 or 1).
+    """Every row of ``docs`` as the struct ``row`` (all columns, or those to ``keep``), with ``score`` and ``predicted`` (0 or 1).
 
     NULL texts count as empty; an empty text has its length and lack of lines for terms, so it has
     a score as well. The broadcast model is bounded by the sizes given to ``fit_quality``: about
     3 MB by default. Whole texts are scored; no other column is read.
     """
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        row_of(docs, keep),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     )
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             vectors = [scorer.vector(t) for t in batch.column(1).to_pylist()]
             made = np.zeros(0) if not vectors else shared.value.score(
                 units(np.stack(vectors)).astype(np.float32)
