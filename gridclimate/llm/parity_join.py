@@ -25,13 +25,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrow import slices
 from .components import components
 from .stored import stored
 
 WORDS = 3  # of 64 bits in each part of a sketch
 TWO = ((0, 1), (0, 2), (1, 2))
-SLICE = 1000  # sets whose words are made at a time
-HOT = 64  # rows of one key in a slice from which they are paired before the shuffle
+HOT = 64  # rows of one key in a slice of a batch from which they are paired before the shuffle
 FEW = 32  # sets sharing a key up to which they are paired by their identifiers alone
 TILE = 1024
 BLOOM_BITS = 1 << 24
@@ -107,7 +107,7 @@ def document_sets(docs: DataFrame, bands: Bands, width: int, text: str, id: str)
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for document in batch.column(1).to_pylist():
                 found = shingles(document, width)
@@ -190,9 +190,8 @@ def sketch_words(sets: DataFrame) -> DataFrame:
     """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE):
-                yield from slice_words(batch.slice(start, SLICE))
+        for batch in slices(batches):
+            yield from slice_words(batch)
 
     rows = sets.where("node IS NOT NULL").select("node", "band", "lower", "upper")
     return rows.mapInArrow(make, BUCKETS)
@@ -328,23 +327,16 @@ def similar(docs: DataFrame, pairs: DataFrame, bands: Bands, width: int, text: s
     maybe = NodeFilter(nodes)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE):
-                made = [
-                    shingles(document, width)
-                    for document in batch.column(0).slice(start, SLICE).to_pylist()
-                ]
-                made = [found for found in made if len(found)]
-                nodes = np.array([set_id(found) for found in made], np.int64)
-                here = np.flatnonzero(maybe.passes(nodes))
-                sets = {int(nodes[k]): made[k].view(np.int64) for k in here}
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(sets.keys(), pa.int64()),
-                        pa.array(sets.values(), pa.list_(pa.int64())),
-                    ],
-                    ["node", "members"],
-                )
+        for batch in slices(batches):
+            made = [shingles(document, width) for document in batch.column(0).to_pylist()]
+            made = [found for found in made if len(found)]
+            nodes = np.array([set_id(found) for found in made], np.int64)
+            here = np.flatnonzero(maybe.passes(nodes))
+            sets = {int(nodes[k]): made[k].view(np.int64) for k in here}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sets.keys(), pa.int64()), pa.array(sets.values(), pa.list_(pa.int64()))],
+                ["node", "members"],
+            )
 
     texts = docs.select(F.col(f"`{text}`").alias("text"))
     sets = texts.mapInArrow(make, "node long, members array<long>").dropDuplicates(["node"])

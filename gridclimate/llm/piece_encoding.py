@@ -23,9 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_proto
 
+from .arrow import row_of, slices
+
 MARK = "▁"
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 class PieceModel:
@@ -97,7 +99,7 @@ class PieceModel:
         known = self.compatible.get(key)
         if known is None:
             pair = [self.pieces[i] for i in (last, piece) if i >= 0]
-            if len(self.compatible) > 2_000_000:
+            if len(self.compatible) > 400_000:
                 self.compatible.clear()
             known = self.compatible[key] = self.merged("".join(pair)) == pair
         return known
@@ -208,22 +210,24 @@ def piece_model(path: str) -> PieceModel:
     return _models[path]
 
 
-def encode_pieces(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+def encode_pieces(
+    docs: DataFrame, model_path: str, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
     """Every row of ``docs`` as ``row``, with ``ids`` (end id included) and ``decoded`` text.
 
-    ``row`` is a struct of all columns of ``docs``, so that no name can clash. NULL texts count as
+    ``row`` is a struct of the columns to ``keep``, all unless given, so no name can clash. NULL texts count as
     empty: their only id is the end id, their decoded text is empty. Words are encoded once per
     worker as long as they are remembered; very long texts only need memory for their own ids.
     ``model_path`` must exist on every executor.
     """
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        row_of(docs, keep),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(model_path)
-        for batch in batches:
+        for batch in slices(batches):
             encoded = [model.encode(t) for t in batch.column(1).to_pylist()]
             ends = np.cumsum([0, *map(len, encoded)])
             ids = pa.ListArray.from_arrays(

@@ -33,13 +33,14 @@ def op1_neighbour_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = id_remainder("doc_id", 5) == 0
     model = fit_quality(docs, training_labels(spark, sf_dir, "quality", held_out))
-    scored = score_quality(docs, model).select("row.doc_id", "score", "predicted")
+    scored = score_quality(docs, model, keep=["doc_id"]).select("row.doc_id", "score", "predicted")
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 def op2_piece_encoding(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode_pieces(docs, model, keep=["doc_id"])
     return encoded.select(
         "row.doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -52,7 +53,7 @@ def op3_sentence_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = id_remainder("doc_id", 4) == 2
     model = fit_toxicity(docs, training_labels(spark, sf_dir, "toxic", held_out))
-    scored = score_toxicity(docs, model).select("row.doc_id", "score", "predicted", "sentences")
+    scored = score_toxicity(docs, model, keep=["doc_id"]).select("row.doc_id", "score", "predicted", "sentences")
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", "predicted",
         F.size("sentences").alias("n_sentences"),
@@ -96,7 +97,7 @@ def op9_cover_tree(spark, sf_dir):
 
 
 def op10_crf_pii(spark, sf_dir):
-    found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = find_personal_data(table(spark, sf_dir, "documents"), keep=["doc_id"])
     count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
     joined = lambda spans: F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.begin, s.end)), ","
@@ -126,7 +127,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM p
 
 OP9_SQL = """
 WITH RECURSIVE vectors AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
 ),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id

@@ -16,9 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrow import row_of, slices
 from .labelled import sample_features
 
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 LETTERS = re.compile(r"[^\W\d_]+")
 END = re.compile(r"[.!?…][\"')\]»”’]*$")
 TERM_BITS = 40
@@ -205,8 +206,9 @@ def score_toxicity(
     text: str = "text",
     threshold: float = 0.3,
     sentence_threshold: float = 0.1,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Every row of ``docs`` as ``row``, with ``score``, ``predicted`` and ``sentences``.
+    """Every row of ``docs`` as ``row`` (all columns, or those to ``keep``), with ``score``, ``predicted`` and ``sentences``.
 
     ``sentences`` lists the offending ones of a predicted document as (``begin``, ``end``,
     ``score``), in code points, end exclusive: those of at least ``sentence_threshold``, or else
@@ -214,14 +216,14 @@ def score_toxicity(
     words. Whole texts are scored, no other column is read.
     """
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        row_of(docs, keep),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     )
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sentences = Sentences(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             scores, found = [], []
             for document in batch.column(1).to_pylist():
                 logits = sentences.logits(document)
