@@ -55,7 +55,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, end id included, with digests of the ids and of the text decoded from them."""
     send_package(spark)
-    encoded = encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode_pieces(docs, model, keep=["doc_id", "source"])
     return encoded.select(
         "row.doc_id",
         "row.source",
