@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import gridclimate as gc  # noqa: E402
@@ -159,6 +160,10 @@ def coordinate_document(spark, sf_dir):
     return _plain(listed.select("latitude", "longitude", "n", "entry.*"))
 
 
+def coordinate_document_json(spark, sf_dir):
+    return gc.to_json_documents(gc.coordinate_document(_summary(spark, sf_dir), *POINT))
+
+
 def area_entries(spark, sf_dir):
     return _plain(gc.area_entries(_summary(spark, sf_dir), *AREA))
 
@@ -181,24 +186,30 @@ def area_average_compat(spark, sf_dir):
 
 
 def area_document(spark, sf_dir):
-    """The lines of the document read back: one row per entry, each with the mean of the area."""
+    """The lines of the document read back: opening with bounds and mean, entries, closing."""
     lines = gc.area_document(_summary(spark, sf_dir), *AREA)
     opening = F.concat("json", F.lit("]}"))
     mean = F.get_json_object(opening, "$.average_temp").cast("double")
     entry = F.from_json(F.ltrim("json", F.lit(",")), ENTRY_TEXT)
     return _rounded(
-        lines.where("part < 2").select(
+        lines.select(
             "part",
             "key",
             F.when(F.col("part") == 0, mean).alias("average_temp"),
+            *[
+                F.when(F.col("part") == 0, F.get_json_object(opening, f"$.{name}")).alias(name)
+                for name in AREA_BOUNDS
+            ],
             *[
                 F.when(F.col("part") == 1, entry[name]).alias(name)
                 for name in ENTRY.fieldNames()
             ],
+            F.when(F.col("part") == 2, F.col("json")).alias("closing"),
         )
     )
 
 
+AREA_BOUNDS = ("latitude1", "longitude1", "latitude2", "longitude2", "year_from", "year_to")
 ENTRY_TEXT = ", ".join(f"{name} STRING" for name in ENTRY.fieldNames())
 
 
@@ -211,7 +222,7 @@ def coordinate_summary_batch(spark, sf_dir):
 
 def area_average_batch(spark, sf_dir):
     answers = gc.area_average_batch(_summary(spark, sf_dir), fixtures.boxes(spark, sf_dir))
-    return _rounded(answers.withColumn("error", F.col("error").isNotNull()))
+    return _rounded(answers)
 
 
 def heatmap_feed(spark, sf_dir):
@@ -248,6 +259,47 @@ def cells_round_trip(spark, sf_dir):
     return _plain(gc.from_cells(cells, gc.SUMMARY_CELLS, SUMMARY))
 
 
+def _disorder(rows: DataFrame, *order: str) -> DataFrame:
+    """Neighbouring rows out of order inside files, and neighbouring files whose ranges overlap.
+
+    A row's place in its file comes with the row, so each file is looked at in the order written.
+    """
+    placed = rows.select(
+        F.struct(*order).alias("at"),
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    within = Window.partitionBy("file").orderBy("place")
+    turned = placed.withColumn("before", F.lag("at").over(within)).where("before > at")
+    files = placed.groupBy("file").agg(F.min("at").alias("least"), F.max("at").alias("greatest"))
+    # One row per file.
+    apart = files.withColumn("before", F.lag("greatest").over(Window.orderBy("least", "greatest")))
+    overlapping = apart.where("before >= least").agg(F.count("*")).scalar()
+    return turned.agg(F.count("*").alias("rows_out_of_order")).withColumn(
+        "files_overlapping", F.coalesce(overlapping, F.lit(0))
+    )
+
+
+def stored_order(spark, sf_dir):
+    """The stored tables and the stored cells, checked for the order that lookups rely on."""
+    root = _tables(spark, sf_dir)
+    cells = gc.shared_folder(spark)
+    gc.write_table(gc.to_cells(_summary(spark, sf_dir), gc.SUMMARY_CELLS), cells, "summary_cells")
+    orders = {
+        "observations": (root, ("key",)),
+        "stations": (root, ("id",)),
+        "summary": (root, ("latitude", "longitude", "year", "season")),
+        "summary_cells": (cells, ("key", "qualifier")),
+    }
+    found = [
+        _disorder(gc.read_table(spark, folder, name), *order).select(
+            F.lit(name).alias("name"), "rows_out_of_order", "files_overlapping"
+        )
+        for name, (folder, order) in orders.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def summary_text_view(spark, sf_dir):
     gc.register_summary_view(_summary(spark, sf_dir), "summary_text")
     return spark.sql("SELECT * FROM summary_text")
@@ -297,7 +349,8 @@ _OBSERVATIONS = f"""{_RECORDS},
 observations AS (
   SELECT key, station_code, year, month, season, precipitation, avg_temp
   FROM (SELECT *, row_number() OVER (PARTITION BY key
-                                     ORDER BY avg_temp DESC, precipitation DESC) AS place
+                                     ORDER BY avg_temp DESC,
+                                     isnan(precipitation), precipitation DESC) AS place
         FROM parsed)
   WHERE place = 1
 )"""
@@ -448,7 +501,8 @@ boxes AS (
          least(lat1, lat2) AS latitude1, least(lon1, lon2) AS longitude1,
          greatest(lat1, lat2) AS latitude2, greatest(lon1, lon2) AS longitude2,
          least(year1, year2) AS year_from, greatest(year1, year2) AS year_to,
-         (lat1 = lat2 AND lon1 = lon2) OR least(year1, year2) < 1900 AS error
+         CASE WHEN lat1 = lat2 AND lon1 = lon2 THEN 'the two corners are the same point'
+              WHEN least(year1, year2) < 1900 THEN 'a year is before 1900' END AS error
   FROM asked
 )"""
 
@@ -472,6 +526,7 @@ def climate_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         coordinate_summary,
         coordinate_summary_compat,
         coordinate_document,
+        coordinate_document_json,
         area_entries,
         area_average,
         area_average_compat,
@@ -485,6 +540,7 @@ def climate_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         observation_cells_round_trip,
         station_cells_round_trip,
         cells_round_trip,
+        stored_order,
         summary_text_view,
         summary_csv_round_trip,
         summary_json,
@@ -499,6 +555,8 @@ def climate_sql() -> dict[str, str]:
     summary = f"WITH {_SUMMARY} SELECT {_SUMMARY_COLUMNS} FROM summary"
     summary_text = f"WITH {_SUMMARY} SELECT {_SUMMARY_COLUMNS} FROM summary_text"
     document = ", ".join(f"'{c.strip()}', {c.strip()}" for c in _SUMMARY_COLUMNS.split(","))
+    names = "year season avg_temp data_points stations".split()
+    entry = ", ".join(f"'{name}', {name}" for name in names)
     return {
         "parse_observations": f"WITH {_RECORDS} SELECT {_OBSERVATION_COLUMNS} FROM parsed",
         "parse_observations_compat": (
@@ -530,6 +588,15 @@ SELECT CAST(3.3 AS DOUBLE) AS latitude, CAST(-2.6 AS DOUBLE) AS longitude,
        CAST(row_number() OVER (ORDER BY key) - 1 AS INTEGER) AS n,
        year, season, avg_temp, data_points, stations
 FROM summary WHERE {_HERE}""",
+        "coordinate_document_json": f"""
+WITH {_SUMMARY}
+SELECT '{{"latitude":"3.3","longitude":"-2.6","data_list":['
+       || coalesce(string_agg(CAST(json_object({entry}) AS VARCHAR), ',' ORDER BY key), '')
+       || ']}}' AS json
+FROM summary_text JOIN (SELECT key FROM summary WHERE {_HERE}) USING (key)""",
+        "stored_order": """
+SELECT name, CAST(0 AS BIGINT) AS rows_out_of_order, CAST(0 AS BIGINT) AS files_overlapping
+FROM (VALUES ('observations'), ('stations'), ('summary'), ('summary_cells')) t(name)""",
         "area_entries": f"{summary} WHERE {_INSIDE}",
         "area_average": (
             f"WITH {_SUMMARY} SELECT {_AREA_COLUMNS}, {_ROUNDED_MEAN} AS average_temp, "
@@ -544,12 +611,17 @@ WHERE t.latitude BETWEEN '-5.0' AND '10.0' AND t.longitude BETWEEN '-1.0' AND '5
   AND t.year BETWEEN '1901' AND '1904'""",
         "area_document": f"""
 WITH {_SUMMARY}
-SELECT 0 AS part, '' AS key, {_ROUNDED_MEAN} AS average_temp, NULL AS year,
-       NULL AS season, NULL AS avg_temp, NULL AS data_points, NULL AS stations
+SELECT 0 AS part, '' AS key, {_ROUNDED_MEAN} AS average_temp, '-5.0' AS latitude1,
+       '-1.0' AS longitude1, '10.0' AS latitude2, '5.0' AS longitude2, '1901' AS year_from,
+       '1904' AS year_to, NULL AS year, NULL AS season, NULL AS avg_temp, NULL AS data_points,
+       NULL AS stations, NULL AS closing
 FROM summary s WHERE {_INSIDE}
 UNION ALL
-SELECT 1, key, NULL, t.year, t.season, t.avg_temp, t.data_points, t.stations
-FROM summary_text t JOIN (SELECT key FROM summary WHERE {_INSIDE}) USING (key)""",
+SELECT 1, key, NULL, NULL, NULL, NULL, NULL, NULL, NULL, t.year, t.season, t.avg_temp,
+       t.data_points, t.stations, NULL
+FROM summary_text t JOIN (SELECT key FROM summary WHERE {_INSIDE}) USING (key)
+UNION ALL
+SELECT 2, '', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, ']}}'""",
         "coordinate_summary_batch": f"""
 WITH {_SUMMARY}, {_POINTS}
 SELECT p.request_id, p.latitude, p.longitude, s.key, s.year, s.season, s.avg_temp,
@@ -561,7 +633,7 @@ WITH {_SUMMARY}, {_BOXES}
 SELECT b.request_id, b.latitude1, b.longitude1, b.latitude2, b.longitude2, b.year_from,
        b.year_to, {_ROUNDED_MEAN} AS average_temp, count(s.key) AS n_entries, b.error
 FROM boxes b LEFT JOIN summary s
-  ON NOT b.error AND s.latitude BETWEEN b.latitude1 AND b.latitude2
+  ON b.error IS NULL AND s.latitude BETWEEN b.latitude1 AND b.latitude2
  AND s.longitude BETWEEN b.longitude1 AND b.longitude2
  AND s.year BETWEEN b.year_from AND b.year_to
 GROUP BY ALL""",

@@ -10,11 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BITS = 2  # a block holds 2 ** BITS blocks of the level below
-LEVELS = 32  # enough for any 64-bit position
-
-
-def all_levels() -> Column:
-    return F.sequence(F.lit(0), F.lit(LEVELS - 1))
+LEVELS = 32  # block numbers are whole up to positions of 58 bits
 
 
 def top_level(last_position: Column) -> Column:

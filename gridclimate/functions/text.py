@@ -12,6 +12,7 @@ DATE_FIELD = 1
 PRECIPITATION_FIELD = 102
 AVG_TEMP_FIELD = 106
 NUMBER = r"\A[-+]?\d+(\.\d+)?\z"
+WHOLE = r"\A[-+]?\d+\z"
 BLANK_FIELDS = r'\A(",")*\z'
 
 # Months of each season.
@@ -49,9 +50,15 @@ def is_number(text: Column) -> Column:
 
 
 def number_of(text: Column, type_name: str) -> Column:
-    """Text as a number; text that is none fails the job, whatever the session's ANSI mode."""
+    """Text as a number; text that is none fails the job, whatever the session's ANSI mode.
+
+    A whole number is digits with or without a sign in full, without the blanks a cast forgives.
+    """
     message = F.concat(F.lit(f"not of type {type_name}: "), text)
-    return F.coalesce(text.try_cast(type_name), F.raise_error(message).cast(type_name))
+    number = text.try_cast(type_name)
+    if type_name == "int":
+        number = F.when(text.rlike(WHOLE), number)
+    return F.coalesce(number, F.raise_error(message).cast(type_name))
 
 
 def season_of(month: Column) -> Column:

@@ -4,8 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import cell_of
-from ..functions.ranges import all_levels, block_holding, blocks_covering, top_level
-from .requests import EARLY_YEAR, LEAST_YEAR, NOT_NUMBERS, SAME_CORNERS
+from ..functions.ranges import block_holding, blocks_covering, top_level
+from .requests import EARLY_YEAR, LEAST_YEAR, NOT_NUMBERS, SAME_CORNERS, coordinate_of, year_of
 
 # Dimensions of the grid, and the ordered bounds of a request on each.
 BOUNDS = {
@@ -15,6 +15,10 @@ BOUNDS = {
 }
 DIMENSIONS = tuple(BOUNDS)
 
+# Values beyond this are not counted from the least one but put in order one by one: infinite ones,
+# and numbers that are no place on a globe.
+FAR = float(2**31)
+
 
 CELL = ["cell_latitude", "cell_longitude"]
 
@@ -59,10 +63,11 @@ def coordinate_summary_batch(
 def _checked(boxes: DataFrame) -> DataFrame:
     """Requests with their bounds in order and the reason where a request is bad."""
     coordinates = ["latitude1", "longitude1", "latitude2", "longitude2"]
+    kinds = dict(boxes.dtypes)
     typed = boxes.select(
         "request_id",
-        *[F.col(name).try_cast("double").alias(name) for name in coordinates],
-        *[F.col(name).try_cast("int").alias(name) for name in ("year1", "year2")],
+        *[coordinate_of(name, kinds[name]).alias(name) for name in coordinates],
+        *[year_of(name).alias(name) for name in ("year1", "year2")],
     )
     unknown = F.col("year1").isNull() | F.col("year2").isNull()
     for name in coordinates:
@@ -86,26 +91,43 @@ def _checked(boxes: DataFrame) -> DataFrame:
 
 
 def _extent(cells: DataFrame) -> Column:
-    """Least and greatest value of each dimension of the grid, as one struct.
+    """Least and greatest value of each dimension of the grid and its far values, as one struct.
 
     Spark finds them with one aggregate over three columns, as a scalar subquery.
     """
-    ends = []
+    parts = []
     for name in DIMENSIONS:
         place = F.col(name).cast("double")
-        ends += [F.min(place).alias(f"{name}_min"), F.max(place).alias(f"{name}_max")]
-    return cells.agg(F.struct(*ends)).scalar()
+        near = F.when(F.abs(place) <= FAR, place)
+        far = F.collect_set(F.when(F.abs(place) > FAR, place))
+        parts += [
+            F.min(near).alias(f"{name}_min"),
+            F.max(near).alias(f"{name}_max"),
+            far.alias(f"{name}_far"),
+        ]
+    return cells.agg(F.struct(*parts)).scalar()
 
 
-def _first_and_last(name: str, low: str, high: str) -> dict[str, Column]:
-    """First and last position inside a request's bounds, counted from the least value there is.
+def _first(name: str, bound: Column) -> Column:
+    """Number of positions below a bound: the position of the first value at or above it.
 
-    No position lies inside where first > last. The extent is in a column of that name.
+    Positions are in order of values: each far value has one, and so has each whole step from the
+    least near value to the greatest. The extent is in a column of that name.
     """
+    bound = bound.cast("double")
+    least, greatest = F.col(f"extent.{name}_min"), F.col(f"extent.{name}_max")
+    near = F.ceil(F.least(F.greatest(bound, least), greatest + 1) - least)
+    far = F.size(F.filter(f"extent.{name}_far", lambda value: value < bound))
+    return F.coalesce(near, F.lit(0)) + far
+
+
+def _last(name: str, bound: Column) -> Column:
+    """The position of the last value at or below a bound; one less than the first if none is."""
+    bound = bound.cast("double")
     least, greatest = F.col(f"extent.{name}_min"), F.col(f"extent.{name}_max")
-    first = F.ceil(F.least(F.greatest(F.col(low), least), greatest + 1) - least)
-    last = F.floor(F.greatest(F.least(F.col(high), greatest), least - 1) - least)
-    return {f"{name}_first": first, f"{name}_last": last}
+    near = F.floor(F.greatest(F.least(bound, greatest), least - 1) - least)
+    far = F.size(F.filter(f"extent.{name}_far", lambda value: value <= bound))
+    return F.coalesce(near, F.lit(-1)) + far
 
 
 def _block_sums(cells: DataFrame, extent: Column) -> DataFrame:
@@ -116,21 +138,19 @@ def _block_sums(cells: DataFrame, extent: Column) -> DataFrame:
     twice its cells and years in each dimension, whatever the number of observations.
     """
     sums = cells.withColumn("extent", extent).select(
-        *[
-            (F.col(name) - F.col(f"extent.{name}_min")).cast("long").alias(name)
-            for name in DIMENSIONS
-        ],
+        *[_first(name, F.col(name)).alias(name) for name in DIMENSIONS],
         F.col("avg_temp").alias("temp_sum"),
         F.col("avg_temp").isNotNull().cast("long").alias("temps"),
         F.lit(1).cast("long").alias("entries"),
     )
     for name in DIMENSIONS:
-        span = (extent[f"{name}_max"] - extent[f"{name}_min"]).cast("long")
+        steps = (extent[f"{name}_max"] - extent[f"{name}_min"]).cast("long")
+        last = F.coalesce(steps, F.lit(-1)) + F.size(extent[f"{name}_far"])
+        levels = F.sequence(F.lit(0), top_level(F.greatest(last, F.lit(0))))
         blocks = {d: F.col(d) for d in DIMENSIONS}
         blocks[name] = block_holding(F.col(name), F.col("level"))
         sums = (
-            sums.select("*", F.explode(all_levels()).alias("level"))
-            .where(F.col("level") <= top_level(span))
+            sums.select("*", F.explode(levels).alias("level"))
             .groupBy(*[block.alias(d) for d, block in blocks.items()])
             .agg(*_totals())
         )
@@ -141,16 +161,20 @@ def _totals() -> list[Column]:
     return [F.sum(name).alias(name) for name in ("temp_sum", "temps", "entries")]
 
 
-def area_average_batch(summary: DataFrame, boxes: DataFrame) -> DataFrame:
+def area_average_batch(
+    summary: DataFrame, boxes: DataFrame, requests_per_task: int = 100_000
+) -> DataFrame:
     """The plain mean of the cell averages, and their number, for every requested area.
 
     ``boxes`` has the columns ``request_id``, ``latitude1``, ``longitude1``, ``latitude2``,
     ``longitude2``, ``year1`` and ``year2``. Every request keeps its row: without data the mean
-    is NULL and the number 0, and a bad request says why in ``error``.
+    is NULL and the number 0, and a bad request says why in ``error``. Bounds are read as for
+    single requests (see ``requests``); any bounds are exact, infinite ones too.
 
     An area is put together from the sums of a few large blocks (see ``functions.ranges``)
     found by an equi-join, so it costs some hundred rows at most and never one per cell and year.
-    Equal areas are worked out once.
+    Equal areas are worked out once; an area that is asked for more than ``requests_per_task``
+    times is dealt out to as many parts as needed. Bad requests are answered without a join.
     """
     # A cell at no latitude or longitude lies in no area.
     cells = summary.where(~F.isnan("latitude") & ~F.isnan("longitude"))
@@ -158,25 +182,39 @@ def area_average_batch(summary: DataFrame, boxes: DataFrame) -> DataFrame:
     checked = _checked(boxes)
     ends = {}
     for name, (low, high) in BOUNDS.items():
-        ends |= _first_and_last(name, low, high)
-    asked = checked.withColumn("extent", extent).select(
-        *checked.columns, *[place.alias(name) for name, place in ends.items()]
-    )
+        ends |= {f"{name}_first": _first(name, F.col(low)), f"{name}_last": _last(name, F.col(high))}
+    good = checked.where(F.col("error").isNull()).withColumn("extent", extent)
+    asked = good.select(*checked.columns, *[place.alias(name) for name, place in ends.items()])
 
-    areas = asked.where(F.col("error").isNull()).select(*ends).distinct()
+    parts = F.ceil(F.count(F.lit(1)) / requests_per_task).cast("int")
+    areas = asked.groupBy(*ends).agg(parts.alias("parts"))
     covers = [blocks_covering(f"{name}_first", f"{name}_last").alias(name) for name in BOUNDS]
-    pieces = areas.select("*", *covers)
+    pieces = areas.select(*ends, *covers)
     for name in BOUNDS:
         # not the plain explode: Spark would work out the covers once more to skip empty ones
         pieces = pieces.withColumn(name, F.explode_outer(name))
     sums = _block_sums(cells, extent)
     totals = pieces.join(sums, list(DIMENSIONS)).groupBy(*ends).agg(*_totals())
 
+    hot = areas.where(F.col("parts") > 1)
+    own_part = F.pmod(F.xxhash64("request_id"), F.col("parts")).cast("int")
+    dealt_out = asked.join(hot, list(ends), "left").select(
+        *asked.columns, F.coalesce(own_part, F.lit(0)).alias("part")
+    )
+    every_part = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1))
+    spread = totals.join(hot, list(ends), "left").withColumn("part", every_part).drop("parts")
+
     mean = F.when(F.col("temps") > 0, F.col("temp_sum") / F.col("temps"))
-    good = F.col("error").isNull()
-    return asked.join(totals, list(ends), "left").select(
+    answered = dealt_out.join(spread, [*ends, "part"], "left").select(
+        *checked.columns[:-1],
+        mean.alias("average_temp"),
+        F.coalesce("entries", F.lit(0)).cast("long").alias("n_entries"),
+        "error",
+    )
+    refused = checked.where(F.col("error").isNotNull()).select(
         *checked.columns[:-1],
-        F.when(good, mean).alias("average_temp"),
-        F.when(good, F.coalesce("entries", F.lit(0))).otherwise(0).cast("long").alias("n_entries"),
+        F.lit(None).cast("double").alias("average_temp"),
+        F.lit(0).cast("long").alias("n_entries"),
         "error",
     )
+    return answered.unionByName(refused)

@@ -78,12 +78,23 @@ def _with_derived_columns(typed: DataFrame) -> DataFrame:
 def latest_per_key(observations: DataFrame) -> DataFrame:
     """One observation per key: the one with the greatest temperature, then precipitation.
 
-    Copies are merged before the shuffle, so a key with very many copies sends one row per task.
-    The key and the season follow from the grouping columns; they are made anew, not shuffled.
+    A missing precipitation (NaN) comes after every real one. Copies are merged by hashing before
+    both shuffles, first those of one temperature, so a key with very many copies sends one row
+    per task and temperature. The key and the season follow from the grouping columns; they are
+    made anew, not shuffled.
     """
-    best = F.max(F.struct("avg_temp", "precipitation"))
-    kept = observations.groupBy("station_code", "year", "month").agg(best.alias("best"))
-    return _with_derived_columns(kept.select("station_code", "year", "month", "best.*"))
+    real = F.nanvl("precipitation", F.lit(None).cast("double"))
+    keys = ["station_code", "year", "month"]
+    kept = (
+        observations.groupBy(*keys, "avg_temp").agg(F.max(real).alias("precipitation"))
+        .groupBy(*keys)
+        .agg(
+            F.max_by("precipitation", "avg_temp").alias("precipitation"),
+            F.max("avg_temp").alias("avg_temp"),
+        )
+    )
+    missing = F.coalesce("precipitation", F.lit(float("nan")))
+    return _with_derived_columns(kept.withColumn("precipitation", missing))
 
 
 def observations_by_season(observations: DataFrame) -> DataFrame:

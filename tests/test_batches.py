@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import gridclimate as gc
 from gridclimate.functions.ranges import BITS, LEVELS, block_holding, blocks_covering
+from gridclimate.operators.requests import area_bounds
 
 BOX = "request_id INT, latitude1 DOUBLE, longitude1 DOUBLE, latitude2 DOUBLE, longitude2 DOUBLE, year1 INT, year2 INT"
 
@@ -131,3 +132,67 @@ def test_coordinates_equal_single_requests(spark, requests_per_task):
         mine = sorted(r.key for r in batch if r.request_id == i and r.key)
         assert mine == sorted(r.key for r in gc.coordinate_summary(grid, lat, lon).collect())
         assert any(r.request_id == i for r in batch)
+
+
+def test_infinite_and_far_cells(spark):
+    """Every finite and infinite area gives what a single request gives."""
+    inf = float("inf")
+    places = [-inf, -1e300, -3.0, 0.0, 7.0, 1e300, inf]
+    cells = [
+        (lat, lon, 1905, "FALL", float(7 * i + j), 1)
+        for i, lat in enumerate(places)
+        for j, lon in enumerate(places)
+    ]
+    grid = summary(spark, *cells).cache()
+    bounds = [-inf, -1e301, -1e300, -5.5, -3.0, 0.5, 7.0, 1e18, 1e300, 1e301, inf]
+    rng = random.Random(4)
+    boxes = [(i, *[rng.choice(bounds) for _ in range(4)], 1900, 1910) for i in range(120)]
+    boxes = [b for b in boxes if (b[1], b[2]) != (b[3], b[4])]
+    boxes.append((999, -inf, -inf, inf, inf, 1900, 1910))
+    rows = gc.area_average_batch(grid, spark.createDataFrame(boxes, BOX)).collect()
+    assert len(rows) == len(boxes)
+    got = {r.request_id: (r.n_entries, r.average_temp, r.error) for r in rows}
+    for i, lat1, lon1, lat2, lon2, *_ in boxes:
+        temps = [
+            c[4] for c in cells
+            if min(lat1, lat2) <= c[0] <= max(lat1, lat2) and min(lon1, lon2) <= c[1] <= max(lon1, lon2)
+        ]
+        assert got[i][0] == len(temps) and got[i][2] is None
+        assert got[i][1] == (pytest.approx(sum(temps) / len(temps)) if temps else None)
+    (single,) = dicts(gc.area_average(grid, -inf, -inf, inf, inf, 1900, 1910))
+    assert got[999][:2] == (single["n_entries"], single["average_temp"]) and single["n_entries"] == 49
+
+
+ODD = [
+    (" 5 ", "1901"), ("-5d", "1901"), ("5F", "1901"), ("1e1", "1901"), (".5", "1901"), ("5.", "1901"),
+    ("Infinity", "1901"), ("-Infinity", "1901"), ("NaN", "1901"), ("inf", "1901"), ("1_0", "1901"),
+    ("", "1901"), ("x", "1901"), ("0x10", "1901"), ("5dd", "1901"), ("٣", "1901"), ("5\n", "1901"),
+    ("5", " 1901 "), ("5", "1901.9"), ("5", "1901.0"), ("5", "+1901"), ("5", "2147483647"),
+    ("5", "2147483648"), ("5", "-2147483648"), ("5", "1e3"), ("5", ""), ("5", "1901\n"), ("5", "1899"),
+]
+
+
+def test_one_rule_for_arguments(spark):
+    """The same verdict and reason for single requests and tables of them."""
+    text = BOX.replace("DOUBLE", "STRING").replace("year1 INT, year2 INT", "year1 STRING, year2 STRING")
+    boxes = spark.createDataFrame([(i, lat, "2", "4", "8", y, "1910") for i, (lat, y) in enumerate(ODD)], text)
+    grid = summary(spark, (1.0, 3.0, 1905, "FALL", 2.5, 1))
+    reasons = {r.request_id: r.error for r in gc.area_average_batch(grid, boxes).collect()}
+    for i, (lat, year) in enumerate(ODD):
+        try:
+            area_bounds(lat, "2", "4", "8", year, "1910")
+            expected = None
+        except ValueError as error:
+            expected = str(error).split(":")[0]
+        assert reasons[i] == expected, ODD[i]
+    assert sum(r is None for r in reasons.values()) == 11
+
+
+def test_years_of_a_double_column_are_refused(spark):
+    boxes = spark.createDataFrame(
+        [(1, 1.0, 2.0, 4.0, 8.0, 1901.9, 1910.0)], BOX.replace("year1 INT, year2 INT", "year1 DOUBLE, year2 DOUBLE")
+    )
+    grid = summary(spark, (1.0, 3.0, 1905, "FALL", 2.5, 1))
+    assert gc.area_average_batch(grid, boxes).first().error == "a bound is not a number"
+    with pytest.raises(ValueError):
+        area_bounds(1.0, 2.0, 4.0, 8.0, 1901.9, 1910)

@@ -3,9 +3,11 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from samples import dicts, header, lines, observation, observations, record
 
 import gridclimate as gc
+from gridclimate.functions.text import number_of
 
 
 def parsed(spark, *values, compat=False):
@@ -169,11 +171,14 @@ def test_one_row_per_key(spark):
         observation("B", 1950, 1, 5.0, precipitation=nan),
         observation("B", 1950, 1, 5.0, precipitation=7.0),
         observation("C", 1950, 1, -1.0),
+        observation("D", 1950, 1, 4.0, precipitation=nan),
+        observation("D", 1950, 1, 3.0, precipitation=8.0),
     )
     best = {r["key"]: (r["avg_temp"], r["precipitation"]) for r in dicts(gc.latest_per_key(rows))}
     assert best["1950:1:A"] == (2.0, 3.0)
-    assert best["1950:1:B"][0] == 5.0 and math.isnan(best["1950:1:B"][1])
+    assert best["1950:1:B"] == (5.0, 7.0)  # a real precipitation before a missing one
     assert best["1950:1:C"] == (-1.0, 0.0)
+    assert best["1950:1:D"][0] == 4.0 and math.isnan(best["1950:1:D"][1])
     assert gc.latest_per_key(rows).columns == rows.columns
 
 
@@ -185,3 +190,24 @@ def test_observations_by_season(spark):
     assert sorted(gc.observations_by_season(rows).collect()) == [
         (1950, "SPRING", 1), (1950, "WINTER", 2),
     ]
+
+
+def test_whole_numbers_have_no_blanks(spark):
+    for text in (" 5", "5 ", "5.0", "", "+"):
+        rows = spark.createDataFrame([(text,)], "t string").select(number_of(F.col("t"), "int"))
+        with pytest.raises(Exception, match="not of type int"):
+            rows.collect()
+    good = spark.createDataFrame([("5",), ("-12",), ("+3",), ("007",)], "t string")
+    assert [r[0] for r in good.select(number_of(F.col("t"), "int")).collect()] == [5, -12, 3, 7]
+
+
+def test_very_many_copies_of_one_key(spark):
+    rows = spark.range(200_000).selectExpr(
+        "'k' AS key", "IF(id % 3 = 0, 'hot', CAST(id % 500 AS STRING)) AS station_code",
+        "1950 AS year", "CAST(1 AS INT) AS month", "'WINTER' AS season",
+        "CAST(id % 7 AS DOUBLE) AS precipitation", "CAST(id % 50 AS DOUBLE) AS avg_temp",
+    )
+    kept = gc.latest_per_key(rows)
+    assert "SortAggregate" not in kept._jdf.queryExecution().executedPlan().toString()
+    hot = [r for r in kept.collect() if r.station_code == "hot"]
+    assert [(r.avg_temp, r.precipitation) for r in hot] == [(49.0, 6.0)]

@@ -107,7 +107,39 @@ def test_hot_requests_are_dealt_out(spark, hot):
     assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
 
 
+@pytest.mark.parametrize("hot", ["1.0D", "CAST(NULL AS DOUBLE)"])
+def test_hot_areas_are_dealt_out(spark, hot):
+    """A third of all requests ask for one area, or are bad."""
+    boxes = spark.range(60_000).selectExpr(
+        "id AS request_id",
+        f"IF(id % 3 = 0, {hot}, CAST(id % 80 AS DOUBLE)) AS latitude1",
+        "IF(id % 3 = 0, 3.0D, CAST(id % 170 AS DOUBLE)) AS longitude1",
+        "99.0D AS latitude2", "200.0D AS longitude2", "1900 AS year1", "1910 AS year2",
+    )
+    grid = samples.summary(
+        spark, *[(float(i), float(i), 1900 + i % 9, "FALL", 1.0 + i, 1) for i in range(90)]
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = gc.area_average_batch(grid, boxes, requests_per_task=200)
+        used = F.sum(F.coalesce("average_temp", F.lit(0.0)) + F.col("n_entries"))
+        sizes = rows.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), used).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    sizes = [r.n for r in sizes]
+    assert sum(sizes) == 60_000
+    assert max(sizes) < 2.5 * sum(sizes) / 8
+
+
 def test_no_python_in_any_plan(spark, sf_dir):
-    for name, query in entry.queries().items():
+    for name, query in entry.climate_queries().items():
         text = plan(query(spark, sf_dir))
         assert "Python" not in text and "Arrow" not in text, name

@@ -1,5 +1,7 @@
 import json
+from pathlib import Path
 
+import pytest
 from samples import dicts, lines, record, summary
 from pyspark.sql import functions as F
 
@@ -84,3 +86,20 @@ def test_gzip_lines_are_dealt_out(spark, tmp_path):
     lines(spark, *[record()] * 50).coalesce(1).write.option("compression", "gzip").text(path)
     assert gc.read_observation_lines(spark, path).rdd.getNumPartitions() == 1
     assert gc.read_observation_lines(spark, path, 5).rdd.getNumPartitions() == 5
+
+
+class Session:
+    """As much of a session as ``shared_folder`` looks at."""
+
+    def __init__(self, master, shared=None):
+        self.conf = {"spark.checkpoint.dir": shared}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_shared_folder_of_a_cluster_must_be_named():
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            gc.shared_folder(Session(master))
+        assert gc.shared_folder(Session(master, "hdfs://x/y/")).startswith("hdfs://x/y/gridclimate-")
+    for master in ("local", "local[4]", "local[*]"):
+        assert Path(gc.shared_folder(Session(master))).is_dir()
