@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import cell_of_value
 from ..functions.text import SEASONS
-from ..schemas import ENTRY
+from ..schemas import ENTRY, WIRE_NAMES
 from ..sinks.text import text_values
 from .requests import AreaBounds, area_bounds, parse_coordinate
 
@@ -49,21 +49,29 @@ def coordinate_summary(summary: DataFrame, lat, lon, compat: bool = False) -> Da
     return summary.where(_at_coordinate(lat, lon, compat)).orderBy("key")
 
 
-def _entries() -> Column:
+def _named(name: str, wire: bool) -> str:
+    return WIRE_NAMES.get(name, name) if wire else name
+
+
+def _entries(wire: bool) -> Column:
     """The seasons of the group as a list of entries in key order."""
     names = ENTRY.fieldNames()
     keyed = F.sort_array(F.collect_list(F.struct("key", *names)))
-    return F.transform(keyed, lambda e: F.struct(*[e[name].alias(name) for name in names]))
+    return F.transform(keyed, lambda e: F.struct(*[e[name].alias(_named(name, wire)) for name in names]))
 
 
-def coordinate_document(summary: DataFrame, lat, lon, compat: bool = False) -> DataFrame:
+def coordinate_document(
+    summary: DataFrame, lat, lon, compat: bool = False, wire: bool = False
+) -> DataFrame:
     """One nested row for one coordinate, with an empty list where there is no data.
 
-    The list holds one cell: one entry per year and season.
+    The list holds one cell: one entry per year and season. With ``wire``, the names are those
+    of ``schemas.WIRE_NAMES``.
     """
     matching = summary.where(_at_coordinate(lat, lon, compat))
-    return matching.agg(_entries().alias("data_list")).select(
-        F.lit(lat).alias("latitude"), F.lit(lon).alias("longitude"), "data_list"
+    data_list = _named("data_list", wire)
+    return matching.agg(_entries(wire).alias(data_list)).select(
+        F.lit(lat).alias(_named("latitude", wire)), F.lit(lon).alias("longitude"), data_list
     )
 
 
@@ -103,13 +111,22 @@ def area_average(
 
 
 def area_document(
-    summary: DataFrame, lat1, lon1, lat2, lon2, year1, year2, compat: bool = False
+    summary: DataFrame,
+    lat1,
+    lon1,
+    lat2,
+    lon2,
+    year1,
+    year2,
+    compat: bool = False,
+    wire: bool = False,
 ) -> DataFrame:
     """The JSON document of an area, line by line: columns ``part``, ``key`` and ``json``.
 
     An area may hold the whole grid, so its entries are never gathered in one row. In the order
     of ``part`` and ``key`` the lines are one document: the opening with bounds and mean, one
     line per entry, and the closing. All values are text. ``sinks.write_document`` stores it.
+    With ``wire``, the names are those of ``schemas.WIRE_NAMES``.
     """
     bounds = area_bounds(lat1, lon1, lat2, lon2, year1, year2)
     inside = summary.where(_in_area(bounds, compat))
@@ -117,15 +134,17 @@ def area_document(
 
     totals = inside.agg(_area_mean(compat).alias("average_temp"))
     header = text_values(totals.select(*_area_header(bounds), "average_temp"))
-    opening = F.to_json(F.struct(*header.columns), keep_nulls)
+    columns = [F.col(name).alias(_named(name, wire)) for name in header.columns]
+    opening = F.to_json(F.struct(*columns), keep_nulls)
+    begin = f',"{_named("data_list", wire)}":['
     first = header.select(
         F.lit(0).alias("part"),
         F.lit("").alias("key"),
-        F.concat(F.rtrim(opening, F.lit("}")), F.lit(',"data_list":[')).alias("json"),
+        F.concat(F.rtrim(opening, F.lit("}")), F.lit(begin)).alias("json"),
     )
 
     names = ENTRY.fieldNames()
-    entry = F.to_json(F.struct(*names), keep_nulls)
+    entry = F.to_json(F.struct(*[F.col(n).alias(_named(n, wire)) for n in names]), keep_nulls)
     first_key = inside.agg(F.min("key")).scalar()
     comma = F.when(F.col("key") == first_key, "").otherwise(",")
     middle = text_values(inside.select("key", *names)).select(

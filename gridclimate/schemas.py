@@ -74,3 +74,16 @@ CELL = StructType(
 )
 
 TABLES = {"observations": OBSERVATION, "stations": STATION, "summary": SUMMARY}
+
+# The names in documents for clients that know them by these.
+WIRE_NAMES = {
+    "latitude": "lattitude",
+    "latitude1": "lattitude1",
+    "latitude2": "lattitude2",
+    "year_from": "yearFrom",
+    "year_to": "yearTo",
+    "average_temp": "averageTemp",
+    "data_list": "dataList",
+    "avg_temp": "avgTemp",
+    "data_points": "dataPoints",
+}

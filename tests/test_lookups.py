@@ -125,3 +125,19 @@ def test_heatmap_feed(grid):
         {"year": 1950, "WINTER": 10.0, "SPRING": None, "SUMMER": None, "FALL": 20.0},
         {"year": 1951, "WINTER": None, "SPRING": None, "SUMMER": 30.0, "FALL": None},
     ]
+
+
+def test_names_on_the_wire(spark):
+    import json
+
+    grid = summary(spark, (1.0, 3.0, 1905, "FALL", 2.5, 1))
+    (row,) = gc.to_json_documents(gc.coordinate_document(grid, 1, 3, wire=True)).collect()
+    document = json.loads(row.json)
+    assert list(document) == ["lattitude", "longitude", "dataList"]
+    assert list(document["dataList"][0]) == ["year", "season", "avgTemp", "dataPoints", "stations"]
+    lines = gc.area_document(grid, 0, 0, 5, 5, 1900, 1910, wire=True).orderBy("part", "key").collect()
+    document = json.loads("".join(r.json for r in lines))
+    assert list(document) == [
+        "lattitude1", "longitude1", "lattitude2", "longitude2", "yearFrom", "yearTo", "averageTemp", "dataList",
+    ]
+    assert document["dataList"][0]["dataPoints"] == "1"
