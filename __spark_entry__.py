@@ -67,6 +67,7 @@ def _tables(spark: SparkSession, sf_dir: str) -> str:
         gc.ingest_observations(spark, f"{root}/raw/records", root)
         gc.ingest_stations(spark, f"{root}/raw/stations", f"{root}/raw/countries", root)
         gc.build_summary(spark, root)
+        gc.build_area_sums(spark, root)
         _roots[made_for] = root
     return _roots[made_for]
 
@@ -225,6 +226,13 @@ def area_average_batch(spark, sf_dir):
     return _rounded(answers)
 
 
+def area_average_batch_stored(spark, sf_dir):
+    """The same from stored block sums."""
+    prepared = gc.read_area_sums(spark, _tables(spark, sf_dir))
+    boxes = fixtures.boxes(spark, sf_dir)
+    return _rounded(gc.area_average_batch(_summary(spark, sf_dir), boxes, prepared=prepared))
+
+
 def heatmap_feed(spark, sf_dir):
     return gc.heatmap_feed(_summary(spark, sf_dir), *POINT)
 
@@ -533,6 +541,7 @@ def climate_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         area_document,
         coordinate_summary_batch,
         area_average_batch,
+        area_average_batch_stored,
         heatmap_feed,
         observation_cells,
         station_cells,
@@ -555,6 +564,15 @@ def climate_sql() -> dict[str, str]:
     summary = f"WITH {_SUMMARY} SELECT {_SUMMARY_COLUMNS} FROM summary"
     summary_text = f"WITH {_SUMMARY} SELECT {_SUMMARY_COLUMNS} FROM summary_text"
     document = ", ".join(f"'{c.strip()}', {c.strip()}" for c in _SUMMARY_COLUMNS.split(","))
+    batch = f"""
+WITH {_SUMMARY}, {_BOXES}
+SELECT b.request_id, b.latitude1, b.longitude1, b.latitude2, b.longitude2, b.year_from,
+       b.year_to, {_ROUNDED_MEAN} AS average_temp, count(s.key) AS n_entries, b.error
+FROM boxes b LEFT JOIN summary s
+  ON b.error IS NULL AND s.latitude BETWEEN b.latitude1 AND b.latitude2
+ AND s.longitude BETWEEN b.longitude1 AND b.longitude2
+ AND s.year BETWEEN b.year_from AND b.year_to
+GROUP BY ALL"""
     names = "year season avg_temp data_points stations".split()
     entry = ", ".join(f"'{name}', {name}" for name in names)
     return {
@@ -628,15 +646,8 @@ SELECT p.request_id, p.latitude, p.longitude, s.key, s.year, s.season, s.avg_tem
        s.data_points, s.stations
 FROM points p LEFT JOIN summary s
   ON s.latitude = round(p.latitude) AND s.longitude = round(p.longitude)""",
-        "area_average_batch": f"""
-WITH {_SUMMARY}, {_BOXES}
-SELECT b.request_id, b.latitude1, b.longitude1, b.latitude2, b.longitude2, b.year_from,
-       b.year_to, {_ROUNDED_MEAN} AS average_temp, count(s.key) AS n_entries, b.error
-FROM boxes b LEFT JOIN summary s
-  ON b.error IS NULL AND s.latitude BETWEEN b.latitude1 AND b.latitude2
- AND s.longitude BETWEEN b.longitude1 AND b.longitude2
- AND s.year BETWEEN b.year_from AND b.year_to
-GROUP BY ALL""",
+        "area_average_batch": batch,
+        "area_average_batch_stored": batch,
         "heatmap_feed": f"""
 WITH {_SUMMARY}
 SELECT year, max(CASE WHEN season = 'WINTER' THEN avg_temp END) AS "WINTER",

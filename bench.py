@@ -66,6 +66,14 @@ def timed_queries(spark, sf_dir, root):
         "area_average_batch": lambda: run(
             gc.area_average_batch(table("summary"), fixtures.boxes(spark, sf_dir))
         ),
+        "build_area_sums": lambda: gc.build_area_sums(spark, root),
+        "area_average_batch_stored": lambda: run(
+            gc.area_average_batch(
+                table("summary"),
+                fixtures.boxes(spark, sf_dir),
+                prepared=gc.read_area_sums(spark, root),
+            )
+        ),
         "heatmap_feed": lambda: run(gc.heatmap_feed(table("summary"), *POINT)),
         "observation_cells": lambda: run(
             gc.to_cells(table("observations"), gc.OBSERVATION_CELLS)

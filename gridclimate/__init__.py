@@ -3,7 +3,13 @@
 from .functions import cell_of, cell_of_value, observation_key, season_of, summary_key
 from .operators import *  # noqa: F403
 from .operators import __all__ as _operators
-from .plans import build_summary, ingest_observations, ingest_stations
+from .plans import (
+    build_area_sums,
+    build_summary,
+    ingest_observations,
+    ingest_stations,
+    read_area_sums,
+)
 from .sinks import (
     export_csv,
     register_summary_view,
@@ -21,6 +27,7 @@ from .sources import (
 
 __all__ = [
     *_operators,
+    "build_area_sums",
     "build_summary",
     "cell_of",
     "cell_of_value",
@@ -28,6 +35,7 @@ __all__ = [
     "ingest_observations",
     "ingest_stations",
     "observation_key",
+    "read_area_sums",
     "read_country_lines",
     "read_observation_lines",
     "read_station_lines",

@@ -161,8 +161,29 @@ def _totals() -> list[Column]:
     return [F.sum(name).alias(name) for name in ("temp_sum", "temps", "entries")]
 
 
+def area_extent(summary: DataFrame) -> DataFrame:
+    """The extent of the grid in one row, as ``area_average_batch`` takes it when stored."""
+    return summary.sparkSession.range(1).select(_extent(_placed(summary)).alias("extent")).select(
+        "extent.*"
+    )
+
+
+def area_sums(summary: DataFrame) -> DataFrame:
+    """The sums of all blocks of the grid, as ``area_average_batch`` takes them when stored."""
+    cells = _placed(summary)
+    return _block_sums(cells, _extent(cells))
+
+
+def _placed(summary: DataFrame) -> DataFrame:
+    """A cell at no latitude or longitude lies in no area."""
+    return summary.where(~F.isnan("latitude") & ~F.isnan("longitude"))
+
+
 def area_average_batch(
-    summary: DataFrame, boxes: DataFrame, requests_per_task: int = 100_000
+    summary: DataFrame,
+    boxes: DataFrame,
+    requests_per_task: int = 100_000,
+    prepared: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """The plain mean of the cell averages, and their number, for every requested area.
 
@@ -175,10 +196,16 @@ def area_average_batch(
     found by an equi-join, so it costs some hundred rows at most and never one per cell and year.
     Equal areas are worked out once; an area that is asked for more than ``requests_per_task``
     times is dealt out to as many parts as needed. Bad requests are answered without a join.
+
+    ``prepared`` is the extent and the sums of the same summary as ``plans.build_area_sums`` has
+    stored them; a batch then only joins. Without it they are made anew.
     """
-    # A cell at no latitude or longitude lies in no area.
-    cells = summary.where(~F.isnan("latitude") & ~F.isnan("longitude"))
-    extent = _extent(cells)
+    cells = _placed(summary)
+    if prepared is None:
+        extent, sums = _extent(cells), _block_sums(cells, _extent(cells))
+    else:
+        stored, sums = prepared
+        extent = stored.select(F.struct(*stored.columns)).scalar()
     checked = _checked(boxes)
     ends = {}
     for name, (low, high) in BOUNDS.items():
@@ -193,7 +220,6 @@ def area_average_batch(
     for name in BOUNDS:
         # not the plain explode: Spark would work out the covers once more to skip empty ones
         pieces = pieces.withColumn(name, F.explode_outer(name))
-    sums = _block_sums(cells, extent)
     totals = pieces.join(sums, list(DIMENSIONS)).groupBy(*ends).agg(*_totals())
 
     hot = areas.where(F.col("parts") > 1)

@@ -1,3 +1,15 @@
-from .jobs import build_summary, ingest_observations, ingest_stations
+from .jobs import (
+    build_area_sums,
+    build_summary,
+    ingest_observations,
+    ingest_stations,
+    read_area_sums,
+)
 
-__all__ = ["build_summary", "ingest_observations", "ingest_stations"]
+__all__ = [
+    "build_area_sums",
+    "build_summary",
+    "ingest_observations",
+    "ingest_stations",
+    "read_area_sums",
+]

@@ -1,7 +1,8 @@
-"""The three batch jobs, from files to stored tables."""
+"""The batch jobs, from files to stored tables."""
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.batches import area_extent, area_sums
 from ..operators.grid import seasonal_grid_summary
 from ..operators.observations import latest_per_key, parse_observations
 from ..operators.stations import (
@@ -46,3 +47,18 @@ def build_summary(spark: SparkSession, root: str) -> None:
         read_table(spark, root, "observations"), read_table(spark, root, "stations")
     )
     write_table(summary, root, "summary")
+
+
+def build_area_sums(spark: SparkSession, root: str) -> None:
+    """The stored summary to the tables ``area_extent`` and ``area_sums`` for batches of areas.
+
+    To be made again whenever the summary is; ``read_area_sums`` gives both.
+    """
+    summary = read_table(spark, root, "summary")
+    write_table(area_extent(summary), root, "area_extent", cluster_by=("year_min",))
+    write_table(area_sums(summary), root, "area_sums", cluster_by=("latitude", "longitude", "year"))
+
+
+def read_area_sums(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """What ``area_average_batch`` takes as ``prepared``."""
+    return read_table(spark, root, "area_extent"), read_table(spark, root, "area_sums")

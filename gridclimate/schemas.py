@@ -73,7 +73,36 @@ CELL = StructType(
     ]
 )
 
-TABLES = {"observations": OBSERVATION, "stations": STATION, "summary": SUMMARY}
+AREA_EXTENT = StructType(
+    [
+        StructField(f"{name}_{part}", kind)
+        for name in ("latitude", "longitude", "year")
+        for part, kind in (
+            ("min", DoubleType()),
+            ("max", DoubleType()),
+            ("far", ArrayType(DoubleType())),
+        )
+    ]
+)
+
+AREA_SUMS = StructType(
+    [
+        StructField("latitude", LongType()),
+        StructField("longitude", LongType()),
+        StructField("year", LongType()),
+        StructField("temp_sum", DoubleType()),
+        StructField("temps", LongType()),
+        StructField("entries", LongType()),
+    ]
+)
+
+TABLES = {
+    "observations": OBSERVATION,
+    "stations": STATION,
+    "summary": SUMMARY,
+    "area_extent": AREA_EXTENT,
+    "area_sums": AREA_SUMS,
+}
 
 # The names in documents for clients that know them by these.
 WIRE_NAMES = {

@@ -196,3 +196,19 @@ def test_years_of_a_double_column_are_refused(spark):
     assert gc.area_average_batch(grid, boxes).first().error == "a bound is not a number"
     with pytest.raises(ValueError):
         area_bounds(1.0, 2.0, 4.0, 8.0, 1901.9, 1910)
+
+
+def test_stored_sums_give_the_same(spark):
+    grid = summary(spark, *some_grid(random.Random(9)), (float("inf"), 2.0, 1905, "FALL", 1.5, 1))
+    root = gc.shared_folder(spark)
+    gc.write_table(grid, root, "summary")
+    gc.build_area_sums(spark, root)
+    rng = random.Random(1)
+    boxes = spark.createDataFrame(
+        [(i, *[rng.uniform(-40, 40) for _ in range(4)], 1900 + i % 9, 1915) for i in range(60)]
+        + [(60, -9.0, -9.0, float("inf"), 9.0, 1900, 1920), (61, None, 1.0, 2.0, 3.0, 1900, 1910)], BOX
+    )
+    prepared = gc.read_area_sums(spark, root)
+    fresh = gc.area_average_batch(grid, boxes).collect()
+    rows = gc.area_average_batch(grid, boxes, prepared=prepared).collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, fresh))
