@@ -31,7 +31,7 @@ def training_labels(spark, sf_dir, column, held_out):
 
 def op1_neighbour_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = id_remainder("doc_id", 5) == 0
+    held_out = F.coalesce(id_remainder("doc_id", 5) == 0, F.lit(False))
     model = fit_quality(docs, training_labels(spark, sf_dir, "quality", held_out))
     scored = score_quality(docs, model, keep=["doc_id"]).select("row.doc_id", "score", "predicted")
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
@@ -51,7 +51,7 @@ def op2_piece_encoding(spark, sf_dir):
 
 def op3_sentence_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = id_remainder("doc_id", 4) == 2
+    held_out = F.coalesce(id_remainder("doc_id", 4) == 2, F.lit(False))
     model = fit_toxicity(docs, training_labels(spark, sf_dir, "toxic", held_out))
     scored = score_toxicity(docs, model, keep=["doc_id"]).select("row.doc_id", "score", "predicted", "sentences")
     return scored.select(
