@@ -216,19 +216,19 @@ def area_average_batch(
     parts = F.ceil(F.count(F.lit(1)) / requests_per_task).cast("int")
     areas = asked.groupBy(*ends).agg(parts.alias("parts"))
     covers = [blocks_covering(f"{name}_first", f"{name}_last").alias(name) for name in BOUNDS]
-    pieces = areas.select(*ends, *covers)
+    pieces = areas.select(*ends, "parts", *covers)
     for name in BOUNDS:
         # not the plain explode: Spark would work out the covers once more to skip empty ones
         pieces = pieces.withColumn(name, F.explode_outer(name))
-    totals = pieces.join(sums, list(DIMENSIONS)).groupBy(*ends).agg(*_totals())
+    totals = pieces.join(sums, list(DIMENSIONS)).groupBy(*ends, "parts").agg(*_totals())
 
     hot = areas.where(F.col("parts") > 1)
     own_part = F.pmod(F.xxhash64("request_id"), F.col("parts")).cast("int")
     dealt_out = asked.join(hot, list(ends), "left").select(
         *asked.columns, F.coalesce(own_part, F.lit(0)).alias("part")
     )
-    every_part = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1))
-    spread = totals.join(hot, list(ends), "left").withColumn("part", every_part).drop("parts")
+    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    spread = totals.withColumn("part", every_part).drop("parts")
 
     mean = F.when(F.col("temps") > 0, F.col("temp_sum") / F.col("temps"))
     answered = dealt_out.join(spread, [*ends, "part"], "left").select(
