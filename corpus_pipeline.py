@@ -38,11 +38,11 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest identifier.
 
-    Documents are near copies as in the query of the operator: over others or directly linked by a
-    similarity of at least 0.9 on three-word sequences.
+    Documents are near copies if they are linked, over others or directly, by a similarity of at
+    least 0.8 on five-word sequences; the query of the operator has a contract of its own.
     """
     send_package(spark)
-    found = near_duplicates(docs)
+    found = near_duplicates(docs, width=5, similarity=(80, 100))
     dropped = found.where("NOT (id <=> component_id)").select(F.col("id").alias("dropped")).distinct()
     return docs.join(dropped, docs["doc_id"] == dropped["dropped"], "left_anti")
 

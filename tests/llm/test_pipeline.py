@@ -52,6 +52,20 @@ def test_near_copies(steps):
     assert sorted(after.doc_id) == sorted(set(plain_components(before)[1]))
 
 
+def test_near_copies_of_five_words_and_four_fifths(steps):
+    before, after = steps["near_copies"]
+    before = before.sort_values("doc_id").reset_index(drop=True)
+    assert sorted(after.doc_id) == sorted(set(plain_components(before, 5, 80, 100)[1]))
+
+
+def test_near_copies_drops_a_cut_copy(spark):
+    words = [f"w{k}" for k in range(200)]
+    texts = [" ".join(words), " ".join(words[:170]), " ".join(words[:150])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = corpus_pipeline.near_copies(spark, docs, SF).select("doc_id").toPandas()
+    assert kept.doc_id.tolist() == [0]
+
+
 def test_mixture(steps):
     before, after = steps["mixture"]
     texts = dict(zip(before.doc_id, before.text))
