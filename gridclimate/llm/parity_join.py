@@ -166,7 +166,9 @@ def slice_words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
                 place = mixed(np.arange(len(words), dtype=np.uint64) * np.uint64(1024)
                               + np.uint64(group + 1))
                 for k, (i, j) in enumerate(TWO, 1):
-                    keys.append(mixed(mixed(words[:, i] ^ place) + words[:, j] * np.uint64(2 * k + 1)))
+                    # Also told apart by k when the second word is zero.
+                    here = mixed(words[:, i] ^ mixed(place + np.uint64(k)))
+                    keys.append(mixed(here + words[:, j] * np.uint64(2 * k + 1)))
                 nodes.append(np.full(len(TWO) * len(words), node, np.int64))
                 groups.append(np.full(len(TWO) * len(words), group, np.int32))
     if not keys:

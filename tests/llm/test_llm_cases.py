@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -20,7 +21,7 @@ from gridclimate.llm.cover_tree import near_vectors
 from gridclimate.llm.crf_pii import find_personal_data, train_crf, viterbi
 from gridclimate.llm.golden_mix import mix, mixed_documents
 from gridclimate.llm.neighbour_quality import fit_quality, score_quality
-from gridclimate.llm.parity_join import Bands, near_duplicates, shingles
+from gridclimate.llm.parity_join import Bands, near_duplicates, shingles, slice_words
 from gridclimate.llm.piece_encoding import encode_pieces, piece_model
 from gridclimate.llm.sentence_toxicity import fit_toxicity, score_toxicity, sentence_words
 from gridclimate.llm.token_files import byte_tokens, read_token_files, write_token_files
@@ -249,6 +250,17 @@ def test_near_groups_against_all_pairs(spark, share):
     assert [rows[i] for i in range(len(texts))] == root
 
 
+def test_a_key_means_one_pair_of_words():
+    """Words alike at other places than zero words make no common key."""
+    sketches = [np.array(w, "<u8").tobytes() for w in ([5, 7, 0], [5, 0, 9])]
+    batch = pa.RecordBatch.from_pydict(
+        {"node": [1, 2], "band": [3, 3], "lower": sketches, "upper": [b"", b""]}
+    )
+    (rows,) = slice_words(batch)
+    keys = rows.to_pandas().groupby("node")["key"].agg(set)
+    assert len(keys[1]) == len(keys[2]) == 3 and not keys[1] & keys[2]
+
+
 def test_bands_cover_all_similar_sizes():
     bands = Bands(90, 100)
     for small in range(1, 3000):
