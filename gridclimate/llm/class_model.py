@@ -3,9 +3,11 @@
 Every word belongs to one class; the probability of a text is the product of class transitions and
 of words given their class. Exchange clustering finds the classes of the frequent words: the most
 frequent ones are moved one by one, each to the class that gains the most likelihood, on their
-counted neighbours; the other frequent words are then moved at once, each to the class that its
-neighbours' classes in the whole corpus speak for. All remaining words, with those never seen,
-form one more class, and a transition from such a word starts from the last class before it.
+counted neighbours, and stay there. The other frequent words follow in batches: each goes to the
+class that gains the most likelihood on the classes of its neighbours in the whole corpus, and a
+batch is only kept if the likelihood, counted anew, is higher with it. All remaining words, with
+those never seen, form one more class, and a transition from such a word starts from the last
+class before it.
 
 All counts are over all training texts. The frequent words reach the executors in a table of
 bounded size; the counts of the others are joined.
@@ -166,11 +168,34 @@ def exchange(bigrams: np.ndarray, n_classes: int, sweeps: int = 8) -> np.ndarray
     return classes
 
 
-def association(transitions: np.ndarray) -> np.ndarray:
-    """Logarithm of how much likelier two classes follow each other than by chance."""
-    counts = transitions + 0.5
-    total = counts.sum()
-    return np.log(counts * total / (counts.sum(1, keepdims=True) * counts.sum(0, keepdims=True)))
+def likelihood(between: np.ndarray) -> float:
+    """Of class bigrams, as far as it depends on the classes."""
+    return float(xlogx(between).sum() - xlogx(between.sum(1)).sum() - xlogx(between.sum(0)).sum())
+
+
+def move_gains(
+    between: np.ndarray, before: np.ndarray, after: np.ndarray, again: np.ndarray, own: np.ndarray
+) -> np.ndarray:
+    """By word and class, the likelihood gained if that word alone moves there from its own class.
+
+    ``before`` and ``after`` count the classes of each word's neighbours other than itself,
+    ``again`` how often it follows itself.
+    """
+    at, again = np.arange(len(own)), again[:, None]
+    rest = np.repeat(between[None].astype(float), len(own), 0)
+    rest[at, own] -= after
+    rest[at, :, own] -= before
+    rest[at, own, own] -= again[:, 0]
+    corner = np.diagonal(rest, axis1=1, axis2=2)
+    out, into = rest.sum(2) + before, rest.sum(1) + after
+    row = xlogx(rest + after[:, None, :]) - xlogx(rest)
+    column = xlogx(rest + before[:, :, None]) - xlogx(rest)
+    gain = row.sum(2) - np.diagonal(row, axis1=1, axis2=2)
+    gain += column.sum(1) - np.diagonal(column, axis1=1, axis2=2)
+    gain += xlogx(corner + after + before + again) - xlogx(corner)
+    gain -= xlogx(out + after.sum(1, keepdims=True) + again) - xlogx(out)
+    gain -= xlogx(into + before.sum(1, keepdims=True) + again) - xlogx(into)
+    return gain - gain[at, own][:, None]
 
 
 @dataclass
@@ -198,7 +223,8 @@ def fit_class_model(
     """The model of all texts, and the counts of all words (``word``, ``count``).
 
     The most frequent words of at most 64 bytes, up to ``listed``, are broadcast, 19 MB at most; the
-    ``classed`` first of them take part in clustering, the ``core`` first one by one. NULL texts
+    ``classed`` first of them take part in clustering, the ``core`` first one by one, the others in
+    batches. NULL texts
     count as empty. Without texts every word is unknown and the model is the base.
     """
     texts = docs.select(F.col(f"`{text}`").alias("text"))
@@ -224,18 +250,7 @@ def fit_class_model(
     classes[:core] = exchange(bigrams.reshape(core, core).astype(float), n_classes)
     frequent = Frequent(words, seen, classes, n_classes)
     size = n_classes + 2
-
-    def class_pairs(reader: Reader, documents: list) -> np.ndarray:
-        found = reader.class_of[reader.read(documents)[0]]
-        return np.bincount(reader.states(found) * size + found, minlength=size * size)
-
-    def transitions(of: Frequent) -> np.ndarray:
-        return per_task(texts, context.broadcast(of), class_pairs, size * size).reshape(size, size)
-
-    pairs = transitions(frequent)
-    for _ in range(sweeps):
-        frequent = move_all(texts, frequent, pairs, classed)
-        pairs = transitions(frequent)
+    frequent, pairs = move_in_batches(texts, frequent, core, classed, sweeps)
     of_class = pairs.sum(0).astype(float)
     rest_words = distinct - 1 - int((frequent.classes < n_classes).sum())
     share = (of_class + 0.5) / (of_class.sum() + 0.5 * size)
@@ -275,45 +290,78 @@ def most_frequent(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray
     return [word for _, word in rows], np.array([count for count, _ in rows], np.int64)
 
 
-def move_all(texts: DataFrame, frequent: Frequent, pairs: np.ndarray, classed: int) -> Frequent:
-    """Each of the ``classed`` words to the class that its neighbours in all texts speak for."""
-    n_classes, size = frequent.n_classes, frequent.n_classes + 2
-    tie = association(pairs)
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+def neighbours(
+    texts: DataFrame, frequent: Frequent, low: int, high: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Transitions from states to classes, class bigrams, and of the words from ``low`` below
+    ``high`` the arguments of ``move_gains``: one pass over all texts."""
+    size, many = frequent.n_classes + 2, high - low
+    table, square = many * size, size * size
 
-    def speak(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = shared.value.reader()
-        before, after = (np.zeros(classed * size, np.int64) for _ in range(2))
-        for batch in slices(batches):
-            places, _ = reader.read(batch.column(0).to_pylist())
-            found = reader.class_of[places]
-            here = (places >= 0) & (places < classed)
-            before += np.bincount(
-                places[here] * size + reader.states(found)[here], minlength=len(before)
-            )
-            here[-1:] = False
-            at = np.flatnonzero(here)
-            after += np.bincount(places[at] * size + found[at + 1], minlength=len(after))
-        before, after = before.reshape(-1, size), after.reshape(-1, size)
-        some = np.flatnonzero(before.any(1))
-        voices = (before[some] @ tie + after[some] @ tie.T)[:, :n_classes]
-        for part in np.array_split(np.arange(len(some)), max(1, len(some) // 4096)):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some[part]), pa.array(list(voices[part]), pa.list_(pa.float64()))],
-                ["place", "voices"],
-            )
+    def count(reader: Reader, documents: list) -> np.ndarray:
+        places, _ = reader.read(documents)
+        found = reader.class_of[places]
+        previous = np.concatenate([[reader.end], found[:-1]])
+        at = np.flatnonzero((places >= low) & (places < high))
+        place, own = places[at], places[at] - low
+        # An end is behind each text, so a word has a next one; the first may have none before.
+        to_itself = places[at + 1] == place
+        from_itself = (at > 0) & (places[at - 1] == place)
+        return np.concatenate(
+            [
+                np.bincount(reader.states(found) * size + found, minlength=square),
+                np.bincount(previous * size + found, minlength=square),
+                np.bincount((own * size + previous[at])[~from_itself], minlength=table),
+                np.bincount((own * size + found[at + 1])[~to_itself], minlength=table),
+                np.bincount(own[to_itself], minlength=many),
+            ]
+        )
 
-    # Rounded to integers, sums don't depend on the order in which tasks are merged.
-    summed = [F.sum(F.round(F.col("voices")[k] * 1024).cast("long")) for k in range(n_classes)]
-    best = (
-        texts.mapInArrow(speak, "place long, voices array<double>")
-        .groupBy("place").agg(F.array(*summed).alias("voices"))
-        .select("place", (F.array_position("voices", F.array_max("voices")) - 1).alias("best"))
-        .toArrow()
+    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+    total = per_task(texts, shared, count, 2 * square + 2 * table + many)
+    pairs, between, before, after, again = np.split(
+        total, np.cumsum([square, square, table, table])
     )
-    classes = frequent.classes.copy()
-    classes[best.column("place").to_numpy()] = best.column("best").to_numpy()
-    return Frequent(frequent.words, frequent.counts, classes, n_classes)
+    return (
+        pairs.reshape(size, size), between.reshape(size, size),
+        before.reshape(many, size), after.reshape(many, size), again,
+    )
+
+
+def move_in_batches(
+    texts: DataFrame, frequent: Frequent, core: int, classed: int, sweeps: int
+) -> tuple[Frequent, np.ndarray]:
+    """The words from ``core`` below ``classed`` in classes, and the transitions.
+
+    In the first sweep batches grow fourfold, as the more frequent words say more about the others.
+    Words of a batch are moved at once; while that doesn't raise the likelihood of all class
+    bigrams, counted anew, the half of the moves that gains less is taken back.
+    """
+    n_classes, batches, low = frequent.n_classes, [], core
+    while low < classed and sweeps:
+        high = min(classed, max(4 * low, 1))
+        batches.append((low, high))
+        low = high
+    batches += [(core, classed)] * (sweeps - 1 if core < classed else 0) + [(classed, classed)]
+    pairs, between, *counted = neighbours(texts, frequent, *batches[0])
+    for (low, high), following in zip(batches, batches[1:]):
+        best, gains = np.zeros(high - low, np.int64), np.zeros(high - low)
+        for part in np.array_split(np.arange(high - low), (high - low) // 512 + 1):
+            own = frequent.classes[low + part]
+            gain = move_gains(between, *[c[part] for c in counted], own)
+            best[part] = gain[:, :n_classes].argmax(1)
+            gains[part] = gain[:, :n_classes].max(1)
+        moves = np.argsort(-gains, kind="stable")[: (gains > 1e-6).sum()]
+        while True:
+            classes = frequent.classes.copy()
+            classes[low + moves] = best[moves]
+            moved = Frequent(frequent.words, frequent.counts, classes, n_classes)
+            new_pairs, new_between, *new_counted = neighbours(texts, moved, *following)
+            if not len(moves) or likelihood(new_between) > likelihood(between):
+                break
+            moves = moves[: len(moves) // 2]
+        frequent, pairs, between, counted = moved, new_pairs, new_between, new_counted
+    return frequent, pairs
 
 
 SCORED = (

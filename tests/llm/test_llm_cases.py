@@ -14,7 +14,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gridclimate.llm.class_model import exchange, fit_class_model, score_texts, xlogx
+from gridclimate.llm.class_model import (
+    exchange, fit_class_model, likelihood, move_gains, score_texts, xlogx
+)
 from gridclimate.llm.components import components
 from gridclimate.llm.content_sort import content_groups, drop_exact_copies
 from gridclimate.llm.cover_tree import near_vectors
@@ -203,6 +205,43 @@ def test_exchange_moves_each_word_to_the_best_class():
         assert (exchange(bigrams, 3, sweeps=1) == classes).all()
 
 
+def class_bigrams(bigrams, classes, n):
+    return np.eye(n)[classes].T @ bigrams @ np.eye(n)[classes]
+
+
+def test_gains_of_moves_are_likelihoods():
+    for seed in range(5):
+        bigrams = np.random.default_rng(seed).integers(0, 9, (9, 9)).astype(float)
+        classes = np.arange(9) % 4
+        alone = bigrams - np.diag(np.diag(bigrams))
+        before, after = alone.T @ np.eye(4)[classes], alone @ np.eye(4)[classes]
+        between = class_bigrams(bigrams, classes, 4)
+        gains = move_gains(between, before, after, np.diag(bigrams), classes)
+        for w in range(9):
+            for c in range(4):
+                moved = class_bigrams(bigrams, np.where(np.arange(9) == w, c, classes), 4)
+                assert gains[w, c] == pytest.approx(likelihood(moved) - likelihood(between), abs=1e-8)
+
+
+def test_moves_keep_the_core_and_raise_the_likelihood(spark):
+    rng = random.Random(3)
+    kinds = [[f"{k}{i}" for i in range(30)] for k in "abc"]
+    draw = lambda k: kinds[k % 3][min(29, int(rng.expovariate(0.15)))]
+    texts = [" ".join(draw(k) for k in range(rng.randrange(60))) for _ in range(80)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    frequent = fit_class_model(docs, core=9, n_classes=3, classed=80)[0].frequent
+    reader, n = frequent.reader(), len(frequent.words) + 2
+    places = np.concatenate([[n - 2], reader.read(texts)[0]])
+    bigrams = np.zeros((n, n))
+    np.add.at(bigrams, (places[:-1], places[1:]), 1)
+    core = exchange(bigrams[:9, :9], 3)
+    assert frequent.classes[:9].tolist() == core.tolist()
+    start = np.concatenate([core, np.full(n - 11, frequent.rest), [frequent.end, frequent.rest]])
+    value = lambda classes: likelihood(class_bigrams(bigrams, classes, 5))
+    assert value(reader.class_of) > value(start)
+    assert (frequent.classes[80:] == frequent.rest).all()
+
+
 # --- op7, op9: near duplicates --------------------------------------------------------------------
 
 
