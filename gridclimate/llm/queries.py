@@ -12,6 +12,7 @@ from .golden_mix import mix
 from .labelled import id_remainder
 from .neighbour_quality import fit_quality, score_quality
 from .parity_join import near_duplicates
+from .periodic_runs import find_runs
 from .piece_encoding import encode_pieces
 from .shipping import send_package
 from .sentence_toxicity import fit_toxicity, score_toxicity
@@ -110,6 +111,44 @@ def op10_crf_pii(spark, sf_dir):
     )
 
 
+def planted_runs(doc_id, text):
+    """The words of a text with a periodic end for a tenth of the identifiers, else the text."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
+    n = F.size(words)
+    a = (g % F.greatest(n, F.lit(1))).cast("int")
+    rest = n - a
+    p = (1 + F.floor(rest / (3 + g % 8))).cast("int")
+    times = F.ceil(rest / p).cast("int")
+    end = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), F.lit(1), rest)
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), a), end), " ")
+    return F.when((h % 10 == 0) & (n > 0), planted).otherwise(text)
+
+
+def op12_diagonal_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    text = planted_runs(F.col("doc_id"), F.coalesce("text", F.lit("")))
+    found = find_runs(docs, keep=["doc_id"], column=text)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    # The greatest of (length, -start, -period).
+    order = F.transform(
+        "runs", lambda r: F.struct(r.length.alias("n"), (-r.start).alias("s"), (-r.period).alias("p"))
+    )
+    found = found.select("*", F.array_max(order).alias("best"))
+    return found.select(
+        "row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.n").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.floor(F.col("best.n") * 1000 / -F.col("best.p")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256)
+        .alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 OP8_SQL = r"""
 WITH texts AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -143,12 +182,78 @@ FROM (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a)
 LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)"""
 
 
+OP12_SQL = r"""
+WITH split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                             lambda x: x <> '') AS w,
+         xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(
+             string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+           lambda c, b: list_reduce(
+             list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+             lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT)
+                               ELSE x >> 1 END))) AS h
+  FROM documents
+),
+numbered AS (SELECT *, len(w) AS n, h // 10 AS g FROM split),
+placed AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM numbered),
+planted AS (
+  SELECT doc_id, n,
+         CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+                w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END])
+              ELSE w END AS w
+  FROM placed
+),
+tokens AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM planted),
+grams AS (
+  SELECT doc_id, n, i, list(word) OVER (PARTITION BY doc_id ORDER BY i
+                                        ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS gram
+  FROM tokens
+),
+pairs AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM grams x JOIN grams y
+  ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i AND 4 * (y.i - x.i) <= x.n
+  WHERE x.i + 5 <= x.n AND y.i + 5 <= y.n
+),
+islands AS (
+  SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island
+  FROM pairs
+),
+stretches AS (
+  SELECT doc_id, min(i) AS start, count(*) + 4 + q AS length, q AS period
+  FROM islands GROUP BY doc_id, q, island HAVING count(*) + 4 + q >= greatest(6, 4 * q)
+),
+runs AS (
+  SELECT * FROM stretches s WHERE NOT EXISTS (
+    SELECT 1 FROM stretches t WHERE t.doc_id = s.doc_id AND t.period < s.period
+    AND t.start <= s.start AND t.start + t.length >= s.start + s.length)
+),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs,
+         string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period)
+           AS lines,
+         first(struct_pack(start, length, period) ORDER BY length DESC, start, period) AS best
+  FROM runs GROUP BY doc_id
+),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS words FROM tokens
+  WHERE NOT EXISTS (
+    SELECT 1 FROM runs WHERE runs.doc_id = tokens.doc_id
+    AND tokens.i >= runs.start + runs.period AND tokens.i < runs.start + runs.length)
+  GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS "start", best.length AS "length",
+       best.period AS "period", 1000 * best.length // best.period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(words, '')) AS collapsed_sha256
+FROM planted LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
 def queries():
     return {
         q.__name__: q
-        for q in (op1_neighbour_quality, op2_piece_encoding, op3_sentence_toxicity, op4_token_files, op5_golden_mix, op6_class_model, op7_parity_join, op8_content_sort, op9_cover_tree, op10_crf_pii)
+        for q in (op1_neighbour_quality, op2_piece_encoding, op3_sentence_toxicity, op4_token_files, op5_golden_mix, op6_class_model, op7_parity_join, op8_content_sort, op9_cover_tree, op10_crf_pii, op12_diagonal_runs)
     }
 
 
 def oracle_sql():
-    return {"op8_content_sort": OP8_SQL, "op9_cover_tree": OP9_SQL}
+    return {"op8_content_sort": OP8_SQL, "op9_cover_tree": OP9_SQL, "op12_diagonal_runs": OP12_SQL}
