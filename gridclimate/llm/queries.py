@@ -10,6 +10,7 @@ from .cover_tree import near_vectors
 from .crf_pii import KINDS, find_personal_data
 from .golden_mix import mix
 from .labelled import id_remainder
+from .learned_partitions import nearest_vectors
 from .neighbour_quality import fit_quality, score_quality
 from .parity_join import near_duplicates
 from .periodic_runs import find_runs
@@ -149,6 +150,11 @@ def op12_diagonal_runs(spark, sf_dir):
     )
 
 
+def op13_learned_partitions(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest_vectors(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 OP8_SQL = r"""
 WITH texts AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -251,7 +257,7 @@ FROM planted LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 def queries():
     return {
         q.__name__: q
-        for q in (op1_neighbour_quality, op2_piece_encoding, op3_sentence_toxicity, op4_token_files, op5_golden_mix, op6_class_model, op7_parity_join, op8_content_sort, op9_cover_tree, op10_crf_pii, op12_diagonal_runs)
+        for q in (op1_neighbour_quality, op2_piece_encoding, op3_sentence_toxicity, op4_token_files, op5_golden_mix, op6_class_model, op7_parity_join, op8_content_sort, op9_cover_tree, op10_crf_pii, op12_diagonal_runs, op13_learned_partitions)
     }
 
 
