@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .class_model import fit_class_model, score_texts
+from .collocations import collocations
 from .content_sort import content_groups
 from .cover_tree import near_vectors
 from .crf_pii import KINDS, find_personal_data
@@ -112,6 +113,10 @@ def op10_crf_pii(spark, sf_dir):
     )
 
 
+def op11_stripes(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def planted_runs(doc_id, text):
     """The words of a text with a periodic end for a tenth of the identifiers, else the text."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
@@ -188,6 +193,54 @@ FROM (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a)
 LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)"""
 
 
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM pieces
+),
+totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+places AS (
+  SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+  FROM words, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m
+),
+frequent AS (
+  SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM places GROUP BY ALL HAVING count(*) >= 100
+),
+cuts AS (
+  SELECT lang, m, phrase, f, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k
+  FROM frequent WHERE m > 1
+),
+parts AS (
+  SELECT lang, m, phrase, f, k, array_to_string(w[1 : k], ' ') AS x,
+         array_to_string(w[k + 1 : m], ' ') AS y
+  FROM cuts
+),
+scored AS (
+  SELECT p.lang, p.m, p.phrase, p.f AS a, x.f AS l, y.f AS r, n, k,
+         CAST(1000 AS HUGEINT) * p.f * n // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM parts p JOIN frequent x ON x.lang = p.lang AND x.phrase = p.x
+  JOIN frequent y ON y.lang = p.lang AND y.phrase = p.y JOIN totals t ON t.lang = p.lang
+),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+kept AS (
+  SELECT * FROM lowest s WHERE NOT EXISTS (
+    SELECT 1 FROM frequent f WHERE f.lang = s.lang AND f.m > s.m AND 100 * f.f >= 100 * s.a
+    AND contains(concat(' ', f.phrase, ' '), concat(' ', s.phrase, ' ')))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept QUALIFY rank <= 2000"""
+
+
 OP12_SQL = r"""
 WITH split AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
@@ -257,9 +310,9 @@ FROM planted LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 def queries():
     return {
         q.__name__: q
-        for q in (op1_neighbour_quality, op2_piece_encoding, op3_sentence_toxicity, op4_token_files, op5_golden_mix, op6_class_model, op7_parity_join, op8_content_sort, op9_cover_tree, op10_crf_pii, op12_diagonal_runs, op13_learned_partitions)
+        for q in (op1_neighbour_quality, op2_piece_encoding, op3_sentence_toxicity, op4_token_files, op5_golden_mix, op6_class_model, op7_parity_join, op8_content_sort, op9_cover_tree, op10_crf_pii, op11_stripes, op12_diagonal_runs, op13_learned_partitions)
     }
 
 
 def oracle_sql():
-    return {"op8_content_sort": OP8_SQL, "op9_cover_tree": OP9_SQL, "op12_diagonal_runs": OP12_SQL}
+    return {"op8_content_sort": OP8_SQL, "op9_cover_tree": OP9_SQL, "op11_stripes": OP11_SQL, "op12_diagonal_runs": OP12_SQL}
