@@ -1,10 +1,32 @@
 """Connected components of links, by hooking and contraction."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .stored import stored
 
+SALTS = 16  # parts that the rows of one component are dealt out to
+
+
+def salts() -> Column:
+    """All parts: each row is copied to every one of them."""
+    return F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+
+
+def salt(*columns: str) -> Column:
+    """The part of a row."""
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+
+
+def with_least(rows: DataFrame, root: str, id: str) -> DataFrame:
+    """The rows with the smallest ``id`` of their ``root`` as ``least``; NULL without a root.
+
+    The smallest ones are merged before the shuffle, and the rows of one root are dealt out.
+    """
+    least = rows.where(F.col(root).isNotNull()).groupBy(root).agg(F.min(id).alias("least"))
+    least = least.select(root, "least", salts())
+    return rows.withColumn("salt", salt(id)).join(least, [root, "salt"], "left").drop("salt")
+
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """``node`` and ``root`` for every node of the links ``a``, ``b``; one root per component.
@@ -45,10 +67,9 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         if labels is None:
             labels = hooked.select(F.col("a").alias("node"), F.col("p").alias("root"))
         else:
-            moved = hooked.select(F.col("a").alias("root"), "p")
-            labels = labels.join(moved, "root", "left").select(
-                "node", F.coalesce("p", "root").alias("root")
-            )
+            moved = hooked.select(F.col("a").alias("root"), "p", salts())
+            labels = labels.withColumn("salt", salt("node")).join(moved, ["root", "salt"], "left")
+            labels = labels.select("node", F.coalesce("p", "root").alias("root"))
         labels = stored(labels, f"{name}_{round}_labels")
         round += 1
     if labels is None:

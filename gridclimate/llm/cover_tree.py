@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, with_least
 from .stored import stored
 
 BLOCK = 2048
@@ -379,9 +379,8 @@ def near_vectors(
         rows.select("id", "node").join(counts, "node", "left").join(labels, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
     )
-    least = found.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("least"))
     component = F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least"))
-    return found.join(least, "root", "left").select(
+    return with_least(found, "root", "id").select(
         "id",
         F.coalesce(F.col("links") - 1, F.lit(0)).alias("n_links"),
         component.alias("component_id"),

@@ -6,13 +6,19 @@ is at least ``p / q`` differ in at most ``(a + b) * (q - p) / (q + p)``. Sizes f
 narrow that similar sets lie in the same or in neighbouring bands; each two neighbouring bands
 have sketches with more parts than half that bound, so similar sets have a part in which they
 differ in one member at most (pigeonhole). A part has three 64-bit words, of which that member can
-change but one: an equi-join on each two words of each part finds all similar sets. The Hamming
-distance of the sketches then discards most of the others, and the sets themselves decide.
+change but one: an equi-join on each two words of each part finds all similar sets.
+
+Sketches never travel. Their keys do, packed in blocks of a bucket of keys, and their folds: words
+of a sketch XORed together into a few, about four bits for each member that similar sets may differ
+in. Folds differ in no more bits than sketches, so they discard most of the other pairs. The sets
+themselves decide; they are made anew from the texts, and each goes to a few tasks only, where all
+pairs of its tile are verified and a pair that is connected already is passed over.
 
 Equal sets are one node throughout. A key shared by many sets does not give all pairs: its first
 set is paired with each other one. Once the links of these have been merged, only sets of
 different components that share a key are still open. Few of them are paired directly; of many,
-blocks of sketches are compared inside tasks and only pairs within the bound leave a task.
+tiles of sets are compared inside tasks. What leaves a task are links that connect, fewer than the
+sets of its tile.
 
 Sets and n-grams are known by hashes of 64 bits.
 """
@@ -25,17 +31,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import slices
-from .components import components
+from .arrow import slices, slices_of_bytes
+from .components import components, with_least
 from .stored import stored
 
 WORDS = 3  # of 64 bits in each part of a sketch
 TWO = ((0, 1), (0, 2), (1, 2))
-HOT = 64  # rows of one key in a slice of a batch from which they are paired before the shuffle
+FOLD_BITS = 4  # for each member that similar sets may differ in
+HOT = 64  # entries of one key in what a task sends on from which they are paired there
 FEW = 32  # sets sharing a key up to which they are paired by their identifiers alone
-TILE = 1024
-BLOOM_BITS = 1 << 24
-BLOOM_SHIFTS = (0, 20, 40)
+KEYS = 1 << 21  # that a task holds before it sends them on
+TILE_MEMBERS = 1 << 19  # of all sets on one side of a tile
+TILE_SETS = 512
+MOST_BITS = 1 << 26  # of a table of nodes
+BLOOM_SHIFTS = (0, 20, 38)
+
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """The finishing steps of a 64-bit hash."""
@@ -91,19 +101,34 @@ class Bands:
         most = self.apart(2 * (self.edges[group + 2] - 1))
         return most // 2 + 1 if most else 0
 
-    def sketch(self, found: np.ndarray, group: int) -> bytes:
+    def sketch(self, found: np.ndarray, group: int) -> np.ndarray:
+        """Words of the sketch of a set for the bands ``group`` and ``group + 1``."""
         bits = 64 * WORDS * self.parts(group)
-        if not bits:
-            return b""
-        odd = np.bincount((found % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
-        return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+        odd = np.bincount((found % np.uint64(max(bits, 1))).astype(np.int64), minlength=bits) & 1
+        return np.packbits(odd[:bits].astype(np.uint8), bitorder="little").view("<u8")
+
+    def fold(self, sketch: np.ndarray, group: int) -> np.ndarray:
+        """Fewer words whose distance never exceeds that of the sketches."""
+        if not len(sketch):
+            return sketch
+        words = -(-FOLD_BITS * self.apart(2 * (self.edges[group + 2] - 1)) // 64)
+        padded = np.zeros(-(-len(sketch) // words) * words, np.uint64)
+        padded[: len(sketch)] = sketch
+        return np.bitwise_xor.reduce(padded.reshape(-1, words), axis=0)
+
+    def similar(self, x: np.ndarray, y: np.ndarray) -> bool:
+        """Whether two sets, sorted, are similar."""
+        both = np.concatenate([x, y])
+        both.sort(kind="stable")
+        common = int((both[1:] == both[:-1]).sum())
+        return common * self.q >= (len(both) - common) * self.p
 
 
 SETS = "node long, size long, band int, lower binary, upper binary"
 
 
 def document_sets(docs: DataFrame, bands: Bands, width: int, text: str, id: str) -> DataFrame:
-    """Identifier, node (hash of the set; NULL if empty), size, band and both sketches."""
+    """Identifier, node (hash of the set; NULL if empty), size, band and the folds of both sketches."""
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,8 +140,8 @@ def document_sets(docs: DataFrame, bands: Bands, width: int, text: str, id: str)
                     out.append((None, 0, None, None, None))
                     continue
                 band = bands.band(len(found))
-                lower, upper = (bands.sketch(found, g) for g in (band - 1, band))
-                out.append((set_id(found), len(found), band, lower, upper))
+                folds = [bands.fold(bands.sketch(found, g), g).tobytes() for g in (band - 1, band)]
+                out.append((set_id(found), len(found), band, *folds))
             node, size, band, lower, upper = zip(*out) if out else ([],) * 5
             yield pa.RecordBatch.from_arrays(
                 [
@@ -133,170 +158,221 @@ def document_sets(docs: DataFrame, bands: Bands, width: int, text: str, id: str)
     return rows.mapInArrow(make, f"id {rows.schema['id'].dataType.simpleString()}, {SETS}")
 
 
+def made_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict[int, np.ndarray]]:
+    """The different sets of some texts at a time, by node; texts are the first column."""
+    for batch in slices_of_bytes(batches, 0):
+        made = (shingles(document, width) for document in batch.column(0).to_pylist())
+        yield {set_id(found): found for found in made if len(found)}
+
+
+def sketch_keys(sketch: np.ndarray, group: int) -> np.ndarray:
+    """A hash of group, place and words for each two words of each part."""
+    words = sketch.reshape(-1, WORDS)
+    place = mixed(np.arange(len(words), dtype=np.uint64) * np.uint64(1024) + np.uint64(group + 1))
+    out = []
+    for k, (i, j) in enumerate(TWO, 1):
+        # Also told apart by k when the second word is zero.
+        here = mixed(words[:, i] ^ mixed(place + np.uint64(k)))
+        out.append(mixed(here + words[:, j] * np.uint64(2 * k + 1)))
+    return np.concatenate(out)
+
+
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Beginnings and lengths of the runs of equal neighbours."""
     begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else keys
     return begins, np.diff(np.append(begins, len(keys)))
 
 
-BUCKETS = "key long, node long, first long, group int"
-
+BLOCK = "bucket int, keys binary, places binary, firsts binary, nodes binary, groups binary"
+LOW = np.uint64((1 << 40) - 1)  # five bytes of a key are sent, its bucket tells most of the rest
 
-def _bucket_batch(keys, nodes, firsts, groups) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(keys, pa.int64()),
-            pa.array(nodes, pa.int64()),
-            firsts if isinstance(firsts, pa.Array) else pa.array(firsts, pa.int64()),
-            pa.array(groups, pa.int32()),
-        ],
-        ["key", "node", "first", "group"],
-    )
 
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets ascend with the keys."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
-def slice_words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    seen, keys, nodes, groups = set(), [], [], []
-    for node, band, *sketches in zip(*(c.to_pylist() for c in batch.columns)):
-        if node in seen:
-            continue
-        seen.add(node)
-        for group, sketch in zip((band - 1, band), sketches):
-            if sketch:
-                words = np.frombuffer(sketch, "<u8").astype(np.uint64).reshape(-1, WORDS)
-                place = mixed(np.arange(len(words), dtype=np.uint64) * np.uint64(1024)
-                              + np.uint64(group + 1))
-                for k, (i, j) in enumerate(TWO, 1):
-                    # Also told apart by k when the second word is zero.
-                    here = mixed(words[:, i] ^ mixed(place + np.uint64(k)))
-                    keys.append(mixed(here + words[:, j] * np.uint64(2 * k + 1)))
-                nodes.append(np.full(len(TWO) * len(words), node, np.int64))
-                groups.append(np.full(len(TWO) * len(words), group, np.int32))
-    if not keys:
-        return
-    keys = np.concatenate(keys).view(np.int64)
-    nodes, groups = np.concatenate(nodes), np.concatenate(groups)
-    order = np.lexsort((nodes, keys))
-    keys, nodes, groups = keys[order], nodes[order], groups[order]
-    begins, lengths = _runs(keys)
-    hot = np.repeat(lengths >= HOT, lengths)
-    hot[begins] = False
-    firsts = np.repeat(nodes[begins], lengths)
-    yield _bucket_batch(keys, nodes, pa.array(firsts, pa.int64(), mask=~hot), groups)
-
-
-def sketch_words(sets: DataFrame) -> DataFrame:
-    """A row for each two words of each part: ``key`` (hash of group, place and words) and node.
-
-    Rows that share a key within a slice are paired with their first one at once (``first``) if
-    they are many, so a very frequent key sends few rows on for pairing.
-    """
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            yield from slice_words(batch)
+def key_number(low: np.ndarray, bucket: np.ndarray | int) -> np.ndarray:
+    return mixed(low + mixed(np.atleast_1d(bucket).astype(np.uint64)))
 
-    rows = sets.where("node IS NOT NULL").select("node", "band", "lower", "upper")
-    return rows.mapInArrow(make, BUCKETS)
 
+class KeyBlocks:
+    """Keys of some sets, sent on as a block for each bucket.
 
-def shared_words(words: DataFrame) -> DataFrame:
-    """Nodes that share a key with another: one row per key and node, paired with the first.
-
-    The rows of a key are read in order, one batch at a time; those that have been paired already
-    are dealt out evenly and only pass.
+    A key that many of them share is paired here: its first set goes to the key's bucket, the
+    others are dealt out with it, so a very frequent key sends few entries to one place.
     """
 
+    def __init__(self, buckets: int):
+        self.buckets = buckets
+        self.begin()
+
+    def begin(self) -> None:
+        self.keys, self.sizes, self.nodes, self.groups, self.count = [], [], [], [], 0
+        self.seen: set[int] = set()
+
+    def add(self, node: int, keys: np.ndarray, group: int) -> None:
+        self.keys.append(keys)
+        self.sizes.append(len(keys))
+        self.nodes.append(node)
+        self.groups.append(group)
+        self.count += len(keys)
+
+    def packed(self) -> Iterator[pa.RecordBatch]:
+        if not self.count:
+            return
+        keys = np.concatenate(self.keys)
+        places = np.repeat(np.arange(len(self.nodes), dtype=np.uint32), self.sizes)
+        nodes, groups = np.array(self.nodes, np.int64), np.array(self.groups, np.int32)
+        self.begin()
+        order = np.argsort(keys, kind="stable")
+        keys, places = keys[order], places[order]
+        begins, lengths = _runs(keys)
+        hot = np.repeat(lengths >= HOT, lengths)
+        hot[begins] = False
+        firsts = np.repeat(places[begins], lengths)
+        yield self.blocks(keys[~hot], places[~hot], None, bucket_of(keys[~hot], self.buckets), nodes, groups)
+        if hot.any():
+            keys, places, firsts = keys[hot], places[hot], firsts[hot]
+            dealt = bucket_of(mixed(nodes[places].view(np.uint64)), self.buckets)
+            order = np.argsort(dealt, kind="stable")
+            yield self.blocks(keys[order], places[order], firsts[order], dealt[order], nodes, groups)
+
+    def blocks(self, keys, places, firsts, buckets, nodes, groups) -> pa.RecordBatch:
+        begins, lengths = _runs(buckets)
+        out = []
+        for begin, length in zip(begins.tolist(), lengths.tolist()):
+            here = slice(begin, begin + length)
+            both = places[here] if firsts is None else np.concatenate([places[here], firsts[here]])
+            own, index = np.unique(both, return_inverse=True)
+            index = index.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32)
+            size = 5 if firsts is None else 8  # a key that is dealt out isn't told by its bucket
+            sent = keys[here].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]
+            out.append((int(buckets[begin]), sent.tobytes(), index[:length].tobytes(),
+                        index[length:].tobytes(), nodes[own].tobytes(), groups[own].tobytes()))
+        columns = zip(*out) if out else ([],) * 6
+        kinds = [pa.int32(), *[pa.binary()] * 5]
+        names = ["bucket", "keys", "places", "firsts", "nodes", "groups"]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
+def key_blocks(docs: DataFrame, bands: Bands, width: int, text: str, buckets: int) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key = first = None
-        for batch in batches:
-            paired = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
-            if paired.any():
-                yield batch.filter(pa.array(paired))
-            keys, nodes, _, groups = (
-                c.to_numpy(zero_copy_only=False)[~paired] for c in batch.columns
-            )
-            if not len(keys):
-                continue
-            begins, lengths = _runs(keys)
-            heads = nodes[begins].copy()
-            if keys[0] == last_key:
-                heads[0] = first
-            firsts = np.repeat(heads, lengths)
-            last_key, first = keys[-1], heads[-1]
-            here = (nodes != firsts) & np.concatenate(
-                [[True], (nodes[1:] != nodes[:-1]) | (keys[1:] != keys[:-1])]
-            )
-            yield _bucket_batch(keys[here], nodes[here], firsts[here], groups[here])
-
-    spread = F.when(F.col("first").isNotNull(), F.xxhash64("node"))
-    dealt = words.withColumn("spread", spread).repartition("key", "spread")
-    in_order = dealt.sortWithinPartitions("key", "node").select("key", "node", "first", "group")
-    return in_order.mapInArrow(make, BUCKETS)
+        blocks = KeyBlocks(buckets)
+        for sets in made_sets(batches, width):
+            for node, found in sets.items():
+                if node in blocks.seen:
+                    continue
+                blocks.seen.add(node)
+                band = bands.band(len(found))
+                for group in (band - 1, band):
+                    sketch = bands.sketch(found, group)
+                    if len(sketch):
+                        blocks.add(node, sketch_keys(sketch, group), group)
+                if blocks.count > KEYS:
+                    yield from blocks.packed()
+        yield from blocks.packed()
+
+    return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(make, BLOCK)
+
+
+def block_entries(row: dict, buckets: int):
+    """Key, node, first node (NULL mask where it isn't known) and group of a block's entries."""
+    nodes, groups = np.frombuffer(row["nodes"], "<i8"), np.frombuffer(row["groups"], "<i4")
+    kind = np.uint16 if len(nodes) <= 1 << 16 else np.uint32
+    places, firsts = np.frombuffer(row["places"], kind), np.frombuffer(row["firsts"], kind)
+    sent = np.frombuffer(row["keys"], np.uint8).reshape(len(places), -1)
+    keys = np.zeros((len(places), 8), np.uint8)
+    keys[:, : sent.shape[1]] = sent
+    keys = keys.view("<u8").ravel()
+    bucket = bucket_of(keys, buckets) if len(firsts) else row["bucket"]
+    number = key_number(keys & LOW, bucket).view(np.int64)
+    return number, nodes[places], nodes[firsts] if len(firsts) else None, groups[places]
+
+
+SHARED = "key long, node long, first long, group int"
+
+
+def shared_keys(blocks: DataFrame, buckets: int) -> DataFrame:
+    """A row for each key and node that shares it with another: the key's first node, the group."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        plain, paired = [], []
+        for row in table.to_pylist():
+            entries = block_entries(row, buckets)
+            (plain if entries[2] is None else paired).append(entries)
+        out = [tuple(np.concatenate(c) for c in zip(*paired))] if paired else []
+        if plain:
+            key, node, group = (np.concatenate([e[k] for e in plain]) for k in (0, 1, 3))
+            order = np.lexsort((node, key))
+            key, node, group = key[order], node[order], group[order]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+            key, node, group = key[new], node[new], group[new]
+            begins, lengths = _runs(key)
+            some = np.repeat(lengths > 1, lengths)
+            first = np.repeat(node[begins], lengths)
+            out.append((key[some], node[some], first[some], group[some]))
+        columns = [np.concatenate(c) for c in zip(*out)]
+        return pa.table(dict(zip(("key", "node", "first", "group"), columns)))
+
+    return blocks.groupBy("bucket").applyInArrow(merge, SHARED)
 
 
 class NodeFilter:
-    """Says which nodes may be among some, by a bit table of fixed size that Spark has merged.
+    """Says which nodes may be among some, by a bit table that Spark has merged.
 
-    It never leaves a node out, and lets more others pass when there are very many. A node is a
-    hash already; three parts of it are the places of its bits.
+    It never leaves a node out. Its bits grow with the nodes up to ``MOST_BITS``; with very many
+    more it lets others pass, which an exact join then drops. A node is a hash already; three parts
+    of it are the places of its bits.
     """
 
     def __init__(self, nodes: DataFrame):
-        bits = [F.shiftright("node", k).bitwiseAND(BLOOM_BITS - 1) for k in BLOOM_SHIFTS]
+        wanted = max(1 << 16, 16 * nodes.count())
+        self.bits = bits = min(MOST_BITS, 1 << (wanted - 1).bit_length())
+        places = [F.shiftrightunsigned("node", k).bitwiseAND(bits - 1) for k in BLOOM_SHIFTS]
         filled = (
-            nodes.select(F.explode(F.array(*bits)).alias("bit"))
+            nodes.select(F.explode(F.array(*places)).alias("bit"))
             .groupBy(F.shiftright("bit", 5).alias("place"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 AS int))")).alias("bits"))
             .toArrow()
         )
-        table = np.zeros(BLOOM_BITS // 32, np.uint32)
+        table = np.zeros(bits // 32, np.uint32)
         table[filled.column("place").to_numpy()] = filled.column("bits").to_numpy()
         self.table = nodes.sparkSession.sparkContext.broadcast(table)
 
     def passes(self, nodes: np.ndarray) -> np.ndarray:
         table, here = self.table.value, np.ones(len(nodes), bool)
+        nodes = nodes.view(np.uint64)
         for k in BLOOM_SHIFTS:
-            bit = (nodes >> k) & (BLOOM_BITS - 1)
-            here &= (table[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
+            bit = (nodes >> np.uint64(k)) & np.uint64(self.bits - 1)
+            here &= (table[bit >> np.uint64(5)] >> (bit & np.uint64(31)).astype(np.uint32)) & 1 == 1
         return here
 
 
-def sketches_of(wanted: DataFrame, sets: DataFrame) -> DataFrame:
-    """``node``, ``group``, ``size``, ``sketch`` of the nodes and groups in ``wanted``, once each."""
-    both = ["node", "group"]
-    wanted = wanted.select(*both).distinct()
-    maybe = NodeFilter(wanted)
-
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(maybe.passes(batch.column(0).to_numpy())))
-
-    columns = sets.where("node IS NOT NULL").select("node", "size", "band", "lower", "upper")
+def within_bound(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
+    """The pairs ``a``, ``b`` of a ``group`` whose sizes and folds are as near as similar sets' are."""
     each = F.explode(
         F.array(
-            F.struct((F.col("band") - 1).alias("group"), F.col("lower").alias("sketch")),
-            F.struct(F.col("band").alias("group"), F.col("upper").alias("sketch")),
+            F.struct((F.col("band") - 1).alias("group"), F.col("lower").alias("fold")),
+            F.struct(F.col("band").alias("group"), F.col("upper").alias("fold")),
         )
     ).alias("g")
-    rows = columns.mapInArrow(some, columns.schema).select("node", "size", each)
-    return (
-        rows.select("node", "g.group", "size", "g.sketch")
-        .join(wanted, both).dropDuplicates(both)
-    )
-
-
-def within_bound(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
-    """The pairs ``a``, ``b`` of a ``group`` whose sketches are as near as similar sets' are."""
-    needed = sketches_of(pairs.select(F.explode(F.array("a", "b")).alias("node"), "group"), sets)
-    of = lambda n: needed.select(
-        F.col("node").alias(n), "group", F.col("size").alias(f"size_{n}"),
-        F.col("sketch").alias(f"sketch_{n}"),
+    folds = sets.where("node IS NOT NULL").dropDuplicates(["node"]).select("node", "size", each)
+    of = lambda n: folds.select(
+        F.col("node").alias(n), F.col("g.group").alias("group"), F.col("size").alias(f"size_{n}"),
+        F.col("g.fold").alias(f"fold_{n}"),
     )
     joined = pairs.join(of("a"), ["a", "group"]).join(of("b"), ["b", "group"])
+    most = F.floor((F.col("size_a") + F.col("size_b")) * (bands.q - bands.p) / (bands.q + bands.p))
+    # Whole numbers below 2^53: the quotient can't be rounded up to the next one.
+    joined = joined.withColumn("most", most).where(
+        F.abs(F.col("size_a") - F.col("size_b")) <= F.col("most")
+    )
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, size_a, size_b, x, y = (c.to_pylist() for c in batch.columns)
+            x, y, most = (c.to_pylist() for c in batch.columns[2:])
             distance = np.array(
                 [
                     (int.from_bytes(p, "little") ^ int.from_bytes(q, "little")).bit_count()
@@ -304,102 +380,141 @@ def within_bound(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
                 ],
                 np.int64,
             )
-            most = np.array([bands.apart(m + n) for m, n in zip(size_a, size_b)], np.int64)
-            gap = np.abs(np.array(size_a, np.int64) - np.array(size_b, np.int64))
-            here = (distance <= most) & (gap <= most)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.array(a, np.int64)[here]),
-                    pa.array(np.array(b, np.int64)[here]),
-                    pa.array(distance[here]),
-                ],
-                ["a", "b", "distance"],
-            )
+            here = pa.array(distance <= np.array(most, np.int64))
+            kept = batch.select([0, 1]).append_column("distance", pa.array(distance))
+            yield kept.filter(here)
 
-    columns = joined.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b")
+    columns = joined.select("a", "b", "fold_a", "fold_b", "most")
     return columns.mapInArrow(check, "a long, b long, distance long")
 
 
-def similar(docs: DataFrame, pairs: DataFrame, bands: Bands, width: int, text: str) -> DataFrame:
-    """Of the pairs ``a``, ``b`` of sets those that are similar, found on the sets themselves.
-
-    The sets are made anew from the texts; only those that may be in a pair leave their task.
-    """
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def sets_of(nodes: DataFrame, docs: DataFrame, width: int, text: str) -> DataFrame:
+    """``node`` and ``members`` (sorted, packed) of the nodes, made anew from the texts."""
     maybe = NodeFilter(nodes)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            made = [shingles(document, width) for document in batch.column(0).to_pylist()]
-            made = [found for found in made if len(found)]
-            nodes = np.array([set_id(found) for found in made], np.int64)
-            here = np.flatnonzero(maybe.passes(nodes))
-            sets = {int(nodes[k]): made[k].view(np.int64) for k in here}
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sets.keys(), pa.int64()), pa.array(sets.values(), pa.list_(pa.int64()))],
-                ["node", "members"],
-            )
+        for sets in made_sets(batches, width):
+            here = np.fromiter(sets, np.int64, len(sets))
+            here = here[maybe.passes(here)]
+            packed = [sets[node].tobytes() for node in here.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(here), pa.array(packed, pa.binary())],
+                                             ["node", "members"])
 
     texts = docs.select(F.col(f"`{text}`").alias("text"))
-    sets = texts.mapInArrow(make, "node long, members array<long>").dropDuplicates(["node"])
-    joined = (
-        pairs.select("a", "b")
-        .join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
-    )
-    common = F.size(F.array_intersect("x", "y"))
-    union = F.size("x") + F.size("y") - common
-    return joined.where(common.cast("long") * bands.q >= union.cast("long") * bands.p).select(
-        "a", "b"
-    )
+    return texts.mapInArrow(make, "node long, members binary").dropDuplicates(["node"])
 
 
-def close_in_blocks(members: DataFrame, bands: Bands) -> DataFrame:
-    """Pairs of different components within the bound, of keys that many sets share.
+class Groups:
+    """Groups of nodes that links have joined."""
+
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def root(self, node: int) -> int:
+        above = self.above
+        while (up := above.get(node, node)) != node:
+            above[node] = node = above.get(up, up)
+        return node
+
+    def join(self, a: int, b: int) -> None:
+        self.above[self.root(a)] = self.root(b)
 
-    ``members`` has ``key``, ``node``, ``root``, ``size``, ``sketch`` and the key's ``count``. Each
-    key's sets are cut into tiles; two tiles are compared in one task. A pair is put out for the
-    first key only that its sketches share.
-    """
-    tiles = F.ceil(F.col("count") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("node"), tiles).cast("int")
-    pieces = members.select("key", "node", "root", "size", "sketch", own.alias("own"),
-                            F.explode(F.sequence(F.lit(0), tiles - 1)).alias("other"))
-    pieces = pieces.select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "node", "root", "size", "sketch", "own",
-    )
 
-    def compare(key, rows):
-        import pandas as pd
+def links_table(links: list[tuple[int, int]]) -> pa.Table:
+    pairs = np.array(links, np.int64).reshape(-1, 2)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-        i, j = key[1], key[2]
-        words = np.stack([np.frombuffer(s, "<u8") for s in rows["sketch"]])
 
-        def alike(some, one):
-            """Which keys are equal: two words of a part."""
-            same = (words[some] == words[one]).reshape(len(some), -1, WORDS)
-            return np.stack([same[..., i] & same[..., j] for i, j in TWO], 2).reshape(len(some), -1)
+def similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, bands: Bands, width: int, text: str,
+            name: str) -> DataFrame:
+    """Links ``a``, ``b`` that connect whatever similar pairs connect, found on the sets.
 
-        node, root, size = (rows[c].to_numpy() for c in ("node", "root", "size"))
-        own = rows["own"].to_numpy()
+    Pairs are verified together with those they hang together with, so that each set goes to one
+    task, or to the few that a large group is cut into.
+    """
+    groups = components(pairs, name).withColumnRenamed("root", "whole")
+    sizes = sets.where("node IS NOT NULL").groupBy("node").agg(F.max("size").alias("size"))
+    wanted = stored(groups.join(sizes, "node"), f"{name}_nodes")
+    tiles = F.greatest(F.ceil(F.sum("size") / TILE_MEMBERS), F.ceil(F.count("*") / (4 * TILE_SETS)))
+    cut = wanted.groupBy("whole").agg(tiles.cast("int").alias("tiles"))
+    own = F.pmod(F.xxhash64("node", F.lit(7)), "tiles").cast("int").alias("own")
+    placed = wanted.join(cut, "whole").select("node", "whole", own)
+    a = placed.select(F.col("node").alias("a"), "whole", F.col("own").alias("own_a"))
+    b = placed.select(F.col("node").alias("b"), F.col("own").alias("own_b"))
+    dealt = stored(
+        pairs.join(a, "a").join(b, "b").select(
+            "whole", F.least("own_a", "own_b").alias("i"), F.greatest("own_a", "own_b").alias("j"),
+            "a", "b", "distance",
+        ),
+        f"{name}_dealt",
+    )
+    places = ["whole", "i", "j"]
+    needed = dealt.select(*places, F.explode(F.array("a", "b")).alias("node")).distinct()
+    members = sets_of(wanted.select("node"), docs, width, text)
+    none = F.lit(None).cast("long")
+    rows = needed.join(members, "node").select(
+        *places, F.col("node").alias("a"), none.alias("b"), none.alias("distance"), "members"
+    ).unionByName(dealt.withColumn("members", F.lit(None).cast("binary")))
+
+    def verify(table: pa.Table) -> pa.Table:
+        held, todo = {}, []
+        columns = (table.column(c).to_pylist() for c in ("a", "b", "distance", "members"))
+        for a, b, distance, packed in zip(*columns):
+            if b is None:
+                held[a] = np.frombuffer(packed, "<u8")
+            else:
+                todo.append((distance, a, b))
+        joined, links = Groups(), []
+        for _, a, b in sorted(todo):
+            if joined.root(a) != joined.root(b) and bands.similar(held[a], held[b]):
+                joined.join(a, b)
+                links.append((a, b))
+        return links_table(links)
+
+    return rows.groupBy(*places).applyInArrow(verify, "a long, b long")
+
+
+def links_in_tiles(members: DataFrame, sets: DataFrame, docs: DataFrame, bands: Bands, width: int,
+                   text: str) -> DataFrame:
+    """Links between different components, of keys that many sets share.
+
+    ``members`` has ``key``, ``group``, ``node``, ``root``. Each key's sets are cut into tiles; two
+    tiles are compared in one task, and what it has connected is passed over from there on.
+    """
+    sizes = sets.where("node IS NOT NULL").groupBy("node").agg(F.max("size").alias("size"))
+    wanted = stored(members.join(sizes, "node"), "open_members")
+    tiles = F.greatest(F.ceil(F.sum("size") / TILE_MEMBERS), F.ceil(F.count("*") / TILE_SETS))
+    cut = wanted.groupBy("key").agg(tiles.cast("int").alias("tiles"))
+    own = F.pmod(F.xxhash64("node", F.lit(7)), "tiles").cast("int")
+    placed = wanted.join(cut, "key").select("key", "group", "node", "root", own.alias("own"), "tiles")
+    placed = placed.join(sets_of(wanted.select("node"), docs, width, text), "node")
+    pieces = placed.select("key", "group", "node", "root", "own", "members",
+                           F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    pieces = pieces.select("key", F.least("own", "other").alias("i"),
+                           F.greatest("own", "other").alias("j"), "group", "node", "root", "own", "members")
+
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        i, j, group = key[1].as_py(), key[2].as_py(), table.column("group")[0].as_py()
+        node, root, own = (table.column(c).to_numpy() for c in ("node", "root", "own"))
+        held = [np.frombuffer(packed, "<u8") for packed in table.column("members").to_pylist()]
+        size = np.array([len(x) for x in held])
+        folds = np.stack([bands.fold(bands.sketch(x, group), group) for x in held])
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        # This key is one that all rows have alike; the first such.
-        shared = int(alike(np.arange(len(words)), 0).all(0).argmax())
-        out = []
-        for x in left:
+        joined, links = Groups(), []
+        for x in left.tolist():
             y = right[(root[right] != root[x]) & ((node[right] > node[x]) if i == j else True)]
-            if not len(y):
-                continue
-            distance = np.bitwise_count(words[y] ^ words[x]).sum(1)
             most = (size[y] + size[x]) * (bands.q - bands.p) // (bands.q + bands.p)
-            y = y[(distance <= most) & (np.abs(size[y] - size[x]) <= most)]
-            y = y[alike(y, x).argmax(1) == shared] if len(y) else y
-            out.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], 1))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+            y = y[np.abs(size[y] - size[x]) <= most]
+            most = (size[y] + size[x]) * (bands.q - bands.p) // (bands.q + bands.p)
+            y = y[np.bitwise_count(folds[y] ^ folds[x]).sum(1) <= most]
+            for k in y.tolist():
+                p, q = int(root[x]), int(root[k])
+                if joined.root(p) != joined.root(q) and bands.similar(held[x], held[k]):
+                    joined.join(p, q)
+                    links.append((int(node[x]), int(node[k])))
+        return links_table(links)
 
-    return pieces.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    return pieces.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -424,8 +539,7 @@ def near_duplicates(
     rooted = sets.select("id", "size", "node").join(labels, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )
-    least = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("least"))
-    return rooted.join(least, "root", "left").select(
+    return with_least(rooted, "root", "id").select(
         "id",
         F.col("size").alias("n_shingles"),
         "node",
@@ -435,32 +549,18 @@ def near_duplicates(
 
 def similar_components(docs, sets, bands: Bands, width: int, text: str) -> DataFrame:
     """``node`` and ``root`` of all nodes with a link."""
-    buckets = stored(shared_words(sketch_words(sets)), "buckets")
+    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = stored(shared_keys(key_blocks(docs, bands, width, text, buckets), buckets), "shared")
     ordered = [F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")]
     stars = stored(
-        buckets.groupBy(*ordered).agg(F.max("group").alias("group")), "stars"
+        shared.where("node <> first").groupBy(*ordered).agg(F.max("group").alias("group")), "stars"
     )
     close = stored(within_bound(stars, sets, bands), "close")
-    # First the nearest partner of each node only: most links merge components already merged.
-    ends = close.select("a", "b", "distance", F.explode(F.array("a", "b")).alias("node"))
-    nearest = ends.groupBy("node").agg(F.min(F.struct("distance", "a", "b")).alias("best"))
-    chosen = stored(nearest.select("best.a", "best.b").distinct(), "chosen")
-    links = stored(similar(docs, chosen, bands, width, text), "links")
+    links = stored(similar(close, sets, docs, bands, width, text, "stars"), "links")
     labels = components(links, "first")
-
-    def rooted(pairs: DataFrame) -> DataFrame:
-        """The pairs whose ends are in different components so far."""
-        for end in ("a", "b"):
-            roots = labels.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
-            pairs = pairs.join(roots, end, "left").withColumn(
-                f"root_{end}", F.coalesce(f"root_{end}", end)
-            )
-        return pairs.where("root_a <> root_b")
-
-    rest = rooted(close.select("a", "b").join(chosen, ["a", "b"], "left_anti"))
     # Keys shared by three or more sets of more than one component: not all pairs are known yet.
-    members = buckets.select("key", "group", "node").unionByName(
-        buckets.select("key", "group", F.col("first").alias("node"))
+    members = shared.select("key", "group", "node").unionByName(
+        shared.select("key", "group", F.col("first").alias("node"))
     ).distinct()
     members = members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     members = stored(members, "members")
@@ -478,14 +578,15 @@ def similar_components(docs, sets, bands: Bands, width: int, text: str) -> DataF
         .groupBy(F.col("node").alias("a"), "b").agg(F.max("group").alias("group"))
         .join(stars, ["a", "b"], "left_anti")
     )
+    direct = stored(within_bound(stored(direct, "direct"), sets, bands), "direct_close")
     many = still_open.where(F.col("count") > FEW)
-    many = many.join(sketches_of(many, sets), ["node", "group"])
-    later = stored(
-        rest.select("a", "b")
-        .unionByName(within_bound(stored(direct, "direct"), sets, bands).select("a", "b"))
-        .unionByName(close_in_blocks(many, bands).join(stars.select("a", "b"), ["a", "b"], "left_anti"))
-        .distinct(),
-        "later",
-    )
-    more = similar(docs, later, bands, width, text)
-    return components(links.unionByName(more), "all")
+    more = []
+    if not direct.isEmpty():
+        more.append(stored(similar(direct, sets, docs, bands, width, text, "later"), "later_links"))
+    if not many.isEmpty():
+        more.append(stored(links_in_tiles(many, sets, docs, bands, width, text), "tile_links"))
+    if not any(not some.isEmpty() for some in more):
+        return labels
+    for some in more:
+        links = links.unionByName(some)
+    return components(links, "all")

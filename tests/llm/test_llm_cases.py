@@ -23,7 +23,8 @@ from gridclimate.llm.cover_tree import near_vectors
 from gridclimate.llm.crf_pii import find_personal_data, train_crf, viterbi
 from gridclimate.llm.golden_mix import mix, mixed_documents
 from gridclimate.llm.neighbour_quality import fit_quality, score_quality
-from gridclimate.llm.parity_join import Bands, near_duplicates, shingles, slice_words
+from gridclimate.llm import parity_join
+from gridclimate.llm.parity_join import Bands, near_duplicates, shingles, sketch_keys
 from gridclimate.llm.piece_encoding import encode_pieces, piece_model
 from gridclimate.llm.sentence_toxicity import fit_toxicity, score_toxicity, sentence_words
 from gridclimate.llm.token_files import byte_tokens, read_token_files, write_token_files
@@ -291,13 +292,50 @@ def test_near_groups_against_all_pairs(spark, share):
 
 def test_a_key_means_one_pair_of_words():
     """Words alike at other places than zero words make no common key."""
-    sketches = [np.array(w, "<u8").tobytes() for w in ([5, 7, 0], [5, 0, 9])]
-    batch = pa.RecordBatch.from_pydict(
-        {"node": [1, 2], "band": [3, 3], "lower": sketches, "upper": [b"", b""]}
-    )
-    (rows,) = slice_words(batch)
-    keys = rows.to_pandas().groupby("node")["key"].agg(set)
-    assert len(keys[1]) == len(keys[2]) == 3 and not keys[1] & keys[2]
+    keys = [set(sketch_keys(np.array(w, np.uint64), 3).tolist()) for w in ([5, 7, 0], [5, 0, 9])]
+    assert len(keys[0]) == len(keys[1]) == 3 and not keys[0] & keys[1]
+
+
+def test_folds_never_differ_more_than_sets():
+    rng, bands = np.random.default_rng(2), Bands(80, 100)
+    for size in (3, 40, 300, 2000):
+        x = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        group = bands.band(len(x))
+        fold = bands.fold(bands.sketch(x, group), group)
+        for changed in (0, 1, size // 10, size // 2):
+            y = np.unique(np.concatenate([x[changed:], rng.integers(0, 2**63, changed).astype(np.uint64)]))
+            other = bands.fold(bands.sketch(y, group), group)
+            differ = len(np.setxor1d(x, y))
+            assert np.bitwise_count(fold ^ other).sum() <= differ
+            if differ > 2 * bands.apart(2 * bands.edges[group + 2]):
+                assert np.bitwise_count(fold ^ other).sum() > bands.apart(len(x) + len(y))
+
+
+@pytest.mark.parametrize("hot", [2, 64])
+def test_blocks_hold_all_shared_keys(monkeypatch, hot):
+    """Every set's key leads to the key's first set, or over the first set of what was sent on."""
+    monkeypatch.setattr(parity_join, "HOT", hot)
+    rng, buckets = np.random.default_rng(4), 5
+    holders, rows = {}, []
+    blocks = parity_join.KeyBlocks(buckets)
+    for node in range(1, 60):
+        keys = np.unique(parity_join.mixed(rng.integers(0, 40, 12).astype(np.uint64)))
+        blocks.add(node, keys, 1 + node % 2)
+        for key in keys.tolist():
+            holders.setdefault(key, set()).add(node)
+        if node % 20 == 0:
+            rows += [r for b in blocks.packed() for r in b.to_pylist()]
+    rows += [r for b in blocks.packed() for r in b.to_pylist()]
+    found = {}
+    for row in rows:
+        key, node, first, group = parity_join.block_entries(row, buckets)
+        assert (group == 1 + node % 2).all()
+        for k, n in zip(key.tolist(), node.tolist()):
+            found.setdefault(k, set()).add(n)
+    number = lambda k: parity_join.key_number(
+        np.array([k], np.uint64) & parity_join.LOW, parity_join.bucket_of(np.array([k], np.uint64), buckets)
+    ).view(np.int64)[0]
+    assert found == {number(k): nodes for k, nodes in holders.items()}
 
 
 def test_bands_cover_all_similar_sizes():
