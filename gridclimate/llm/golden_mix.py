@@ -4,8 +4,14 @@ Slots take the points of the golden-ratio sequence, which are mapped through the
 targets to sources. The slots of a source are ranked; the slot of rank r takes the r-th block of
 the source's stream: its documents in shuffled order, cut into blocks of equally many words. A
 stream is gone through twice at most. All orders come from hashes, so reruns agree.
+
+A block has 64 words, or fewer for a source whose target would be less than 100 such blocks: the
+greatest power of two that gives it 100, one word at least. Sources with blocks of one length share
+a sequence, whose points come as densely as their targets ask for, so small sources are met too.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +19,7 @@ from .stored import stored
 
 WEIGHTS = (3, 1, 2)
 BLOCK_WORDS = 64
+LEAST_BLOCKS = 100  # that a target makes up, where words allow
 PASSES = 2
 # The golden-ratio sequence in integers: multiples of this odd number modulo 2^31.
 PERIOD = 1 << 31
@@ -25,13 +32,23 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5) -> DataFrame:
+def block_length(target: Column, most: int) -> Column:
+    """A power of two times fewer words than ``most``, so that a target makes up enough blocks."""
+    halvings = F.ceil(F.log2(F.lit(float(most * LEAST_BLOCKS)) / F.greatest(target, F.lit(1.0))))
+    length = F.floor(F.lit(most) / F.pow(F.lit(2.0), F.greatest(halvings, F.lit(0))))
+    return F.greatest(length, F.lit(1)).cast("long")
+
+
+def source_targets(
+    sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, block_words: int = BLOCK_WORDS
+) -> DataFrame:
     """Per source: ``source_size`` and ``target``; one row per source, worked out in one task.
 
     Sources are in order of code points, NULL last, and take the weights in turn. Together they
     get ``share`` times all words; none gets more than ``PASSES`` times its size, the rest of its
     share goes to the others by weight. This is the level ``target = min(cap, level * weight)``:
-    in order of cap per weight, the first source that isn't full sets the level.
+    in order of cap per weight, the first source that isn't full sets the level. ``words`` is the
+    length of the source's blocks.
     """
     by_name = Window.orderBy(F.col("source").isNull(), "source")
     by_room = Window.orderBy(F.col("cap") / F.col("weight"), "number")
@@ -59,53 +76,64 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5) -> Dat
             "target",
             F.least("cap", F.coalesce(F.col("first.level") * F.col("weight"), F.col("cap"))),
         )
-        .select("source", "number", "source_size", "target", "wanted")
+        .withColumn("words", block_length(F.col("target"), block_words))
+        .select("source", "number", "source_size", "target", "words")
     )
 
 
-def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per slot: ``slot``, ``number`` of its source, ``epoch`` and ``block`` to take.
+def schedule(targets: DataFrame) -> DataFrame:
+    """One row per slot: ``words`` of a block, ``slot``, ``place`` of the slot from 0 to 1,
+    ``number`` of its source, ``epoch`` and ``block`` to take.
 
     Slots and sources meet in cells of the unit interval, an equi-join. The ranks of a source's
     slots are counted in stretches of slots, so that no source is ranked in one task.
     """
     spark = targets.sparkSession
-    wanted = targets.agg(F.max("wanted")).first()[0] or 0.0
-    slots = int(-(-wanted // block_words))
-    stretch = max(1, int(slots**0.5))
+    lengths = targets.groupBy("words").agg(F.sum("target").alias("total")).where("total > 0")
+    # A row for each power of two up to the longest block.
+    counts = {r["words"]: -int(-r["total"] // r["words"]) for r in lengths.collect()}
 
-    in_order = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scaled = F.floor(F.sum("target").over(in_order) / F.col("wanted") * PERIOD)
-    last = F.max("number").over(
-        Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
+    own = Window.partitionBy("words")
+    in_order = own.orderBy("number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total, last = F.sum("target").over(own), F.max("number").over(own)
+    scaled = F.floor(F.sum("target").over(in_order) / total * PERIOD)
     width = PERIOD // CELLS
     intervals = (
-        targets.where("wanted > 0")
+        targets.where("target > 0")
         .withColumn("upto", F.when(F.col("number") == last, F.lit(PERIOD)).otherwise(scaled))
-        .withColumn("from", F.lag("upto", 1, 0).over(Window.orderBy("number")))
+        .withColumn("from", F.lag("upto", 1, 0).over(own.orderBy("number")))
         .where("`from` < upto")
         .select(
+            "words",
             "number",
             "from",
             "upto",
-            F.ceil(F.col("source_size") / block_words).alias("blocks"),
+            F.ceil(F.col("source_size") / F.col("words")).alias("blocks"),
             F.explode(
                 F.sequence(F.floor(F.col("from") / width), F.floor((F.col("upto") - 1) / width))
             ).alias("cell"),
         )
     )
-    points = (
-        spark.range(slots)
-        .withColumnRenamed("id", "slot")
-        .withColumn("point", F.pmod(F.pmod("slot", F.lit(PERIOD)) * GOLDEN, F.lit(PERIOD)))
-        .withColumn("cell", F.floor(F.col("point") / width))
-        .withColumn("stretch", F.floor(F.col("slot") / stretch))
+    sequences = [
+        spark.range(slots).select(
+            F.lit(words).cast("long").alias("words"),
+            F.col("id").alias("slot"),
+            ((F.col("id") + 0.5) / slots).alias("place"),
+            F.pmod(F.pmod("id", F.lit(PERIOD)) * GOLDEN, F.lit(PERIOD)).alias("point"),
+            F.floor(F.col("id") / max(1, int(slots**0.5))).alias("stretch"),
+        )
+        for words, slots in sorted(counts.items())
+    ]
+    none = spark.range(0).select(
+        F.col("id").alias("words"), F.col("id").alias("slot"), F.lit(0.0).alias("place"),
+        F.col("id").alias("point"), F.col("id").alias("stretch"),
     )
+    points = reduce(DataFrame.unionByName, sequences, none)
+    points = points.withColumn("cell", F.floor(F.col("point") / width))
     drawn = (
-        points.join(intervals, "cell")
+        points.join(intervals, ["words", "cell"])
         .where("point >= `from` AND point < upto")
-        .select("slot", "stretch", "number", "blocks")
+        .select("words", "slot", "place", "stretch", "number", "blocks")
     )
     within = Window.partitionBy("number", "stretch").orderBy("slot")
     earlier = Window.partitionBy("number").orderBy("stretch").rowsBetween(
@@ -118,7 +146,9 @@ def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         drawn.join(bases, ["number", "stretch"])
         .withColumn("rank", F.col("base") + F.row_number().over(within) - 1)
         .select(
+            "words",
             "slot",
+            "place",
             "number",
             F.floor(F.col("rank") / F.col("blocks")).alias("epoch"),
             F.pmod("rank", "blocks").alias("block"),
@@ -137,6 +167,7 @@ def streams(sizes: DataFrame, targets: DataFrame, seed: int = 42) -> DataFrame:
     shuffled = sizes.withColumn("order", F.xxhash64(F.lit(seed), "doc_id")).withColumn(
         "bucket", F.shiftrightunsigned("order", 33) % buckets
     )
+    of_source = ["number", "source_size", "target", "words"]
     names = [F.col("source").isNull().alias("no_source"), F.coalesce("source", F.lit("")).alias("name")]
     earlier = Window.partitionBy("no_source", "name").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1
@@ -144,8 +175,8 @@ def streams(sizes: DataFrame, targets: DataFrame, seed: int = 42) -> DataFrame:
     bases = (
         shuffled.groupBy(*names, "bucket").agg(F.sum("size").alias("words"))
         .withColumn("base", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
-        .join(targets.select(*names, "number", "source_size", "target"), ["no_source", "name"])
         .drop("words")
+        .join(targets.select(*names, *of_source), ["no_source", "name"])
     )
     within = (
         Window.partitionBy("no_source", "name", "bucket")
@@ -156,18 +187,18 @@ def streams(sizes: DataFrame, targets: DataFrame, seed: int = 42) -> DataFrame:
         shuffled.select("doc_id", "source", "size", "order", "bucket", *names)
         .join(bases, ["no_source", "name", "bucket"])
         .withColumn("start", F.col("base") + F.sum("size").over(within) - F.col("size"))
-        .select("doc_id", "source", "size", "number", "source_size", "target", "start")
+        .select("doc_id", "source", "size", *of_source, "start")
     )
 
 
-def pieces(placed: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+def pieces(placed: DataFrame) -> DataFrame:
     """One row per document and block it reaches into: ``from`` and ``upto`` words of it."""
-    first = F.floor(F.col("start") / block_words)
-    last = F.floor((F.col("start") + F.col("size") - 1) / block_words)
+    first = F.floor(F.col("start") / F.col("words"))
+    last = F.floor((F.col("start") + F.col("size") - 1) / F.col("words"))
     cut = placed.where("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
-    begin = F.col("block") * block_words - F.col("start")
+    begin = F.col("block") * F.col("words") - F.col("start")
     return cut.withColumn("from", F.greatest(F.lit(0), begin)).withColumn(
-        "upto", F.least("size", begin + block_words)
+        "upto", F.least("size", begin + F.col("words"))
     )
 
 
@@ -180,10 +211,11 @@ def mix(
     share: float = 1.5,
     block_words: int = BLOCK_WORDS,
 ) -> tuple[DataFrame, DataFrame]:
-    """The mix as pieces in order of slots, and the decision for each document.
+    """The mix as pieces of slots, and the decision for each document.
 
-    The first table has ``slot``, ``epoch``, ``doc_id``, ``source`` and the words ``from`` to
-    ``upto`` that the slot takes of the document. The second has one row per row of ``docs``:
+    The first table has ``place`` (the slot's, from 0 to 1, which is the order of the mix),
+    ``slot``, ``epoch``, ``doc_id``, ``source`` and the words ``from`` to ``upto`` that the slot
+    takes of the document. The second has one row per row of ``docs``:
     ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``taken``. Documents without
     words (NULL, empty, blank) are in the second only, with nothing taken; a source of such
     documents has the target 0. Repeated rows are rows of their own. Other columns are not used.
@@ -196,12 +228,12 @@ def mix(
         ),
         "sizes",
     )
-    targets = source_targets(sizes, weights, share)
+    targets = stored(source_targets(sizes, weights, share, block_words), "targets")
     placed = stored(streams(sizes, targets), "streams")
-    slots = schedule(targets, block_words)
-    cut = pieces(placed, block_words)
-    mixed = cut.join(slots, ["number", "block"]).select(
-        "slot", "epoch", "doc_id", "source", "from", "upto"
+    slots = schedule(targets)
+    cut = pieces(placed)
+    mixed = cut.drop("words").join(slots, ["number", "block"]).select(
+        "place", "slot", "epoch", "doc_id", "source", "from", "upto"
     )
     times = slots.groupBy("number", "block").agg(F.count("*").alias("times"))
     row = ["doc_id", "source", "size", "source_size", "target", "start"]

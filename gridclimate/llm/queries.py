@@ -160,6 +160,34 @@ def op13_learned_partitions(spark, sf_dir):
     return nearest_vectors(vectors, vectors.where("vec_id % 100 = 0"), k=10)
 
 
+OP7_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 1),
+                             lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2]))) END AS s
+  FROM words
+),
+members AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS n
+  FROM members a JOIN members b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (SELECT a, b FROM common WHERE 100 * n >= 90 * (na + nb - n)),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+)
+SELECT s.doc_id, len(s.s) AS n_shingles, component_id
+FROM sets s JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a) USING (doc_id)"""
+
+
 OP8_SQL = r"""
 WITH texts AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -315,4 +343,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op8_content_sort": OP8_SQL, "op9_cover_tree": OP9_SQL, "op11_stripes": OP11_SQL, "op12_diagonal_runs": OP12_SQL}
+    return {"op7_parity_join": OP7_SQL, "op8_content_sort": OP8_SQL, "op9_cover_tree": OP9_SQL, "op11_stripes": OP11_SQL, "op12_diagonal_runs": OP12_SQL}
