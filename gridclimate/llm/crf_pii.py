@@ -24,9 +24,12 @@ from pyspark.sql import functions as F
 from .arrow import row_of, slices
 
 KINDS = ("email", "ip", "card", "phone")
-# The patterns of the four kinds.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+# The patterns of the four kinds. The first two only look at the beginnings of runs
+# of their characters, and don't give any of a run back: no other place of a run matches unless its
+# beginning does, so a long run is read once.
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+EMAIL_RUN = re.compile(r"(?<![A-Za-z0-9._%+-])" + EMAIL.pattern)
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -35,6 +38,7 @@ WORD = re.compile(r"\S+")
 TO_BLANK = re.compile(r"\S*")
 AROUND = 2  # words on either side
 REACH = 64  # characters in which they are looked for
+LONGEST = 320  # characters of what the field may find; no address is longer
 
 # The labelled table: what is in brackets is personal data of the kind before the colon.
 LABELLED = """
@@ -109,6 +113,24 @@ http://example.com/a/12345 opened
 file_2021_03_04.txt was read
 commit 5d41402abc4b2a76b9719d911017c592 fixed
 the (at) sign is a sign
+in 1998 2004 2005 it rained
+the years 1931 1932 1933 were dry
+from 1914 to 1918 and 1939 to 1945
+between 1950 2000 2010 and now
+at 12:30:45 we left
+the race took 02:14:09 in all
+logged 23:59:59 and 00:00:01 too
+device 00:1A:2B:3C:4D:5E answered
+mac 08:00:27:9f:3e:11 was seen
+scores of 10 20 30 and 40
+lines 100 200 300 400 of it
+rows 1024 2048 4096 8192 fit
+a sum of 12 000 000 euros
+mobile [phone:0151 2345 6789] geht
+call [phone:0207 946 0123] or [phone:0207 946 0124] now
+ring [phone:555 0100 2244] later
+host [ip:2001:db8:1:2:3:4:5:6] is up
+route [ip:2a00:1450:4001:81b::200e] works
 """
 MARKED = re.compile(r"\[(email|ip|card|phone):((?:[^\[\]]|\[[^\[\]]*\])*)\]")
 LABELS = ["O", *(f"{b}-{k}" for k in KINDS for b in "BI")]
@@ -280,18 +302,32 @@ def words_with_signals(text: str) -> list[tuple[int, int]]:
     return spans
 
 
+def email_matches(word: str) -> Iterator[re.Match]:
+    """Leftmost matches; only the end of one can lie within a run in which the next one begins."""
+    upto = 0
+    while found := upto and EMAIL.match(word, upto) or EMAIL_RUN.search(word, upto):
+        yield found
+        upto = found.end()
+
+
+def in_a_byte(digits: str) -> bool:
+    """Whether a number is at most 255."""
+    digits = digits.lstrip("0")
+    return len(digits) < 4 and int(digits or "0") <= 255
+
+
 def base_spans(text: str, words: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
     """What the patterns find, without what fails its check; addresses lie within words."""
     out = []
     for begin, end in words:
         word = text[begin:end]
         if "@" in word:
-            out += [(begin + m.start(), begin + m.end(), "email") for m in EMAIL.finditer(word)]
+            out += [(begin + m.start(), begin + m.end(), "email") for m in email_matches(word)]
         if "." in word:
             out += [
                 (begin + m.start(), begin + m.end(), "ip")
                 for m in IP.finditer(word)
-                if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m.group().split("."))
+                if all(map(in_a_byte, m.group().split(".")))
             ]
     if not words:
         return out
@@ -327,17 +363,33 @@ def sequences_of(text: str, words: list[tuple[int, int]]) -> list[list[tuple[int
     return out
 
 
+def colon_address(found: str) -> bool:
+    """Eight groups of one to four hexadecimal digits, or fewer with one gap of two colons."""
+    groups = found.split(":")
+    if found.count("::") == 1 and ":::" not in found:
+        full = [g for g in groups if g]
+        edges = groups[0] or found.startswith("::"), groups[-1] or found.endswith("::")
+        if not all(edges) or len(full) > 7:
+            return False
+        groups = full
+    elif len(groups) != 8:
+        return False
+    hexadecimal = all(re.fullmatch(r"[0-9A-Fa-f]{1,4}", g) for g in groups)
+    return bool(groups) and hexadecimal and any(c.isdigit() for c in found)
+
+
 def plausible(kind: str, found: str) -> bool:
     """Whether what the field has found has the make of its kind."""
+    if len(found) > LONGEST:
+        return False
     digits = sum("0" <= c <= "9" for c in found)
     if kind == "phone":
         return 7 <= digits <= 15 and not re.search(r"[^\W\d]", found)
     if kind == "card":
         return 12 <= digits <= 19 and luhn(re.sub(r"[^0-9]", "", found))
     if kind == "ip":
-        groups = re.fullmatch(r"[0-9A-Fa-f:]+", found) and found.count(":") in range(2, 8)
         dashed = re.fullmatch(r"[0-9]{1,3}(-[0-9]{1,3}){3}", found)
-        return bool(groups or dashed and all(int(p) <= 255 for p in found.split("-")))
+        return colon_address(found) or bool(dashed) and all(map(in_a_byte, found.split("-")))
     return bool(re.search(r"\w\s?[\[({]\s?at\s?[\])}]\s?\w+.*(\.|dot)", found))
 
 
