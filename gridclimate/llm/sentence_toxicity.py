@@ -142,6 +142,21 @@ def fit_toxicity(
     )
 
 
+def likelihood_gradient(values, place, sentence, document, labelled) -> np.ndarray:
+    """Of the documents' labels under noisy-or, by the terms' weights and, last, the bias.
+
+    Weight ``place`` occurs in ``sentence``; ``document`` is the document of each sentence.
+    """
+    logit = values[-1] + np.bincount(sentence, values[place], minlength=len(document))
+    quiet = -np.logaddexp(0, logit)  # log of 1 - p
+    total = np.bincount(document, quiet, minlength=len(labelled))
+    clean = np.exp(np.minimum(total, -1e-9))
+    # d likelihood / d logit of a sentence: p * (y * clean / (1 - clean) - (1 - y))
+    pull = labelled * clean / (1 - clean) - (1 - labelled)
+    slope = -np.expm1(quiet) * pull[document]
+    return np.append(np.bincount(place, slope[sentence], minlength=len(values) - 1), slope.sum())
+
+
 def maximise(known, place, sentence, document, labelled, penalty, steps) -> ToxicityModel:
     """Full-batch Adam on the penalised log-likelihood of the noisy-or; weights shrink to 0."""
     n = max(1, len(labelled))
@@ -149,16 +164,7 @@ def maximise(known, place, sentence, document, labelled, penalty, steps) -> Toxi
     values[-1] = -5.0
     mean, square, rate = np.zeros_like(values), np.zeros_like(values), 0.1
     for step in range(1, steps + 1):
-        logit = values[-1] + np.bincount(sentence, values[place], minlength=len(document))
-        quiet = -np.logaddexp(0, logit)  # log of 1 - p
-        total = np.bincount(document, quiet, minlength=len(labelled))
-        clean = np.exp(np.minimum(total, -1e-9))
-        # d likelihood / d logit of a sentence: p * (y * clean / (1 - clean) - (1 - y))
-        pull = labelled * clean / (1 - clean) - (1 - labelled)
-        slope = -np.expm1(quiet) * pull[document]
-        gradient = np.append(
-            np.bincount(place, slope[sentence], minlength=len(known)), slope.sum()
-        ) / n
+        gradient = likelihood_gradient(values, place, sentence, document, labelled) / n
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
         pace = rate / (np.sqrt(square / (1 - 0.99**step)) + 1e-5)
