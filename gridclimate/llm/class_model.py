@@ -1,16 +1,17 @@
 """Language-model scores from a Brown class model.
 
-Every word belongs to one class; the probability of a text is the product of class transitions and
-of words given their class. Exchange clustering finds the classes of the frequent words: the most
-frequent ones are moved one by one, each to the class that gains the most likelihood, on their
-counted neighbours, and stay there. The other frequent words follow in batches: each goes to the
-class that gains the most likelihood on the classes of its neighbours in the whole corpus, and a
-batch is only kept if the likelihood, counted anew, is higher with it. All remaining words, with
-those never seen, form one more class, and a transition from such a word starts from the last
-class before it.
-
-All counts are over all training texts. The frequent words reach the executors in a table of
-bounded size; the counts of the others are joined.
+Every word of the training texts belongs to one class; the probability of a text is the product of
+class transitions and of words given their class. Exchange clustering finds the classes of the most
+frequent words: they are moved one by one, each to the class that gains the most likelihood, on
+their counted neighbours, and stay there. All other words follow by the classes of their neighbours
+in the whole corpus: first the listed ones, in batches that are kept if the likelihood, counted
+anew, is higher with them, then the rest, of any number, in a table of Spark. The number of classes
+grows with the vocabulary. A word that was never seen has no class: it takes the share of tokens
+that were seen only once, and leaves the state as it is.
+
+The texts are read twice to fit: for the counts of all words, and to write the places of tokens as
+integers, on which every further pass runs. The most frequent words reach the executors in a table
+of bounded size; whatever concerns the others is grouped and joined by Spark.
 """
 
 from collections import Counter
@@ -23,10 +24,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import slices
+from .arrow import slices_of_bytes
 from .stored import stored
 
-LONGEST = 64  # bytes of a word in the table of frequent words
+LONGEST = 64  # bytes of a listed word
+LISTED = 1 << 18
+CORE = 512
+STRENGTH = 20.0  # tokens that the classes' shares count for in a state's transitions
+KEPT_KEYS = 1 << 21  # different keys that a task counts before it sends them on
+TEXT_BYTES = 4 << 20
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -34,27 +40,36 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def class_number(vocabulary: int) -> int:
+    """The number of classes for so many different words: their cube root, eight at least."""
+    return max(8, round(vocabulary ** (1 / 3)))
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word`` (bytes) and ``count`` over the only column, a text."""
 
+    def rows(counts: Counter) -> pa.RecordBatch:
+        columns = [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["word", "count"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            counts: Counter = Counter()
+        counts: Counter = Counter()
+        for batch in slices_of_bytes(batches, 0, TEXT_BYTES):
             for text in batch.column(0).to_pylist():
                 counts.update(words_of(text))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())],
-                ["word", "count"],
-            )
+            if len(counts) > KEPT_KEYS // 8:
+                yield rows(counts)
+                counts = Counter()
+        yield rows(counts)
 
     made = texts.mapInArrow(count, "word binary, count long")
     return made.groupBy("word").agg(F.sum("count").alias("count"))
 
 
 @dataclass
-class Frequent:
-    """Words in order of frequency, their counts and classes; the last class but one is the
-    remaining words', the last the end's. Words from ``classed`` on belong to the remaining."""
+class Listed:
+    """The most frequent words in order, their counts, and their classes, -1 as long as they have
+    none. The end of a text is a class of its own, and so are words without a class."""
 
     words: list[bytes]
     counts: np.ndarray
@@ -62,65 +77,150 @@ class Frequent:
     n_classes: int
 
     @property
-    def rest(self) -> int:
+    def end(self) -> int:
         return self.n_classes
 
     @property
-    def end(self) -> int:
+    def none(self) -> int:
         return self.n_classes + 1
 
+    @property
+    def size(self) -> int:
+        return self.n_classes + 2
+
+    def class_of(self) -> np.ndarray:
+        """Class by place: after the words that of the end and, also at place -1, no class."""
+        own = np.where(self.classes < 0, self.none, self.classes)
+        return np.concatenate([own, [self.end, self.none]]).astype(np.int64)
+
     def reader(self) -> "Reader":
-        return Reader(self)
+        return Reader(self.words)
 
 
 class Reader:
-    """Places of words: the place of the end is behind all words, -1 an unlisted word."""
-
-    def __init__(self, frequent: Frequent):
-        self.places = {w: k for k, w in enumerate(frequent.words)}
-        self.end_place = len(frequent.words)
-        # Class by place; the last one is also what -1 points to.
-        self.class_of = np.concatenate(
-            [frequent.classes, [frequent.end, frequent.rest]]
-        ).astype(np.int64)
-        self.rest, self.end = frequent.rest, frequent.end
-
-    def read(self, texts: list) -> tuple[np.ndarray, list[list[bytes]]]:
-        """Places of all tokens of the texts, each text followed by an end; and the words."""
-        get, places, words = self.places.get, [], []
+    """Places of words: that of the end is behind all words, -1 that of an unlisted word."""
+
+    def __init__(self, words: list[bytes]):
+        self.places = {w: k for k, w in enumerate(words)}
+        self.end_place = len(words)
+
+    def read(self, texts: list) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Places of all tokens, each text followed by an end; tokens of each text; all words."""
+        places, words, lengths = [], [], []
         for text in texts:
-            words.append(words_of(text))
-            places.extend(map(get, words[-1], repeat(-1)))
+            own = words_of(text)
+            places.extend(map(self.places.get, own, repeat(-1)))
             places.append(self.end_place)
-        return np.array(places, np.int64), words
+            words.extend(own)
+            words.append(b"")
+            lengths.append(len(own) + 1)
+        return np.array(places, np.int32), np.array(lengths, np.int64), words
+
+
+def read_tokens(texts: DataFrame, listed: Listed) -> DataFrame:
+    """Pieces of the texts: ``places`` (packed integers) and the unlisted words in order."""
+    shared = texts.sparkSession.sparkContext.broadcast(listed.words)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(shared.value)
+        for batch in slices_of_bytes(batches, 0, TEXT_BYTES):
+            places, _, words = reader.read(batch.column(0).to_pylist())
+            others = [words[k] for k in np.flatnonzero(places < 0)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([places.tobytes()], pa.binary()), pa.array([others], pa.list_(pa.binary()))],
+                ["places", "others"],
+            )
+
+    return texts.mapInArrow(make, "places binary, others array<binary>")
+
+
+class Counts:
+    """Counts of integer keys, sent on when there are too many different ones."""
+
+    def __init__(self, kind: int):
+        self.kind = kind
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keys, counts = np.unique(keys, return_counts=True)
+        keys, at = np.unique(np.concatenate([self.keys, keys]), return_inverse=True)
+        counts = np.concatenate([self.counts, counts])
+        self.keys, self.counts = keys, np.bincount(at, counts, len(keys)).astype(np.int64)
+        if len(keys) > KEPT_KEYS:
+            yield self.rows()
 
-    def states(self, classes: np.ndarray) -> np.ndarray:
-        """Before each token, the class of the last token that isn't of the remaining words."""
-        here = np.where(classes != self.rest, np.arange(len(classes)), -1)
-        last = np.maximum.accumulate(here)
-        before = np.concatenate([[-1], last[:-1]])
-        return np.where(before < 0, self.end, classes[before])
+    def rows(self) -> pa.RecordBatch:
+        columns = [pa.array(np.full(len(self.keys), self.kind, np.int32)), pa.array(self.keys),
+                   pa.array(self.counts)]
+        self.__init__(self.kind)
+        return pa.RecordBatch.from_arrays(columns, ["kind", "at", "n"])
 
 
-def per_task(texts: DataFrame, broadcast, make, size: int) -> np.ndarray:
-    """The sum over all tasks of a vector of counts of fixed size."""
+COUNTED = "kind int, at long, n long"
+PAIRS, NEAR = 0, 1
+
+
+def counted(tokens: DataFrame, make, pairs: int, name: str) -> DataFrame:
+    """``kind``, ``at``, ``n``: how often ``make`` gives each key of each kind, over all tokens.
+
+    ``make`` takes the places of some texts and gives two arrays of keys: those of pairs are below
+    ``pairs``, those of neighbours any.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = broadcast.value.reader()
-        total = np.zeros(size, np.int64)
-        for batch in slices(batches):
-            total += make(reader, batch.column(0).to_pylist())
+        total, near = np.zeros(pairs, np.int64), Counts(NEAR)
+        for batch in batches:
+            for packed in batch.column(0):
+                keys, neighbours = make(np.frombuffer(packed.as_buffer(), np.int32))
+                total += np.bincount(keys, minlength=pairs)
+                yield from near.add(neighbours)
+        yield near.rows()
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["at", "n"])
+        columns = [pa.array(np.full(len(some), PAIRS, np.int32)), pa.array(some), pa.array(total[some])]
+        yield pa.RecordBatch.from_arrays(columns, ["kind", "at", "n"])
 
-    found = (
-        texts.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    )
-    total = np.zeros(size, np.int64)
-    total[found.column("at").to_numpy()] = found.column("n").to_numpy()
+    found = tokens.select("places").mapInArrow(count, COUNTED)
+    return stored(found.groupBy("kind", "at").agg(F.sum("n").alias("n")), name)
+
+
+def dense(found: DataFrame, size: int) -> np.ndarray:
+    """The counts of pairs, whose keys are below ``size``."""
+    rows = found.where(F.col("kind") == PAIRS).select("at", "n").toArrow()
+    total = np.zeros(size)
+    total[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
     return total
 
 
+def core_bigrams(tokens: DataFrame, core: int) -> np.ndarray:
+    def make(places: np.ndarray):
+        near = (places >= 0) & (places < core)
+        both = near[:-1] & near[1:]
+        return places[:-1][both].astype(np.int64) * core + places[1:][both], np.zeros(0, np.int64)
+
+    return dense(counted(tokens, make, core * core, "core"), core * core).reshape(core, core)
+
+
+def class_pairs(tokens: DataFrame, listed: Listed, low: int, high: int) -> DataFrame:
+    """Bigrams of classes, and the classes before and after the words from ``low`` below ``high``.
+
+    The key of a bigram is its first class times ``size`` plus the second; that of a neighbour is
+    the word's place from ``low``, the side and the class in the same way.
+    """
+    size, shared = listed.size, tokens.sparkSession.sparkContext.broadcast(listed.class_of())
+    end = listed.end
+
+    def make(places: np.ndarray):
+        found = shared.value[places]
+        previous = np.concatenate([[end], found[:-1]])
+        at = np.flatnonzero((places >= low) & (places < high))
+        own = (places[at] - low).astype(np.int64)
+        # An end is behind each text, so a word has a next token.
+        sides = 2 * own * size + previous[at], (2 * own + 1) * size + found[at + 1]
+        return previous * size + found, np.concatenate(sides)
+
+    return counted(tokens, make, size * size, f"pairs_{low}_{high}")
+
+
 def xlogx(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
 
@@ -173,98 +273,233 @@ def likelihood(between: np.ndarray) -> float:
     return float(xlogx(between).sum() - xlogx(between.sum(1)).sum() - xlogx(between.sum(0)).sum())
 
 
-def move_gains(
-    between: np.ndarray, before: np.ndarray, after: np.ndarray, again: np.ndarray, own: np.ndarray
-) -> np.ndarray:
-    """By word and class, the likelihood gained if that word alone moves there from its own class.
+def best_classes(
+    word: np.ndarray, side: np.ndarray, near: np.ndarray, n: np.ndarray, between: np.ndarray,
+    n_classes: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different words, the class of each that gains the most likelihood, and that gain.
+
+    Entry k says that ``word`` k has ``n`` tokens of class ``near`` before (side 0) or after it.
+    The gain is that of the class bigrams ``between`` to the first order of the word's counts, over
+    the average class.
+    """
+    order = np.argsort(word, kind="stable")
+    word, side, near, n = word[order], side[order], near[order], n[order]
+    words, begins = np.unique(word, return_index=True)
+    if not len(words):
+        return words, np.zeros(0, np.int64), np.zeros(0)
+    logs = np.log(between + 0.5)
+    out, into = np.log(between.sum(1) + 0.5), np.log(between.sum(0) + 0.5)
+    # By neighbour and class: what a token gains before that neighbour, and after it.
+    tables = np.stack([(logs - into).T[:n_classes].T, (logs.T - out)[:, :n_classes]])
+    gains = np.zeros((len(words), n_classes))
+    place = np.repeat(np.arange(len(words)), np.diff(np.append(begins, len(word))))
+    for part in np.array_split(np.arange(len(word)), len(word) // 16384 + 1):
+        if len(part):
+            rows = tables[side[part], near[part]] * n[part, None]
+            first = np.flatnonzero(np.diff(place[part], prepend=-1))
+            gains[place[part][first]] += np.add.reduceat(rows, first)
+    best = gains.argmax(1)
+    return words, best, gains.max(1) - gains.mean(1)
+
+
+def listed_moves(found: DataFrame, between: np.ndarray, listed: Listed, low: int) -> pa.Table:
+    """``word`` (place), ``best`` class and ``gain`` of the words whose neighbours were counted."""
+    size, n_classes = listed.size, listed.n_classes
+    shared = found.sparkSession.sparkContext.broadcast(between)
+
+    def choose(table: pa.Table) -> pa.Table:
+        at, n = (table.column(c).to_numpy() for c in ("at", "n"))
+        words, best, gain = best_classes(
+            at // (2 * size), at // size % 2, at % size, n, shared.value, n_classes
+        )
+        return pa.table({"word": words + low, "best": best, "gain": gain})
+
+    word = F.floor(F.col("at") / (2 * size))
+    rows = found.where(F.col("kind") == NEAR).select((word % 64).alias("part"), "at", "n")
+    return rows.groupBy("part").applyInArrow(choose, "word long, best long, gain double").toArrow()
+
+
+def classes_of_listed(tokens: DataFrame, listed: Listed, core: int) -> tuple[Listed, np.ndarray]:
+    """The listed words from ``core`` on in classes, and the bigrams of all classes.
 
-    ``before`` and ``after`` count the classes of each word's neighbours other than itself,
-    ``again`` how often it follows itself.
+    Batches grow fourfold, as the more frequent words say more about the others. Words of a batch
+    are moved at once; while that doesn't raise the likelihood of all class bigrams, counted anew,
+    the half of the moves that gains less waits for a class until all others have one.
     """
-    at, again = np.arange(len(own)), again[:, None]
-    rest = np.repeat(between[None].astype(float), len(own), 0)
-    rest[at, own] -= after
-    rest[at, :, own] -= before
-    rest[at, own, own] -= again[:, 0]
-    corner = np.diagonal(rest, axis1=1, axis2=2)
-    out, into = rest.sum(2) + before, rest.sum(1) + after
-    row = xlogx(rest + after[:, None, :]) - xlogx(rest)
-    column = xlogx(rest + before[:, :, None]) - xlogx(rest)
-    gain = row.sum(2) - np.diagonal(row, axis1=1, axis2=2)
-    gain += column.sum(1) - np.diagonal(column, axis1=1, axis2=2)
-    gain += xlogx(corner + after + before + again) - xlogx(corner)
-    gain -= xlogx(out + after.sum(1, keepdims=True) + again) - xlogx(out)
-    gain -= xlogx(into + before.sum(1, keepdims=True) + again) - xlogx(into)
-    return gain - gain[at, own][:, None]
+    words, size, batches = len(listed.words), listed.size, []
+    while core < words:
+        batches.append((core, min(words, 4 * core)))
+        core = batches[-1][1]
+    square = lambda found: dense(found, size * size).reshape(size, size)
+    found = class_pairs(tokens, listed, *(batches or [(words, words)])[0])
+    between = square(found)
+    waiting = []
+    for (low, high), following in zip(batches, [*batches[1:], (words, words)]):
+        moves = listed_moves(found, between, listed, low)
+        place, best, gain = (moves.column(c).to_numpy() for c in ("word", "best", "gain"))
+        order = np.lexsort((place, -gain))
+        while True:
+            classes = listed.classes.copy()
+            classes[place[order]] = best[order]
+            moved = Listed(listed.words, listed.counts, classes, listed.n_classes)
+            new_found = class_pairs(tokens, moved, *following)
+            new_between = square(new_found)
+            if len(order) < 2 or likelihood(new_between) > likelihood(between):
+                break
+            waiting.append((place[order[len(order) // 2 :]], best[order[len(order) // 2 :]]))
+            order = order[: len(order) // 2]
+        listed, found, between = moved, new_found, new_between
+    if waiting:
+        classes = listed.classes.copy()
+        for place, best in waiting:
+            classes[place] = best
+        listed = Listed(listed.words, listed.counts, classes, listed.n_classes)
+        between = square(class_pairs(tokens, listed, words, words))
+    return listed, between
+
+
+OTHERS = "word binary, second binary, before int, after int, n long"
+
+
+def others_near(tokens: DataFrame, listed: Listed) -> DataFrame:
+    """Unlisted words with the classes before and after them, and pairs of them in a row."""
+    shared = tokens.sparkSession.sparkContext.broadcast(listed.class_of())
+    end = listed.end
+
+    def rows(counts: Counter) -> pa.RecordBatch:
+        columns = list(zip(*counts)) or [()] * 4
+        kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int32()]
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds)] + [pa.array(counts.values(), pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, ["word", "second", "before", "after", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for batch in batches:
+            for packed, others in zip(batch.column(0), batch.column(1)):
+                places = np.frombuffer(packed.as_buffer(), np.int32)
+                words = others.as_py()
+                at = np.flatnonzero(places < 0)
+                found = shared.value[places]
+                before = np.where(at > 0, found[at - 1], end).tolist()
+                counts.update(zip(words, repeat(None), before, found[at + 1].tolist()))
+                row = np.flatnonzero(np.diff(at) == 1).tolist()
+                counts.update((words[k], words[k + 1], None, None) for k in row)
+                if len(counts) > KEPT_KEYS // 8:
+                    yield rows(counts)
+                    counts = Counter()
+        yield rows(counts)
+
+    return tokens.mapInArrow(count, OTHERS)
+
+
+def classes_of_others(
+    tokens: DataFrame, counts: DataFrame, listed: Listed, between: np.ndarray
+) -> tuple[DataFrame, np.ndarray]:
+    """``word``, ``class``, ``count`` of the unlisted words, and the bigrams they take part in."""
+    size, n_classes, none = listed.size, listed.n_classes, listed.none
+    shared = tokens.sparkSession.sparkContext.broadcast(between)
+    near = stored(others_near(tokens, listed), "others_near")
+
+    def choose(table: pa.Table) -> pa.Table:
+        words, word = np.unique(np.array(table.column("word").to_pylist(), object), return_inverse=True)
+        before, after, n = (table.column(c).to_numpy().astype(np.int64) for c in ("before", "after", "n"))
+        side = np.repeat([0, 1], len(word))
+        _, best, _ = best_classes(
+            np.tile(word, 2), side, np.concatenate([before, after]), np.tile(n, 2), shared.value, n_classes
+        )
+        own = best[word]
+        # A neighbour that is unlisted as well is counted with the pairs of such words.
+        keys = np.concatenate([(before * size + own)[before != none], (own * size + after)[after != none]])
+        times = np.concatenate([n[before != none], n[after != none]])
+        total = np.bincount(keys, times, size * size).astype(np.int64)
+        some = np.flatnonzero(total)
+        return pa.table({
+            "word": pa.array([*words, *[None] * len(some)], pa.binary()),
+            "class": pa.array(np.concatenate([best, np.full(len(some), -1)])),
+            "at": pa.array(np.concatenate([np.full(len(best), -1), some])),
+            "n": pa.array(np.concatenate([np.zeros(len(best), np.int64), total[some]])),
+        })
+
+    buckets = 4 * int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = near.where("second IS NULL").withColumn("part", F.pmod(F.xxhash64("word"), F.lit(buckets)))
+    chosen = stored(
+        rows.groupBy("part").applyInArrow(choose, "word binary, class long, at long, n long"), "chosen"
+    )
+    classes = chosen.where("word IS NOT NULL").select("word", "class")
+    of = lambda name: classes.select(F.col("word").alias(name), F.col("class").alias(f"{name}_class"))
+    twice = (
+        near.where("second IS NOT NULL").groupBy("word", "second").agg(F.sum("n").alias("n"))
+        .join(of("word"), "word").join(of("second"), "second")
+        .select((F.col("word_class") * size + F.col("second_class")).alias("at"), "n")
+    )
+    sums = chosen.where("word IS NULL").select("at", "n").unionByName(twice).groupBy("at").agg(
+        F.sum("n").alias("n")
+    ).toArrow()  # a row for each pair of classes
+    total = np.zeros(size * size)
+    total[sums.column("at").to_numpy()] = sums.column("n").to_numpy()
+    return stored(classes.join(counts, "word"), "others"), total.reshape(size, size)
 
 
 @dataclass
 class ClassModel:
-    """Frequent words with their classes, counts, and the tables of logarithms to base 10."""
+    """Listed words with their classes, counts, and tables of logarithms to base 10."""
 
-    frequent: Frequent
+    listed: Listed
     train_tokens: int
     ends: int
     base_divisor: float
-    transition: np.ndarray  # state, class
-    place_emission: np.ndarray  # by place, unlisted words 0
-    rest_divisor: float
+    transition: np.ndarray  # state, class; the last of both is the end
+    class_total: np.ndarray  # logarithm of the tokens of each class
+    unseen: float  # of any one word that was never seen
+
+    def emission(self) -> np.ndarray:
+        """By place; 0 for the end and unlisted words."""
+        own = np.log10(self.listed.counts) - self.class_total[self.listed.classes]
+        return np.concatenate([own, [0.0, 0.0]])
 
 
 def fit_class_model(
     docs: DataFrame,
     text: str = "text",
-    core: int = 512,
-    n_classes: int = 24,
-    classed: int = 1 << 15,
-    listed: int = 1 << 18,
-    sweeps: int = 2,
+    core: int = CORE,
+    n_classes: int | None = None,
+    listed: int = LISTED,
 ) -> tuple[ClassModel, DataFrame]:
-    """The model of all texts, and the counts of all words (``word``, ``count``).
+    """The model of all texts, and ``word``, ``class``, ``count`` of the words not listed in it.
 
-    The most frequent words of at most 64 bytes, up to ``listed``, are broadcast, 19 MB at most; the
-    ``classed`` first of them take part in clustering, the ``core`` first one by one, the others in
-    batches. NULL texts
-    count as empty. Without texts every word is unknown and the model is the base.
+    The most frequent words of at most 64 bytes, up to ``listed``, are broadcast, 19 MB at most.
+    The ``core`` first of them, at least two for each class, are exchanged one by one, the others in
+    batches, words that aren't listed all at once. There are ``n_classes`` classes, unless given the
+    cube root of the number of words. NULL texts count as empty. Without texts no word is known.
     """
     texts = docs.select(F.col(f"`{text}`").alias("text"))
-    context = docs.sparkSession.sparkContext
     counts = stored(word_counts(texts), "word_counts")
-    totals = counts.agg(F.sum("count"), F.count("*")).first()
+    single = F.count_if(F.col("count") == 1)
+    tokens, distinct, once = counts.agg(F.sum("count"), F.count("*"), single).first()
     ends = texts.count()
-    n, distinct = (totals[0] or 0) + ends, totals[1] + (ends > 0)
-
+    n = (tokens or 0) + ends
     words, seen = most_frequent(counts, listed)
-    core, classed = min(core, len(words)), min(classed, len(words))
-
-    def core_pairs(reader: Reader, documents: list) -> np.ndarray:
-        places, _ = reader.read(documents)
-        near = (places >= 0) & (places < core)
-        both = near[:-1] & near[1:]
-        return np.bincount(places[:-1][both] * core + places[1:][both], minlength=core * core)
-
-    nothing = np.full(len(words), n_classes)
-    frequent = Frequent(words, seen, nothing, n_classes)
-    bigrams = per_task(texts, context.broadcast(frequent), core_pairs, core * core)
-    classes = nothing.copy()
-    classes[:core] = exchange(bigrams.reshape(core, core).astype(float), n_classes)
-    frequent = Frequent(words, seen, classes, n_classes)
-    size = n_classes + 2
-    frequent, pairs = move_in_batches(texts, frequent, core, classed, sweeps)
-    of_class = pairs.sum(0).astype(float)
-    rest_words = distinct - 1 - int((frequent.classes < n_classes).sum())
-    share = (of_class + 0.5) / (of_class.sum() + 0.5 * size)
-    strength = 20.0
-    transition = (pairs + strength * share) / (pairs.sum(1, keepdims=True) + strength)
-    rest_divisor = of_class[n_classes] + 0.5 * (max(0, rest_words) + 1)
-    emission = np.zeros(len(words) + 2)
-    inside = frequent.classes < n_classes
-    emission[:-2][inside] = np.log10(seen[inside] / of_class[frequent.classes[inside]])
-    emission[:-2][~inside] = np.log10((seen[~inside] + 0.5) / rest_divisor)
+    core = min(len(words), max(core, 2 * (n_classes or class_number(distinct))))
+    n_classes = max(1, min(n_classes or class_number(distinct), core))
+
+    table = Listed(words, seen, np.full(len(words), -1), n_classes)
+    read = stored(read_tokens(texts, table), "tokens")
+    table.classes[:core] = exchange(core_bigrams(read, core), n_classes)
+    table, between = classes_of_listed(read, table, core)
+    others, more = classes_of_others(read, counts, table, between)
+    pairs = (between + more)[:-1, :-1]
+
+    states = n_classes + 1
+    of_class = pairs.sum(0)
+    share = (of_class + 0.5) / (of_class.sum() + 0.5 * states)
+    transition = (pairs + STRENGTH * share) / (pairs.sum(1, keepdims=True) + STRENGTH)
+    unseen = (once + 0.5) / (n + 1)
     model = ClassModel(
-        frequent, n, ends, n + 0.5 * (distinct + 1), np.log10(transition), emission, rest_divisor
+        table, n, ends, n + 0.5 * (distinct + (ends > 0) + 1), np.log10((1 - unseen) * transition),
+        np.log10(np.maximum(of_class, 1)), float(np.log10(unseen / (distinct + 1))),
     )
-    return model, counts
+    return model, others
 
 
 def most_frequent(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray]:
@@ -290,95 +525,56 @@ def most_frequent(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray
     return [word for _, word in rows], np.array([count for count, _ in rows], np.int64)
 
 
-def neighbours(
-    texts: DataFrame, frequent: Frequent, low: int, high: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Transitions from states to classes, class bigrams, and of the words from ``low`` below
-    ``high`` the arguments of ``move_gains``: one pass over all texts."""
-    size, many = frequent.n_classes + 2, high - low
-    table, square = many * size, size * size
-
-    def count(reader: Reader, documents: list) -> np.ndarray:
-        places, _ = reader.read(documents)
-        found = reader.class_of[places]
-        previous = np.concatenate([[reader.end], found[:-1]])
-        at = np.flatnonzero((places >= low) & (places < high))
-        place, own = places[at], places[at] - low
-        # An end is behind each text, so a word has a next one; the first may have none before.
-        to_itself = places[at + 1] == place
-        from_itself = (at > 0) & (places[at - 1] == place)
-        return np.concatenate(
-            [
-                np.bincount(reader.states(found) * size + found, minlength=square),
-                np.bincount(previous * size + found, minlength=square),
-                np.bincount((own * size + previous[at])[~from_itself], minlength=table),
-                np.bincount((own * size + found[at + 1])[~to_itself], minlength=table),
-                np.bincount(own[to_itself], minlength=many),
-            ]
-        )
-
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
-    total = per_task(texts, shared, count, 2 * square + 2 * table + many)
-    pairs, between, before, after, again = np.split(
-        total, np.cumsum([square, square, table, table])
-    )
-    return (
-        pairs.reshape(size, size), between.reshape(size, size),
-        before.reshape(many, size), after.reshape(many, size), again,
-    )
-
-
-def move_in_batches(
-    texts: DataFrame, frequent: Frequent, core: int, classed: int, sweeps: int
-) -> tuple[Frequent, np.ndarray]:
-    """The words from ``core`` below ``classed`` in classes, and the transitions.
-
-    In the first sweep batches grow fourfold, as the more frequent words say more about the others.
-    Words of a batch are moved at once; while that doesn't raise the likelihood of all class
-    bigrams, counted anew, the half of the moves that gains less is taken back.
-    """
-    n_classes, batches, low = frequent.n_classes, [], core
-    while low < classed and sweeps:
-        high = min(classed, max(4 * low, 1))
-        batches.append((low, high))
-        low = high
-    batches += [(core, classed)] * (sweeps - 1 if core < classed else 0) + [(classed, classed)]
-    pairs, between, *counted = neighbours(texts, frequent, *batches[0])
-    for (low, high), following in zip(batches, batches[1:]):
-        best, gains = np.zeros(high - low, np.int64), np.zeros(high - low)
-        for part in np.array_split(np.arange(high - low), (high - low) // 512 + 1):
-            own = frequent.classes[low + part]
-            gain = move_gains(between, *[c[part] for c in counted], own)
-            best[part] = gain[:, :n_classes].argmax(1)
-            gains[part] = gain[:, :n_classes].max(1)
-        moves = np.argsort(-gains, kind="stable")[: (gains > 1e-6).sum()]
-        while True:
-            classes = frequent.classes.copy()
-            classes[low + moves] = best[moves]
-            moved = Frequent(frequent.words, frequent.counts, classes, n_classes)
-            new_pairs, new_between, *new_counted = neighbours(texts, moved, *following)
-            if not len(moves) or likelihood(new_between) > likelihood(between):
-                break
-            moves = moves[: len(moves) // 2]
-        frequent, pairs, between, counted = moved, new_pairs, new_between, new_counted
-    return frequent, pairs
-
-
 SCORED = (
-    "row long, n_tokens long, known long, base double, score double, unlisted array<binary>"
+    "row long, n_tokens long, known long, base double, score double, "
+    "runs array<struct<before:int,after:int,words:array<binary>>>"
 )
 
 
+def word_runs(places: np.ndarray, found: np.ndarray, words: list[bytes], end: int, begins: np.ndarray):
+    """For each text a list of its runs of unlisted words: the states before and after, the words."""
+    at = np.flatnonzero(places < 0)
+    first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
+    last = np.append(first[1:], len(at)) - 1
+    before = np.where(at[first] > 0, found[at[first] - 1], end) if len(at) else at
+    after = found[at[last] + 1] if len(at) else at
+    flat = pa.array([words[k] for k in at], pa.binary())
+    inner = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)).astype(np.int32)), flat)
+    fields = [pa.array(before.astype(np.int32)), pa.array(after.astype(np.int32)), inner]
+    runs = pa.StructArray.from_arrays(fields, ["before", "after", "words"])
+    of_text = np.append(np.searchsorted(at[first], begins), len(first)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(of_text), runs)
+
+
+def run_scores(model: ClassModel, before, after, lengths, classes, counts):
+    """The score of runs of words with their classes (-1: never seen) and counts, and of the step
+    that follows each run."""
+    begins = np.cumsum(lengths + 1) - lengths - 1
+    of_run = np.repeat(np.arange(len(lengths)), lengths)
+    at = np.arange(len(classes)) + of_run + 1
+    # The state before each run, then its words, one run after another.
+    states = np.full(len(classes) + len(lengths), -1, np.int64)
+    states[begins], states[at] = before, classes
+    last = np.maximum.accumulate(np.where(states >= 0, np.arange(len(states)), -1))
+    seen = classes >= 0
+    own = np.maximum(classes, 0)
+    steps = model.transition[states[last[at - 1]], own] + np.log10(np.maximum(counts, 1))
+    steps = np.where(seen, steps - model.class_total[own], model.unseen)
+    scores = np.bincount(of_run, steps, len(lengths))
+    return scores + model.transition[states[last[begins + lengths]], after]
+
+
 def score_texts(
-    docs: DataFrame, model: ClassModel, counts: DataFrame, text: str = "text", keep: dict[str, Column] | None = None
+    docs: DataFrame, model: ClassModel, others: DataFrame, text: str = "text",
+    keep: dict[str, Column] | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: the columns of ``keep`` (unless given the struct ``row`` of all
-    columns), ``n_tokens``, ``n_known``,
-    ``train_tokens``, ``base_score``, ``score`` and ``perplexity``.
+    columns), ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` and
+    ``perplexity``.
 
     Scores are logarithms to base 10 of a text's probability. NULL texts count as empty: one
-    token, the end. Words that aren't listed are joined with their counts; none of them can be
-    frequent but those of over 64 bytes.
+    token, the end. Words that aren't listed are joined with their classes and counts; none of
+    them can be frequent but those of over 64 bytes.
     """
     if keep is None:
         keep = {"row": F.struct(*[F.col(f"`{c}`") for c in docs.columns])}
@@ -391,24 +587,22 @@ def score_texts(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        reader = model.frequent.reader()
-        base_counts = np.concatenate([model.frequent.counts, [0, 0]]).astype(float)
-        base_of = np.log10((base_counts + 0.5) / model.base_divisor)
-        base_of[-2] = np.log10((model.ends + 0.5) / model.base_divisor)
+        listed, reader, emission = model.listed, model.listed.reader(), model.emission()
+        class_of, none = listed.class_of(), listed.none
+        base_of = np.log10(np.concatenate([listed.counts, [model.ends, 0]]) + 0.5)
+        base_of -= np.log10(model.base_divisor)
         base_of[-1] = 0.0
-        for batch in slices(batches):
+        for batch in slices_of_bytes(batches, 0, TEXT_BYTES):
             if not batch.num_rows:
                 continue
-            places, words = reader.read(batch.column(0).to_pylist())
-            found = reader.class_of[places]
-            steps = model.transition[reader.states(found), found] + model.place_emission[places]
-            lengths = np.array([len(w) + 1 for w in words])
+            places, lengths, words = reader.read(batch.column(0).to_pylist())
             begins = np.cumsum(lengths) - lengths
-            unlisted, at = [], np.flatnonzero(places < 0)
-            bounds = np.searchsorted(at, np.append(begins, len(places)))
-            for k, w in enumerate(words):
-                unlisted.append([w[p - begins[k]] for p in at[bounds[k] : bounds[k + 1]]])
-            known = (places >= 0) & ((found != reader.end) | (model.ends > 0))
+            found = class_of[places]
+            before = np.concatenate([[listed.end], found[:-1]])
+            steps = emission[places].copy()
+            both = (found != none) & (before != none)
+            steps[both] += model.transition[before[both], found[both]]
+            known = (places >= 0) & ((places != reader.end_place) | (model.ends > 0))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(1),
@@ -417,35 +611,57 @@ def score_texts(
                     pa.array(np.add.reduceat(known.astype(np.int64), begins)),
                     pa.array(np.add.reduceat(base_of[places], begins)),
                     pa.array(np.add.reduceat(steps, begins)),
-                    pa.array(unlisted, pa.list_(pa.binary())),
+                    word_runs(places, found, words, listed.end, begins),
                 ],
-                ["keep", "row", "n_tokens", "known", "base", "score", "unlisted"],
+                ["keep", "row", "n_tokens", "known", "base", "score", "runs"],
             )
 
     kind = rows.schema["keep"].dataType.simpleString()
     scored = stored(
         rows.select("text", "keep", "row").mapInArrow(score, f"keep {kind}, {SCORED}"), "scored"
     )
-    own = scored.select("row", F.explode("unlisted").alias("word")).groupBy("row", "word").agg(
-        F.count("*").alias("times")
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            row, before, after, items = batch.columns
+            lengths = np.diff(items.offsets.to_numpy())
+            _, classes, counts = (c.to_numpy(zero_copy_only=False) for c in items.flatten().flatten())
+            scores = run_scores(model, before.to_numpy(), after.to_numpy(), lengths, classes, counts)
+            of_run = np.repeat(np.arange(len(lengths)), lengths)
+            logs = np.bincount(of_run, np.log10(counts + 0.5), len(lengths))
+            known = np.bincount(of_run, counts > 0, len(lengths)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [row, pa.array(scores), pa.array(logs), pa.array(lengths.astype(np.int64)), pa.array(known)],
+                ["row", "more", "logs", "times", "rest_known"],
+            )
+
+    run = scored.select("row", F.posexplode("runs").alias("run", "r"))
+    each = run.select("row", "run", "r.before", "r.after", F.posexplode("r.words").alias("place", "word"))
+    item = F.struct(
+        "place", F.coalesce("class", F.lit(-1)).cast("long").alias("class"),
+        F.coalesce("count", F.lit(0)).cast("long").alias("count"),
     )
-    joined = own.join(counts, "word", "left").withColumn("c", F.coalesce("count", F.lit(0)))
-    rest = joined.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.col("c") + 0.5)).alias("logs"),
-        F.sum("times").alias("times"),
-        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rest_known"),
+    runs = each.join(others, "word", "left").groupBy("row", "run").agg(
+        F.first("before").alias("before"), F.first("after").alias("after"),
+        F.sort_array(F.collect_list(item)).alias("items"),
     )
-    whole = scored.drop("unlisted").join(rest, "row", "left").na.fill(
-        {"logs": 0.0, "times": 0, "rest_known": 0}
+    rest = runs.select("row", "before", "after", "items").mapInArrow(
+        finish, "row long, more double, logs double, times long, rest_known long"
+    ).groupBy("row").agg(*[F.sum(c).alias(c) for c in ("more", "logs", "times", "rest_known")])
+    whole = scored.drop("runs").join(rest, "row", "left").na.fill(
+        {"more": 0.0, "logs": 0.0, "times": 0, "rest_known": 0}
     )
-    divisor = lambda x: F.col("logs") - F.col("times") * float(np.log10(x))
-    total = F.col("score") + divisor(model.rest_divisor)
+    total = F.col("score") + F.col("more")
+    logs = F.col("logs") - F.col("times") * float(np.log10(model.base_divisor))
     return whole.select(
         *[F.col("keep")[k].alias(k) for k in names],
         "n_tokens",
         (F.col("known") + F.col("rest_known")).alias("n_known"),
         F.lit(model.train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + divisor(model.base_divisor)).alias("base_score"),
+        (F.col("base") + logs).alias("base_score"),
         total.alias("score"),
         F.pow(F.lit(10.0), -total / F.col("n_tokens")).alias("perplexity"),
     )

@@ -79,9 +79,9 @@ def op5_golden_mix(spark, sf_dir):
 def op6_class_model(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(id_remainder("doc_id", 5) == 1, F.lit(False))
-    model, counts = fit_class_model(docs.where(~held_out))
+    model, others = fit_class_model(docs.where(~held_out))
     keep = {"doc_id": F.col("doc_id"), "held_out": held_out}
-    return score_texts(docs, model, counts, keep=keep)
+    return score_texts(docs, model, others, keep=keep)
 
 
 def op7_parity_join(spark, sf_dir):

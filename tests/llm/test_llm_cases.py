@@ -2,7 +2,9 @@
 
 import hashlib
 import json
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gridclimate.llm.class_model import (
-    exchange, fit_class_model, likelihood, move_gains, score_texts, xlogx
+    best_classes, class_number, exchange, fit_class_model, likelihood, score_texts, xlogx
 )
 from gridclimate.llm.components import components
 from gridclimate.llm.content_sort import content_groups, drop_exact_copies
@@ -175,32 +177,92 @@ def test_many_small_sources(spark, small):
 
 
 def test_class_model_of_odd_documents(odd_docs, no_docs):
-    model, counts = fit_class_model(odd_docs)
-    rows = score_texts(odd_docs, model, counts).collect()
+    model, others = fit_class_model(odd_docs)
+    rows = score_texts(odd_docs, model, others).collect()
     assert len(rows) == odd_docs.count()
     assert all(np.isfinite(r["score"]) for r in rows)
-    model, counts = fit_class_model(no_docs)
-    rows = score_texts(odd_docs, model, counts, keep={"doc_id": F.col("doc_id")}).collect()
+    model, others = fit_class_model(no_docs)
+    rows = score_texts(odd_docs, model, others, keep={"doc_id": F.col("doc_id")}).collect()
     assert all(r.n_known == 0 and r.train_tokens == 0 and np.isfinite(r.score) for r in rows)
-    assert score_texts(no_docs, model, counts).count() == 0
+    assert score_texts(no_docs, model, others).count() == 0
+
+
+def invented_texts(count, seed=3):
+    rng = random.Random(seed)
+    kinds = [[f"{k}{i}" for i in range(30)] for k in "abc"]
+    draw = lambda k: kinds[k % 3][min(29, int(rng.expovariate(0.15)))]
+    return [" ".join(draw(k) for k in range(rng.randrange(60))) for _ in range(count)]
+
+
+def plain_class_model(texts, model, others):
+    """A function that scores a text word by word, from counts in plain Python."""
+    listed = model.listed
+    classes = {w: int(c) for w, c in zip(listed.words, listed.classes)}
+    classes |= {bytes(r.word): r["class"] for r in others.collect()}
+    end, tokens = listed.end, [t.encode().lower().split() for t in texts]
+    counts = Counter(w for words in tokens for w in words)
+    assert set(classes) == set(counts) and set(classes.values()) <= set(range(listed.n_classes))
+    pairs = np.zeros((end + 1, end + 1))
+    for words in tokens:
+        states = [end, *[classes[w] for w in words], end]
+        np.add.at(pairs, (states[:-1], states[1:]), 1)
+    total = pairs.sum(0)
+    share = (total + 0.5) / (total.sum() + 0.5 * (end + 1))
+    n = sum(counts.values()) + len(texts)
+    unseen = (sum(c == 1 for c in counts.values()) + 0.5) / (n + 1)
+    step = lambda s, c: (1 - unseen) * (pairs[s, c] + 20 * share[c]) / (pairs[s].sum() + 20)
+
+    def score(text):
+        state, logs = end, 0.0
+        for word in text.encode().lower().split():
+            if word in classes:
+                own = classes[word]
+                logs += math.log10(step(state, own) * counts[word] / total[own])
+                state = own
+            else:
+                logs += math.log10(unseen / (len(counts) + 1))
+        return logs + math.log10(step(state, end))
+
+    return score
+
+
+@pytest.mark.parametrize("listed, core", [(80, 9), (12, 6), (1, 1), (1 << 18, 512)])
+def test_scores_equal_word_by_word(spark, listed, core):
+    texts = invented_texts(60)
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    model, others = fit_class_model(docs, core=core, n_classes=3, listed=listed)
+    assert others.count() == len({w for t in texts for w in t.split()}) - len(model.listed.words)
+    plain = plain_class_model(texts, model, others)
+    new = ["", "a0 b0 unseen c0", "unseen", "x y z a1 x", "a29 a28 q c17 b22 b23", *invented_texts(10, 8)]
+    both = spark.createDataFrame([(t,) for t in new + texts], "text string")
+    rows = score_texts(both, model, others).collect()
+    assert len(rows) == len(new) + len(texts)
+    for row in rows:
+        assert row.score == pytest.approx(plain(row.row.text), abs=1e-9)
+        assert row.n_tokens == len(row.row.text.split()) + 1
 
 
 def test_probabilities_sum_to_one(spark):
-    docs = spark.createDataFrame([("a b c a b",), ("b c a",), ("d",)], "text string")
-    model, counts = fit_class_model(docs, core=2, n_classes=2, classed=3, listed=3)
-    of = lambda text: score_texts(
-        spark.createDataFrame([(text,)], "text string"), model, counts
-    ).first().score
-    # An unseen word takes the class of the remaining ones, so it may go before a second word.
-    words = ["a", "b", "c", "d", "unseen"]
-    end = model.transition[:, model.frequent.end]
-    reader = model.frequent.reader()
-    total = 0.0
-    for word in words:
-        state = reader.class_of[reader.places.get(word.encode(), -1)]
-        state = reader.end if state == reader.rest else state
-        total += 10 ** (of(word) - end[state])
-    assert total + 10 ** end[reader.end] == pytest.approx(1.0)
+    docs = spark.createDataFrame([("a b c a b",), ("b c a",), ("d",), ("e f d",)], "text string")
+    model, others = fit_class_model(docs, core=2, n_classes=2, listed=3)
+    vocabulary = ["a", "b", "c", "d", "e", "f"]
+    # Of what follows a text without words: its end, each known word, and as many unseen and one.
+    rows = score_texts(spark.createDataFrame([("",)], "text string"), model, others).collect()
+    total = 10 ** rows[0].score
+    listed = model.listed
+    classes = {w: int(c) for w, c in zip(listed.words, listed.classes)}
+    classes |= {bytes(r.word): r["class"] for r in others.collect()}
+    counts = Counter("a b c a b b c a d e f d".split())
+    for word in vocabulary:
+        own = classes[word.encode()]
+        total += counts[word] * 10 ** (model.transition[listed.end, own] - model.class_total[own])
+    total += (len(vocabulary) + 1) * 10**model.unseen
+    assert total == pytest.approx(1.0)
+
+
+def test_classes_grow_with_the_vocabulary():
+    numbers = [class_number(n) for n in (0, 10, 10**3, 10**5, 10**6, 10**9)]
+    assert numbers == sorted(numbers) and numbers[0] == 8 and numbers[-1] == 1000
 
 
 def test_exchange_moves_each_word_to_the_best_class():
@@ -223,37 +285,36 @@ def class_bigrams(bigrams, classes, n):
     return np.eye(n)[classes].T @ bigrams @ np.eye(n)[classes]
 
 
-def test_gains_of_moves_are_likelihoods():
-    for seed in range(5):
-        bigrams = np.random.default_rng(seed).integers(0, 9, (9, 9)).astype(float)
-        classes = np.arange(9) % 4
-        alone = bigrams - np.diag(np.diag(bigrams))
-        before, after = alone.T @ np.eye(4)[classes], alone @ np.eye(4)[classes]
-        between = class_bigrams(bigrams, classes, 4)
-        gains = move_gains(between, before, after, np.diag(bigrams), classes)
-        for w in range(9):
-            for c in range(4):
-                moved = class_bigrams(bigrams, np.where(np.arange(9) == w, c, classes), 4)
-                assert gains[w, c] == pytest.approx(likelihood(moved) - likelihood(between), abs=1e-8)
+def test_best_classes_are_those_of_the_gain():
+    rng = np.random.default_rng(6)
+    between = rng.integers(0, 50, (5, 5)).astype(float)
+    word, side, near = rng.integers(0, 9, 40), rng.integers(0, 2, 40), rng.integers(0, 5, 40)
+    n = rng.integers(1, 4, 40)
+    words, best, gain = best_classes(word, side, near, n, between, 3)
+    assert words.tolist() == sorted(set(word.tolist()))
+    for w, c in zip(words, best):
+        gains = np.zeros(3)
+        for k in np.flatnonzero(word == w):
+            for own in range(3):
+                pair = (near[k], own) if side[k] == 0 else (own, near[k])
+                whole = between[:, own].sum() if side[k] == 0 else between[own].sum()
+                gains[own] += n[k] * np.log((between[pair] + 0.5) / (whole + 0.5))
+        assert gains[c] == pytest.approx(gains.max())
 
 
 def test_moves_keep_the_core_and_raise_the_likelihood(spark):
-    rng = random.Random(3)
-    kinds = [[f"{k}{i}" for i in range(30)] for k in "abc"]
-    draw = lambda k: kinds[k % 3][min(29, int(rng.expovariate(0.15)))]
-    texts = [" ".join(draw(k) for k in range(rng.randrange(60))) for _ in range(80)]
+    texts = invented_texts(80)
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
-    frequent = fit_class_model(docs, core=9, n_classes=3, classed=80)[0].frequent
-    reader, n = frequent.reader(), len(frequent.words) + 2
+    listed = fit_class_model(docs, core=9, n_classes=3)[0].listed
+    reader, n = listed.reader(), len(listed.words) + 2
     places = np.concatenate([[n - 2], reader.read(texts)[0]])
     bigrams = np.zeros((n, n))
     np.add.at(bigrams, (places[:-1], places[1:]), 1)
     core = exchange(bigrams[:9, :9], 3)
-    assert frequent.classes[:9].tolist() == core.tolist()
-    start = np.concatenate([core, np.full(n - 11, frequent.rest), [frequent.end, frequent.rest]])
+    assert listed.classes[:9].tolist() == core.tolist()
+    start = np.concatenate([core, np.full(n - 11, listed.none), [listed.end, listed.none]])
     value = lambda classes: likelihood(class_bigrams(bigrams, classes, 5))
-    assert value(reader.class_of) > value(start)
-    assert (frequent.classes[80:] == frequent.rest).all()
+    assert value(listed.class_of()) > value(start)
 
 
 # --- op7, op9: near duplicates --------------------------------------------------------------------
