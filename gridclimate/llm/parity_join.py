@@ -11,8 +11,9 @@ change but one: an equi-join on each two words of each part finds all similar se
 Sketches never travel. Their keys do, packed in blocks of a bucket of keys, and their folds: words
 of a sketch XORed together into a few, about four bits for each member that similar sets may differ
 in. Folds differ in no more bits than sketches, so they discard most of the other pairs. The sets
-themselves decide; they are made anew from the texts, and each goes to a few tasks only, where all
-pairs of its tile are verified and a pair that is connected already is passed over.
+themselves decide; those that share a key are made anew from the texts, and each goes to a few
+tasks only, where the pairs of its tile are verified and one that is connected already is passed
+over.
 
 Equal sets are one node throughout. A key shared by many sets does not give all pairs: its first
 set is paired with each other one. Once the links of these have been merged, only sets of
@@ -24,6 +25,7 @@ Sets and n-grams are known by hashes of 64 bits.
 """
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import slices, slices_of_bytes
+from .arrow import slices_of_bytes
 from .components import components, with_least
 from .stored import stored
 
@@ -43,6 +45,8 @@ FEW = 32  # sets sharing a key up to which they are paired by their identifiers
 KEYS = 1 << 21  # that a task holds before it sends them on
 TILE_MEMBERS = 1 << 19  # of all sets on one side of a tile
 TILE_SETS = 512
+TILE_PAIRED = 256  # sets on one side of a tile whose pairs are known
+KNOWN = 300_000  # words whose hashes a task remembers
 MOST_BITS = 1 << 26  # of a table of nodes
 BLOOM_SHIFTS = (0, 20, 38)
 
@@ -54,22 +58,40 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None, width: int) -> np.ndarray:
-    """Distinct hashes, in ascending order, of the ``width``-word sequences of a text.
+class WordHashes(dict):
+    """Hashes of words as they are met, for so many that a task remembers."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > KNOWN:
+            self.clear()
+        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+def shingles(texts: list[str | None], width: int, hashes: WordHashes) -> Iterator[np.ndarray]:
+    """For each text the distinct hashes, in ascending order, of its ``width``-word sequences.
 
     Letters A to Z count as lower case; words are what the six blanks of ASCII separate. Fewer
     words are one sequence; no words, or NULL, an empty set.
     """
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    width = min(width, len(words))
-    found = np.full(len(words) - width + 1, width, np.uint64)
-    for k in range(width):
-        found = found * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + len(found)]
-    found = np.sort(mixed(found))
-    return found[np.concatenate([[True], found[1:] != found[:-1]])]
+    split = [(text or "").encode().lower().split() for text in texts]
+    total = sum(map(len, split))
+    words = np.fromiter(map(hashes.__getitem__, chain.from_iterable(split)), np.uint64, total)
+    sequences = {}  # by their width, at each place, of all texts one after another
+    for used in {min(width, len(own)) for own in split if own}:
+        found = np.full(total - used + 1, used, np.uint64)
+        for k in range(used):
+            found = found * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(found)]
+        sequences[used] = mixed(found)
+    begin = 0
+    for own in split:
+        if not own:
+            yield np.zeros(0, np.uint64)
+            continue
+        used = min(width, len(own))
+        found = np.sort(sequences[used][begin : begin + len(own) - used + 1])
+        yield found[np.concatenate([[True], found[1:] != found[:-1]])]
+        begin += len(own)
 
 
 def set_id(found: np.ndarray) -> int:
@@ -124,44 +146,27 @@ class Bands:
         return common * self.q >= (len(both) - common) * self.p
 
 
-SETS = "node long, size long, band int, lower binary, upper binary"
-
-
-def document_sets(docs: DataFrame, bands: Bands, width: int, text: str, id: str) -> DataFrame:
-    """Identifier, node (hash of the set; NULL if empty), size, band and the folds of both sketches."""
-    rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+def document_sets(docs: DataFrame, width: int, text: str, id: str) -> DataFrame:
+    """``id``, ``node`` (hash of the set; NULL if empty) and ``size`` of each document."""
+    rows = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{id}`").alias("id"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            out = []
-            for document in batch.column(1).to_pylist():
-                found = shingles(document, width)
-                if not len(found):
-                    out.append((None, 0, None, None, None))
-                    continue
-                band = bands.band(len(found))
-                folds = [bands.fold(bands.sketch(found, g), g).tobytes() for g in (band - 1, band)]
-                out.append((set_id(found), len(found), band, *folds))
-            node, size, band, lower, upper = zip(*out) if out else ([],) * 5
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(node, pa.int64()),
-                    pa.array(size, pa.int64()),
-                    pa.array(band, pa.int32()),
-                    pa.array(lower, pa.binary()),
-                    pa.array(upper, pa.binary()),
-                ],
-                ["id", "node", "size", "band", "lower", "upper"],
-            )
+        hashes = WordHashes()
+        for batch in slices_of_bytes(batches, 0):
+            sets = shingles(batch.column(0).to_pylist(), width, hashes)
+            out = [(set_id(found) if len(found) else None, len(found)) for found in sets]
+            node, size = zip(*out) if out else ((), ())
+            columns = [batch.column(1), pa.array(node, pa.int64()), pa.array(size, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "node", "size"])
 
-    return rows.mapInArrow(make, f"id {rows.schema['id'].dataType.simpleString()}, {SETS}")
+    return rows.mapInArrow(make, f"id {rows.schema['id'].dataType.simpleString()}, node long, size long")
 
 
 def made_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict[int, np.ndarray]]:
     """The different sets of some texts at a time, by node; texts are the first column."""
+    hashes = WordHashes()
     for batch in slices_of_bytes(batches, 0):
-        made = (shingles(document, width) for document in batch.column(0).to_pylist())
+        made = shingles(batch.column(0).to_pylist(), width, hashes)
         yield {set_id(found): found for found in made if len(found)}
 
 
@@ -350,7 +355,33 @@ class NodeFilter:
         return here
 
 
-def within_bound(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
+HELD = "node long, size long, band int, lower binary, upper binary, members binary"
+
+
+def held_sets(nodes: DataFrame, docs: DataFrame, bands: Bands, width: int, text: str) -> DataFrame:
+    """The sets of the nodes, made anew from the texts: size, band, folds and sorted members."""
+    maybe = NodeFilter(nodes)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sets in made_sets(batches, width):
+            nodes = np.fromiter(sets, np.int64, len(sets))
+            out = []
+            for node in nodes[maybe.passes(nodes)].tolist():
+                found = sets[node]
+                band = bands.band(len(found))
+                folds = [bands.fold(bands.sketch(found, g), g).tobytes() for g in (band - 1, band)]
+                out.append((node, len(found), band, *folds, found.tobytes()))
+            columns = zip(*out) if out else ([],) * 6
+            kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 3]
+            names = ["node", "size", "band", "lower", "upper", "members"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    texts = docs.select(F.col(f"`{text}`").alias("text"))
+    made = texts.mapInArrow(make, HELD)
+    return made.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+
+
+def within_bound(pairs: DataFrame, held: DataFrame, bands: Bands) -> DataFrame:
     """The pairs ``a``, ``b`` of a ``group`` whose sizes and folds are as near as similar sets' are."""
     each = F.explode(
         F.array(
@@ -358,7 +389,7 @@ def within_bound(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
             F.struct(F.col("band").alias("group"), F.col("upper").alias("fold")),
         )
     ).alias("g")
-    folds = sets.where("node IS NOT NULL").dropDuplicates(["node"]).select("node", "size", each)
+    folds = held.select("node", "size", each)
     of = lambda n: folds.select(
         F.col("node").alias(n), F.col("g.group").alias("group"), F.col("size").alias(f"size_{n}"),
         F.col("g.fold").alias(f"fold_{n}"),
@@ -388,22 +419,6 @@ def within_bound(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
     return columns.mapInArrow(check, "a long, b long, distance long")
 
 
-def sets_of(nodes: DataFrame, docs: DataFrame, width: int, text: str) -> DataFrame:
-    """``node`` and ``members`` (sorted, packed) of the nodes, made anew from the texts."""
-    maybe = NodeFilter(nodes)
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sets in made_sets(batches, width):
-            here = np.fromiter(sets, np.int64, len(sets))
-            here = here[maybe.passes(here)]
-            packed = [sets[node].tobytes() for node in here.tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(here), pa.array(packed, pa.binary())],
-                                             ["node", "members"])
-
-    texts = docs.select(F.col(f"`{text}`").alias("text"))
-    return texts.mapInArrow(make, "node long, members binary").dropDuplicates(["node"])
-
-
 class Groups:
     """Groups of nodes that links have joined."""
 
@@ -425,17 +440,15 @@ def links_table(links: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
-def similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, bands: Bands, width: int, text: str,
-            name: str) -> DataFrame:
+def similar(pairs: DataFrame, held: DataFrame, bands: Bands, name: str) -> DataFrame:
     """Links ``a``, ``b`` that connect whatever similar pairs connect, found on the sets.
 
     Pairs are verified together with those they hang together with, so that each set goes to one
     task, or to the few that a large group is cut into.
     """
     groups = components(pairs, name).withColumnRenamed("root", "whole")
-    sizes = sets.where("node IS NOT NULL").groupBy("node").agg(F.max("size").alias("size"))
-    wanted = stored(groups.join(sizes, "node"), f"{name}_nodes")
-    tiles = F.greatest(F.ceil(F.sum("size") / TILE_MEMBERS), F.ceil(F.count("*") / (4 * TILE_SETS)))
+    wanted = stored(groups.join(held.select("node", "size"), "node"), f"{name}_nodes")
+    tiles = F.greatest(F.ceil(F.sum("size") / TILE_MEMBERS), F.ceil(F.count("*") / TILE_PAIRED))
     cut = wanted.groupBy("whole").agg(tiles.cast("int").alias("tiles"))
     own = F.pmod(F.xxhash64("node", F.lit(7)), "tiles").cast("int").alias("own")
     placed = wanted.join(cut, "whole").select("node", "whole", own)
@@ -450,7 +463,7 @@ def similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, bands: Bands, wi
     )
     places = ["whole", "i", "j"]
     needed = dealt.select(*places, F.explode(F.array("a", "b")).alias("node")).distinct()
-    members = sets_of(wanted.select("node"), docs, width, text)
+    members = held.select("node", "members")
     none = F.lit(None).cast("long")
     rows = needed.join(members, "node").select(
         *places, F.col("node").alias("a"), none.alias("b"), none.alias("distance"), "members"
@@ -474,20 +487,18 @@ def similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, bands: Bands, wi
     return rows.groupBy(*places).applyInArrow(verify, "a long, b long")
 
 
-def links_in_tiles(members: DataFrame, sets: DataFrame, docs: DataFrame, bands: Bands, width: int,
-                   text: str) -> DataFrame:
+def links_in_tiles(members: DataFrame, held: DataFrame, bands: Bands) -> DataFrame:
     """Links between different components, of keys that many sets share.
 
     ``members`` has ``key``, ``group``, ``node``, ``root``. Each key's sets are cut into tiles; two
     tiles are compared in one task, and what it has connected is passed over from there on.
     """
-    sizes = sets.where("node IS NOT NULL").groupBy("node").agg(F.max("size").alias("size"))
-    wanted = stored(members.join(sizes, "node"), "open_members")
+    wanted = stored(members.join(held.select("node", "size"), "node"), "open_members")
     tiles = F.greatest(F.ceil(F.sum("size") / TILE_MEMBERS), F.ceil(F.count("*") / TILE_SETS))
     cut = wanted.groupBy("key").agg(tiles.cast("int").alias("tiles"))
     own = F.pmod(F.xxhash64("node", F.lit(7)), "tiles").cast("int")
     placed = wanted.join(cut, "key").select("key", "group", "node", "root", own.alias("own"), "tiles")
-    placed = placed.join(sets_of(wanted.select("node"), docs, width, text), "node")
+    placed = placed.join(held.select("node", "members"), "node")
     pieces = placed.select("key", "group", "node", "root", "own", "members",
                            F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
     pieces = pieces.select("key", F.least("own", "other").alias("i"),
@@ -534,8 +545,8 @@ def near_duplicates(
     read.
     """
     bands = Bands(*similarity)
-    sets = stored(document_sets(docs, bands, width, text, id), "sets")
-    labels = similar_components(docs, sets, bands, width, text)
+    sets = stored(document_sets(docs, width, text, id), "sets")
+    labels = similar_components(docs, bands, width, text)
     rooted = sets.select("id", "size", "node").join(labels, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )
@@ -547,7 +558,7 @@ def near_duplicates(
     )
 
 
-def similar_components(docs, sets, bands: Bands, width: int, text: str) -> DataFrame:
+def similar_components(docs: DataFrame, bands: Bands, width: int, text: str) -> DataFrame:
     """``node`` and ``root`` of all nodes with a link."""
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shared = stored(shared_keys(key_blocks(docs, bands, width, text, buckets), buckets), "shared")
@@ -555,8 +566,10 @@ def similar_components(docs, sets, bands: Bands, width: int, text: str) -> DataF
     stars = stored(
         shared.where("node <> first").groupBy(*ordered).agg(F.max("group").alias("group")), "stars"
     )
-    close = stored(within_bound(stars, sets, bands), "close")
-    links = stored(similar(close, sets, docs, bands, width, text, "stars"), "links")
+    nodes = shared.select(F.explode(F.array("node", "first")).alias("node")).distinct()
+    held = stored(held_sets(nodes, docs, bands, width, text), "held")
+    close = stored(within_bound(stars, held, bands), "close")
+    links = stored(similar(close, held, bands, "stars"), "links")
     labels = components(links, "first")
     # Keys shared by three or more sets of more than one component: not all pairs are known yet.
     members = shared.select("key", "group", "node").unionByName(
@@ -578,13 +591,13 @@ def similar_components(docs, sets, bands: Bands, width: int, text: str) -> DataF
         .groupBy(F.col("node").alias("a"), "b").agg(F.max("group").alias("group"))
         .join(stars, ["a", "b"], "left_anti")
     )
-    direct = stored(within_bound(stored(direct, "direct"), sets, bands), "direct_close")
+    direct = stored(within_bound(stored(direct, "direct"), held, bands), "direct_close")
     many = still_open.where(F.col("count") > FEW)
     more = []
     if not direct.isEmpty():
-        more.append(stored(similar(direct, sets, docs, bands, width, text, "later"), "later_links"))
+        more.append(stored(similar(direct, held, bands, "later"), "later_links"))
     if not many.isEmpty():
-        more.append(stored(links_in_tiles(many, sets, docs, bands, width, text), "tile_links"))
+        more.append(stored(links_in_tiles(many, held, bands), "tile_links"))
     if not any(not some.isEmpty() for some in more):
         return labels
     for some in more:

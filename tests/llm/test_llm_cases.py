@@ -26,7 +26,7 @@ from gridclimate.llm.crf_pii import find_personal_data, train_crf, viterbi
 from gridclimate.llm.golden_mix import mix, mixed_documents
 from gridclimate.llm.neighbour_quality import fit_quality, score_quality
 from gridclimate.llm import parity_join
-from gridclimate.llm.parity_join import Bands, near_duplicates, shingles, sketch_keys
+from gridclimate.llm.parity_join import Bands, WordHashes, near_duplicates, shingles, sketch_keys
 from gridclimate.llm.piece_encoding import encode_pieces, piece_model
 from gridclimate.llm.sentence_toxicity import fit_toxicity, score_toxicity, sentence_words
 from gridclimate.llm.token_files import byte_tokens, read_token_files, write_token_files
@@ -355,7 +355,7 @@ def test_near_groups_against_all_pairs(spark, share):
                 words[rng.randrange(len(words))] = f"z{rng.randrange(10_000)}"
         texts.append(" ".join(words[: len(words) - k % 3]))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    sets = [set(shingles(t, 3).tolist()) for t in texts]
+    sets = [set(found.tolist()) for found in shingles(texts, 3, WordHashes())]
     root = list(range(len(sets)))
     for i, j in sorted(plain_links([s or {("none", k)} for k, s in enumerate(sets)], 90, 100)):
         a, b = sorted((root[i], root[j]))
