@@ -19,6 +19,7 @@ DIMENSIONS = tuple(BOUNDS)
 # and numbers that are no place on a globe.
 FAR = float(2**31)
 
+SAMPLED = 64  # of so many areas one tells which blocks very many share
 
 CELL = ["cell_latitude", "cell_longitude"]
 
@@ -108,6 +109,15 @@ def _extent(cells: DataFrame) -> Column:
     return cells.agg(F.struct(*parts)).scalar()
 
 
+def _with_extent(rows: DataFrame, extent: Column) -> DataFrame:
+    """The rows with the extent as a column.
+
+    An explode of one element stands between it and its uses: a plain column would be replaced by
+    the subquery wherever it is used, once for every bound of every dimension.
+    """
+    return rows.select("*", F.explode(F.array(extent)).alias("extent"))
+
+
 def _first(name: str, bound: Column) -> Column:
     """Number of positions below a bound: the position of the first value at or above it.
 
@@ -137,26 +147,34 @@ def _block_sums(cells: DataFrame, extent: Column) -> DataFrame:
     dimension only and merges them again before the shuffle. The grid bounds the result: about
     twice its cells and years in each dimension, whatever the number of observations.
     """
-    sums = cells.withColumn("extent", extent).select(
+    tops = {name: f"{name}_top" for name in DIMENSIONS}
+    sums = _with_extent(cells, extent).select(
         *[_first(name, F.col(name)).alias(name) for name in DIMENSIONS],
+        *[_top(name).alias(top) for name, top in tops.items()],
         F.col("avg_temp").alias("temp_sum"),
         F.col("avg_temp").isNotNull().cast("long").alias("temps"),
         F.lit(1).cast("long").alias("entries"),
     )
     for name in DIMENSIONS:
-        steps = (extent[f"{name}_max"] - extent[f"{name}_min"]).cast("long")
-        last = F.coalesce(steps, F.lit(-1)) + F.size(extent[f"{name}_far"])
-        levels = F.sequence(F.lit(0), top_level(F.greatest(last, F.lit(0))))
+        levels = F.sequence(F.lit(0), F.col(tops.pop(name)))
         blocks = {d: F.col(d) for d in DIMENSIONS}
         blocks[name] = block_holding(F.col(name), F.col("level"))
+        # The tops still to be used are the same in all rows.
         sums = (
             sums.select("*", F.explode(levels).alias("level"))
-            .groupBy(*[block.alias(d) for d, block in blocks.items()])
+            .groupBy(*[block.alias(d) for d, block in blocks.items()], *tops.values())
             .agg(*_totals())
         )
     return sums
 
 
+def _top(name: str) -> Column:
+    """The level of blocks whose first one holds all positions of a dimension."""
+    least, greatest = F.col(f"extent.{name}_min"), F.col(f"extent.{name}_max")
+    last = F.coalesce((greatest - least).cast("long"), F.lit(-1)) + F.size(f"extent.{name}_far")
+    return top_level(F.greatest(last, F.lit(0)))
+
+
 def _totals() -> list[Column]:
     return [F.sum(name).alias(name) for name in ("temp_sum", "temps", "entries")]
 
@@ -179,11 +197,44 @@ def _placed(summary: DataFrame) -> DataFrame:
     return summary.where(~F.isnan("latitude") & ~F.isnan("longitude"))
 
 
+def _pieces(areas: DataFrame, ends: list[str]) -> DataFrame:
+    """A row for each block that an area is put together from."""
+    covers = [blocks_covering(f"{name}_first", f"{name}_last").alias(name) for name in BOUNDS]
+    pieces = areas.select(*ends, "parts", *covers)
+    for name in BOUNDS:
+        # not the plain explode: Spark would work out the covers once more to skip empty ones
+        pieces = pieces.withColumn(name, F.explode_outer(name))
+    return pieces
+
+
+def _with_sums(
+    areas: DataFrame, ends: list[str], sums: DataFrame, pieces_per_task: int
+) -> DataFrame:
+    """The pieces of areas with the sums of their blocks; pieces outside the grid drop out.
+
+    The pieces of a block that very many areas share are dealt out to several slots, and its one
+    row of sums to each of them. Which blocks these are is told by one area in ``SAMPLED``, chosen
+    by a hash; the answers don't depend on it.
+    """
+    chosen = areas.where(F.pmod(F.xxhash64(*ends), F.lit(SAMPLED)) == 0)
+    slots = F.ceil(F.count(F.lit(1)) * SAMPLED / pieces_per_task).cast("int")
+    hot = _pieces(chosen, ends).groupBy(*DIMENSIONS).agg(slots.alias("slots"))
+    hot = hot.where(F.col("slots") > 1)
+    number = F.pmod(F.xxhash64(*ends, F.lit(1)), F.col("slots"))
+    dealt_out = _pieces(areas, ends).join(hot, list(DIMENSIONS), "left").select(
+        *ends, "parts", *DIMENSIONS, F.coalesce(number, F.lit(0)).cast("int").alias("slot")
+    )
+    every_slot = F.explode(F.sequence(F.lit(0), F.coalesce("slots", F.lit(1)) - 1)).alias("slot")
+    spread = sums.join(hot, list(DIMENSIONS), "left").select(*sums.columns, every_slot)
+    return dealt_out.join(spread, [*DIMENSIONS, "slot"]).drop("slot")
+
+
 def area_average_batch(
     summary: DataFrame,
     boxes: DataFrame,
     requests_per_task: int = 100_000,
     prepared: tuple[DataFrame, DataFrame] | None = None,
+    pieces_per_task: int = 1_000_000,
 ) -> DataFrame:
     """The plain mean of the cell averages, and their number, for every requested area.
 
@@ -195,7 +246,8 @@ def area_average_batch(
     An area is put together from the sums of a few large blocks (see ``functions.ranges``)
     found by an equi-join, so it costs some hundred rows at most and never one per cell and year.
     Equal areas are worked out once; an area that is asked for more than ``requests_per_task``
-    times is dealt out to as many parts as needed. Bad requests are answered without a join.
+    times is dealt out to as many parts as needed, and so is a block that more than
+    ``pieces_per_task`` different areas share. Bad requests are answered without a join.
 
     ``prepared`` is the extent and the sums of the same summary as ``plans.build_area_sums`` has
     stored them; a batch then only joins. Without it they are made anew.
@@ -210,17 +262,13 @@ def area_average_batch(
     ends = {}
     for name, (low, high) in BOUNDS.items():
         ends |= {f"{name}_first": _first(name, F.col(low)), f"{name}_last": _last(name, F.col(high))}
-    good = checked.where(F.col("error").isNull()).withColumn("extent", extent)
+    good = _with_extent(checked.where(F.col("error").isNull()), extent)
     asked = good.select(*checked.columns, *[place.alias(name) for name, place in ends.items()])
 
     parts = F.ceil(F.count(F.lit(1)) / requests_per_task).cast("int")
     areas = asked.groupBy(*ends).agg(parts.alias("parts"))
-    covers = [blocks_covering(f"{name}_first", f"{name}_last").alias(name) for name in BOUNDS]
-    pieces = areas.select(*ends, "parts", *covers)
-    for name in BOUNDS:
-        # not the plain explode: Spark would work out the covers once more to skip empty ones
-        pieces = pieces.withColumn(name, F.explode_outer(name))
-    totals = pieces.join(sums, list(DIMENSIONS)).groupBy(*ends, "parts").agg(*_totals())
+    found = _with_sums(areas, list(ends), sums, pieces_per_task)
+    totals = found.groupBy(*ends, "parts").agg(*_totals())
 
     hot = areas.where(F.col("parts") > 1)
     own_part = F.pmod(F.xxhash64("request_id"), F.col("parts")).cast("int")

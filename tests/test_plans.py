@@ -8,6 +8,8 @@ import samples
 from pyspark.sql import functions as F
 
 import gridclimate as gc
+from gridclimate import fixtures
+from gridclimate.operators import batches
 
 
 def plan(rows):
@@ -139,6 +141,51 @@ def test_hot_areas_are_dealt_out(spark, hot):
     assert max(sizes) < 2.5 * sum(sizes) / 8
 
 
+def test_the_extent_is_worked_out_once_a_plan(spark, sf_dir):
+    text = plan(entry.area_average_batch(spark, sf_dir))
+    assert text.count("FileScan") <= 24
+
+
+def test_hot_blocks_are_dealt_out(spark, sf_dir):
+    """Many different areas share one block of the grid."""
+    ends = [f"{name}_{end}" for name in batches.BOUNDS for end in ("first", "last")]
+    areas = spark.range(20_000).selectExpr(
+        "id AS latitude_first", "65534L AS latitude_last", "0L AS longitude_first",
+        "0L AS longitude_last", "0L AS year_first", "0L AS year_last", "1 AS parts",
+    )
+    sums = spark.range(1).selectExpr("65534L * 32 AS latitude", "0L AS longitude", "0L AS year",
+                                     "1.0D AS temp_sum", "1L AS temps", "1L AS entries")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        sizes = {}
+        for most in (10**9, 100):
+            rows = batches._with_sums(areas, ends, sums, most)
+            parts = rows.groupBy(F.spark_partition_id()).count().select("count").collect()
+            sizes[most] = [r[0] for r in parts]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sizes[10**9] == [20_000]
+    assert sum(sizes[100]) == 20_000 and len(sizes[100]) == 8
+    assert max(sizes[100]) < 2.5 * sum(sizes[100]) / 8
+
+
+def test_slots_of_blocks_change_no_answer(spark, sf_dir):
+    boxes, summary = fixtures.boxes(spark, sf_dir), entry._summary(spark, sf_dir)
+    few, usual = (gc.area_average_batch(summary, boxes, pieces_per_task=most) for most in (1, 10**9))
+    rounded = lambda rows: sorted(
+        (r.request_id, r.n_entries, r.error, r.average_temp and round(r.average_temp, 9)) for r in rows.collect()
+    )
+    assert rounded(few) == rounded(usual)
+
+
 def test_no_python_in_any_plan(spark, sf_dir):
     for name, query in entry.climate_queries().items():
         text = plan(query(spark, sf_dir))
