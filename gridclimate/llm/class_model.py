@@ -21,6 +21,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +32,9 @@ LONGEST = 64  # bytes of a listed word
 LISTED = 1 << 18
 CORE = 512
 STRENGTH = 20.0  # tokens that the classes' shares count for in a state's transitions
-KEPT_KEYS = 1 << 21  # different keys that a task counts before it sends them on
-TEXT_BYTES = 4 << 20
+KEPT_KEYS = 1 << 20  # different keys that a task counts before it sends them on
+PARTS = 64  # that listed words are dealt out to
+TEXT_BYTES = 2 << 20
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -57,7 +59,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         for batch in slices_of_bytes(batches, 0, TEXT_BYTES):
             for text in batch.column(0).to_pylist():
                 counts.update(words_of(text))
-            if len(counts) > KEPT_KEYS // 8:
+            if len(counts) > KEPT_KEYS // 4:
                 yield rows(counts)
                 counts = Counter()
         yield rows(counts)
@@ -134,91 +136,107 @@ def read_tokens(texts: DataFrame, listed: Listed) -> DataFrame:
     return texts.mapInArrow(make, "places binary, others array<binary>")
 
 
-class Counts:
-    """Counts of integer keys, sent on when there are too many different ones."""
+class Neighbours:
+    """Counts of the classes next to words, sent on as a block for each part of the words.
 
-    def __init__(self, kind: int):
-        self.kind = kind
+    A key is the word's number times two plus the side, times the number of classes, plus the
+    class; words are numbered within their part.
+    """
+
+    def __init__(self, size: int):
+        self.size = size
         self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.unique(keys, return_counts=True)
+    def add(self, word: np.ndarray, before: np.ndarray, after: np.ndarray) -> Iterator[pa.RecordBatch]:
+        # The part comes first, so that keys in order are in order of parts.
+        own = ((word % PARTS << 32) + word // PARTS) * 2
+        keys, counts = np.unique(
+            np.concatenate([own * self.size + before, (own + 1) * self.size + after]), return_counts=True
+        )
         keys, at = np.unique(np.concatenate([self.keys, keys]), return_inverse=True)
         counts = np.concatenate([self.counts, counts])
         self.keys, self.counts = keys, np.bincount(at, counts, len(keys)).astype(np.int64)
         if len(keys) > KEPT_KEYS:
-            yield self.rows()
-
-    def rows(self) -> pa.RecordBatch:
-        columns = [pa.array(np.full(len(self.keys), self.kind, np.int32)), pa.array(self.keys),
-                   pa.array(self.counts)]
-        self.__init__(self.kind)
-        return pa.RecordBatch.from_arrays(columns, ["kind", "at", "n"])
-
-
-COUNTED = "kind int, at long, n long"
-PAIRS, NEAR = 0, 1
+            yield self.blocks()
+
+    def blocks(self) -> pa.RecordBatch:
+        width = 2 * self.size << 32
+        part, key = self.keys // width, self.keys % width
+        found, begins = np.unique(part, return_index=True)
+        ends = np.append(begins[1:], len(part)) if len(found) else begins
+        rows = [
+            (int(p), key[b:e].astype("<u8").tobytes(), self.counts[b:e].astype("<u4").tobytes())
+            for p, b, e in zip(found, begins, ends)
+        ]
+        columns = list(zip(*rows)) or [()] * 3
+        self.__init__(self.size)
+        kinds = [pa.int32(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "keys", "counts"]
+        )
 
 
-def counted(tokens: DataFrame, make, pairs: int, name: str) -> DataFrame:
-    """``kind``, ``at``, ``n``: how often ``make`` gives each key of each kind, over all tokens.
+def pairs_counted(tokens: DataFrame, make, size: int) -> np.ndarray:
+    """How often ``make`` gives each pair of numbers below ``size``, over all tokens.
 
-    ``make`` takes the places of some texts and gives two arrays of keys: those of pairs are below
-    ``pairs``, those of neighbours any.
+    ``make`` takes the places of some texts and gives the pairs, each as one number.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, near = np.zeros(pairs, np.int64), Counts(NEAR)
+        total = np.zeros(size * size, np.int64)
         for batch in batches:
             for packed in batch.column(0):
-                keys, neighbours = make(np.frombuffer(packed.as_buffer(), np.int32))
-                total += np.bincount(keys, minlength=pairs)
-                yield from near.add(neighbours)
-        yield near.rows()
+                keys = make(np.frombuffer(packed.as_buffer(), np.int32))
+                total += np.bincount(keys, minlength=size * size)
         some = np.flatnonzero(total)
-        columns = [pa.array(np.full(len(some), PAIRS, np.int32)), pa.array(some), pa.array(total[some])]
-        yield pa.RecordBatch.from_arrays(columns, ["kind", "at", "n"])
-
-    found = tokens.select("places").mapInArrow(count, COUNTED)
-    return stored(found.groupBy("kind", "at").agg(F.sum("n").alias("n")), name)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["at", "n"])
 
-
-def dense(found: DataFrame, size: int) -> np.ndarray:
-    """The counts of pairs, whose keys are below ``size``."""
-    rows = found.where(F.col("kind") == PAIRS).select("at", "n").toArrow()
-    total = np.zeros(size)
+    found = tokens.select("places").mapInArrow(count, "at long, n long")
+    rows = found.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(size * size)
     total[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
-    return total
+    return total.reshape(size, size)
 
 
 def core_bigrams(tokens: DataFrame, core: int) -> np.ndarray:
-    def make(places: np.ndarray):
+    def make(places: np.ndarray) -> np.ndarray:
         near = (places >= 0) & (places < core)
         both = near[:-1] & near[1:]
-        return places[:-1][both].astype(np.int64) * core + places[1:][both], np.zeros(0, np.int64)
+        return places[:-1][both].astype(np.int64) * core + places[1:][both]
 
-    return dense(counted(tokens, make, core * core, "core"), core * core).reshape(core, core)
+    return pairs_counted(tokens, make, core)
 
 
-def class_pairs(tokens: DataFrame, listed: Listed, low: int, high: int) -> DataFrame:
-    """Bigrams of classes, and the classes before and after the words from ``low`` below ``high``.
-
-    The key of a bigram is its first class times ``size`` plus the second; that of a neighbour is
-    the word's place from ``low``, the side and the class in the same way.
-    """
-    size, shared = listed.size, tokens.sparkSession.sparkContext.broadcast(listed.class_of())
-    end = listed.end
+def class_pairs(tokens: DataFrame, listed: Listed) -> np.ndarray:
+    """Bigrams of classes; words without one count as one class."""
+    size, end = listed.size, listed.end
+    shared = tokens.sparkSession.sparkContext.broadcast(listed.class_of())
 
-    def make(places: np.ndarray):
+    def make(places: np.ndarray) -> np.ndarray:
         found = shared.value[places]
-        previous = np.concatenate([[end], found[:-1]])
-        at = np.flatnonzero((places >= low) & (places < high))
-        own = (places[at] - low).astype(np.int64)
-        # An end is behind each text, so a word has a next token.
-        sides = 2 * own * size + previous[at], (2 * own + 1) * size + found[at + 1]
-        return previous * size + found, np.concatenate(sides)
+        return np.concatenate([[end], found[:-1]]) * size + found
+
+    return pairs_counted(tokens, make, size)
+
 
-    return counted(tokens, make, size * size, f"pairs_{low}_{high}")
+def neighbours(tokens: DataFrame, listed: Listed, low: int, high: int) -> DataFrame:
+    """The classes before and after the words from ``low`` below ``high``, as ``Neighbours``."""
+    size, end = listed.size, listed.end
+    shared = tokens.sparkSession.sparkContext.broadcast(listed.class_of())
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Neighbours(size)
+        for batch in batches:
+            for packed in batch.column(0):
+                places = np.frombuffer(packed.as_buffer(), np.int32)
+                found = shared.value[places]
+                at = np.flatnonzero((places >= low) & (places < high))
+                # An end is behind each text, so a word has a next token.
+                before = np.where(at > 0, found[at - 1], end)
+                yield from counts.add((places[at] - low).astype(np.int64), before, found[at + 1])
+        yield counts.blocks()
+
+    return tokens.select("places").mapInArrow(make, "part int, keys binary, counts binary")
 
 
 def xlogx(x: np.ndarray) -> np.ndarray:
@@ -308,16 +326,17 @@ def listed_moves(found: DataFrame, between: np.ndarray, listed: Listed, low: int
     size, n_classes = listed.size, listed.n_classes
     shared = found.sparkSession.sparkContext.broadcast(between)
 
-    def choose(table: pa.Table) -> pa.Table:
-        at, n = (table.column(c).to_numpy() for c in ("at", "n"))
+    def choose(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        whole = lambda name, kind: np.concatenate(
+            [np.frombuffer(b, kind) for b in table.column(name).to_pylist()]
+        ).astype(np.int64)
+        at, n = whole("keys", "<u8"), whole("counts", "<u4")
         words, best, gain = best_classes(
             at // (2 * size), at // size % 2, at % size, n, shared.value, n_classes
         )
-        return pa.table({"word": words + low, "best": best, "gain": gain})
+        return pa.table({"word": words * PARTS + key[0].as_py() + low, "best": best, "gain": gain})
 
-    word = F.floor(F.col("at") / (2 * size))
-    rows = found.where(F.col("kind") == NEAR).select((word % 64).alias("part"), "at", "n")
-    return rows.groupBy("part").applyInArrow(choose, "word long, best long, gain double").toArrow()
+    return found.groupBy("part").applyInArrow(choose, "word long, best long, gain double").toArrow()
 
 
 def classes_of_listed(tokens: DataFrame, listed: Listed, core: int) -> tuple[Listed, np.ndarray]:
@@ -327,35 +346,26 @@ def classes_of_listed(tokens: DataFrame, listed: Listed, core: int) -> tuple[Lis
     are moved at once; while that doesn't raise the likelihood of all class bigrams, counted anew,
     the half of the moves that gains less waits for a class until all others have one.
     """
-    words, size, batches = len(listed.words), listed.size, []
-    while core < words:
-        batches.append((core, min(words, 4 * core)))
-        core = batches[-1][1]
-    square = lambda found: dense(found, size * size).reshape(size, size)
-    found = class_pairs(tokens, listed, *(batches or [(words, words)])[0])
-    between = square(found)
-    waiting = []
-    for (low, high), following in zip(batches, [*batches[1:], (words, words)]):
-        moves = listed_moves(found, between, listed, low)
+    between, waiting = class_pairs(tokens, listed), []
+    while core < len(listed.words):
+        high = min(len(listed.words), 4 * core)
+        moves = listed_moves(neighbours(tokens, listed, core, high), between, listed, core)
         place, best, gain = (moves.column(c).to_numpy() for c in ("word", "best", "gain"))
         order = np.lexsort((place, -gain))
         while True:
             classes = listed.classes.copy()
             classes[place[order]] = best[order]
             moved = Listed(listed.words, listed.counts, classes, listed.n_classes)
-            new_found = class_pairs(tokens, moved, *following)
-            new_between = square(new_found)
-            if len(order) < 2 or likelihood(new_between) > likelihood(between):
+            counted = class_pairs(tokens, moved)
+            if len(order) < 2 or likelihood(counted) > likelihood(between):
                 break
             waiting.append((place[order[len(order) // 2 :]], best[order[len(order) // 2 :]]))
             order = order[: len(order) // 2]
-        listed, found, between = moved, new_found, new_between
+        listed, between, core = moved, counted, high
     if waiting:
-        classes = listed.classes.copy()
         for place, best in waiting:
-            classes[place] = best
-        listed = Listed(listed.words, listed.counts, classes, listed.n_classes)
-        between = square(class_pairs(tokens, listed, words, words))
+            listed.classes[place] = best
+        between = class_pairs(tokens, listed)
     return listed, between
 
 
@@ -367,42 +377,53 @@ def others_near(tokens: DataFrame, listed: Listed) -> DataFrame:
     shared = tokens.sparkSession.sparkContext.broadcast(listed.class_of())
     end = listed.end
 
-    def rows(counts: Counter) -> pa.RecordBatch:
-        columns = list(zip(*counts)) or [()] * 4
-        kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int32()]
-        arrays = [pa.array(c, k) for c, k in zip(columns, kinds)] + [pa.array(counts.values(), pa.int64())]
+    def rows(word, second, before, after, n) -> pa.RecordBatch:
+        kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64()]
+        arrays = [pa.array(c, k) for c, k in zip((word, second, before, after, n), kinds)]
         return pa.RecordBatch.from_arrays(arrays, ["word", "second", "before", "after", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        # Only words that are too long to be listed may be frequent: they are counted here.
+        frequent: Counter = Counter()
         for batch in batches:
             for packed, others in zip(batch.column(0), batch.column(1)):
                 places = np.frombuffer(packed.as_buffer(), np.int32)
-                words = others.as_py()
+                words = others.values
                 at = np.flatnonzero(places < 0)
                 found = shared.value[places]
-                before = np.where(at > 0, found[at - 1], end).tolist()
-                counts.update(zip(words, repeat(None), before, found[at + 1].tolist()))
-                row = np.flatnonzero(np.diff(at) == 1).tolist()
-                counts.update((words[k], words[k + 1], None, None) for k in row)
-                if len(counts) > KEPT_KEYS // 8:
-                    yield rows(counts)
-                    counts = Counter()
-        yield rows(counts)
+                before, after = np.where(at > 0, found[at - 1], end), found[at + 1]
+                long = pc.greater(pc.binary_length(words), LONGEST).to_numpy(zero_copy_only=False)
+                k = np.flatnonzero(~long)
+                few = len(k)
+                yield rows(words.take(pa.array(k)), pa.nulls(few, pa.binary()), before[k], after[k], np.ones(few, int))
+                k = np.flatnonzero(long)
+                frequent.update(zip(words.take(pa.array(k)).to_pylist(), repeat(None), before[k].tolist(), after[k].tolist()))
+                k = np.flatnonzero(np.diff(at) == 1)
+                firsts, seconds = words.take(pa.array(k)).to_pylist(), words.take(pa.array(k + 1)).to_pylist()
+                frequent.update(zip(firsts, seconds, repeat(None), repeat(None)))
+                if len(frequent) > KEPT_KEYS // 4:
+                    yield rows(*zip(*frequent), frequent.values())
+                    frequent = Counter()
+        if frequent:
+            yield rows(*zip(*frequent), frequent.values())
 
     return tokens.mapInArrow(count, OTHERS)
 
 
 def classes_of_others(
-    tokens: DataFrame, counts: DataFrame, listed: Listed, between: np.ndarray
+    tokens: DataFrame, listed: Listed, between: np.ndarray
 ) -> tuple[DataFrame, np.ndarray]:
-    """``word``, ``class``, ``count`` of the unlisted words, and the bigrams they take part in."""
+    """``word``, ``class``, ``count`` of the unlisted words, and the bigrams they take part in.
+
+    Each token of such a word gives a row; none is frequent but those that are counted before.
+    """
     size, n_classes, none = listed.size, listed.n_classes, listed.none
     shared = tokens.sparkSession.sparkContext.broadcast(between)
     near = stored(others_near(tokens, listed), "others_near")
 
     def choose(table: pa.Table) -> pa.Table:
-        words, word = np.unique(np.array(table.column("word").to_pylist(), object), return_inverse=True)
+        coded = table.column("word").combine_chunks().dictionary_encode()
+        words, word = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
         before, after, n = (table.column(c).to_numpy().astype(np.int64) for c in ("before", "after", "n"))
         side = np.repeat([0, 1], len(word))
         _, best, _ = best_classes(
@@ -414,19 +435,21 @@ def classes_of_others(
         times = np.concatenate([n[before != none], n[after != none]])
         total = np.bincount(keys, times, size * size).astype(np.int64)
         some = np.flatnonzero(total)
+        # Words with their class and count, then pairs of classes.
         return pa.table({
-            "word": pa.array([*words, *[None] * len(some)], pa.binary()),
-            "class": pa.array(np.concatenate([best, np.full(len(some), -1)])),
-            "at": pa.array(np.concatenate([np.full(len(best), -1), some])),
-            "n": pa.array(np.concatenate([np.zeros(len(best), np.int64), total[some]])),
+            "word": pa.concat_arrays([words, pa.nulls(len(some), pa.binary())]),
+            "at": pa.array(np.concatenate([best, some])),
+            "n": pa.array(np.concatenate([np.bincount(word, n, len(words)).astype(np.int64), total[some]])),
         })
 
     buckets = 4 * int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = near.where("second IS NULL").withColumn("part", F.pmod(F.xxhash64("word"), F.lit(buckets)))
     chosen = stored(
-        rows.groupBy("part").applyInArrow(choose, "word binary, class long, at long, n long"), "chosen"
+        rows.groupBy("part").applyInArrow(choose, "word binary, at long, n long"), "chosen"
+    )
+    classes = chosen.where("word IS NOT NULL").select(
+        "word", F.col("at").alias("class"), F.col("n").alias("count")
     )
-    classes = chosen.where("word IS NOT NULL").select("word", "class")
     of = lambda name: classes.select(F.col("word").alias(name), F.col("class").alias(f"{name}_class"))
     twice = (
         near.where("second IS NOT NULL").groupBy("word", "second").agg(F.sum("n").alias("n"))
@@ -438,7 +461,7 @@ def classes_of_others(
     ).toArrow()  # a row for each pair of classes
     total = np.zeros(size * size)
     total[sums.column("at").to_numpy()] = sums.column("n").to_numpy()
-    return stored(classes.join(counts, "word"), "others"), total.reshape(size, size)
+    return classes, total.reshape(size, size)
 
 
 @dataclass
@@ -487,7 +510,7 @@ def fit_class_model(
     read = stored(read_tokens(texts, table), "tokens")
     table.classes[:core] = exchange(core_bigrams(read, core), n_classes)
     table, between = classes_of_listed(read, table, core)
-    others, more = classes_of_others(read, counts, table, between)
+    others, more = classes_of_others(read, table, between)
     pairs = (between + more)[:-1, :-1]
 
     states = n_classes + 1
@@ -638,17 +661,24 @@ def score_texts(
                 ["row", "more", "logs", "times", "rest_known"],
             )
 
+    # Most runs are of one word, and need not be gathered after the join.
     run = scored.select("row", F.posexplode("runs").alias("run", "r"))
-    each = run.select("row", "run", "r.before", "r.after", F.posexplode("r.words").alias("place", "word"))
+    each = run.select(
+        "row", "run", "r.before", "r.after", F.size("r.words").alias("length"),
+        F.posexplode("r.words").alias("place", "word"),
+    )
     item = F.struct(
         "place", F.coalesce("class", F.lit(-1)).cast("long").alias("class"),
         F.coalesce("count", F.lit(0)).cast("long").alias("count"),
     )
-    runs = each.join(others, "word", "left").groupBy("row", "run").agg(
+    joined = each.join(others, "word", "left").select("row", "run", "before", "after", "length", item.alias("item"))
+    runs = joined.where("length > 1").groupBy("row", "run").agg(
         F.first("before").alias("before"), F.first("after").alias("after"),
-        F.sort_array(F.collect_list(item)).alias("items"),
+        F.sort_array(F.collect_list("item")).alias("items"),
+    ).select("row", "before", "after", "items").unionByName(
+        joined.where("length = 1").select("row", "before", "after", F.array("item").alias("items"))
     )
-    rest = runs.select("row", "before", "after", "items").mapInArrow(
+    rest = runs.mapInArrow(
         finish, "row long, more double, logs double, times long, rest_known long"
     ).groupBy("row").agg(*[F.sum(c).alias(c) for c in ("more", "logs", "times", "rest_known")])
     whole = scored.drop("runs").join(rest, "row", "left").na.fill(
