@@ -33,9 +33,9 @@ from .stored import stored
 ENDS = b",;:!?\n\x0b\x0c\r"  # and the full stop, which stands for all of them
 BREAK = b"."
 SPLIT = bytes.maketrans(ENDS, BREAK * len(ENDS))
-TEXT_BYTES = 8 << 20  # of texts split at a time
+TEXT_BYTES = 4 << 20  # of texts split at a time
 KNOWN = 300_000  # words that a task remembers
-ENTRIES = 1 << 21  # of stripes that a task holds before it sends them on
+ENTRIES = 1 << 20  # of stripes that a task holds before it sends them on
 SLOTS = 16  # that a prefix's stripe is dealt out to
 MOST_BITS = 1 << 26  # of a table of frequent phrases
 SHIFTS = (0, 20, 38)
