@@ -288,6 +288,48 @@ def _disorder(rows: DataFrame, *order: str) -> DataFrame:
     )
 
 
+_added: dict[tuple[str, str], str] = {}
+
+
+def _tables_of_two_loads(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of tables that were loaded in two parts which share a third of their lines."""
+    made_for = (spark.sparkContext.applicationId, sf_dir)
+    if made_for in _added:
+        return _added[made_for]
+    root = gc.shared_folder(spark)
+    raw = {
+        "records": fixtures.observation_lines(spark, sf_dir),
+        "stations": fixtures.station_lines(spark, sf_dir),
+    }
+    third = F.pmod(F.xxhash64("value"), F.lit(3))
+    for name, lines in raw.items():
+        for load in (0, 1):
+            lines.where(third != load).write.text(f"{root}/raw/{name}_{load}")
+    fixtures.country_lines(spark, sf_dir).write.text(f"{root}/raw/countries")
+    for load in (0, 1):
+        gc.ingest_stations(
+            spark, f"{root}/raw/stations_{load}", f"{root}/raw/countries", root, add=True
+        )
+    gc.ingest_observations(spark, f"{root}/raw/records_0", root, add=True)
+    gc.build_summary(spark, root)
+    changed = gc.ingest_observations(spark, f"{root}/raw/records_1", root, add=True)
+    gc.refresh_summary(spark, root, changed)
+    _added[made_for] = root
+    return root
+
+
+def added_observations(spark, sf_dir):
+    return _plain(gc.read_table(spark, _tables_of_two_loads(spark, sf_dir), "observations"))
+
+
+def added_stations(spark, sf_dir):
+    return gc.read_table(spark, _tables_of_two_loads(spark, sf_dir), "stations")
+
+
+def refreshed_summary(spark, sf_dir):
+    return _plain(gc.read_table(spark, _tables_of_two_loads(spark, sf_dir), "summary"))
+
+
 def stored_order(spark, sf_dir):
     """The stored tables and the stored cells, checked for the order that lookups rely on."""
     root = _tables(spark, sf_dir)
@@ -549,6 +591,9 @@ def climate_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         observation_cells_round_trip,
         station_cells_round_trip,
         cells_round_trip,
+        added_observations,
+        added_stations,
+        refreshed_summary,
         stored_order,
         summary_text_view,
         summary_csv_round_trip,
@@ -612,6 +657,9 @@ SELECT '{{"latitude":"3.3","longitude":"-2.6","data_list":['
        || coalesce(string_agg(CAST(json_object({entry}) AS VARCHAR), ',' ORDER BY key), '')
        || ']}}' AS json
 FROM summary_text JOIN (SELECT key FROM summary WHERE {_HERE}) USING (key)""",
+        "added_observations": observations,
+        "added_stations": stations,
+        "refreshed_summary": summary,
         "stored_order": """
 SELECT name, CAST(0 AS BIGINT) AS rows_out_of_order, CAST(0 AS BIGINT) AS files_overlapping
 FROM (VALUES ('observations'), ('stations'), ('summary'), ('summary_cells')) t(name)""",

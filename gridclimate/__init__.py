@@ -9,9 +9,11 @@ from .plans import (
     ingest_observations,
     ingest_stations,
     read_area_sums,
+    refresh_summary,
 )
 from .sinks import (
     export_csv,
+    merge_table,
     register_summary_view,
     shared_folder,
     to_json_documents,
@@ -34,12 +36,14 @@ __all__ = [
     "export_csv",
     "ingest_observations",
     "ingest_stations",
+    "merge_table",
     "observation_key",
     "read_area_sums",
     "read_country_lines",
     "read_observation_lines",
     "read_station_lines",
     "read_table",
+    "refresh_summary",
     "register_summary_view",
     "season_of",
     "shared_folder",

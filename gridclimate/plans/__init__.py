@@ -4,6 +4,7 @@ from .jobs import (
     ingest_observations,
     ingest_stations,
     read_area_sums,
+    refresh_summary,
 )
 
 __all__ = [
@@ -12,4 +13,5 @@ __all__ = [
     "ingest_observations",
     "ingest_stations",
     "read_area_sums",
+    "refresh_summary",
 ]

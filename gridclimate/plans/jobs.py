@@ -1,6 +1,7 @@
 """The batch jobs, from files to stored tables."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.batches import area_extent, area_sums
 from ..operators.grid import seasonal_grid_summary
@@ -11,9 +12,9 @@ from ..operators.stations import (
     parse_countries,
     parse_stations,
 )
-from ..sinks.tables import write_table
+from ..sinks.tables import merge_table, write_table
 from ..sources.lines import read_country_lines, read_observation_lines, read_station_lines
-from ..sources.tables import read_table
+from ..sources.tables import KEY_RANGES, read_key_ranges, read_table
 
 
 def ingest_observations(
@@ -22,10 +23,17 @@ def ingest_observations(
     root: str,
     parallelism: int | None = None,
     compat: bool = False,
-) -> None:
-    """Record files to the table ``observations``, one row per key."""
-    lines = read_observation_lines(spark, path, parallelism)
-    write_table(latest_per_key(parse_observations(lines, compat)), root, "observations")
+    add: bool = False,
+) -> list[str] | None:
+    """Record files to the table ``observations``, one row per key.
+
+    With ``add`` the records come to those stored already, where the greater one of a key stays
+    (see ``latest_per_key``); returns the key ranges that changed, for ``refresh_summary``.
+    """
+    observations = parse_observations(read_observation_lines(spark, path, parallelism), compat)
+    if add:
+        return merge_table(observations, root, "observations", latest_per_key)
+    write_table(latest_per_key(observations), root, "observations")
 
 
 def ingest_stations(
@@ -34,11 +42,19 @@ def ingest_stations(
     countries_path: str,
     root: str,
     compat: bool = False,
+    add: bool = False,
 ) -> None:
-    """Station and country files to the table ``stations``, one row per id."""
+    """Station and country files to the table ``stations``, one row per id.
+
+    With ``add`` the stations come to those stored already, where the greater row of an id stays.
+    """
     stations = parse_stations(read_station_lines(spark, stations_path))
     countries = parse_countries(read_country_lines(spark, countries_path))
-    write_table(latest_per_station(add_country(stations, countries, compat)), root, "stations")
+    rows = add_country(stations, countries, compat)
+    if add:
+        merge_table(rows, root, "stations", latest_per_station)
+    else:
+        write_table(latest_per_station(rows), root, "stations")
 
 
 def build_summary(spark: SparkSession, root: str) -> None:
@@ -49,6 +65,23 @@ def build_summary(spark: SparkSession, root: str) -> None:
     write_table(summary, root, "summary")
 
 
+def refresh_summary(spark: SparkSession, root: str, ranges: list[str]) -> None:
+    """The table ``summary`` after observations of some key ranges have changed.
+
+    A key begins with the year, and a row of the summary belongs to one year: so only observations
+    of these ranges are read, and the rows of all other years are carried over. After a change of
+    stations ``build_summary`` has to make all of it.
+    """
+    changed = seasonal_grid_summary(
+        read_key_ranges(spark, root, "observations", ranges), read_table(spark, root, "stations")
+    )
+    length = KEY_RANGES["observations"][1]
+    year = F.substring(F.concat(F.col("year").cast("string"), F.lit(":")), 1, length)
+    # Years of less than three digits share a range with months; they lie before the grid's first.
+    carried = read_table(spark, root, "summary").where(~year.isin(ranges))
+    write_table(carried.unionByName(changed), root, "summary")
+
+
 def build_area_sums(spark: SparkSession, root: str) -> None:
     """The stored summary to the tables ``area_extent`` and ``area_sums`` for batches of areas.
 

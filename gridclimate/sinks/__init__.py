@@ -1,5 +1,5 @@
 from .scratch import shared_folder
-from .tables import write_table
+from .tables import merge_table, write_table
 from .text import (
     export_csv,
     register_summary_view,
@@ -11,6 +11,7 @@ from .text import (
 
 __all__ = [
     "export_csv",
+    "merge_table",
     "register_summary_view",
     "shared_folder",
     "summary_text",

@@ -1,11 +1,14 @@
 import json
+import re
 from pathlib import Path
 
 import pytest
+import samples
 from samples import dicts, lines, record, summary
 from pyspark.sql import functions as F
 
 import gridclimate as gc
+from gridclimate.sources.tables import read_key_ranges
 
 
 def some(spark):
@@ -103,3 +106,83 @@ def test_shared_folder_of_a_cluster_must_be_named():
         assert gc.shared_folder(Session(master, "hdfs://x/y/")).startswith("hdfs://x/y/gridclimate-")
     for master in ("local", "local[4]", "local[*]"):
         assert Path(gc.shared_folder(Session(master))).is_dir()
+
+
+def observation_rows(spark, *rows):
+    return samples.observations(spark, *[samples.observation(*r) for r in rows])
+
+
+def data_files(root, name):
+    return {str(p): p.stat().st_mtime_ns for p in (Path(root) / name).rglob("*.parquet")}
+
+
+def test_added_rows_replace_those_of_their_key(spark, tmp_path):
+    root = str(tmp_path)
+    first = observation_rows(spark, ("AA", 1950, 1, 1.0), ("AB", 1951, 2, 2.0), ("AC", 1963, 3, 3.0), ("AD", 1999, 4, 4.0))
+    second = observation_rows(spark, ("AA", 1950, 1, 9.0), ("AB", 1951, 2, 1.0), ("AE", 1955, 5, 5.0), ("AF", 2001, 1, 6.0))
+    assert gc.merge_table(first, root, "observations", gc.latest_per_key) == ["195", "196", "199"]
+    before = data_files(root, "observations")
+    assert gc.merge_table(second, root, "observations", gc.latest_per_key) == ["195", "200"]
+    stored = {r.key: r.avg_temp for r in gc.read_table(spark, root, "observations").collect()}
+    assert stored == {
+        "1950:1:AA": 9.0, "1951:2:AB": 2.0, "1955:5:AE": 5.0, "1963:3:AC": 3.0, "1999:4:AD": 4.0, "2001:1:AF": 6.0,
+    }
+    both = gc.latest_per_key(first.unionByName(second))
+    assert gc.read_table(spark, root, "observations").exceptAll(both).count() == 0
+    after = data_files(root, "observations")
+    # The files of the two ranges that no new key touches are the same ones.
+    assert len(before.items() & after.items()) == 2
+    assert gc.merge_table(second.where("false"), root, "observations", gc.latest_per_key) == []
+    assert data_files(root, "observations") == after
+
+
+def failing(rows):
+    return rows.withColumn("avg_temp", F.when(F.col("month") == 7, F.raise_error(F.lit("no")).cast("double")).otherwise(F.col("avg_temp")))
+
+
+def test_a_failed_write_leaves_the_table(spark, tmp_path):
+    root = str(tmp_path)
+    good = observation_rows(spark, *[("AA", 1900 + i, 1, float(i)) for i in range(40)])
+    bad = observation_rows(spark, *[("AA", 1900 + i, 1 + i % 12, 7.0) for i in range(40)])
+    gc.write_table(good, root, "observations")
+    with pytest.raises(Exception, match="no"):
+        gc.write_table(failing(bad), root, "observations")
+    assert gc.read_table(spark, root, "observations").exceptAll(good).count() == 0
+    before = data_files(root, "observations")
+    with pytest.raises(Exception, match="no"):
+        gc.merge_table(bad, root, "observations", lambda rows: gc.latest_per_key(failing(rows)))
+    assert data_files(root, "observations") == before
+    assert gc.read_table(spark, root, "observations").count() == 40
+    gc.write_table(bad, root, "observations")
+    assert gc.read_table(spark, root, "observations").exceptAll(bad).count() == 0
+    # The version before is kept for its readers, the failed one is gone.
+    assert len(list((Path(root) / "observations").iterdir())) == 2
+
+
+def test_a_reader_keeps_its_version(spark, tmp_path):
+    root = str(tmp_path)
+    gc.write_table(some(spark), root, "summary")
+    reader = gc.read_table(spark, root, "summary")
+    gc.write_table(some(spark).where("false"), root, "summary")
+    assert reader.count() == 2 and gc.read_table(spark, root, "summary").count() == 0
+    gc.write_table(gc.read_table(spark, root, "summary").unionByName(some(spark)), root, "summary")
+    assert gc.read_table(spark, root, "summary").count() == 2
+
+
+def test_refreshed_summary_reads_changed_ranges_only(spark, tmp_path):
+    root = str(tmp_path)
+    places = samples.stations(spark, ("AA", 1.2, 2.2), ("AB", 1.4, 2.4), ("AC", 50.0, 60.0))
+    rows = [(s, y, 1, float(y - 1900 + k)) for k, s in enumerate(("AA", "AB", "AC")) for y in (1899, 1905, 1911, 1923, 1937)]
+    gc.write_table(places, root, "stations")
+    gc.merge_table(observation_rows(spark, *rows), root, "observations", gc.latest_per_key)
+    gc.build_summary(spark, root)
+    ranges = gc.merge_table(observation_rows(spark, ("AA", 1911, 2, 30.0), ("AC", 1912, 1, 5.0)), root, "observations", gc.latest_per_key)
+    assert ranges == ["191"]
+    read = read_key_ranges(spark, root, "observations", ranges)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert read.count() == 5 and re.search(r"PartitionFilters: \[[^\]]*key_range", plan)
+    gc.refresh_summary(spark, root, ranges)
+    refreshed = gc.read_table(spark, root, "summary").collect()
+    gc.build_summary(spark, root)
+    assert sorted(refreshed) == sorted(gc.read_table(spark, root, "summary").collect())
+    assert len(refreshed) == 4 * 2 + 1
