@@ -1,17 +1,17 @@
 """Near-duplicate vectors by a dual traversal of cover trees.
 
 Vectors are put on the unit sphere, where a cosine is a distance. A bounded sample gives the
-centres of the top level; every vector goes to its nearest centre, and each cell is cut into blocks
+centres of the top level; every vector lives in the cell of its nearest centre and visits the cells
+that may hold vectors within the threshold of it. Each cell, and its visitors, are cut into blocks
 of bounded size. Each block is a cover tree: nested levels whose radii halve, down to single
-vectors, every node with the radius that covers all below it. Pairs of cells, of blocks and of
-nodes are dropped when their distance less both radii is above the threshold, and taken as a whole
-when their distance plus both radii is below it; what is left is opened on the next level. Single
-vectors are compared by their cosine in double precision, so the result is exact.
+vectors, every node with the radius that covers all below it. Pairs of nodes are dropped when their
+distance less both radii is above the threshold, and taken as a whole when their distance plus both
+radii is below it; what is left is opened on the next level. Single vectors are compared by their
+cosine in double precision, so the result is exact.
 
 Equal vectors are one node that counts as many, so they cost nothing.
 """
 
-import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +24,6 @@ from .stored import stored
 
 BLOCK = 2048
 CENTRES = 1024
-TILE = 3  # blocks on each side of what one task compares
 SLACK = 1e-6  # of distances; what is closer to a bound than this is opened
 
 
@@ -214,118 +213,94 @@ def farthest_first(points: np.ndarray, most: int) -> np.ndarray:
     return points[chosen]
 
 
+def near_cells(away: np.ndarray, between: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of each vector, and which centres of higher number it has to visit.
+
+    Whatever is nearer to another centre lies behind the plane in the middle between the two, so a
+    vector only visits cells whose plane isn't farther than the bound.
+    """
+    own = away.argmin(1)
+    nearest = away[np.arange(len(away)), own][:, None]
+    apart = np.maximum(between[own], 1e-300)
+    to_plane = (away * away - nearest * nearest) / (2 * apart)
+    return own, (to_plane <= bound + SLACK) & (np.arange(away.shape[1]) > own[:, None])
+
+
 def links_of_width(nodes: DataFrame, count: int, cosine: float, name: str):
     """Counts (``node``, ``links``, own copies included) and edges of vectors of one width."""
-    spark = nodes.sparkSession
     sample = nodes.orderBy(F.xxhash64("node"), "node").limit(CENTRES).select("values").collect()
     centres = farthest_first(
         units(np.array([r["values"] for r in sample], np.float64)),
         min(CENTRES, max(1, -(-count // BLOCK))),
     )
     bound = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
+    between = distances(centres, centres)
 
     def place(batches):
         for rows in batches:
-            if len(rows):
-                away = distances(units(np.stack(rows["values"].to_numpy())), centres)
-                rows["cell"] = away.argmin(1).astype(np.int32)
-                rows["away"] = away.min(1)
-                yield rows
+            for part in np.array_split(np.arange(len(rows)), len(rows) // 2048 + 1):
+                if not len(part):
+                    continue
+                some = rows.iloc[part].copy()
+                away = distances(units(np.stack(some["values"].to_numpy())), centres)
+                own, visits = near_cells(away, between, bound)
+                some["cell"] = own.astype(np.int32)
+                some["visits"] = [np.flatnonzero(v).astype(np.int32) for v in visits]
+                yield some
 
     kind = nodes.schema["values"].dataType.simpleString()
     placed = stored(
         nodes.select("node", "copies", "values").mapInPandas(
-            place, f"node long, copies long, values {kind}, cell int, away double"
+            place, f"node long, copies long, values {kind}, cell int, visits array<int>"
         ),
         f"{name}_placed",
     )
-    parts = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    dealt = placed.join(F.broadcast(parts), "cell").withColumn(
-        "part", F.pmod(F.xxhash64("node"), "parts").cast("int")
+    # A row for each of at most ``CENTRES`` cells: into how many blocks those who live in it and
+    # those who visit it are cut.
+    blocks = F.ceil(F.count("*") / BLOCK).cast("int")
+    here = placed.groupBy("cell").agg(blocks.alias("parts"))
+    guests = placed.select(F.explode("visits").alias("cell")).groupBy("cell").agg(blocks.alias("groups"))
+    cells = F.broadcast(here.join(guests, "cell", "left").na.fill({"groups": 0}))
+
+    part = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    vector = ["node", "copies", "values"]
+    own = placed.drop("visits").join(cells, "cell").withColumn("part", part("parts"))
+    visiting = placed.select(*vector, F.explode("visits").alias("cell")).join(cells, "cell")
+    upto = lambda first, last: F.explode(
+        F.when(F.lit(first) < last, F.sequence(F.lit(first), last - 1)).otherwise(F.array().cast("array<int>"))
     )
-
-    def pack(key, rows):
-        block = make_block(
-            rows["node"].to_numpy(), rows["copies"].to_numpy(), np.stack(rows["values"].to_numpy())
-        )
-        return pd.DataFrame(
-            {
-                "cell": [key[0]],
-                "part": [key[1]],
-                "centre": [block.points[0].tolist()],
-                "radius": [float(block.tree.radius[0])],
-                "block": [pickle.dumps(block)],
-            }
-        )
-
-    packed = dealt.select("cell", "part", "node", "copies", "values").groupBy("cell", "part")
-    blocks = stored(
-        packed.applyInPandas(
-            pack, "cell int, part int, centre array<double>, radius double, block binary"
-        ),
-        f"{name}_blocks",
+    # A tile compares a block of a cell with a later one of the same cell, or with visitors.
+    tile = lambda part, guest, other: F.struct(
+        "cell", part.alias("part"), F.lit(guest).alias("guest"), other.alias("other")
+    ).alias("tile")
+    column, no = F.col, F.lit(False).alias("second")
+    numbered = own.select(*vector, "cell", "part", "parts", "groups")
+    with_later = numbered.select("*", upto(0, F.col("parts")).alias("k"))
+    with_guests = numbered.select("*", upto(0, F.col("groups")).alias("k"))
+    guests_of = visiting.select(*vector, "cell", part("groups").alias("own"), upto(0, F.col("parts")).alias("k"))
+    rows = (
+        with_later.where("k >= part").select(*vector, tile(column("part"), False, column("k")), no)
+        .unionByName(with_later.where("k < part").select(
+            *vector, tile(column("k"), False, column("part")), F.lit(True).alias("second")))
+        .unionByName(with_guests.select(*vector, tile(column("part"), True, column("k")), no))
+        .unionByName(guests_of.select(
+            *vector, tile(column("k"), True, column("own")), F.lit(True).alias("second")))
     )
-    # Cells are few: those that can't be near each other are told apart here.
-    reach = {
-        r["cell"]: r["away"]
-        for r in placed.groupBy("cell").agg(F.max("away").alias("away")).collect()
-    }
-    between = distances(centres, centres)
-    pairs = [
-        (a, b)
-        for a in reach
-        for b in reach
-        if a <= b and between[a, b] - reach[a] - reach[b] <= bound + SLACK
-    ]
-    near = spark.createDataFrame(pairs, "cell int, other int")
-    meta = blocks.select("cell", "part", "centre", "radius")
-    here = meta.select("cell", "part", "centre", "radius")
-    there = meta.select(
-        F.col("cell").alias("other"), F.col("part").alias("other_part"),
-        F.col("centre").alias("other_centre"), F.col("radius").alias("other_radius"),
-    )
-    gap = F.sqrt(
-        F.aggregate(
-            F.zip_with("centre", "other_centre", lambda x, y: (x - y) * (x - y)),
-            F.lit(0.0),
-            lambda total, x: total + x,
-        )
-    )
-    close = (
-        here.join(near, "cell").join(there, "other")
-        .where((F.col("cell") < F.col("other")) | (F.col("part") <= F.col("other_part")))
-        .where(gap - F.col("radius") - F.col("other_radius") <= bound + SLACK)
-        .select(
-            F.struct(
-                F.col("cell"), F.floor(F.col("part") / TILE).alias("g"),
-                F.col("other"), F.floor(F.col("other_part") / TILE).alias("other_g"),
-            ).alias("tile"),
-            "cell", "part", "other", "other_part",
-        )
-    )
-    wanted = close.select("tile", "cell", "part").unionByName(
-        close.select("tile", F.col("other").alias("cell"), F.col("other_part").alias("part"))
-    ).distinct()
-    tiles = wanted.join(blocks.select("cell", "part", "block"), ["cell", "part"])
 
     def compare(key, rows):
-        tile = key[0]
-        held = {
-            (c, p): pickle.loads(b) for c, p, b in zip(rows["cell"], rows["part"], rows["block"])
-        }
-        left = sorted(k for k in held if k[0] == tile["cell"] and k[1] // TILE == tile["g"])
-        right = sorted(k for k in held if k[0] == tile["other"] and k[1] // TILE == tile["other_g"])
+        second = rows["second"].to_numpy()
+        alone = not key[0]["guest"] and key[0]["part"] == key[0]["other"]
+        sides = [
+            make_block(some["node"].to_numpy(), some["copies"].to_numpy(), np.stack(some["values"].to_numpy()))
+            for some in (rows[~second], rows[second]) if len(some)
+        ]
         counts, edges = [], []
-        for i in left:
-            for j in right:
-                if i > j:
-                    continue
-                found = Traversal(held[i], held[j], cosine)
-                sides = [(held[i], found.links_x)] + [(held[j], found.links_y)] * (i != j)
-                for block, links in sides:
-                    some = links > 0
-                    counts.append(np.stack([block.nodes[some], links[some]], 1))
-                edges.extend(found.edges)
+        if alone or len(sides) == 2:
+            found = Traversal(sides[0], sides[-1], cosine)
+            for block, links in [(sides[0], found.links_x), (sides[-1], found.links_y)][: len(sides)]:
+                some = links > 0
+                counts.append(np.stack([block.nodes[some], links[some]], 1))
+            edges = found.edges
         edges = spanning(np.concatenate(edges)) if edges else np.zeros((0, 2), np.int64)
         counts = np.concatenate(counts) if counts else np.zeros((0, 2), np.int64)
         return pd.DataFrame(
@@ -334,7 +309,7 @@ def links_of_width(nodes: DataFrame, count: int, cosine: float, name: str):
         )
 
     found = stored(
-        tiles.groupBy("tile").applyInPandas(compare, "kind long, a long, b long"), f"{name}_found"
+        rows.groupBy("tile").applyInPandas(compare, "kind long, a long, b long"), f"{name}_found"
     )
     counts = found.where("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("links"))
     return counts, found.where("kind = 1").select("a", "b")
