@@ -20,6 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import gridclimate as gc  # noqa: E402
 from gridclimate import fixtures  # noqa: E402
+from gridclimate.sinks.tables import summary_curve  # noqa: E402
 from gridclimate.schemas import ENTRY, OBSERVATION, STATION, SUMMARY  # noqa: E402
 
 try:
@@ -165,6 +166,35 @@ def coordinate_document_json(spark, sf_dir):
     return gc.to_json_documents(gc.coordinate_document(_summary(spark, sf_dir), *POINT))
 
 
+def coordinate_document_wire_json(spark, sf_dir):
+    """With the names that existing clients read."""
+    document = gc.coordinate_document(_summary(spark, sf_dir), *POINT, wire=True)
+    return gc.to_json_documents(document)
+
+
+def stations_with_country_compat(spark, sf_dir):
+    """Stations of known countries; with ``compat`` any other one would fail the job."""
+    countries = gc.parse_countries(fixtures.country_lines(spark, sf_dir))
+    known = _plain_stations(spark, sf_dir).join(
+        countries, F.col("country_cd") == countries["code"], "left_semi"
+    )
+    return gc.add_country(known, countries, compat=True)
+
+
+_on_curve: dict[tuple[str, str], str] = {}
+
+
+def area_average_on_curve(spark, sf_dir):
+    """The same mean from a summary that is stored along a space-filling curve."""
+    made_for = (spark.sparkContext.applicationId, sf_dir)
+    if made_for not in _on_curve:
+        root = gc.shared_folder(spark)
+        gc.write_table(_summary(spark, sf_dir), root, "summary", cluster_by=summary_curve())
+        _on_curve[made_for] = root
+    summary = gc.read_table(spark, _on_curve[made_for], "summary")
+    return _rounded(gc.area_average(summary, *AREA))
+
+
 def area_entries(spark, sf_dir):
     return _plain(gc.area_entries(_summary(spark, sf_dir), *AREA))
 
@@ -591,6 +621,9 @@ def climate_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         observation_cells_round_trip,
         station_cells_round_trip,
         cells_round_trip,
+        area_average_on_curve,
+        coordinate_document_wire_json,
+        stations_with_country_compat,
         added_observations,
         added_stations,
         refreshed_summary,
@@ -633,6 +666,7 @@ GROUP BY ALL"""
         "parse_stations": f"WITH {_STATIONS} SELECT * FROM plain_stations",
         "parse_countries": f"WITH {_STATIONS} SELECT * FROM countries",
         "stations_with_country": stations,
+        "stations_with_country_compat": f"{stations} WHERE country_name IS NOT NULL",
         "join_stations": f"WITH {_JOINED} SELECT * FROM joined",
         "snap_to_grid": (
             f"WITH {_STATIONS} SELECT id, latitude, longitude, "
@@ -657,6 +691,18 @@ SELECT '{{"latitude":"3.3","longitude":"-2.6","data_list":['
        || coalesce(string_agg(CAST(json_object({entry}) AS VARCHAR), ',' ORDER BY key), '')
        || ']}}' AS json
 FROM summary_text JOIN (SELECT key FROM summary WHERE {_HERE}) USING (key)""",
+        "coordinate_document_wire_json": f"""
+WITH {_SUMMARY}
+SELECT '{{"lattitude":"3.3","longitude":"-2.6","dataList":['
+       || coalesce(string_agg(CAST(json_object('year', year, 'season', season, 'avgTemp', avg_temp,
+                                               'dataPoints', data_points, 'stations', stations)
+                                   AS VARCHAR), ',' ORDER BY key), '')
+       || ']}}' AS json
+FROM summary_text JOIN (SELECT key FROM summary WHERE {_HERE}) USING (key)""",
+        "area_average_on_curve": (
+            f"WITH {_SUMMARY} SELECT {_AREA_COLUMNS}, {_ROUNDED_MEAN} AS average_temp, "
+            f"count(*) AS n_entries FROM summary s WHERE {_INSIDE}"
+        ),
         "added_observations": observations,
         "added_stations": stations,
         "refreshed_summary": summary,

@@ -12,7 +12,7 @@ from ..operators.stations import (
     parse_countries,
     parse_stations,
 )
-from ..sinks.tables import merge_table, write_table
+from ..sinks.tables import merge_table, summary_curve, write_table
 from ..sources.lines import read_country_lines, read_observation_lines, read_station_lines
 from ..sources.tables import KEY_RANGES, read_key_ranges, read_table
 
@@ -57,15 +57,22 @@ def ingest_stations(
         write_table(latest_per_station(rows), root, "stations")
 
 
-def build_summary(spark: SparkSession, root: str) -> None:
-    """Stored observations and stations to the table ``summary``."""
+def build_summary(spark: SparkSession, root: str, curve: bool = False) -> None:
+    """Stored observations and stations to the table ``summary``.
+
+    It is stored in order of latitude, longitude, year and season, which serves lookups of a cell
+    best; with ``curve`` in the order of a space-filling curve through latitudes, longitudes and
+    years, which serves areas of any shape.
+    """
     summary = seasonal_grid_summary(
         read_table(spark, root, "observations"), read_table(spark, root, "stations")
     )
-    write_table(summary, root, "summary")
+    write_table(summary, root, "summary", cluster_by=summary_curve() if curve else None)
 
 
-def refresh_summary(spark: SparkSession, root: str, ranges: list[str]) -> None:
+def refresh_summary(
+    spark: SparkSession, root: str, ranges: list[str], curve: bool = False
+) -> None:
     """The table ``summary`` after observations of some key ranges have changed.
 
     A key begins with the year, and a row of the summary belongs to one year: so only observations
@@ -79,7 +86,8 @@ def refresh_summary(spark: SparkSession, root: str, ranges: list[str]) -> None:
     year = F.substring(F.concat(F.col("year").cast("string"), F.lit(":")), 1, length)
     # Years of less than three digits share a range with months; they lie before the grid's first.
     carried = read_table(spark, root, "summary").where(~year.isin(ranges))
-    write_table(carried.unionByName(changed), root, "summary")
+    order = summary_curve() if curve else None
+    write_table(carried.unionByName(changed), root, "summary", cluster_by=order)
 
 
 def build_area_sums(spark: SparkSession, root: str) -> None:

@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.geo import curve_place
 from ..sources.tables import (
     KEY_RANGE,
     KEY_RANGES,
@@ -26,6 +27,12 @@ CLUSTER_BY = {
 CELL_ORDER = ("key", "qualifier")
 
 
+def summary_curve() -> tuple:
+    """Another order of the summary: requests that are narrow in longitude or years skip as much as
+    those that are narrow in latitude."""
+    return curve_place(F.col("latitude"), F.col("longitude"), F.col("year")), "season"
+
+
 def _ordered(rows: DataFrame, name: str, cluster_by=None):
     """A writer of the rows in order, a folder for each key range where the table has any.
 
