@@ -4,24 +4,22 @@ Every n-gram of a document's set flips one bit of a sketch, so two sketches diff
 many bits as the sets differ in members. Sets of ``a`` and ``b`` members whose Jaccard similarity
 is at least ``p / q`` differ in at most ``(a + b) * (q - p) / (q + p)``. Sizes fall into bands so
 narrow that similar sets lie in the same or in neighbouring bands; each two neighbouring bands
-have sketches with more parts than half that bound, so similar sets have a part in which they
+have sketches with more parts than half that bound, so similar sets have parts in which they
 differ in one member at most (pigeonhole). A part has three 64-bit words, of which that member can
-change but one: an equi-join on each two words of each part finds all similar sets.
-
-Sketches never travel. Their keys do, packed in blocks of a bucket of keys, and their folds: words
-of a sketch XORed together into a few, about four bits for each member that similar sets may differ
-in. Folds differ in no more bits than sketches, so they discard most of the other pairs. The sets
-themselves decide; those that share a key are made anew from the texts, and each goes to a few
-tasks only, where the pairs of its tile are verified and one that is connected already is passed
-over.
-
-Equal sets are one node throughout. A key shared by many sets does not give all pairs: its first
-set is paired with each other one. Once the links of these have been merged, only sets of
-different components that share a key are still open. Few of them are paired directly; of many,
-tiles of sets are compared inside tasks. What leaves a task are links that connect, fewer than the
-sets of its tile.
-
-Sets and n-grams are known by hashes of 64 bits.
+change but one: an equi-join on each two words of each part finds all similar sets. Large sketches
+have up to three parts more than it takes, so that similar sets share as many keys more, and pairs
+that share fewer are dropped as they are counted.
+
+Sketches never travel. Their keys do, packed in blocks of a bucket of keys; all pairs of the few
+sets that share a key are listed there if their sizes allow it. Of a key that many sets share,
+tiles of sets are compared inside tasks by folds of their sketches: the words XORed together into a
+few, about four bits for each member that similar sets may differ in. Folds differ in no more bits
+than sketches. Whatever hangs together by pairs and by close folds is a candidate group, which holds
+all links of its sets. The sets of these groups are made anew from the texts, each goes to a few
+tasks only, and the sets themselves decide; a pair that is connected already is passed over. What
+leaves a task are links that connect, fewer than the sets of its tile.
+
+Equal sets are one node throughout. Sets and n-grams are known by hashes of 64 bits.
 """
 
 from collections.abc import Iterator
@@ -30,7 +28,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrow import slices_of_bytes
@@ -40,12 +38,12 @@ from .stored import stored
 WORDS = 3  # of 64 bits in each part of a sketch
 TWO = ((0, 1), (0, 2), (1, 2))
 FOLD_BITS = 4  # for each member that similar sets may differ in
-HOT = 64  # entries of one key in what a task sends on from which they are paired there
-FEW = 32  # sets sharing a key up to which they are paired by their identifiers alone
+FEW = 16  # sets sharing a key up to which all their pairs are listed
+HOT = 64  # sets sharing a key in what a task sends on from which most of them are dealt out
+MORE = 3  # parts more than it takes
 KEYS = 1 << 21  # that a task holds before it sends them on
 TILE_MEMBERS = 1 << 19  # of all sets on one side of a tile
 TILE_SETS = 512
-TILE_PAIRED = 256  # sets on one side of a tile whose pairs are known
 KNOWN = 300_000  # words whose hashes a task remembers
 MOST_BITS = 1 << 26  # of a table of nodes
 BLOOM_SHIFTS = (0, 20, 38)
@@ -116,12 +114,18 @@ class Bands:
         """How many members similar sets of so many members together differ in at most."""
         return sizes * (self.q - self.p) // (self.q + self.p)
 
+    def most(self, group: int) -> int:
+        """How many members similar sets of the bands ``group`` and ``group + 1`` differ in."""
+        return self.apart(2 * (self.edges[group + 2] - 1)) if group >= 0 else 0
+
+    def least_keys(self, group: int) -> int:
+        """How many keys similar sets of these bands share at least."""
+        return 1 + min(MORE, self.most(group) // 16)
+
     def parts(self, group: int) -> int:
-        """Parts of the sketch for the bands ``group`` and ``group + 1``; 0 if none can be similar."""
-        if group < 0:
-            return 0
-        most = self.apart(2 * (self.edges[group + 2] - 1))
-        return most // 2 + 1 if most else 0
+        """Parts of the sketch for these bands; 0 if only equal sets can be similar."""
+        most = self.most(group)
+        return most // 2 + self.least_keys(group) if most else 0
 
     def sketch(self, found: np.ndarray, group: int) -> np.ndarray:
         """Words of the sketch of a set for the bands ``group`` and ``group + 1``."""
@@ -133,11 +137,22 @@ class Bands:
         """Fewer words whose distance never exceeds that of the sketches."""
         if not len(sketch):
             return sketch
-        words = -(-FOLD_BITS * self.apart(2 * (self.edges[group + 2] - 1)) // 64)
+        words = -(-FOLD_BITS * self.most(group) // 64)
         padded = np.zeros(-(-len(sketch) // words) * words, np.uint64)
         padded[: len(sketch)] = sketch
         return np.bitwise_xor.reduce(padded.reshape(-1, words), axis=0)
 
+    def folds(self, found: np.ndarray) -> list[np.ndarray]:
+        """Those of a set for the groups that its band is the second and the first of."""
+        band = self.band(len(found))
+        return [self.fold(self.sketch(found, g), g) for g in (band - 1, band)]
+
+    def close(self, fold: np.ndarray, folds: np.ndarray, size: int, sizes: np.ndarray) -> np.ndarray:
+        """Which sets are as near to one as similar sets are, by their sizes and folds."""
+        most = (sizes + size) * (self.q - self.p) // (self.q + self.p)
+        near = np.flatnonzero(np.abs(sizes - size) <= most)
+        return near[np.bitwise_count(folds[near] ^ fold).sum(1) <= most[near]]
+
     def similar(self, x: np.ndarray, y: np.ndarray) -> bool:
         """Whether two sets, sorted, are similar."""
         both = np.concatenate([x, y])
@@ -146,20 +161,30 @@ class Bands:
         return common * self.q >= (len(both) - common) * self.p
 
 
-def document_sets(docs: DataFrame, width: int, text: str, id: str) -> DataFrame:
-    """``id``, ``node`` (hash of the set; NULL if empty) and ``size`` of each document."""
+SETS = "node long, size long, band int, lower binary, upper binary"
+
+
+def document_sets(docs: DataFrame, bands: Bands, width: int, text: str, id: str) -> DataFrame:
+    """Identifier, node (hash of the set; NULL if empty), size, band and the folds of both groups."""
     rows = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{id}`").alias("id"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in slices_of_bytes(batches, 0):
-            sets = shingles(batch.column(0).to_pylist(), width, hashes)
-            out = [(set_id(found) if len(found) else None, len(found)) for found in sets]
-            node, size = zip(*out) if out else ((), ())
-            columns = [batch.column(1), pa.array(node, pa.int64()), pa.array(size, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "node", "size"])
+            out = []
+            for found in shingles(batch.column(0).to_pylist(), width, hashes):
+                if not len(found):
+                    out.append((None, 0, None, None, None))
+                    continue
+                folds = [fold.tobytes() for fold in bands.folds(found)]
+                out.append((set_id(found), len(found), bands.band(len(found)), *folds))
+            columns = zip(*out) if out else ([],) * 5
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            names = ["id", "node", "size", "band", "lower", "upper"]
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), *arrays], names)
 
-    return rows.mapInArrow(make, f"id {rows.schema['id'].dataType.simpleString()}, node long, size long")
+    return rows.mapInArrow(make, f"id {rows.schema['id'].dataType.simpleString()}, {SETS}")
 
 
 def made_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict[int, np.ndarray]]:
@@ -188,7 +213,7 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begins, np.diff(np.append(begins, len(keys)))
 
 
-BLOCK = "bucket int, keys binary, places binary, firsts binary, nodes binary, groups binary"
+BLOCK = "bucket int, dealt boolean, keys binary, places binary, nodes binary, groups binary, sizes binary"
 LOW = np.uint64((1 << 40) - 1)  # five bytes of a key are sent, its bucket tells most of the rest
 
 
@@ -204,8 +229,8 @@ def key_number(low: np.ndarray, bucket: np.ndarray | int) -> np.ndarray:
 class KeyBlocks:
     """Keys of some sets, sent on as a block for each bucket.
 
-    A key that many of them share is paired here: its first set goes to the key's bucket, the
-    others are dealt out with it, so a very frequent key sends few entries to one place.
+    Of a key that very many of them share, just so many sets go to the key's bucket that it is
+    known there as one of many; the others are dealt out, so it sends few entries to one place.
     """
 
     def __init__(self, buckets: int):
@@ -213,51 +238,52 @@ class KeyBlocks:
         self.begin()
 
     def begin(self) -> None:
-        self.keys, self.sizes, self.nodes, self.groups, self.count = [], [], [], [], 0
+        self.keys, self.lengths, self.nodes, self.groups, self.sizes = [], [], [], [], []
+        self.count = 0
         self.seen: set[int] = set()
 
-    def add(self, node: int, keys: np.ndarray, group: int) -> None:
+    def add(self, node: int, keys: np.ndarray, group: int, size: int) -> None:
         self.keys.append(keys)
-        self.sizes.append(len(keys))
+        self.lengths.append(len(keys))
         self.nodes.append(node)
         self.groups.append(group)
+        self.sizes.append(size)
         self.count += len(keys)
 
     def packed(self) -> Iterator[pa.RecordBatch]:
         if not self.count:
             return
         keys = np.concatenate(self.keys)
-        places = np.repeat(np.arange(len(self.nodes), dtype=np.uint32), self.sizes)
+        places = np.repeat(np.arange(len(self.nodes), dtype=np.uint32), self.lengths)
         nodes, groups = np.array(self.nodes, np.int64), np.array(self.groups, np.int32)
+        of_nodes = nodes, groups, np.array(self.sizes, np.int64)
         self.begin()
         order = np.argsort(keys, kind="stable")
         keys, places = keys[order], places[order]
         begins, lengths = _runs(keys)
-        hot = np.repeat(lengths >= HOT, lengths)
-        hot[begins] = False
-        firsts = np.repeat(places[begins], lengths)
-        yield self.blocks(keys[~hot], places[~hot], None, bucket_of(keys[~hot], self.buckets), nodes, groups)
-        if hot.any():
-            keys, places, firsts = keys[hot], places[hot], firsts[hot]
-            dealt = bucket_of(mixed(nodes[places].view(np.uint64)), self.buckets)
-            order = np.argsort(dealt, kind="stable")
-            yield self.blocks(keys[order], places[order], firsts[order], dealt[order], nodes, groups)
-
-    def blocks(self, keys, places, firsts, buckets, nodes, groups) -> pa.RecordBatch:
+        within = np.arange(len(keys)) - np.repeat(begins, lengths)
+        dealt = (np.repeat(lengths, lengths) >= HOT) & (within > FEW)
+        yield self.blocks(keys[~dealt], places[~dealt], False, bucket_of(keys[~dealt], self.buckets), of_nodes)
+        if dealt.any():
+            keys, places = keys[dealt], places[dealt]
+            bucket = bucket_of(mixed(nodes[places].view(np.uint64)), self.buckets)
+            order = np.argsort(bucket, kind="stable")
+            yield self.blocks(keys[order], places[order], True, bucket[order], of_nodes)
+
+    def blocks(self, keys, places, dealt: bool, buckets, of_nodes) -> pa.RecordBatch:
         begins, lengths = _runs(buckets)
         out = []
         for begin, length in zip(begins.tolist(), lengths.tolist()):
             here = slice(begin, begin + length)
-            both = places[here] if firsts is None else np.concatenate([places[here], firsts[here]])
-            own, index = np.unique(both, return_inverse=True)
+            own, index = np.unique(places[here], return_inverse=True)
             index = index.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32)
-            size = 5 if firsts is None else 8  # a key that is dealt out isn't told by its bucket
+            size = 8 if dealt else 5  # a key that is dealt out isn't told by its bucket
             sent = keys[here].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]
-            out.append((int(buckets[begin]), sent.tobytes(), index[:length].tobytes(),
-                        index[length:].tobytes(), nodes[own].tobytes(), groups[own].tobytes()))
-        columns = zip(*out) if out else ([],) * 6
-        kinds = [pa.int32(), *[pa.binary()] * 5]
-        names = ["bucket", "keys", "places", "firsts", "nodes", "groups"]
+            out.append((int(buckets[begin]), dealt, sent.tobytes(), index.tobytes(),
+                        *(column[own].tobytes() for column in of_nodes)))
+        columns = zip(*out) if out else ([],) * 7
+        kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 5]
+        names = ["bucket", "dealt", "keys", "places", "nodes", "groups", "sizes"]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
@@ -273,7 +299,7 @@ def key_blocks(docs: DataFrame, bands: Bands, width: int, text: str, buckets: in
                 for group in (band - 1, band):
                     sketch = bands.sketch(found, group)
                     if len(sketch):
-                        blocks.add(node, sketch_keys(sketch, group), group)
+                        blocks.add(node, sketch_keys(sketch, group), group, len(found))
                 if blocks.count > KEYS:
                     yield from blocks.packed()
         yield from blocks.packed()
@@ -282,44 +308,74 @@ def key_blocks(docs: DataFrame, bands: Bands, width: int, text: str, buckets: in
 
 
 def block_entries(row: dict, buckets: int):
-    """Key, node, first node (NULL mask where it isn't known) and group of a block's entries."""
+    """Key, node, group and size of a block's entries."""
     nodes, groups = np.frombuffer(row["nodes"], "<i8"), np.frombuffer(row["groups"], "<i4")
     kind = np.uint16 if len(nodes) <= 1 << 16 else np.uint32
-    places, firsts = np.frombuffer(row["places"], kind), np.frombuffer(row["firsts"], kind)
+    places = np.frombuffer(row["places"], kind)
     sent = np.frombuffer(row["keys"], np.uint8).reshape(len(places), -1)
     keys = np.zeros((len(places), 8), np.uint8)
     keys[:, : sent.shape[1]] = sent
     keys = keys.view("<u8").ravel()
-    bucket = bucket_of(keys, buckets) if len(firsts) else row["bucket"]
-    number = key_number(keys & LOW, bucket).view(np.int64)
-    return number, nodes[places], nodes[firsts] if len(firsts) else None, groups[places]
+    number = key_number(keys & LOW, bucket_of(keys, buckets) if row["dealt"] else row["bucket"])
+    sizes = np.frombuffer(row["sizes"], "<i8")
+    return number.view(np.int64), nodes[places], groups[places], sizes[places]
+
+
+def pairs_of_runs(begins, lengths) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs of the entries of each run, for runs of few entries."""
+    first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for length in np.unique(lengths).tolist():
+        some = begins[lengths == length][:, None]
+        i, j = np.triu_indices(length, 1)
+        first.append((some + i).ravel())
+        second.append((some + j).ravel())
+    return np.concatenate(first), np.concatenate(second)
 
 
-SHARED = "key long, node long, first long, group int"
+SHARED = "key long, a long, b long, group int, n long"
 
 
-def shared_keys(blocks: DataFrame, buckets: int) -> DataFrame:
-    """A row for each key and node that shares it with another: the key's first node, the group."""
+def shared_keys(blocks: DataFrame, bands: Bands, buckets: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of a ``group`` with the number ``n`` of keys that few sets share, and, with
+    a ``key``, the sets ``a`` of a key that many share."""
 
     def merge(table: pa.Table) -> pa.Table:
-        plain, paired = [], []
+        plain, dealt = [], []
         for row in table.to_pylist():
-            entries = block_entries(row, buckets)
-            (plain if entries[2] is None else paired).append(entries)
-        out = [tuple(np.concatenate(c) for c in zip(*paired))] if paired else []
+            (dealt if row["dealt"] else plain).append(block_entries(row, buckets))
+        many = [tuple(np.concatenate(c) for c in zip(*dealt))[:3]] if dealt else []
+        a = b = group = n = np.zeros(0, np.int64)
         if plain:
-            key, node, group = (np.concatenate([e[k] for e in plain]) for k in (0, 1, 3))
+            key, node, group, size = (np.concatenate(c) for c in zip(*plain))
             order = np.lexsort((node, key))
-            key, node, group = key[order], node[order], group[order]
+            key, node, group, size = key[order], node[order], group[order], size[order]
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-            key, node, group = key[new], node[new], group[new]
+            key, node, group, size = key[new], node[new], group[new], size[new]
             begins, lengths = _runs(key)
-            some = np.repeat(lengths > 1, lengths)
-            first = np.repeat(node[begins], lengths)
-            out.append((key[some], node[some], first[some], group[some]))
-        columns = [np.concatenate(c) for c in zip(*out)]
-        return pa.table(dict(zip(("key", "node", "first", "group"), columns)))
+            some = np.repeat(lengths > FEW, lengths)
+            many.append((key[some], node[some], group[some]))
+            few = (lengths > 1) & (lengths <= FEW)
+            i, j = pairs_of_runs(begins[few], lengths[few])
+            apart = (size[i] + size[j]) * (bands.q - bands.p) // (bands.q + bands.p)
+            near = np.abs(size[i] - size[j]) <= apart
+            a, b, group = node[i[near]], node[j[near]], group[i[near]]
+            order = np.lexsort((group, b, a))
+            a, b, group = a[order], b[order], group[order]
+            new = np.ones(len(a), bool)
+            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (group[1:] != group[:-1])
+            first = np.flatnonzero(new)
+            n = np.diff(np.append(first, len(a)))
+            a, b, group = a[first], b[first], group[first]
+        key, node, of_key = (np.concatenate(c) for c in zip(*many)) if many else (a[:0],) * 3
+        none, empty = pa.nulls(len(a), pa.int64()), pa.nulls(len(key), pa.int64())
+        return pa.table({
+            "key": pa.concat_arrays([none, pa.array(key, pa.int64())]),
+            "a": pa.array(np.concatenate([a, node]), pa.int64()),
+            "b": pa.concat_arrays([pa.array(b, pa.int64()), empty]),
+            "group": pa.array(np.concatenate([group, of_key]).astype(np.int32)),
+            "n": pa.concat_arrays([pa.array(n, pa.int64()), empty]),
+        })
 
     return blocks.groupBy("bucket").applyInArrow(merge, SHARED)
 
@@ -355,68 +411,20 @@ class NodeFilter:
         return here
 
 
-HELD = "node long, size long, band int, lower binary, upper binary, members binary"
-
-
-def held_sets(nodes: DataFrame, docs: DataFrame, bands: Bands, width: int, text: str) -> DataFrame:
-    """The sets of the nodes, made anew from the texts: size, band, folds and sorted members."""
+def sets_of(nodes: DataFrame, docs: DataFrame, width: int, text: str) -> DataFrame:
+    """``node`` and ``members`` (sorted, packed) of the nodes, made anew from the texts."""
     maybe = NodeFilter(nodes)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sets in made_sets(batches, width):
-            nodes = np.fromiter(sets, np.int64, len(sets))
-            out = []
-            for node in nodes[maybe.passes(nodes)].tolist():
-                found = sets[node]
-                band = bands.band(len(found))
-                folds = [bands.fold(bands.sketch(found, g), g).tobytes() for g in (band - 1, band)]
-                out.append((node, len(found), band, *folds, found.tobytes()))
-            columns = zip(*out) if out else ([],) * 6
-            kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 3]
-            names = ["node", "size", "band", "lower", "upper", "members"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-    texts = docs.select(F.col(f"`{text}`").alias("text"))
-    made = texts.mapInArrow(make, HELD)
-    return made.join(nodes, "node", "left_semi").dropDuplicates(["node"])
-
-
-def within_bound(pairs: DataFrame, held: DataFrame, bands: Bands) -> DataFrame:
-    """The pairs ``a``, ``b`` of a ``group`` whose sizes and folds are as near as similar sets' are."""
-    each = F.explode(
-        F.array(
-            F.struct((F.col("band") - 1).alias("group"), F.col("lower").alias("fold")),
-            F.struct(F.col("band").alias("group"), F.col("upper").alias("fold")),
-        )
-    ).alias("g")
-    folds = held.select("node", "size", each)
-    of = lambda n: folds.select(
-        F.col("node").alias(n), F.col("g.group").alias("group"), F.col("size").alias(f"size_{n}"),
-        F.col("g.fold").alias(f"fold_{n}"),
-    )
-    joined = pairs.join(of("a"), ["a", "group"]).join(of("b"), ["b", "group"])
-    most = F.floor((F.col("size_a") + F.col("size_b")) * (bands.q - bands.p) / (bands.q + bands.p))
-    # Whole numbers below 2^53: the quotient can't be rounded up to the next one.
-    joined = joined.withColumn("most", most).where(
-        F.abs(F.col("size_a") - F.col("size_b")) <= F.col("most")
-    )
+            here = np.fromiter(sets, np.int64, len(sets))
+            here = here[maybe.passes(here)]
+            packed = [sets[node].tobytes() for node in here.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(here), pa.array(packed, pa.binary())],
+                                             ["node", "members"])
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y, most = (c.to_pylist() for c in batch.columns[2:])
-            distance = np.array(
-                [
-                    (int.from_bytes(p, "little") ^ int.from_bytes(q, "little")).bit_count()
-                    for p, q in zip(x, y)
-                ],
-                np.int64,
-            )
-            here = pa.array(distance <= np.array(most, np.int64))
-            kept = batch.select([0, 1]).append_column("distance", pa.array(distance))
-            yield kept.filter(here)
-
-    columns = joined.select("a", "b", "fold_a", "fold_b", "most")
-    return columns.mapInArrow(check, "a long, b long, distance long")
+    made = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(make, "node long, members binary")
+    return made.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
 class Groups:
@@ -440,92 +448,84 @@ def links_table(links: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
-def similar(pairs: DataFrame, held: DataFrame, bands: Bands, name: str) -> DataFrame:
-    """Links ``a``, ``b`` that connect whatever similar pairs connect, found on the sets.
+def in_tiles(rows: DataFrame, whole: str, tiles: Column) -> DataFrame:
+    """The rows once for each tile ``i``, ``j`` of their ``whole``, cut into ``tiles``; ``own`` is
+    the side that a row is on."""
+    cut = rows.groupBy(whole).agg(tiles.cast("int").alias("tiles"))
+    own = F.pmod(F.xxhash64("node", F.lit(7)), "tiles").cast("int")
+    placed = rows.join(cut, whole).withColumn("own", own)
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return placed.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop(
+        "tiles", "other"
+    )
 
-    Pairs are verified together with those they hang together with, so that each set goes to one
-    task, or to the few that a large group is cut into.
-    """
-    groups = components(pairs, name).withColumnRenamed("root", "whole")
-    wanted = stored(groups.join(held.select("node", "size"), "node"), f"{name}_nodes")
-    tiles = F.greatest(F.ceil(F.sum("size") / TILE_MEMBERS), F.ceil(F.count("*") / TILE_PAIRED))
-    cut = wanted.groupBy("whole").agg(tiles.cast("int").alias("tiles"))
-    own = F.pmod(F.xxhash64("node", F.lit(7)), "tiles").cast("int").alias("own")
-    placed = wanted.join(cut, "whole").select("node", "whole", own)
-    a = placed.select(F.col("node").alias("a"), "whole", F.col("own").alias("own_a"))
-    b = placed.select(F.col("node").alias("b"), F.col("own").alias("own_b"))
-    dealt = stored(
-        pairs.join(a, "a").join(b, "b").select(
-            "whole", F.least("own_a", "own_b").alias("i"), F.greatest("own_a", "own_b").alias("j"),
-            "a", "b", "distance",
-        ),
-        f"{name}_dealt",
+
+def close_pairs(bands: Bands, node, size, folds, left, right) -> Iterator[tuple[int, int]]:
+    """Rows of ``left`` and ``right`` that are close, each pair of different nodes at least once."""
+    matrix = np.stack(folds) if len(folds) else np.zeros((0, 0), np.uint64)
+    for x in left.tolist():
+        others = right[right != x]
+        for k in bands.close(matrix[x], matrix[others], size[x], size[others]).tolist():
+            if node[others[k]] != node[x]:
+                yield x, int(others[k])
+
+
+def candidates_of_many(many: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
+    """Pairs ``a``, ``b`` that connect whatever close folds connect among the sets of each key."""
+    fold = F.when(F.col("group") == F.col("band"), F.col("upper")).otherwise(F.col("lower"))
+    own = sets.where("node IS NOT NULL").dropDuplicates(["node"]).select("node", "size", "band", "lower", "upper")
+    rows = many.select("key", F.col("a").alias("node"), "group").join(own, "node").select(
+        "key", "node", "size", fold.alias("fold")
     )
-    places = ["whole", "i", "j"]
-    needed = dealt.select(*places, F.explode(F.array("a", "b")).alias("node")).distinct()
-    members = held.select("node", "members")
-    none = F.lit(None).cast("long")
-    rows = needed.join(members, "node").select(
-        *places, F.col("node").alias("a"), none.alias("b"), none.alias("distance"), "members"
-    ).unionByName(dealt.withColumn("members", F.lit(None).cast("binary")))
-
-    def verify(table: pa.Table) -> pa.Table:
-        held, todo = {}, []
-        columns = (table.column(c).to_pylist() for c in ("a", "b", "distance", "members"))
-        for a, b, distance, packed in zip(*columns):
-            if b is None:
-                held[a] = np.frombuffer(packed, "<u8")
-            else:
-                todo.append((distance, a, b))
+    rows = in_tiles(rows, "key", F.ceil(F.count("*") / TILE_SETS))
+
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        i, j = key[1].as_py(), key[2].as_py()
+        node, size, own = (table.column(c).to_numpy() for c in ("node", "size", "own"))
+        folds = [np.frombuffer(packed, "<u8") for packed in table.column("fold").to_pylist()]
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         joined, links = Groups(), []
-        for _, a, b in sorted(todo):
-            if joined.root(a) != joined.root(b) and bands.similar(held[a], held[b]):
+        for x, y in close_pairs(bands, node, size, folds, left, right):
+            a, b = int(node[x]), int(node[y])
+            if joined.root(a) != joined.root(b):
                 joined.join(a, b)
                 links.append((a, b))
         return links_table(links)
 
-    return rows.groupBy(*places).applyInArrow(verify, "a long, b long")
+    return rows.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
 
 
-def links_in_tiles(members: DataFrame, held: DataFrame, bands: Bands) -> DataFrame:
-    """Links between different components, of keys that many sets share.
+def links_of(candidates: DataFrame, docs: DataFrame, bands: Bands, width: int, text: str) -> DataFrame:
+    """Links ``a``, ``b`` that connect whatever similar sets connect within candidate groups."""
+    groups = stored(components(candidates, "candidates"), "groups")
+    rows = groups.join(sets_of(groups.select("node"), docs, width, text), "node")
+    size = F.octet_length("members") / 8
+    rows = stored(rows.withColumnRenamed("root", "whole"), "members")
+    tiles = F.greatest(F.ceil(F.sum(size) / TILE_MEMBERS), F.ceil(F.count("*") / TILE_SETS))
 
-    ``members`` has ``key``, ``group``, ``node``, ``root``. Each key's sets are cut into tiles; two
-    tiles are compared in one task, and what it has connected is passed over from there on.
-    """
-    wanted = stored(members.join(held.select("node", "size"), "node"), "open_members")
-    tiles = F.greatest(F.ceil(F.sum("size") / TILE_MEMBERS), F.ceil(F.count("*") / TILE_SETS))
-    cut = wanted.groupBy("key").agg(tiles.cast("int").alias("tiles"))
-    own = F.pmod(F.xxhash64("node", F.lit(7)), "tiles").cast("int")
-    placed = wanted.join(cut, "key").select("key", "group", "node", "root", own.alias("own"), "tiles")
-    placed = placed.join(held.select("node", "members"), "node")
-    pieces = placed.select("key", "group", "node", "root", "own", "members",
-                           F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    pieces = pieces.select("key", F.least("own", "other").alias("i"),
-                           F.greatest("own", "other").alias("j"), "group", "node", "root", "own", "members")
-
-    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        i, j, group = key[1].as_py(), key[2].as_py(), table.column("group")[0].as_py()
-        node, root, own = (table.column(c).to_numpy() for c in ("node", "root", "own"))
+    def verify(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        i, j = key[1].as_py(), key[2].as_py()
+        node, own = (table.column(c).to_numpy() for c in ("node", "own"))
         held = [np.frombuffer(packed, "<u8") for packed in table.column("members").to_pylist()]
-        size = np.array([len(x) for x in held])
-        folds = np.stack([bands.fold(bands.sketch(x, group), group) for x in held])
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        size = np.array([len(x) for x in held], np.int64)
+        band = np.array([bands.band(n) for n in size])
+        folds = [bands.folds(x) for x in held]
         joined, links = Groups(), []
-        for x in left.tolist():
-            y = right[(root[right] != root[x]) & ((node[right] > node[x]) if i == j else True)]
-            most = (size[y] + size[x]) * (bands.q - bands.p) // (bands.q + bands.p)
-            y = y[np.abs(size[y] - size[x]) <= most]
-            most = (size[y] + size[x]) * (bands.q - bands.p) // (bands.q + bands.p)
-            y = y[np.bitwise_count(folds[y] ^ folds[x]).sum(1) <= most]
-            for k in y.tolist():
-                p, q = int(root[x]), int(root[k])
-                if joined.root(p) != joined.root(q) and bands.similar(held[x], held[k]):
-                    joined.join(p, q)
-                    links.append((int(node[x]), int(node[k])))
+        for group in np.unique(np.concatenate([band - 1, band])).tolist():
+            some = np.flatnonzero((band == group) | (band == group + 1))
+            if not bands.parts(group) or len(some) < 2:
+                continue
+            own_folds = [folds[k][0 if band[k] > group else 1] for k in some]
+            left, right = np.flatnonzero(own[some] == i), np.flatnonzero(own[some] == j)
+            for x, y in close_pairs(bands, node[some], size[some], own_folds, left, right):
+                a, b = int(node[some[x]]), int(node[some[y]])
+                if joined.root(a) != joined.root(b) and bands.similar(held[some[x]], held[some[y]]):
+                    joined.join(a, b)
+                    links.append((a, b))
         return links_table(links)
 
-    return pieces.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
+    pieces = in_tiles(rows, "whole", tiles).select("whole", "i", "j", "own", "node", "members")
+    return pieces.groupBy("whole", "i", "j").applyInArrow(verify, "a long, b long")
 
 
 def near_duplicates(
@@ -545,8 +545,8 @@ def near_duplicates(
     read.
     """
     bands = Bands(*similarity)
-    sets = stored(document_sets(docs, width, text, id), "sets")
-    labels = similar_components(docs, bands, width, text)
+    sets = stored(document_sets(docs, bands, width, text, id), "sets")
+    labels = similar_components(docs, sets, bands, width, text)
     rooted = sets.select("id", "size", "node").join(labels, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )
@@ -558,48 +558,21 @@ def near_duplicates(
     )
 
 
-def similar_components(docs: DataFrame, bands: Bands, width: int, text: str) -> DataFrame:
+def similar_components(
+    docs: DataFrame, sets: DataFrame, bands: Bands, width: int, text: str
+) -> DataFrame:
     """``node`` and ``root`` of all nodes with a link."""
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shared = stored(shared_keys(key_blocks(docs, bands, width, text, buckets), buckets), "shared")
-    ordered = [F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")]
-    stars = stored(
-        shared.where("node <> first").groupBy(*ordered).agg(F.max("group").alias("group")), "stars"
-    )
-    nodes = shared.select(F.explode(F.array("node", "first")).alias("node")).distinct()
-    held = stored(held_sets(nodes, docs, bands, width, text), "held")
-    close = stored(within_bound(stars, held, bands), "close")
-    links = stored(similar(close, held, bands, "stars"), "links")
-    labels = components(links, "first")
-    # Keys shared by three or more sets of more than one component: not all pairs are known yet.
-    members = shared.select("key", "group", "node").unionByName(
-        shared.select("key", "group", F.col("first").alias("node"))
-    ).distinct()
-    members = members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    members = stored(members, "members")
-    open_keys = (
-        members.groupBy("key")
-        .agg(F.count("*").alias("count"), F.min("root").alias("p"), F.max("root").alias("q"))
-        .where("count > 2 AND p <> q")
-        .select("key", "count")
-    )
-    still_open = stored(members.join(open_keys, "key"), "open")
-    few = still_open.where(F.col("count") <= FEW)
-    other = few.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    direct = (
-        few.join(other, "key").where("node < b AND root <> root_b")
-        .groupBy(F.col("node").alias("a"), "b").agg(F.max("group").alias("group"))
-        .join(stars, ["a", "b"], "left_anti")
+    blocks = key_blocks(docs, bands, width, text, buckets)
+    shared = stored(shared_keys(blocks, bands, buckets), "shared")
+    # Similar sets share so many keys, or one that many share.
+    most = max(g for g in range(len(bands.edges) - 2))
+    steps = [g for g in range(1, most) if bands.least_keys(g) > bands.least_keys(g - 1)]
+    least = F.lit(1) + sum((F.col("group") >= g).cast("int") for g in steps)
+    few = (
+        shared.where("key IS NULL").groupBy("a", "b", "group").agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= least).select("a", "b")
     )
-    direct = stored(within_bound(stored(direct, "direct"), held, bands), "direct_close")
-    many = still_open.where(F.col("count") > FEW)
-    more = []
-    if not direct.isEmpty():
-        more.append(stored(similar(direct, held, bands, "later"), "later_links"))
-    if not many.isEmpty():
-        more.append(stored(links_in_tiles(many, held, bands), "tile_links"))
-    if not any(not some.isEmpty() for some in more):
-        return labels
-    for some in more:
-        links = links.unionByName(some)
-    return components(links, "all")
+    many = candidates_of_many(shared.where("key IS NOT NULL"), sets, bands)
+    candidates = stored(few.unionByName(many).distinct(), "candidates")
+    return components(stored(links_of(candidates, docs, bands, width, text), "links"), "links")

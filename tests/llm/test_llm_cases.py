@@ -385,31 +385,50 @@ def test_folds_never_differ_more_than_sets():
                 assert np.bitwise_count(fold ^ other).sum() > bands.apart(len(x) + len(y))
 
 
-@pytest.mark.parametrize("hot", [2, 64])
+@pytest.mark.parametrize("hot", [20, 64])
 def test_blocks_hold_all_shared_keys(monkeypatch, hot):
-    """Every set's key leads to the key's first set, or over the first set of what was sent on."""
+    """Every key leads to all of its sets; one that many share has more than few in its bucket."""
     monkeypatch.setattr(parity_join, "HOT", hot)
     rng, buckets = np.random.default_rng(4), 5
     holders, rows = {}, []
     blocks = parity_join.KeyBlocks(buckets)
-    for node in range(1, 60):
+    for node in range(1, 160):
         keys = np.unique(parity_join.mixed(rng.integers(0, 40, 12).astype(np.uint64)))
-        blocks.add(node, keys, 1 + node % 2)
+        blocks.add(node, keys, 1 + node % 2, node * 3)
         for key in keys.tolist():
             holders.setdefault(key, set()).add(node)
-        if node % 20 == 0:
+        if node % 80 == 0:
             rows += [r for b in blocks.packed() for r in b.to_pylist()]
     rows += [r for b in blocks.packed() for r in b.to_pylist()]
-    found = {}
+    assert any(r["dealt"] for r in rows) == (hot == 20)
+    found, plain = {}, Counter()
     for row in rows:
-        key, node, first, group = parity_join.block_entries(row, buckets)
-        assert (group == 1 + node % 2).all()
+        key, node, group, size = parity_join.block_entries(row, buckets)
+        assert (group == 1 + node % 2).all() and (size == node * 3).all()
         for k, n in zip(key.tolist(), node.tolist()):
             found.setdefault(k, set()).add(n)
+            plain[k] += not row["dealt"]
     number = lambda k: parity_join.key_number(
         np.array([k], np.uint64) & parity_join.LOW, parity_join.bucket_of(np.array([k], np.uint64), buckets)
     ).view(np.int64)[0]
     assert found == {number(k): nodes for k, nodes in holders.items()}
+    assert all(plain[number(k)] > parity_join.FEW for k, nodes in holders.items() if len(nodes) > 2 * hot)
+
+
+def test_similar_sets_share_enough_keys():
+    """As many keys as pairs are counted by, whatever members differ."""
+    rng, bands = np.random.default_rng(8), Bands(80, 100)
+    for size in (5, 30, 90, 200, 500):
+        for _ in range(60):
+            x = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+            gone = int(rng.integers(0, max(1, bands.apart(2 * len(x)) // 2) + 1))
+            y = np.unique(np.concatenate([x[gone:], rng.integers(0, 2**63, gone).astype(np.uint64)]))
+            if not bands.similar(x, y):
+                continue
+            group = min(bands.band(len(x)), bands.band(len(y)))
+            if bands.parts(group):
+                keys = [set(sketch_keys(bands.sketch(z, group), group).tolist()) for z in (x, y)]
+                assert len(keys[0] & keys[1]) >= bands.least_keys(group)
 
 
 def test_bands_cover_all_similar_sizes():
