@@ -44,6 +44,7 @@ MORE = 3  # parts more than it takes
 KEYS = 1 << 21  # that a task holds before it sends them on
 TILE_MEMBERS = 1 << 19  # of all sets on one side of a tile
 TILE_SETS = 512
+TILE_FOLDS = 4096  # sets on one side of a tile that only has their folds
 KNOWN = 300_000  # words whose hashes a task remembers
 MOST_BITS = 1 << 26  # of a table of nodes
 BLOOM_SHIFTS = (0, 20, 38)
@@ -428,19 +429,29 @@ def sets_of(nodes: DataFrame, docs: DataFrame, width: int, text: str) -> DataFra
 
 
 class Groups:
-    """Groups of nodes that links have joined."""
+    """Which rows of a tile links have joined so far, and these links."""
 
-    def __init__(self):
-        self.above: dict[int, int] = {}
+    def __init__(self, node: np.ndarray):
+        # Equal nodes are one from the start.
+        self.node, self.links = node, []
+        self.label = np.unique(node, return_inverse=True)[1]
 
-    def root(self, node: int) -> int:
-        above = self.above
-        while (up := above.get(node, node)) != node:
-            above[node] = node = above.get(up, up)
-        return node
+    def join(self, x: int, y: int) -> None:
+        self.links.append((int(self.node[x]), int(self.node[y])))
+        self.label[self.label == self.label[y]] = self.label[x]
 
-    def join(self, a: int, b: int) -> None:
-        self.above[self.root(a)] = self.root(b)
+    def pairs(self, bands: Bands, size, folds, left, right) -> Iterator[tuple[int, int]]:
+        """Rows of ``left`` and of ``right`` that are close and not joined yet, all in the end.
+
+        A pair that is taken has to be joined, or is left alone, before the next one is asked for.
+        """
+        for x in left.tolist():
+            others = right[self.label[right] != self.label[x]]
+            near = others[bands.close(folds[x], folds[others], size[x], size[others])]
+            while len(near):
+                yield x, int(near[0])
+                near = near[1:]
+                near = near[self.label[near] != self.label[x]]
 
 
 def links_table(links: list[tuple[int, int]]) -> pa.Table:
@@ -460,16 +471,6 @@ def in_tiles(rows: DataFrame, whole: str, tiles: Column) -> DataFrame:
     )
 
 
-def close_pairs(bands: Bands, node, size, folds, left, right) -> Iterator[tuple[int, int]]:
-    """Rows of ``left`` and ``right`` that are close, each pair of different nodes at least once."""
-    matrix = np.stack(folds) if len(folds) else np.zeros((0, 0), np.uint64)
-    for x in left.tolist():
-        others = right[right != x]
-        for k in bands.close(matrix[x], matrix[others], size[x], size[others]).tolist():
-            if node[others[k]] != node[x]:
-                yield x, int(others[k])
-
-
 def candidates_of_many(many: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
     """Pairs ``a``, ``b`` that connect whatever close folds connect among the sets of each key."""
     fold = F.when(F.col("group") == F.col("band"), F.col("upper")).otherwise(F.col("lower"))
@@ -477,20 +478,17 @@ def candidates_of_many(many: DataFrame, sets: DataFrame, bands: Bands) -> DataFr
     rows = many.select("key", F.col("a").alias("node"), "group").join(own, "node").select(
         "key", "node", "size", fold.alias("fold")
     )
-    rows = in_tiles(rows, "key", F.ceil(F.count("*") / TILE_SETS))
+    rows = in_tiles(rows, "key", F.ceil(F.count("*") / TILE_FOLDS))
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         i, j = key[1].as_py(), key[2].as_py()
         node, size, own = (table.column(c).to_numpy() for c in ("node", "size", "own"))
-        folds = [np.frombuffer(packed, "<u8") for packed in table.column("fold").to_pylist()]
+        folds = np.stack([np.frombuffer(packed, "<u8") for packed in table.column("fold").to_pylist()])
+        joined = Groups(node)
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        joined, links = Groups(), []
-        for x, y in close_pairs(bands, node, size, folds, left, right):
-            a, b = int(node[x]), int(node[y])
-            if joined.root(a) != joined.root(b):
-                joined.join(a, b)
-                links.append((a, b))
-        return links_table(links)
+        for x, y in joined.pairs(bands, size, folds, left, right):
+            joined.join(x, y)
+        return links_table(joined.links)
 
     return rows.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
 
@@ -510,19 +508,19 @@ def links_of(candidates: DataFrame, docs: DataFrame, bands: Bands, width: int, t
         size = np.array([len(x) for x in held], np.int64)
         band = np.array([bands.band(n) for n in size])
         folds = [bands.folds(x) for x in held]
-        joined, links = Groups(), []
+        joined = Groups(node)
         for group in np.unique(np.concatenate([band - 1, band])).tolist():
             some = np.flatnonzero((band == group) | (band == group + 1))
             if not bands.parts(group) or len(some) < 2:
                 continue
-            own_folds = [folds[k][0 if band[k] > group else 1] for k in some]
-            left, right = np.flatnonzero(own[some] == i), np.flatnonzero(own[some] == j)
-            for x, y in close_pairs(bands, node[some], size[some], own_folds, left, right):
-                a, b = int(node[some[x]]), int(node[some[y]])
-                if joined.root(a) != joined.root(b) and bands.similar(held[some[x]], held[some[y]]):
-                    joined.join(a, b)
-                    links.append((a, b))
-        return links_table(links)
+            here = np.zeros((len(node), len(folds[some[0]][0 if band[some[0]] > group else 1])), np.uint64)
+            for k in some.tolist():
+                here[k] = folds[k][0 if band[k] > group else 1]
+            left, right = some[own[some] == i], some[own[some] == j]
+            for x, y in joined.pairs(bands, size, here, left, right):
+                if bands.similar(held[x], held[y]):
+                    joined.join(x, y)
+        return links_table(joined.links)
 
     pieces = in_tiles(rows, "whole", tiles).select("whole", "i", "j", "own", "node", "members")
     return pieces.groupBy("whole", "i", "j").applyInArrow(verify, "a long, b long")
