@@ -41,11 +41,12 @@ FOLD_BITS = 4  # for each member that similar sets may differ in
 FEW = 16  # sets sharing a key up to which all their pairs are listed
 HOT = 64  # sets sharing a key in what a task sends on from which most of them are dealt out
 MORE = 3  # parts more than it takes
-KEYS = 1 << 21  # that a task holds before it sends them on
+KEYS = 1 << 20  # that a task holds before it sends them on
 TILE_MEMBERS = 1 << 19  # of all sets on one side of a tile
 TILE_SETS = 512
 TILE_FOLDS = 4096  # sets on one side of a tile that only has their folds
-KNOWN = 300_000  # words whose hashes a task remembers
+KNOWN = 100_000  # words whose hashes a task remembers
+TEXT_BYTES = 1 << 20  # of texts whose sets are made at a time
 MOST_BITS = 1 << 26  # of a table of nodes
 BLOOM_SHIFTS = (0, 20, 38)
 
@@ -171,7 +172,7 @@ def document_sets(docs: DataFrame, bands: Bands, width: int, text: str, id: str)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in slices_of_bytes(batches, 0):
+        for batch in slices_of_bytes(batches, 0, TEXT_BYTES):
             out = []
             for found in shingles(batch.column(0).to_pylist(), width, hashes):
                 if not len(found):
@@ -191,7 +192,7 @@ def document_sets(docs: DataFrame, bands: Bands, width: int, text: str, id: str)
 def made_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict[int, np.ndarray]]:
     """The different sets of some texts at a time, by node; texts are the first column."""
     hashes = WordHashes()
-    for batch in slices_of_bytes(batches, 0):
+    for batch in slices_of_bytes(batches, 0, TEXT_BYTES):
         made = shingles(batch.column(0).to_pylist(), width, hashes)
         yield {set_id(found): found for found in made if len(found)}
 
@@ -256,8 +257,8 @@ class KeyBlocks:
             return
         keys = np.concatenate(self.keys)
         places = np.repeat(np.arange(len(self.nodes), dtype=np.uint32), self.lengths)
-        nodes, groups = np.array(self.nodes, np.int64), np.array(self.groups, np.int32)
-        of_nodes = nodes, groups, np.array(self.sizes, np.int64)
+        nodes, groups = np.array(self.nodes, np.int64), np.array(self.groups, np.int16)
+        of_nodes = nodes, groups, np.array(self.sizes, np.int32)
         self.begin()
         order = np.argsort(keys, kind="stable")
         keys, places = keys[order], places[order]
@@ -310,7 +311,7 @@ def key_blocks(docs: DataFrame, bands: Bands, width: int, text: str, buckets: in
 
 def block_entries(row: dict, buckets: int):
     """Key, node, group and size of a block's entries."""
-    nodes, groups = np.frombuffer(row["nodes"], "<i8"), np.frombuffer(row["groups"], "<i4")
+    nodes, groups = np.frombuffer(row["nodes"], "<i8"), np.frombuffer(row["groups"], "<i2")
     kind = np.uint16 if len(nodes) <= 1 << 16 else np.uint32
     places = np.frombuffer(row["places"], kind)
     sent = np.frombuffer(row["keys"], np.uint8).reshape(len(places), -1)
@@ -318,7 +319,7 @@ def block_entries(row: dict, buckets: int):
     keys[:, : sent.shape[1]] = sent
     keys = keys.view("<u8").ravel()
     number = key_number(keys & LOW, bucket_of(keys, buckets) if row["dealt"] else row["bucket"])
-    sizes = np.frombuffer(row["sizes"], "<i8")
+    sizes = np.frombuffer(row["sizes"], "<i4").astype(np.int64)
     return number.view(np.int64), nodes[places], groups[places], sizes[places]
 
 
