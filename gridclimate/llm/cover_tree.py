@@ -3,11 +3,13 @@
 Vectors are put on the unit sphere, where a cosine is a distance. A bounded sample gives the
 centres of the top level; every vector lives in the cell of its nearest centre and visits the cells
 that may hold vectors within the threshold of it. Each cell, and its visitors, are cut into blocks
-of bounded size. Each block is a cover tree: nested levels whose radii halve, down to single
-vectors, every node with the radius that covers all below it. Pairs of nodes are dropped when their
-distance less both radii is above the threshold, and taken as a whole when their distance plus both
-radii is below it; what is left is opened on the next level. Single vectors are compared by their
-cosine in double precision, so the result is exact.
+of bounded size. Each block is a cover tree: nested levels whose radii halve, down to leaves, every
+node with the radius that covers all below it. Pairs of nodes are dropped when their distance less
+both radii is above the threshold, and taken as a whole when their distance plus both radii is
+below it; what is left is opened on the next level. The vectors of two leaves are compared at once,
+by their cosine in double precision, so the result is exact. On wide vectors spread over the sphere
+the cover doesn't group and few pairs of nodes can be dropped; such a node is one leaf, and its
+vectors are compared by one product of matrices instead of node by node.
 
 Equal vectors are one node that counts as many, so they cost nothing.
 """
@@ -25,6 +27,9 @@ from .stored import stored
 BLOCK = 2048
 CENTRES = 1024
 SLACK = 1e-6  # of distances; what is closer to a bound than this is opened
+# A node of at most so many vectors isn't split, nor one whose cover at half its radius has made as
+# many groups of fewer than two vectors on average: then it is a leaf of all its vectors.
+LEAF = 64
 
 
 def units(values: np.ndarray) -> np.ndarray:
@@ -65,6 +70,8 @@ def build_tree(points: np.ndarray) -> Tree:
         rows = order[begin:end]
         away = distances(points[rows[:1]], points[rows])[0]
         nodes[at][1] = radius = float(away.max())
+        if end - begin <= LEAF:
+            continue
         while level > radius:
             level /= 2
         # Below this radius halving says nothing more; the rows become children at once.
@@ -76,6 +83,10 @@ def build_tree(points: np.ndarray) -> Tree:
             near[0] = True
             groups.append(left[near])
             left = left[~near]
+            if len(groups) >= LEAF and len(rows) - len(left) < 2 * len(groups):
+                break
+        if len(left):
+            continue
         if len(groups) == 1:
             todo.append((at, level / 2))
             continue
@@ -129,7 +140,7 @@ class Traversal:
     def compare(self, a: np.ndarray, b: np.ndarray, wanted: np.ndarray):
         """Decide the wanted pairs of the nodes ``a`` and ``b``; returns those of the next level."""
         s, t = self.x.tree, self.y.tree
-        one_a, one_b = s.end[a] - s.begin[a] == 1, t.end[b] - t.begin[b] == 1
+        one_a, one_b = s.first_child[a] == s.last_child[a], t.first_child[b] == t.last_child[b]
         self.leaves(a[one_a], b[one_b], wanted[one_a][:, one_b])
         for p, q in ((~one_a, ~one_b), (~one_a, one_b), (one_a, ~one_b)):
             if p.any() and q.any():
@@ -138,12 +149,14 @@ class Traversal:
                     yield below
 
     def leaves(self, a: np.ndarray, b: np.ndarray, wanted: np.ndarray) -> None:
-        """Pairs of single vectors, by their cosine in double precision."""
-        if not wanted.any():
+        """Pairs of vectors of two leaves, all at once, by their cosine in double precision."""
+        rows, columns = wanted.any(1), wanted.any(0)
+        if not rows.any():
             return
-        i, j = self.x.tree.begin[a], self.y.tree.begin[b]
+        i, of_a = spans(self.x.tree, a[rows])
+        j, of_b = spans(self.y.tree, b[columns])
         near = self.short_x[i] @ self.short_y[j].T >= self.cosine - 1e-4
-        p, q = np.nonzero(near & wanted)
+        p, q = np.nonzero(near & wanted[rows][:, columns][of_a][:, of_b])
         for some in np.array_split(np.arange(len(p)), max(1, len(p) >> 16)):
             u, v = i[p[some]], j[q[some]]
             linked = np.einsum("ij,ij->i", self.x.points[u], self.y.points[v]) >= self.cosine
@@ -184,6 +197,14 @@ class Traversal:
         return np.where(last > first, first, nodes)[of] + within, of
 
 
+def spans(tree: Tree, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of the nodes, in the order of the tree, and the place of the node of each."""
+    size = tree.end[nodes] - tree.begin[nodes]
+    of = np.repeat(np.arange(len(nodes)), size)
+    within = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+    return tree.begin[nodes][of] + within, of
+
+
 def spanning(edges: np.ndarray) -> np.ndarray:
     """As few edges that connect the same nodes."""
     if not len(edges):

@@ -57,3 +57,26 @@ def test_visits_don_t_grow_with_the_square():
         _, visits = ct.near_cells(ct.distances(points, middle), ct.distances(middle, middle), 0.3)
         share.append(visits.sum() / len(points))
     assert share[1] <= share[0] + 0.5
+
+
+def test_wide_spread_vectors_make_few_nodes():
+    """Nothing prunes among wide random vectors; leaves of many vectors keep the tree small."""
+    rng = np.random.default_rng(4)
+    tree = ct.build_tree(ct.units(rng.standard_normal((2048, 64))))
+    assert len(tree.begin) < 2048 // 8
+
+
+@pytest.mark.parametrize("leaf", [2, 5, 64])
+def test_leaves_against_all_pairs(monkeypatch, leaf):
+    monkeypatch.setattr(ct, "LEAF", leaf)
+    rng = np.random.default_rng(leaf)
+    centres = rng.standard_normal((12, 8))
+    points = centres[rng.integers(0, 12, 700)] + 0.35 * rng.standard_normal((700, 8))
+    points[100:160] = points[3]
+    block = ct.make_block(np.arange(700), np.ones(700, np.int64), points)
+    found = ct.Traversal(block, block, 0.9)
+    links, _ = plain(points, 0.9)
+    got = np.zeros(700, np.int64)
+    got[block.nodes] = found.links_x
+    assert links.sum() > 0
+    assert (got - 1 == links).all()
