@@ -8,14 +8,17 @@ have sketches with more parts than half that bound, so similar sets have parts i
 differ in one member at most (pigeonhole). A part has three 64-bit words, of which that member can
 change but one: an equi-join on each two words of each part finds all similar sets. Large sketches
 have up to three parts more than it takes, so that similar sets share as many keys more, and pairs
-that share fewer are dropped as they are counted.
-
-Sketches never travel. Their keys do, packed in blocks of a bucket of keys; all pairs of the few
-sets that share a key are listed there if their sizes allow it. Of a key that many sets share,
-tiles of sets are compared inside tasks by folds of their sketches: the words XORed together into a
-few, about four bits for each member that similar sets may differ in. Folds differ in no more bits
-than sketches. Whatever hangs together by pairs and by close folds is a candidate group, which holds
-all links of its sets. The sets of these groups are made anew from the texts, each goes to a few
+that share fewer are dropped as they are counted. For each further part a set leaves out the key
+whose words have the fewest bits, as strangers share such keys: what it leaves out comes first in an
+order of all keys, so of the keys that two sets share they leave out no more than that many.
+
+Sketches never travel. Their keys do, packed in blocks of a bucket of keys, each with 16 bits on the
+third word of its part, which tell most pairs of words that differ in more than one bit. The pairs of
+the few sets that share a key are listed there if their sizes and third words allow it. These pairs,
+and tiles of the sets of a key that many share, are compared by folds of their sketches: the words
+XORed together into a few, about four bits for each member that similar sets may differ in. Folds
+differ in no more bits than sketches. Whatever hangs together by close folds is a candidate group,
+which holds all links of its sets. The sets of these groups are made anew from the texts, each goes to a few
 tasks only, and the sets themselves decide; a pair that is connected already is passed over. What
 leaves a task are links that connect, fewer than the sets of its tile.
 
@@ -31,16 +34,21 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import slices_of_bytes
+from .arrow import slices, slices_of_bytes
 from .components import components, with_least
-from .stored import stored
+from .stored import free_shuffles, stored
 
 WORDS = 3  # of 64 bits in each part of a sketch
 TWO = ((0, 1), (0, 2), (1, 2))
+THIRD = (2, 1, 0)
 FOLD_BITS = 4  # for each member that similar sets may differ in
 FEW = 16  # sets sharing a key up to which all their pairs are listed
+SOME = 128  # the same, if each is in so few pairs on average that
+PAIRS = 4  # of a set are listed
+AT_ONCE = 1 << 19  # pairs that are looked at
 HOT = 64  # sets sharing a key in what a task sends on from which most of them are dealt out
 MORE = 3  # parts more than it takes
+SPARE = 32  # members that similar sets differ in at most, for each key that a set leaves out
 KEYS = 1 << 20  # that a task holds before it sends them on
 TILE_MEMBERS = 1 << 19  # of all sets on one side of a tile
 TILE_SETS = 512
@@ -117,17 +125,22 @@ class Bands:
         return sizes * (self.q - self.p) // (self.q + self.p)
 
     def most(self, group: int) -> int:
-        """How many members similar sets of the bands ``group`` and ``group + 1`` differ in."""
-        return self.apart(2 * (self.edges[group + 2] - 1)) if group >= 0 else 0
+        """How many members similar sets differ in, one of the band ``group``, the other of it or
+        the next; two of the next are met in the group after."""
+        return self.apart(self.edges[group + 1] + self.edges[group + 2] - 2) if group >= 0 else 0
 
     def least_keys(self, group: int) -> int:
-        """How many keys similar sets of these bands share at least."""
+        """How many keys similar sets of these bands share at least, of those not left out."""
         return 1 + min(MORE, self.most(group) // 16)
 
+    def spare(self, group: int) -> int:
+        """How many keys a set leaves out."""
+        return self.most(group) // SPARE
+
     def parts(self, group: int) -> int:
         """Parts of the sketch for these bands; 0 if only equal sets can be similar."""
         most = self.most(group)
-        return most // 2 + self.least_keys(group) if most else 0
+        return most // 2 + self.least_keys(group) + self.spare(group) if most else 0
 
     def sketch(self, found: np.ndarray, group: int) -> np.ndarray:
         """Words of the sketch of a set for the bands ``group`` and ``group + 1``."""
@@ -209,14 +222,55 @@ def sketch_keys(sketch: np.ndarray, group: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+CODES = (mixed(np.arange(1, 65, dtype=np.uint64)) & np.uint64(0xFFFF)).astype(np.uint16)
+CODES_OF_BYTES = np.zeros((8, 256), np.uint16)
+for _bit in range(64):
+    CODES_OF_BYTES[_bit // 8, np.arange(256) >> _bit % 8 & 1 == 1] ^= CODES[_bit]
+ONE_BIT = np.zeros(1 << 16, bool)  # what codes of words that differ in one bit at most differ in
+ONE_BIT[[0, *CODES.tolist()]] = True
+
+
+def codes(words: np.ndarray) -> np.ndarray:
+    """For each word the codes of its bits XORed together."""
+    return np.bitwise_xor.reduce(CODES_OF_BYTES[np.arange(8), words.view(np.uint8).reshape(-1, 8)], axis=1)
+
+
+def sent_keys(sketch: np.ndarray, group: int, spare: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys and the codes of the third words, without the ``spare`` first ones in order of the
+    bits of a key's words, then of keys."""
+    keys = sketch_keys(sketch, group)
+    thirds = codes(sketch).reshape(-1, WORDS)[:, THIRD].T.ravel()
+    if not spare:
+        return keys, thirds
+    bits = np.bitwise_count(sketch).reshape(-1, WORDS).astype(np.int64)
+    bits = np.concatenate([bits[:, i] + bits[:, j] for i, j in TWO])
+    few = np.flatnonzero(bits <= np.partition(bits, spare)[spare])
+    left_out = few[np.lexsort((keys[few], bits[few]))[:spare]]
+    return np.delete(keys, left_out), np.delete(thirds, left_out)
+
+
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Beginnings and lengths of the runs of equal neighbours."""
     begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else keys
     return begins, np.diff(np.append(begins, len(keys)))
 
 
-BLOCK = "bucket int, dealt boolean, keys binary, places binary, nodes binary, groups binary, sizes binary"
-LOW = np.uint64((1 << 40) - 1)  # five bytes of a key are sent, its bucket tells most of the rest
+BLOCK = (
+    "bucket int, dealt boolean, hot boolean, keys binary, thirds binary, counts binary, nodes binary, groups binary, "
+    "sizes binary"
+)
+KEY_BYTES = 3  # of a key that are sent; its bucket and the code of its third word tell some more
+LOW = np.uint64((1 << 8 * KEY_BYTES) - 1)
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """Small numbers byte by byte, first the lowest of all: the others are alike and pack well."""
+    return numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def of_planes(packed: bytes) -> np.ndarray:
+    split = np.frombuffer(packed, np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(split.T).view("<i4").ravel().astype(np.int64)
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -231,8 +285,8 @@ def key_number(low: np.ndarray, bucket: np.ndarray | int) -> np.ndarray:
 class KeyBlocks:
     """Keys of some sets, sent on as a block for each bucket.
 
-    Of a key that very many of them share, just so many sets go to the key's bucket that it is
-    known there as one of many; the others are dealt out, so it sends few entries to one place.
+    Of a key that very many of them share, a few sets go to the key's bucket, where ``hot`` says that
+    it is one of many; the others are dealt out, so it sends few entries to one place.
     """
 
     def __init__(self, buckets: int):
@@ -240,12 +294,15 @@ class KeyBlocks:
         self.begin()
 
     def begin(self) -> None:
-        self.keys, self.lengths, self.nodes, self.groups, self.sizes = [], [], [], [], []
+        self.keys, self.thirds, self.lengths, self.nodes, self.groups, self.sizes = [], [], [], [], [], []
         self.count = 0
         self.seen: set[int] = set()
 
-    def add(self, node: int, keys: np.ndarray, group: int, size: int) -> None:
+    def add(
+        self, node: int, keys: np.ndarray, group: int, size: int, thirds: np.ndarray | None = None
+    ) -> None:
         self.keys.append(keys)
+        self.thirds.append(np.zeros(len(keys), np.uint16) if thirds is None else thirds)
         self.lengths.append(len(keys))
         self.nodes.append(node)
         self.groups.append(group)
@@ -255,37 +312,44 @@ class KeyBlocks:
     def packed(self) -> Iterator[pa.RecordBatch]:
         if not self.count:
             return
-        keys = np.concatenate(self.keys)
-        places = np.repeat(np.arange(len(self.nodes), dtype=np.uint32), self.lengths)
-        nodes, groups = np.array(self.nodes, np.int64), np.array(self.groups, np.int16)
-        of_nodes = nodes, groups, np.array(self.sizes, np.int32)
+        keys, thirds = np.concatenate(self.keys), np.concatenate(self.thirds)
+        nodes, groups = np.array(self.nodes, np.int64), np.array(self.groups, np.int32)
+        sizes = np.array(self.sizes, np.int64)
+        order = np.lexsort((sizes, groups))  # so that neighbours in a block differ little
+        of_nodes = nodes[order], groups[order], sizes[order]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        places = np.repeat(place, self.lengths)
         self.begin()
         order = np.argsort(keys, kind="stable")
-        keys, places = keys[order], places[order]
+        keys, thirds, places = keys[order], thirds[order], places[order]
         begins, lengths = _runs(keys)
         within = np.arange(len(keys)) - np.repeat(begins, lengths)
-        dealt = (np.repeat(lengths, lengths) >= HOT) & (within > FEW)
-        yield self.blocks(keys[~dealt], places[~dealt], False, bucket_of(keys[~dealt], self.buckets), of_nodes)
-        if dealt.any():
-            keys, places = keys[dealt], places[dealt]
-            bucket = bucket_of(mixed(nodes[places].view(np.uint64)), self.buckets)
-            order = np.argsort(bucket, kind="stable")
-            yield self.blocks(keys[order], places[order], True, bucket[order], of_nodes)
-
-    def blocks(self, keys, places, dealt: bool, buckets, of_nodes) -> pa.RecordBatch:
+        hot = np.repeat(lengths, lengths) >= HOT
+        dealt = hot & (within > FEW)
+        bucket = bucket_of(keys, self.buckets)
+        elsewhere = bucket_of(mixed(of_nodes[0][places].view(np.uint64)), self.buckets)
+        for own, buckets in ((~hot, bucket), (hot & ~dealt, bucket), (dealt, elsewhere)):
+            if own.any():
+                here = keys[own], thirds[own], places[own], buckets[own]
+                yield self.blocks(*here, own is dealt, bool(hot[own][0]), of_nodes)
+
+    def blocks(self, keys, thirds, places, buckets, dealt: bool, hot: bool, of_nodes) -> pa.RecordBatch:
+        order = np.argsort(buckets * len(of_nodes[0]) + places, kind="stable")
+        keys, thirds, places, buckets = keys[order], thirds[order], places[order], buckets[order]
         begins, lengths = _runs(buckets)
         out = []
         for begin, length in zip(begins.tolist(), lengths.tolist()):
             here = slice(begin, begin + length)
-            own, index = np.unique(places[here], return_inverse=True)
-            index = index.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32)
-            size = 8 if dealt else 5  # a key that is dealt out isn't told by its bucket
-            sent = keys[here].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]
-            out.append((int(buckets[begin]), dealt, sent.tobytes(), index.tobytes(),
-                        *(column[own].tobytes() for column in of_nodes)))
-        columns = zip(*out) if out else ([],) * 7
-        kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 5]
-        names = ["bucket", "dealt", "keys", "places", "nodes", "groups", "sizes"]
+            first, counts = _runs(places[here])
+            nodes, groups, sizes = (column[places[here][first]] for column in of_nodes)
+            sent = 8 if dealt else KEY_BYTES  # a key that is dealt out isn't told by its bucket
+            sent = keys[here].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :sent]
+            out.append((int(buckets[begin]), dealt, hot, sent.tobytes(), thirds[here].astype("<u2").tobytes(),
+                        planes(counts), nodes.tobytes(), planes(groups), planes(np.diff(sizes, prepend=0))))
+        columns = zip(*out) if out else ([],) * 9
+        kinds = [pa.int32(), pa.bool_(), pa.bool_(), *[pa.binary()] * 6]
+        names = ["bucket", "dealt", "hot", "keys", "thirds", "counts", "nodes", "groups", "sizes"]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
@@ -301,7 +365,8 @@ def key_blocks(docs: DataFrame, bands: Bands, width: int, text: str, buckets: in
                 for group in (band - 1, band):
                     sketch = bands.sketch(found, group)
                     if len(sketch):
-                        blocks.add(node, sketch_keys(sketch, group), group, len(found))
+                        keys, thirds = sent_keys(sketch, group, bands.spare(group))
+                        blocks.add(node, keys, group, len(found), thirds)
                 if blocks.count > KEYS:
                     yield from blocks.packed()
         yield from blocks.packed()
@@ -311,27 +376,47 @@ def key_blocks(docs: DataFrame, bands: Bands, width: int, text: str, buckets: in
 
 def block_entries(row: dict, buckets: int):
     """Key, node, group and size of a block's entries."""
-    nodes, groups = np.frombuffer(row["nodes"], "<i8"), np.frombuffer(row["groups"], "<i2")
-    kind = np.uint16 if len(nodes) <= 1 << 16 else np.uint32
-    places = np.frombuffer(row["places"], kind)
+    nodes, groups = np.frombuffer(row["nodes"], "<i8"), of_planes(row["groups"])
+    places = np.repeat(np.arange(len(nodes)), of_planes(row["counts"]))
     sent = np.frombuffer(row["keys"], np.uint8).reshape(len(places), -1)
     keys = np.zeros((len(places), 8), np.uint8)
     keys[:, : sent.shape[1]] = sent
     keys = keys.view("<u8").ravel()
     number = key_number(keys & LOW, bucket_of(keys, buckets) if row["dealt"] else row["bucket"])
-    sizes = np.frombuffer(row["sizes"], "<i4").astype(np.int64)
+    sizes = np.cumsum(of_planes(row["sizes"]))
     return number.view(np.int64), nodes[places], groups[places], sizes[places]
 
 
-def pairs_of_runs(begins, lengths) -> tuple[np.ndarray, np.ndarray]:
-    """Places of all pairs of the entries of each run, for runs of few entries."""
-    first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+def pairs_of_runs(begins: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of all pairs of the entries of each run, and the runs' numbers; some at a time."""
     for length in np.unique(lengths).tolist():
-        some = begins[lengths == length][:, None]
+        runs = np.flatnonzero(lengths == length)
         i, j = np.triu_indices(length, 1)
-        first.append((some + i).ravel())
-        second.append((some + j).ravel())
-    return np.concatenate(first), np.concatenate(second)
+        step = max(1, AT_ONCE // max(1, len(i)))
+        for start in range(0, len(runs), step):
+            some = runs[start : start + step]
+            first = begins[some][:, None]
+            yield (first + i).ravel(), (first + j).ravel(), np.repeat(some, len(i))
+
+
+def listed_pairs(
+    begins, lengths, hot, node, size, third, bands: Bands
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the pairs that sizes and third words allow, and which runs are ``hot`` or have too
+    many."""
+    crowded = hot | (lengths > SOME)
+    first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    tried = np.flatnonzero((lengths > 1) & ~crowded)
+    for i, j, run in pairs_of_runs(begins[tried], lengths[tried]):
+        near = np.abs(size[i] - size[j]) <= bands.apart(size[i] + size[j])
+        near &= ONE_BIT[third[i] ^ third[j]] & (node[i] != node[j])
+        i, j, run = i[near], j[near], tried[run[near]]
+        found = np.bincount(run, minlength=len(lengths))
+        many = (lengths > FEW) & (found > PAIRS * lengths)
+        crowded |= many
+        first.append(i[~many[run]])
+        second.append(j[~many[run]])
+    return np.concatenate(first), np.concatenate(second), crowded
 
 
 SHARED = "key long, a long, b long, group int, n long"
@@ -344,24 +429,28 @@ def shared_keys(blocks: DataFrame, bands: Bands, buckets: int) -> DataFrame:
     def merge(table: pa.Table) -> pa.Table:
         plain, dealt = [], []
         for row in table.to_pylist():
-            (dealt if row["dealt"] else plain).append(block_entries(row, buckets))
+            key, node, group, size = block_entries(row, buckets)
+            # Keys of different groups that agree in what was sent of them are told apart.
+            key = mixed(key.view(np.uint64) ^ mixed(group.astype(np.uint64))).view(np.int64)
+            third = np.frombuffer(row["thirds"], "<u2")
+            hot = np.full(len(key), row["hot"])
+            (dealt if row["dealt"] else plain).append((key, node, group, size, third, hot))
         many = [tuple(np.concatenate(c) for c in zip(*dealt))[:3]] if dealt else []
         a = b = group = n = np.zeros(0, np.int64)
         if plain:
-            key, node, group, size = (np.concatenate(c) for c in zip(*plain))
-            order = np.lexsort((node, key))
-            key, node, group, size = key[order], node[order], group[order], size[order]
+            entries = [np.concatenate(c) for c in zip(*plain)]
+            order = np.lexsort((entries[4], entries[1], entries[0]))
+            key, node, group, size, third, hot = (column[order] for column in entries)
+            hot = np.logical_or.reduceat(hot, _runs(key)[0])
+            # Also by the third word: a set may have two keys that agree in what was sent of them.
             new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-            key, node, group, size = key[new], node[new], group[new], size[new]
+            new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1]) | (third[1:] != third[:-1])
+            key, node, group, size, third = (column[new] for column in (key, node, group, size, third))
             begins, lengths = _runs(key)
-            some = np.repeat(lengths > FEW, lengths)
-            many.append((key[some], node[some], group[some]))
-            few = (lengths > 1) & (lengths <= FEW)
-            i, j = pairs_of_runs(begins[few], lengths[few])
-            apart = (size[i] + size[j]) * (bands.q - bands.p) // (bands.q + bands.p)
-            near = np.abs(size[i] - size[j]) <= apart
-            a, b, group = node[i[near]], node[j[near]], group[i[near]]
+            i, j, crowded = listed_pairs(begins, lengths, hot, node, size, third, bands)
+            crowded = np.repeat(crowded, lengths)
+            many.append((key[crowded], node[crowded], group[crowded]))
+            a, b, group = node[i], node[j], group[i]
             order = np.lexsort((group, b, a))
             a, b, group = a[order], b[order], group[order]
             new = np.ones(len(a), bool)
@@ -382,6 +471,42 @@ def shared_keys(blocks: DataFrame, bands: Bands, buckets: int) -> DataFrame:
     return blocks.groupBy("bucket").applyInArrow(merge, SHARED)
 
 
+def nodes_of(sets: DataFrame) -> DataFrame:
+    """One row per node, with its size, band and folds."""
+    own = sets.where("node IS NOT NULL").dropDuplicates(["node"])
+    return own.select("node", "size", "band", "lower", "upper")
+
+
+def fold_of_group() -> Column:
+    return F.when(F.col("group") == F.col("band"), F.col("upper")).otherwise(F.col("lower"))
+
+
+def close_pairs(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
+    """The pairs ``a``, ``b`` of a ``group`` whose folds are as near as those of similar sets."""
+    own = nodes_of(sets)
+    for side in ("a", "b"):
+        pairs = pairs.join(own.withColumnRenamed("node", side), side).withColumns(
+            {f"fold_{side}": fold_of_group(), f"size_{side}": F.col("size")}
+        ).drop(*own.columns)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            near = np.zeros(batch.num_rows, bool)
+            x, y = batch.column("fold_a").to_pylist(), batch.column("fold_b").to_pylist()
+            both = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
+            most = bands.apart(both)
+            lengths = np.array([len(fold) for fold in x], np.int64)
+            for length in np.unique(lengths).tolist():
+                some = np.flatnonzero(lengths == length)
+                folds = [np.frombuffer(b"".join(side[k] for k in some), "<u8") for side in (x, y)]
+                differ = np.bitwise_count(folds[0] ^ folds[1]).reshape(len(some), -1).sum(1)
+                near[some] = differ <= most[some]
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    rows = pairs.select("a", "b", "size_a", "size_b", "fold_a", "fold_b")
+    return rows.mapInArrow(compare, "a long, b long")
+
+
 class NodeFilter:
     """Says which nodes may be among some, by a bit table that Spark has merged.
 
@@ -474,10 +599,8 @@ def in_tiles(rows: DataFrame, whole: str, tiles: Column) -> DataFrame:
 
 def candidates_of_many(many: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
     """Pairs ``a``, ``b`` that connect whatever close folds connect among the sets of each key."""
-    fold = F.when(F.col("group") == F.col("band"), F.col("upper")).otherwise(F.col("lower"))
-    own = sets.where("node IS NOT NULL").dropDuplicates(["node"]).select("node", "size", "band", "lower", "upper")
-    rows = many.select("key", F.col("a").alias("node"), "group").join(own, "node").select(
-        "key", "node", "size", fold.alias("fold")
+    rows = many.select("key", F.col("a").alias("node"), "group").join(nodes_of(sets), "node").select(
+        "key", "node", "size", fold_of_group().alias("fold")
     )
     rows = in_tiles(rows, "key", F.ceil(F.count("*") / TILE_FOLDS))
 
@@ -564,14 +687,19 @@ def similar_components(
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = key_blocks(docs, bands, width, text, buckets)
     shared = stored(shared_keys(blocks, bands, buckets), "shared")
+    free_shuffles(docs.sparkSession)  # of all keys, the most that a shuffle here holds
     # Similar sets share so many keys, or one that many share.
     most = max(g for g in range(len(bands.edges) - 2))
     steps = [g for g in range(1, most) if bands.least_keys(g) > bands.least_keys(g - 1)]
     least = F.lit(1) + sum((F.col("group") >= g).cast("int") for g in steps)
     few = (
         shared.where("key IS NULL").groupBy("a", "b", "group").agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= least).select("a", "b")
+        .where(F.col("n") >= least).select("a", "b", "group")
     )
+    few = close_pairs(few, sets, bands)
     many = candidates_of_many(shared.where("key IS NOT NULL"), sets, bands)
     candidates = stored(few.unionByName(many).distinct(), "candidates")
-    return components(stored(links_of(candidates, docs, bands, width, text), "links"), "links")
+    free_shuffles(docs.sparkSession)
+    links = stored(links_of(candidates, docs, bands, width, text), "links")
+    free_shuffles(docs.sparkSession)
+    return components(links, "links")

@@ -1,6 +1,8 @@
 """Intermediate tables in the folder that the cluster shares."""
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ..sinks.scratch import shared_folder
 
@@ -10,3 +12,13 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(rows.sparkSession)}/{name}"
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of tables that are written and of no more use.
+
+    It does so once the driver has collected the objects that stand for them, which on a driver
+    with a large heap may take until the end of the job.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
